@@ -152,7 +152,8 @@ FROM (SELECT p.*, CASE WHEN segment_label IN {pool}
       FROM {prev} p)"""
 
 
-def user_master_sql(seed=42) -> str:
+def user_view_ctes(seed=42) -> str:
+    """CTE chain ending in ``um`` (the master user table)."""
     dc12, dc24 = "payment_hist_1_12_delinquency_count", "payment_hist_13_24_delinquency_count"
     risk0 = (f"CAST((coalesce({dc12} > 3, false) OR coalesce({dc24} > 3, false) "
              f"OR coalesce(utilization_pct > 95 AND credit_score < 600, false)) AS INTEGER)")
@@ -167,8 +168,32 @@ us0 AS (SELECT * EXCLUDE (risk0), {Q.segment_a_sql()} AS segment_label FROM uq),
 us1 AS ({_fill_empty_sql('us0', 0, seed)}),
 us2 AS ({_fill_empty_sql('us1', 1, seed)}),
 us3 AS ({_fill_empty_sql('us2', 2, seed)}),
-us4 AS ({_fill_empty_sql('us3', 3, seed)})
-SELECT *, {Q.risk_probability_sql()} AS risk_probability FROM us4"""
+us4 AS ({_fill_empty_sql('us3', 3, seed)}),
+um AS (SELECT *, {Q.risk_probability_sql()} AS risk_probability FROM us4)"""
+
+
+def user_master_sql(seed=42) -> str:
+    return user_view_ctes(seed) + "\nSELECT * FROM um"
+
+
+def scored_ctes() -> str:
+    """``um`` plus ``scored`` (rule-based scores, twin of operators.scoring)."""
+    m = Q.macro_sql()
+    pct = Q.max_cli_pct_sql()
+    post = Q.cli_postprocess_sql("CLI_target_amount", "credit_line", "max_cli_percentage",
+                                 "segment_label IN (0, 1)", "is_high_income")
+    return user_view_ctes() + f""",
+sc1 AS (SELECT *, {m['economic_factor']} AS economic_factor, {m['seasonal_index']} AS seasonal_index,
+               {m['spending_elasticity']} AS spending_elasticity,
+               {m['q4_adjustment_factor']} AS q4_adjustment_factor,
+               1.25 AS holiday_spending_multiplier,
+               avg_monthly_spend_2024 * 1.25 * (1.0 + 0.2 * is_high_income) AS holiday_spending_power,
+               total_spend_2024 * 0.3 AS spend_Q4_2024,
+               total_spend_2024 * 0.3 * 1.05 AS predicted_q4_spend,
+               {pct} AS max_cli_percentage
+        FROM um),
+sc2 AS (SELECT *, credit_line * 1000 * max_cli_percentage AS CLI_target_amount FROM sc1),
+scored AS (SELECT *, {post} AS recommended_cli_amount FROM sc2)"""
 
 
 def account_table_sql() -> str:

@@ -246,9 +246,13 @@ def credit_snapshot(t: Tables) -> DataFrame:
 # ------------------------------------------------------------- FX
 
 def currency_codes(t: Tables) -> DataFrame:
-    """numeric code -> alphabetic code (nation key -> first 3 letters of name)."""
-    return t.nation.select(F.col("n_nationkey").alias("numeric_code"),
-                           F.upper(F.substring("n_name", 1, 3)).alias("alphabetic_code"))
+    """numeric code -> alphabetic code.  Nation key is the numeric code (the
+    United States use the ISO numeric 840); the alphabetic code is the first
+    two letters of the name plus a letter from the key (unique per nation)."""
+    n = t.nation
+    return n.select(
+        F.when(F.col("n_name") == "UNITED STATES", F.lit(840)).otherwise(F.col("n_nationkey")).alias("numeric_code"),
+        F.concat(F.upper(F.substring("n_name", 1, 2)), F.expr("chr(65 + n_nationkey)")).alias("alphabetic_code"))
 
 
 def fx_rates(t: Tables) -> DataFrame:
@@ -264,11 +268,14 @@ def fx_rates(t: Tables) -> DataFrame:
 
 
 def foreign_with_currency(t: Tables) -> DataFrame:
-    """Foreign transactions carrying the supplier nation as currency code."""
+    """Foreign transactions carrying the supplier nation's numeric currency code."""
     li = t.lineitem.filter(F.col("l_linestatus") == "O")
     s = t.supplier.select("s_suppkey", "s_nationkey")
-    return (li.join(s, li.l_suppkey == s.s_suppkey)
-            .select(*_tx_base(li), F.col("s_nationkey").alias("frgn_curr_code")))
+    n = t.nation.select("n_nationkey", "n_name")
+    sn = s.join(n, s.s_nationkey == n.n_nationkey)
+    code = F.when(F.col("n_name") == "UNITED STATES", F.lit(840)).otherwise(F.col("s_nationkey"))
+    return (li.join(sn, li.l_suppkey == sn.s_suppkey)
+            .select(*_tx_base(li), code.alias("frgn_curr_code")))
 
 
 # ====================================================================
@@ -365,7 +372,8 @@ ROLE_SQL = {
         FROM orders LEFT JOIN customer ON o_custkey = c_custkey
              LEFT JOIN open_balance ob ON ob.l_orderkey = o_orderkey""",
     "currency_codes": """
-        SELECT n_nationkey AS numeric_code, upper(substr(n_name, 1, 3)) AS alphabetic_code FROM nation""",
+        SELECT CASE WHEN n_name = 'UNITED STATES' THEN 840 ELSE n_nationkey END AS numeric_code,
+               upper(substr(n_name, 1, 2)) || chr(65 + n_nationkey) AS alphabetic_code FROM nation""",
     "fx_rates": """
         SELECT cc.alphabetic_code AS currency, g.rate_date, g.open FROM (
             SELECT s_nationkey, CAST(date_trunc('month', l_shipdate) AS DATE) AS rate_date,
@@ -373,8 +381,9 @@ ROLE_SQL = {
             FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2) g
         JOIN currency_codes cc ON g.s_nationkey = cc.numeric_code""",
     "foreign_with_currency": f"""
-        SELECT {_TX_BASE_SQL}, s_nationkey AS frgn_curr_code
-        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_linestatus = 'O'""",
+        SELECT {_TX_BASE_SQL}, CASE WHEN n_name = 'UNITED STATES' THEN 840 ELSE s_nationkey END AS frgn_curr_code
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+        WHERE l_linestatus = 'O'""",
 }
 
 # dependencies between the CTEs above (emitted in this order)
