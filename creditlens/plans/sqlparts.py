@@ -108,3 +108,25 @@ def cli_postprocess_sql(pred: str, line: str, pct: str, elig: str, hi: str) -> s
     p3 = f"(CASE WHEN {e} THEN {p2} ELSE 0.0 END)"
     p4 = f"(CASE WHEN {e} AND {hi} = 1 THEN least({p3}, {line} * 1000 * 0.3) ELSE {p3} END)"
     return f"(CASE WHEN {e} AND {p4} > 0 THEN greatest({p4}, 500.0) ELSE {p4} END)"
+
+
+def quantile_sql(src: str, col: str, ps, group: str | None = None, names=None) -> str:
+    """Exact linear-interpolation quantiles with Spark's formula:
+    position = (n - 1) * p; lower/higher = floor/ceil(position);
+    value = (higher - position) * v[lower] + (position - lower) * v[higher]
+    (v[lower] when both positions hold the same value).  Returns a SELECT
+    with columns [group,] q0, q1, ... (or ``names``)."""
+    names = names or [f"q{i}" for i in range(len(ps))]
+    part = f"PARTITION BY {group} " if group else ""
+    g_sel = f"{group}, " if group else ""
+    g_by = f" GROUP BY {group}" if group else ""
+    outs = []
+    for p, nm in zip(ps, names):
+        pos = f"((n - 1) * CAST({p} AS DOUBLE))"
+        lo = f"max(v) FILTER (WHERE i = floor({pos}))"
+        hi = f"max(v) FILTER (WHERE i = ceil({pos}))"
+        outs.append(f"CASE WHEN floor(max({pos})) = ceil(max({pos})) OR {lo} = {hi} THEN {lo} "
+                    f"ELSE (ceil(max({pos})) - max({pos})) * {lo} + (max({pos}) - floor(max({pos}))) * {hi} END AS {nm}")
+    return (f"SELECT {g_sel}{', '.join(outs)} FROM (SELECT {g_sel}CAST({col} AS DOUBLE) AS v, "
+            f"row_number() OVER ({part}ORDER BY {col}) - 1 AS i, count(*) OVER ({part.strip()}) AS n "
+            f"FROM {src} WHERE {col} IS NOT NULL){g_by}")
