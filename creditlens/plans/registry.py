@@ -40,6 +40,26 @@ def r6s(e: str) -> str:
     return f"(floor(({e}) * 1000000.0 + 0.5) / 1000000.0)"
 
 
+def sig(c, digits: int = 12) -> Column:
+    """Round to ``digits`` significant digits with exact powers of ten only
+    (identical IEEE steps in both engines)."""
+    c = F.col(c) if isinstance(c, str) else c
+    e = F.floor(F.log10(F.abs(c))).cast("int")
+    k = F.lit(digits - 1) - e
+    up = F.pow(F.lit(10.0), k)          # exact power when k >= 0
+    down = F.pow(F.lit(10.0), -k)       # exact power when k < 0
+    return (F.when(c.isNull() | (c == 0), c)
+            .when(k >= 0, F.floor(c * up + 0.5) / up)
+            .otherwise(F.floor(c / down + 0.5) * down))
+
+
+def sigs(e: str, digits: int = 12) -> str:
+    k = f"({digits - 1} - CAST(floor(log10(abs({e}))) AS INTEGER))"
+    return (f"(CASE WHEN ({e}) IS NULL OR ({e}) = 0 THEN ({e}) "
+            f"WHEN {k} >= 0 THEN floor(({e}) * pow(10.0, {k}) + 0.5) / pow(10.0, {k}) "
+            f"ELSE floor(({e}) / pow(10.0, -{k}) + 0.5) * pow(10.0, -{k}) END)")
+
+
 _USER_CACHE: dict = {}
 
 

@@ -95,10 +95,13 @@ def macro_sql(score="credit_score", hi="is_high_income") -> dict:
 
 
 def max_cli_pct_sql(seg="segment_label", s="credit_score", hi="is_high_income") -> str:
-    base = (f"(CASE WHEN {seg} = 0 THEN (CASE WHEN {s} >= 750 THEN 0.25 WHEN {s} >= 700 THEN 0.20 ELSE 0.15 END) "
-            f"WHEN {seg} = 1 THEN (CASE WHEN {s} >= 700 THEN 0.15 WHEN {s} >= 650 THEN 0.10 ELSE 0.05 END) "
-            f"ELSE 0.0 END)")
-    return f"({base} + CASE WHEN {hi} = 1 AND {seg} IN (0, 1) THEN 0.05 ELSE 0.0 END)"
+    # DOUBLE literals: the bonus is added in floating point, as in Spark
+    def d(x):
+        return f"CAST({x} AS DOUBLE)"
+    base = (f"(CASE WHEN {seg} = 0 THEN (CASE WHEN {s} >= 750 THEN {d(0.25)} WHEN {s} >= 700 THEN {d(0.20)} ELSE {d(0.15)} END) "
+            f"WHEN {seg} = 1 THEN (CASE WHEN {s} >= 700 THEN {d(0.15)} WHEN {s} >= 650 THEN {d(0.10)} ELSE {d(0.05)} END) "
+            f"ELSE {d(0.0)} END)")
+    return f"({base} + CASE WHEN {hi} = 1 AND {seg} IN (0, 1) THEN {d(0.05)} ELSE {d(0.0)} END)"
 
 
 def cli_postprocess_sql(pred: str, line: str, pct: str, elig: str, hi: str) -> str:
