@@ -95,12 +95,14 @@ def top_k_frequent(df: DataFrame, group: str, value: str, k: int) -> DataFrame:
 def corr_with(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """AGG-22: Pearson correlation of each column with ``target`` (NULL for a
     constant column), one aggregate row unpivoted."""
-    t = F.col(target).cast("double")
+    t0 = F.col(target).cast("double")
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
-        ok = (F.stddev_pop(x) > 0) & (F.stddev_pop(t) > 0)
-        aggs.append(F.when(ok, r6(F.corr(x, t))).alias(c))
+        x0 = F.col(c).cast("double")
+        both = x0.isNotNull() & t0.isNotNull()
+        x, t = F.when(both, x0), F.when(both, t0)   # pairwise-complete rows
+        den = F.stddev_pop(x) * F.stddev_pop(t)
+        aggs.append(F.when(den > 0, r6(F.try_divide(F.covar_pop(x, t), den))).alias(c))
     return df.agg(*aggs).unpivot([], list(cols), "column_name", "corr")
 
 

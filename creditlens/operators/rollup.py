@@ -132,6 +132,11 @@ def account_table(t: Tables, periods: Periods = PERIODS) -> DataFrame:
     })
 
 
+def exact_avg(c: str) -> Column:
+    """Mean of a DOUBLE column with an order-independent DECIMAL(38,9) sum."""
+    return F.sum(F.col(c).cast("decimal(38,9)")).cast("double") / F.count(c)
+
+
 def _present(df: DataFrame, cols) -> list:
     return [c for c in cols if c in df.columns]
 
@@ -153,15 +158,19 @@ def user_rollup(acct: DataFrame) -> DataFrame:
     # the reference rolls the per-account minimum up with max as well
     for c in _present(acct, ["fraud_transaction_max", "fraud_transaction_min"]):
         aggs.append(F.max(c).alias(c))
+    # means of DOUBLE measures: exact (DECIMAL) accumulation, so the result
+    # does not depend on how rows are split across tasks
     for c in _present(acct, ["fraud_transaction_avg"]):
-        aggs.append(F.avg(c).alias(c))
+        aggs.append(exact_avg(c).alias(c))
     for period in ("1_12", "13_24"):
         for m in R.PAYMENT_METRICS:
             c = f"payment_hist_{period}_{m}"
             if c in acct.columns:
                 aggs.append(F.max(c).alias(c))
-    for c in _present(acct, ["account_age_days", "activation_delay_days", "avg_transaction_size_2024"]):
+    for c in _present(acct, ["account_age_days", "activation_delay_days"]):
         aggs.append(F.avg(c).alias(c))
+    for c in _present(acct, ["avg_transaction_size_2024"]):
+        aggs.append(exact_avg(c).alias(c))
     aggs.append(F.coalesce(F.sum("is_active_account"), F.lit(0)).alias("active_account_count"))
     return acct.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(*aggs)
 

@@ -80,10 +80,10 @@ def user_ctes() -> str:
               "CAST(coalesce(sum(fraud_case_count), 0) AS BIGINT) AS fraud_case_count",
               "CAST(max(fraud_transaction_max) AS DOUBLE) AS fraud_transaction_max",
               "CAST(max(fraud_transaction_min) AS DOUBLE) AS fraud_transaction_min",
-              "avg(fraud_transaction_avg) AS fraud_transaction_avg"]
+              "CAST(sum(CAST(fraud_transaction_avg AS DECIMAL(38,9))) AS DOUBLE) / count(fraud_transaction_avg) AS fraud_transaction_avg"]
     parts += [f"max({c}) AS {c}" for c in PH_COLS]
     parts += ["avg(account_age_days) AS account_age_days", "avg(activation_delay_days) AS activation_delay_days",
-              "avg(avg_transaction_size_2024) AS avg_transaction_size_2024",
+              "CAST(sum(CAST(avg_transaction_size_2024 AS DECIMAL(38,9))) AS DOUBLE) / count(avg_transaction_size_2024) AS avg_transaction_size_2024",
               "CAST(coalesce(sum(is_active_account), 0) AS BIGINT) AS active_account_count"]
     return account_ctes() + f""",
 urollup AS (SELECT user_id, {", ".join(parts)} FROM acct WHERE user_id IS NOT NULL GROUP BY user_id),

@@ -258,9 +258,12 @@ def _corr_cols():
 
 
 def _corr_sql() -> str:
+    def pw(a, b):
+        return f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN CAST({a} AS DOUBLE) END"
     parts = " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, CASE WHEN stddev_pop({c}) > 0 AND stddev_pop({CORR_TARGET}) > 0 "
-        f"THEN {r6s(f'corr({c}, {CORR_TARGET})')} END AS corr FROM um" for c in _corr_cols())
+        f"SELECT '{c}' AS column_name, CASE WHEN stddev_pop({pw(c, CORR_TARGET)}) * stddev_pop({pw(CORR_TARGET, c)}) > 0 "
+        f"THEN {r6s(f'covar_pop({pw(c, CORR_TARGET)}, {pw(CORR_TARGET, c)}) / (stddev_pop({pw(c, CORR_TARGET)}) * stddev_pop({pw(CORR_TARGET, c)}))')} "
+        f"END AS corr FROM um" for c in _corr_cols())
     return OM.user_view_ctes() + "\n" + parts
 
 

@@ -67,6 +67,8 @@ def user_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The master user table, built once per session and data folder and
     checkpointed (reliable checkpoint in the session's checkpoint folder)."""
     from creditlens.operators.rollup import user_master
+    from creditlens.session import checkpoint_dir
+    checkpoint_dir(spark)  # the cluster's folder; a scratch one only if unset
     key = (id(spark), sf_dir)
     if key not in _USER_CACHE:
         _USER_CACHE[key] = user_master(Tables(spark, sf_dir)).checkpoint(eager=True)
@@ -78,6 +80,10 @@ def scored_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_scores(user_view(spark, sf_dir))
 
 
+def clear_cache() -> None:
+    _USER_CACHE.clear()
+
+
 def load_all() -> None:
     """Import every query module (each registers on import)."""
     from creditlens.plans import q_core, q_reports, q_rules, q_misc, q_ml  # noqa: F401
