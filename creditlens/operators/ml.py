@@ -6,18 +6,292 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 
 def standardise(df: DataFrame, cols: Sequence[str], fit_filter: Column | None = None) -> DataFrame:
     """ML-04: (x - mean) / population std, statistics fitted on the rows of
     ``fit_filter`` (training rows) and applied to all rows; zero std -> 1.
     Spark ML's StandardScaler divides by the sample std, so the scaling is
-    written as expressions over one aggregate row (scalar subqueries)."""
+    written as expressions; the 2 x k statistics come back as one row."""
     fit = df if fit_filter is None else df.filter(fit_filter)
+    row = fit.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
+                  *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)]).first()
     out = {}
-    for c in cols:
-        m = fit.select(F.avg(c)).scalar()
-        s = fit.select(F.stddev_pop(c)).scalar()
-        s = F.when(s.isNull() | (s == 0), F.lit(1.0)).otherwise(s)
-        out[c] = (F.col(c) - m) / s
+    for i, c in enumerate(cols):
+        m, s = row[f"m_{i}"], row[f"s_{i}"]
+        s = 1.0 if (s is None or s == 0) else float(s)
+        out[c] = (F.col(c) - F.lit(float(m) if m is not None else 0.0)) / F.lit(s)
     return df.withColumns(out)
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a prepared feature table (reliable checkpoint in
+    the session's checkpoint folder) and keep it cached for the booster."""
+    return df.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+# ---------------------------------------------------------------- models
+#
+# The reference's boosted models are re-expressed with Spark ML GBTs.  The
+# feature table is one row per user; it is persisted once per fit (the
+# booster scans it every iteration).  Splits are hash-determined (stable
+# under repartitioning); early stopping uses a validation subset of the
+# training rows (``validationIndicatorCol``), never the test rows.
+
+from dataclasses import dataclass, field  # noqa: E402
+
+from pyspark.ml import Pipeline, PipelineModel  # noqa: E402
+from pyspark.ml.classification import GBTClassifier  # noqa: E402
+from pyspark.ml.feature import VectorAssembler  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+from pyspark.ml.regression import GBTRegressor  # noqa: E402
+
+from creditlens.functions import rules as R  # noqa: E402
+from creditlens.operators import metrics as M  # noqa: E402
+from creditlens.operators import sampling as S  # noqa: E402
+from creditlens.operators.prepare import impute_model_features  # noqa: E402
+from creditlens.operators.scoring import add_macro  # noqa: E402
+
+# Model feature lists
+Q4_FEATURES = ["avg_monthly_spend_2024", "total_spend_2024", "spend_2024_q1", "spend_2024_q2", "spend_2024_q3",
+               "utilization_pct", "credit_score", "credit_line", "payment_hist_1_12_delinquency_count",
+               "current_balance", "is_high_income", "q4_adjustment_factor"]
+Q3_FEATURES = ["spend_2024_q1", "spend_2024_q2", "transactions_2024_q1", "transactions_2024_q2", "utilization_pct",
+               "credit_score", "credit_line", "num_accounts", "payment_hist_1_12_delinquency_count",
+               "payment_hist_13_24_delinquency_count", "current_balance", "is_high_income"]
+SEGMENT_FEATURES = ["credit_score", "delinquency_12mo", "delinquency_24mo", "has_fraud", "utilization_pct",
+                    "total_spend_2024", "total_spend_2025YTD", "num_accounts", "avg_transaction_size_2024",
+                    "payment_hist_1_12_delinquency_count", "payment_hist_13_24_delinquency_count",
+                    "avg_monthly_spend_2024", "credit_line", "current_balance", "is_high_income"]
+RISK_FEATURES = ["credit_score", "delinquency_12mo", "delinquency_24mo", "has_fraud", "utilization_pct",
+                 "total_spend_2024", "total_spend_2025YTD", "num_accounts", "active_account_count",
+                 "account_age_days", "payment_hist_1_12_max_delinquency", "payment_hist_13_24_max_delinquency",
+                 "avg_monthly_spend_2024", "credit_line", "current_balance", "is_high_income"]
+CLI_MODEL_FEATURES = ["predicted_q4_spend", "utilization_pct", "credit_score", "credit_line", "num_accounts",
+                      "avg_monthly_spend_2024", "total_spend_2024", "current_balance", "is_high_income",
+                      "risk_probability", "spend_2024_q1", "spend_2024_q2", "spend_2024_q3", "spend_2024_q4",
+                      "holiday_spending_multiplier", "q4_adjustment_factor"]
+
+
+@dataclass
+class ModelResult:
+    name: str
+    scored: DataFrame                      # key + prediction columns
+    model: PipelineModel | list | None
+    metrics: list = field(default_factory=list)   # (section, name, key, value)
+
+
+def _present(df: DataFrame, cols) -> list:
+    return [c for c in cols if c in df.columns]
+
+
+def median_fill(df: DataFrame, cols) -> DataFrame:
+    """Model-1 imputation: coerce, inf -> missing, median for every column."""
+    df = df.withColumns({c: R.inf_to_null(F.expr(f"try_cast(`{c}` as double)")) for c in cols})
+    med = df.agg(*[F.median(c).alias(c) for c in cols]).first().asDict()
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(float(med[c]) if med[c] is not None else 0.0))
+                           for c in cols})
+
+
+def _assembler(cols) -> VectorAssembler:
+    return VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep")
+
+
+def _importances(model, cols, section: str, top: int = 10) -> list:
+    """ML-17 + SRT-06: normalised importances of the fitted trees, top k."""
+    imp = list(model.featureImportances.toArray())
+    pairs = sorted(zip(cols, imp), key=lambda x: (-x[1], x[0]))[:top]
+    return [(section, "feature_importance", c, float(v)) for c, v in pairs]
+
+
+def _reg_metrics(df: DataFrame, y: str, p: str, section: str, scope: str) -> list:
+    row = M.regression_metrics(df, y, p).first().asDict()
+    return [(section, f"{scope}_{k}", "", float(v) if v is not None else None) for k, v in row.items()]
+
+
+def q4_forecast(users: DataFrame, key: str = "user_id") -> ModelResult:
+    """ML-05 + ML-10 + ML-11: Q4 spend regressor (100 trees, depth 5,
+    lr 0.05, row / column sampling 0.8) and the 20 % adjustment."""
+    df = add_macro(users)
+    feats = _present(df, Q4_FEATURES)
+    y = F.col("spend_2024_q4") if "spend_2024_q4" in df.columns else F.col("total_spend_2024") * 0.35
+    need = list(dict.fromkeys(feats + _present(df, ["spend_2024_q1", "spend_2024_q2", "spend_2024_q3",
+                                                      "is_high_income", "credit_line", "q4_adjustment_factor"])))
+    d = df.select(key, *need, R.clip(y.cast("double"), 0.01).alias("label"))
+    d = d.withColumns({"q2_to_q3_growth": R.growth_clipped("spend_2024_q2", "spend_2024_q3"),
+                       "high_income_credit_capacity": F.col("is_high_income") * F.col("credit_line")})
+    cols = feats + ["q2_to_q3_growth", "high_income_credit_capacity"]
+    d = median_fill(d, cols)
+    d = materialise(S.hash_split(d, [key], 0.2, 42, "is_test").withColumn(
+        "is_val", (S.hash_fraction([key], 43) < 0.2) & (F.col("is_test") == 0)))
+    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=100, maxDepth=5, stepSize=0.05,
+                       subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42, validationIndicatorCol="is_val")
+    model = Pipeline(stages=[_assembler(cols), gbt]).fit(d.filter("is_test = 0"))
+    pred = model.transform(d)
+    sec = "model1_q4_spend"
+    metrics = _reg_metrics(pred.filter("is_test = 1"), "label", "prediction", sec, "test")
+    metrics += _importances(model.stages[-1], cols, sec)
+    adj = F.col("prediction") * (F.lit(0.8) + F.lit(0.2) * F.col("q4_adjustment_factor"))
+    scored = pred.select(key, "is_test", F.col("prediction").alias("raw_q4_prediction"), adj.alias("predicted_q4_spend"))
+    d.unpersist()
+    return ModelResult("q4_forecast", scored, model, metrics)
+
+
+def q3_backtest(users: DataFrame, key: str = "user_id") -> ModelResult:
+    """ML-06: predict Q3 from Q1 + Q2 (depth 5, lr 0.1, sampling 0.9),
+    held-out and full-data MSE / RMSE / R^2 / MAPE."""
+    feats = _present(users, Q3_FEATURES)
+    d = users.select(key, *feats, F.col("spend_2024_q3").cast("double").alias("label"))
+    d = d.withColumns({"avg_transaction_q1": R.guarded_avg("spend_2024_q1", "transactions_2024_q1"),
+                       "avg_transaction_q2": R.guarded_avg("spend_2024_q2", "transactions_2024_q2"),
+                       "q1_to_q2_growth": R.growth("spend_2024_q1", "spend_2024_q2")})
+    cols = feats + ["avg_transaction_q1", "avg_transaction_q2", "q1_to_q2_growth"]
+    d = median_fill(d, cols)
+    d = materialise(S.hash_split(d, [key], 0.2, 42, "is_test").withColumn(
+        "is_val", (S.hash_fraction([key], 44) < 0.2) & (F.col("is_test") == 0)))
+    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=100, maxDepth=5, stepSize=0.1,
+                       subsamplingRate=0.9, featureSubsetStrategy="0.9", seed=42, validationIndicatorCol="is_val")
+    model = Pipeline(stages=[_assembler(cols), gbt]).fit(d.filter("is_test = 0"))
+    pred = model.transform(d)
+    sec = "model1_q3_backtest"
+    metrics = _reg_metrics(pred.filter("is_test = 1"), "label", "prediction", sec, "test")
+    metrics += _reg_metrics(pred, "label", "prediction", sec, "full")
+    metrics += _importances(model.stages[-1], cols, sec)
+    scored = pred.select(key, "is_test", F.col("prediction").alias("predicted_q3_spend"))
+    d.unpersist()
+    return ModelResult("q3_backtest", scored, model, metrics)
+
+
+def _classifier_frame(users: DataFrame, feats, label: str, key: str) -> DataFrame:
+    d = users.select(key, *feats, F.col(label).cast("int").alias("label"))
+    d = impute_model_features(d, feats)
+    d = S.stratified_split(d, "label", [key], 0.2, 42, "is_test")
+    tr = d.filter("is_test = 0")
+    val = S.stratified_split(tr, "label", [key], 0.1, 43, "is_val").select(key, "is_val")
+    d = d.join(val, key, "left").withColumn("is_val", F.coalesce(F.col("is_val") == 1, F.lit(False)))
+    return materialise(standardise(d, feats, fit_filter=F.col("is_test") == 0))
+
+
+def _cls_metrics(pred: DataFrame, section: str) -> list:
+    rep = M.classification_report(pred, "label", "predicted").collect()
+    out = []
+    for r in rep:
+        out += [(section, "precision", str(r["cls"]), float(r["precision"])),
+                (section, "recall", str(r["cls"]), float(r["recall"])),
+                (section, "f1", str(r["cls"]), float(r["f1"])),
+                (section, "support", str(r["cls"]), float(r["support"]))]
+    if rep:
+        out.append((section, "accuracy", "", float(rep[0]["accuracy"])))
+    return out
+
+
+def segment_model(users: DataFrame, key: str = "user_id", label: str = "segment_label", k: int = 4) -> ModelResult:
+    """ML-07: 4-class segment classifier.  Spark's GBTClassifier is binary,
+    so one booster per class (depth 4, lr 0.1, sampling 0.8) is fitted and
+    the class probabilities are normalised across the k boosters."""
+    feats = _present(users, SEGMENT_FEATURES)
+    d = _classifier_frame(users, feats, label, key)
+    asm = _assembler(feats)
+    base = asm.transform(d)
+    models, prob_cols = [], []
+    tr = base.filter("is_test = 0")
+    for c in range(k):
+        gbt = (GBTClassifier(featuresCol="features", labelCol=f"y{c}", maxIter=100, maxDepth=4, stepSize=0.1,
+                             subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42,
+                             validationIndicatorCol="is_val")
+               .setProbabilityCol(f"prob{c}").setRawPredictionCol(f"raw{c}").setPredictionCol(f"pred{c}"))
+        m = gbt.fit(tr.withColumn(f"y{c}", (F.col("label") == c).cast("double")))
+        models.append(m)
+        prob_cols.append(c)
+    scored = base
+    for c, m in enumerate(models):
+        scored = m.transform(scored).withColumn(f"p{c}", vector_to_array(f"prob{c}")[1]).drop(
+            f"prob{c}", f"raw{c}", f"pred{c}")
+    raw = F.array(*[F.col(f"p{c}") for c in range(k)])
+    scored = scored.select("*", F.transform(raw, lambda x: x / F.aggregate(raw, F.lit(0.0), lambda a, b: a + b))
+                           .alias("_probs"))
+    probs = {f"segment_{c}_prob": F.col("_probs")[c] for c in range(k)}
+    # argmax, first class wins ties
+    scored = scored.select("*", *[v.alias(n) for n, v in probs.items()],
+                           (F.array_position("_probs", F.array_max("_probs")) - 1).cast("int").alias("predicted"))
+    scored = scored.select(key, "is_test", "label", "predicted", *probs.keys()).checkpoint(eager=True)
+    sec = "model2_segmentation"
+    metrics = _cls_metrics(scored.filter("is_test = 1"), sec)
+    imp = [sum(m.featureImportances.toArray()[i] for m in models) / k for i in range(len(feats))]
+    metrics += [(sec, "feature_importance", c, float(v))
+                for c, v in sorted(zip(feats, imp), key=lambda x: (-x[1], x[0]))[:10]]
+    out = scored.select(key, "is_test", "label", "predicted", *probs.keys())
+    return ModelResult("segment_model", out, models, metrics)
+
+
+def risk_model(users: DataFrame, key: str = "user_id", label: str = "risk_flag") -> ModelResult:
+    """ML-08: imbalance-weighted binary risk classifier (depth 3, lr 0.1,
+    sampling 0.8; positive rows weighted neg/pos of the training rows)."""
+    feats = _present(users, RISK_FEATURES)
+    d = _classifier_frame(users, feats, label, key)
+    cnt = {r["label"]: r["n"] for r in d.filter("is_test = 0").groupBy("label").agg(F.count("*").alias("n")).collect()}
+    w = (cnt.get(0, 0) / cnt[1]) if cnt.get(1) else 1.0
+    d = d.withColumn("w", F.when(F.col("label") == 1, F.lit(float(w))).otherwise(F.lit(1.0)))
+    gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="w", maxIter=100, maxDepth=3,
+                        stepSize=0.1, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42,
+                        validationIndicatorCol="is_val")
+    model = Pipeline(stages=[_assembler(feats), gbt]).fit(d.filter("is_test = 0").withColumn(
+        "label", F.col("label").cast("double")))
+    pred = model.transform(d.withColumn("label", F.col("label").cast("double")))
+    pred = pred.select(key, "is_test", F.col("label").cast("int").alias("label"),
+                       F.col("prediction").cast("int").alias("predicted"),
+                       vector_to_array("probability")[1].alias("risk_probability")).checkpoint(eager=True)
+    sec = "model3_risk"
+    test = pred.filter("is_test = 1")
+    metrics = _cls_metrics(test, sec)
+    auc = M.roc_auc(test, "label", "risk_probability").first()["auc"]
+    metrics.append((sec, "roc_auc", "", float(auc) if auc is not None else None))
+    metrics += _importances(model.stages[-1], feats, sec)
+    out = pred.select(key, "is_test", "label", "predicted", "risk_probability")
+    d.unpersist()
+    return ModelResult("risk_model", out, model, metrics)
+
+
+def cli_model(scored_users: DataFrame, key: str = "user_id") -> ModelResult:
+    """ML-09 + RUL-18..21: increase-amount regressor on eligible users (200
+    trees, depth 6, lr 0.1, sampling 0.8), target line x 1000 x max share,
+    then the floor / cap post-processing on the full table."""
+    from creditlens.plans.q_rules import with_cli_features  # RUL-19 features
+    eligible = F.col("segment_label").isin(0, 1)
+    df = scored_users
+    if "max_cli_percentage" not in df.columns:
+        df = df.withColumn("max_cli_percentage", R.max_cli_pct("segment_label", "credit_score", "is_high_income"))
+    e = with_cli_features(df.filter(eligible).drop("max_cli_percentage"))
+    e = e.withColumn("label", F.col("credit_line") * 1000 * F.col("max_cli_percentage"))
+    feats = _present(e, CLI_MODEL_FEATURES)
+    e = materialise(S.hash_split(e, [key], 0.2, 42, "is_test"))
+    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=200, maxDepth=6, stepSize=0.1,
+                       subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)
+    model = Pipeline(stages=[_assembler(feats), gbt]).fit(e.filter("is_test = 0"))
+    pred = model.transform(e)
+    sec = "model4_cli"
+    metrics = _reg_metrics(pred.filter("is_test = 1"), "label", "prediction", sec, "test")
+    metrics += _importances(model.stages[-1], feats, sec)
+    p = pred.select(key, F.col("prediction").alias("predicted_cli_amount"), "is_test")
+    full = df.select(key, "segment_label", "credit_line", "is_high_income", "max_cli_percentage").join(p, key, "left")
+    rec = R.cli_postprocess("predicted_cli_amount", "credit_line", "max_cli_percentage",
+                            F.col("segment_label").isin(0, 1), "is_high_income")
+    out = full.select(key, "is_test", "predicted_cli_amount", rec.alias("recommended_cli_amount"))
+    e.unpersist()
+    return ModelResult("cli_model", out, model, metrics)
+
+
+def metrics_table(spark, results) -> DataFrame:
+    """SRC-09 / ML-18: every metric as a (section, name, key, value) row."""
+    rows = [r for res in results for r in res.metrics]
+    return spark.createDataFrame(rows, "section string, name string, key string, value double")
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    """SRC-10."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)

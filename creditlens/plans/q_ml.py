@@ -1 +1,104 @@
-"""(in progress)"""
+"""Model queries (rows-only checks: no exact SQL form for a boosted model).
+
+Each returns the scored user table of one stage; ``full_flow`` chains the
+four stages with failure isolation and ``model_metrics`` exposes the metrics
+table of that run.
+"""
+
+from __future__ import annotations
+
+import traceback
+
+from pyspark.sql import functions as F
+
+from creditlens.operators import ml
+from creditlens.operators.prepare import initialise
+from creditlens.operators.scoring import rule_scores
+from creditlens.plans.registry import query, scored_view, user_view
+
+_FLOW_CACHE: dict = {}
+
+
+@query("q4_forecast")
+def q4_forecast(spark, sf_dir):
+    """ML-01 + ML-02 + ML-05 + ML-10 + ML-11 + ML-17."""
+    return ml.q4_forecast(user_view(spark, sf_dir)).scored
+
+
+@query("q3_backtest")
+def q3_backtest(spark, sf_dir):
+    """ML-06: Q3 back-test from Q1 + Q2."""
+    return ml.q3_backtest(user_view(spark, sf_dir)).scored
+
+
+@query("segment_model")
+def segment_model(spark, sf_dir):
+    """ML-03 + ML-04 + ML-07 + ML-13 + ML-14 + ML-15."""
+    return ml.segment_model(user_view(spark, sf_dir)).scored
+
+
+@query("risk_model")
+def risk_model(spark, sf_dir):
+    """ML-08 + ML-16: weighted binary risk classifier."""
+    return ml.risk_model(user_view(spark, sf_dir)).scored
+
+
+@query("cli_model")
+def cli_model(spark, sf_dir):
+    """ML-09 + RUL-19..21 on the rule-scored table."""
+    return ml.cli_model(scored_view(spark, sf_dir)).scored
+
+
+def run_flow(spark, sf_dir):
+    """ML-19: initialise, then the four stages in order; each stage is
+    isolated — a failure leaves its columns NULL and records an error row."""
+    key = (id(spark), sf_dir)
+    if key in _FLOW_CACHE:
+        return _FLOW_CACHE[key]
+    base = initialise(user_view(spark, sf_dir)).checkpoint(eager=True)
+    results, errors = [], []
+    table = base
+
+    def stage(name, fn, cols):
+        nonlocal table
+        try:
+            res = fn(table)
+            results.append(res)
+            keep = res.scored.select("user_id", *cols)
+            table = table.drop(*[c for c in cols if c in table.columns]).join(keep, "user_id", "left")
+        except Exception as exc:  # noqa: BLE001 - stage isolation is the feature
+            errors.append((name, "error", type(exc).__name__, None))
+            traceback.print_exc()
+            table = table.withColumns({c: F.lit(None).cast("double") for c in cols if c not in table.columns})
+        table = table.checkpoint(eager=True)
+
+    stage("q4_forecast", ml.q4_forecast, ["predicted_q4_spend"])
+    stage("segment_model", ml.segment_model, [f"segment_{c}_prob" for c in range(4)])
+    stage("risk_model", ml.risk_model, ["risk_probability"])
+    stage("cli_model", lambda t: ml.cli_model(rule_scores(t.drop("predicted_q4_spend")).drop(
+        "predicted_q4_spend").join(t.select("user_id", "predicted_q4_spend"), "user_id")), ["recommended_cli_amount"])
+    metrics = ml.metrics_table(spark, results)
+    if errors:
+        metrics = metrics.unionByName(spark.createDataFrame(errors, metrics.schema))
+    _FLOW_CACHE[key] = (table, metrics)
+    return table, metrics
+
+
+@query("full_flow")
+def full_flow(spark, sf_dir):
+    """ML-19 + SRC-08: the scored user table with every stage's output."""
+    return run_flow(spark, sf_dir)[0]
+
+
+@query("model_metrics")
+def model_metrics(spark, sf_dir):
+    """SRC-09 + ML-18 + ML-20: the metrics table of the flow, plus the
+    re-evaluation on a 20 % hash sample of all scored rows."""
+    from creditlens.operators import metrics as M
+    from creditlens.operators import sampling as S
+    table, metrics = run_flow(spark, sf_dir)
+    smp = S.sample_fraction(table, ["user_id"], 0.2, 42)
+    r = M.regression_metrics(smp, "spend_2024_q4", "predicted_q4_spend").first()
+    extra = [("sample_reevaluation", f"q4_{k}", "", float(v) if v is not None else None)
+             for k, v in r.asDict().items()]
+    return metrics.unionByName(spark.createDataFrame(extra, metrics.schema))
