@@ -31,7 +31,7 @@ HEADLINE = [
     "classification_report",
     "cli_features",
 ]
-MODELS = ["q4_forecast", "segment_model", "risk_model", "cli_model"]
+MODELS = ["q4_forecast", "q3_backtest", "segment_model", "risk_model", "cli_model"]
 
 
 def main() -> None:

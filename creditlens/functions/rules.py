@@ -67,7 +67,9 @@ def clean_code_string(s) -> Column:
 
 
 def payment_history(s) -> Column:
-    """RUL-02: parse a payment-history string into a struct of five counts.
+    """RUL-02 with STR-01 (strip + upper), STR-02 (per-class character
+    counts) and STR-03 (max of mapped characters): parse a payment-history
+    string into a struct of five counts.
 
     Missing history gives zeros everywhere; U-X and 0, 8, 9 count as nothing.
     """

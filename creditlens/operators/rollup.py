@@ -93,7 +93,11 @@ SNAPSHOT_RENAME = {
 
 
 def account_table(t: Tables, periods: Periods = PERIODS) -> DataFrame:
-    """The account-level merged table (one row per account x snapshot row)."""
+    """The account-level merged table (one row per account x snapshot row):
+    JOIN-01 inner spine, JOIN-02 left joins to pre-aggregated facts, AGG-06
+    fraud flag max per account, JOIN-03 snapshot fan-out, SET-02 / PRJ-08
+    payment-history struct expanded next to the existing columns, PRJ-25
+    derived columns in one ``withColumns``."""
     idm = (roles.identity_map(t)
            .select(F.col("account_nbr_pty").alias("current_account_nbr"), F.col("ds_id").alias("user_id"))
            .filter(F.col("current_account_nbr").isNotNull() & F.col("user_id").isNotNull()))

@@ -361,3 +361,26 @@ def fraud_tx_mean_group_size(spark, sf_dir):
                    F.sum("s").cast("double").alias("total_fraud_amount"),
                    r6(F.sum("s").cast("double") / F.sum("c")).alias("avg_fraud_amount"),
                    F.max("mx").cast("double").alias("max_fraud_amount"))
+
+
+def _apu_summary_sql() -> str:
+    return with_roles("identity_map") + f""",
+apu AS (SELECT ds_id AS user_id, count(account_nbr_pty) AS n_accounts FROM identity_map
+        WHERE ds_id IS NOT NULL GROUP BY 1)
+SELECT count(*) AS total_users, (SELECT count(*) FROM identity_map) AS total_accounts,
+       {r6s('avg(n_accounts)')} AS mean_accounts,
+       {r6s(Q.quantile_sql('apu', 'n_accounts', [0.5]).replace('SELECT ', 'SELECT q0 FROM (SELECT ', 1) + ')')} AS median_accounts,
+       min(n_accounts) AS min_accounts, max(n_accounts) AS max_accounts
+FROM apu"""
+
+
+@query("accounts_summary", _apu_summary_sql)
+def accounts_summary(spark, sf_dir):
+    """AGG-13: users, accounts, mean / median / min / max accounts per user."""
+    from creditlens.operators.reports import quantile
+    apu = accounts_per_user(spark, sf_dir)
+    total = roles.identity_map(Tables(spark, sf_dir)).select(F.count("*")).scalar()
+    return apu.agg(F.count("*").alias("total_users"), r6(F.avg("n_accounts")).alias("mean_accounts"),
+                   r6(quantile("n_accounts", 0.5)).alias("median_accounts"),
+                   F.min("n_accounts").alias("min_accounts"), F.max("n_accounts").alias("max_accounts")) \
+              .withColumn("total_accounts", total)

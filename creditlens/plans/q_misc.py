@@ -593,8 +593,10 @@ def utc_dates(spark, sf_dir):
     session time zone is UTC, so no explicit localisation step)."""
     d = _utc_text(Tables(spark, sf_dir))
     ts = F.to_timestamp("ts_text", "yyyy-MM-dd'T'HH:mm:ssXXX")
-    return d.select("event_id", "ts_text", F.unix_timestamp(ts).alias("epoch_utc"),
-                    F.to_date(F.from_utc_timestamp(ts, "UTC")).cast("string").alias("date_utc"))
+    epoch = F.unix_timestamp(ts)
+    # the UTC calendar day from the instant itself (independent of the session time zone)
+    return d.select("event_id", "ts_text", epoch.alias("epoch_utc"),
+                    F.date_from_unix_date(F.floor(epoch / 86400).cast("int")).cast("string").alias("date_utc"))
 
 
 # ----------------------------------------------------------------- maths
@@ -616,8 +618,8 @@ FROM um"""
 
 @query("utilisation_and_growth", _math_sql)
 def utilisation_and_growth(spark, sf_dir):
-    """MTH-01/02/04/06/07/09: guarded ratio, guarded average, growth,
-    element-wise max/min, sqrt/abs and annual <-> monthly."""
+    """MTH-01 guarded ratio, MTH-02 guarded average, MTH-04 growth, MTH-06
+    element-wise max/min, MTH-07 sqrt/abs, MTH-09 annual <-> monthly."""
     u = user_view(spark, sf_dir)
     a = F.col("spend_2024_q2")
     raw = F.when(a > 0, (F.col("spend_2024_q3") - a) / F.greatest(F.lit(1.0), a)).otherwise(F.lit(0.0))

@@ -93,7 +93,8 @@ FROM smp GROUP BY 1, 2 HAVING max(has_fraud) = 1"""
 
 @query("balance_fraud_by_date", _bfd_sql)
 def balance_fraud_by_date(spark, sf_dir):
-    """JOIN-05/06 + SMP-01 + AGG-10: statements joined to income, user and
+    """JOIN-05 (differently named keys) + JOIN-06 (left-join chain) + SMP-01 +
+    AGG-10: statements joined to income, user and
     the user fraud flag; 1000 statements per income group (hash sample);
     mean balance and fraud flag per date, fraud dates only."""
     t = Tables(spark, sf_dir)
@@ -153,8 +154,9 @@ def account_age(spark, sf_dir):
     delay (floor of elapsed seconds / 86400, only where both dates exist)."""
     a = roles.account_dim(Tables(spark, sf_dir))
     ref = F.lit(PERIODS.ref_date).cast("date")
-    secs = (F.unix_timestamp(F.col("card_activation_date").cast("timestamp"))
-            - F.unix_timestamp(F.col("open_date").cast("timestamp")))
+    # elapsed seconds between wall-clock values (no time zone: DST cannot shift the day count)
+    secs = F.timestamp_diff("SECOND", F.col("open_date").cast("timestamp_ntz"),
+                            F.col("card_activation_date").cast("timestamp_ntz"))
     both = F.col("card_activation_date").isNotNull() & F.col("open_date").isNotNull()
     return a.select("current_account_nbr", F.col("open_date").cast("string").alias("open_date"),
                     F.col("card_activation_date").cast("string").alias("card_activation_date"),

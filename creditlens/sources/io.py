@@ -14,8 +14,9 @@ from pyspark.sql.types import StructType
 
 
 def read_csv(spark: SparkSession, path: str, schema, header: bool = True) -> DataFrame:
-    """SRC-01/02/03: header CSV with an explicit schema; malformed values
-    become NULL (PERMISSIVE), like a lenient parse."""
+    """SRC-01 header CSV, SRC-02 explicit schema instead of an inference
+    pass, SRC-03 date columns typed by the schema; malformed values become
+    NULL (PERMISSIVE), like a lenient parse."""
     return (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
             .option("dateFormat", "yyyy-MM-dd").csv(path))
 

@@ -256,7 +256,8 @@ def currency_codes(t: Tables) -> DataFrame:
 
 
 def fx_rates(t: Tables) -> DataFrame:
-    """Rate per (currency, month start) = 1 + mean tax of that nation's lines."""
+    """SRC-07 exchange-rate history: rate per (currency, month start) =
+    1 + mean tax of that nation's lines."""
     li = t.lineitem.select("l_suppkey", "l_shipdate", "l_tax")
     s = t.supplier.select("s_suppkey", "s_nationkey")
     cc = currency_codes(t)
