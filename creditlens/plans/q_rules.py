@@ -587,14 +587,14 @@ def _spg_sql() -> str:
     return OM.user_view_ctes() + f"""
 SELECT user_id, is_high_income FROM (
   SELECT user_id, is_high_income, row_number() OVER (PARTITION BY is_high_income ORDER BY {h}) AS rn FROM um)
-WHERE rn <= 100"""
+WHERE rn <= 1000"""
 
 
 @query("sample_per_group", _spg_sql)
 def sample_per_group(spark, sf_dir):
-    """SMP-01: 100 users per income group, smallest-hash order."""
+    """SMP-01: 1000 users per income group (n = 1000, seed 42), smallest-hash order."""
     u = user_view(spark, sf_dir).select("user_id", "is_high_income")
-    return S.sample_per_group(u, ["is_high_income"], ["user_id"], 100, 42)
+    return S.sample_per_group(u, ["is_high_income"], ["user_id"], 1000, 42)
 
 
 def _split_sql() -> str:
