@@ -89,7 +89,8 @@ def _present(df: DataFrame, cols) -> list:
 def median_fill(df: DataFrame, cols) -> DataFrame:
     """Model-1 imputation: coerce, inf -> missing, median for every column."""
     df = df.withColumns({c: R.inf_to_null(F.expr(f"try_cast(`{c}` as double)")) for c in cols})
-    med = df.agg(*[F.median(c).alias(c) for c in cols]).first().asDict()
+    from creditlens.operators.quantiles import exact_medians
+    med = exact_medians(df, cols)
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(float(med[c]) if med[c] is not None else 0.0))
                            for c in cols})
 

@@ -3,10 +3,10 @@ correlations, tiers, histograms and box plots.
 
 All of them are single aggregate passes (or two for the two-pass box plot)
 with partial aggregation; "share of total" uses a scalar subquery, never an
-unpartitioned window.  Exact quantiles use Spark's ``percentile`` (same
-linear interpolation as pandas / DuckDB ``quantile_cont``); set
-``EXACT_QUANTILES = False`` to switch to ``percentile_approx`` (bounded
-memory per group) when a single group is very large.
+unpartitioned window.  Exact quantiles come from ``operators.quantiles`` (same linear
+interpolation as Spark's ``percentile`` and pandas, computed without
+gathering a group into one task); ``EXACT_QUANTILES = False`` switches to
+``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from creditlens.operators.quantiles import exact_quantiles
+
 EXACT_QUANTILES = True
 APPROX_ACCURACY = 100_000
 
@@ -32,16 +34,6 @@ def exact_sum(c) -> Column:
     return F.sum(c.cast("decimal(38,9)")).cast("double")
 
 
-def quantile(c, p) -> Column:
-    """Quantile(s) of column ``c``: ``p`` float or list of floats."""
-    c = F.col(c) if isinstance(c, str) else c
-    if isinstance(p, (list, tuple)):
-        if EXACT_QUANTILES:
-            return F.percentile(c, F.array(*[F.lit(float(x)) for x in p]))
-        return F.percentile_approx(c, list(p), APPROX_ACCURACY)
-    return F.percentile(c, F.lit(float(p))) if EXACT_QUANTILES else F.percentile_approx(c, float(p), APPROX_ACCURACY)
-
-
 def _long(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
     """Unpivot ``cols`` (cast to DOUBLE) into (ids..., column_name, value)."""
     base = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols])
@@ -68,19 +60,28 @@ def column_profile(df: DataFrame) -> DataFrame:
     return prof.select("column_name", n.alias("n_rows"), "n_null", "n_distinct")
 
 
+def quantile_table(df: DataFrame, c: str, ps, group_cols=(), names=None) -> DataFrame:
+    """One row per group with the requested quantiles of ``c``."""
+    names = list(names or [f"q{i}" for i in range(len(ps))])
+    if EXACT_QUANTILES:
+        return exact_quantiles(df, c, ps, group_cols, names)
+    a = df.groupBy(*group_cols).agg(F.percentile_approx(F.col(c).cast("double"), list(ps), APPROX_ACCURACY).alias("_q"))
+    return a.select(*group_cols, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+
+
 def describe(df: DataFrame, cols: Sequence[str], group: str | None = None) -> DataFrame:
     """AGG-14: count, mean, sample std, min, quartiles, max per column (and
-    group), from one unpivot and one aggregate."""
+    group), from one unpivot, one aggregate and the exact quartile passes."""
     ids = [group] if group else []
     long = _long(df, cols, ids)
-    q = quantile("value", [0.25, 0.5, 0.75])
-    out = (long.groupBy(*ids, "column_name")
-           .agg(F.count("value").alias("count"), r6(F.avg("value")).alias("mean"),
-                r6(F.stddev_samp("value")).alias("std"), F.min("value").alias("min"),
-                q.alias("_q"), F.max("value").alias("max")))
+    stats = (long.groupBy(*ids, "column_name")
+             .agg(F.count("value").alias("count"), r6(F.avg("value")).alias("mean"),
+                  r6(F.stddev_samp("value")).alias("std"), F.min("value").alias("min"), F.max("value").alias("max")))
+    q = quantile_table(long, "value", [0.25, 0.5, 0.75], ids + ["column_name"], ["_p25", "_p50", "_p75"])
+    out = stats.join(q, ids + ["column_name"], "left")
     return out.select(*ids, "column_name", "count", "mean", "std", "min",
-                      r6(F.col("_q")[0]).alias("p25"), r6(F.col("_q")[1]).alias("p50"),
-                      r6(F.col("_q")[2]).alias("p75"), "max")
+                      r6(F.col("_p25")).alias("p25"), r6(F.col("_p50")).alias("p50"),
+                      r6(F.col("_p75")).alias("p75"), "max")
 
 
 def top_k_frequent(df: DataFrame, group: str, value: str, k: int) -> DataFrame:
@@ -109,12 +110,13 @@ def corr_with(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
 def value_tiers(df: DataFrame, value: str, measure: str) -> DataFrame:
     """AGG-31: terciles (right-closed, lowest included, as ``qcut``), then
     mean of ``measure``, count and share per tier."""
-    edges = df.select(quantile(value, [1.0 / 3, 2.0 / 3]).alias("e"))
-    e1 = edges.select(r6(F.col("e")[0])).scalar()
-    e2 = edges.select(r6(F.col("e")[1])).scalar()
+    import math
+    e = quantile_table(df, value, [1.0 / 3, 2.0 / 3], names=["e1", "e2"]).first()
+    e1 = math.floor(e["e1"] * 1000000.0 + 0.5) / 1000000.0 if e and e["e1"] is not None else None
+    e2 = math.floor(e["e2"] * 1000000.0 + 0.5) / 1000000.0 if e and e["e2"] is not None else None
     n = df.select(F.count("*")).scalar()
     v = r6(F.col(value))
-    tier = F.when(v <= e1, "Low").when(v <= e2, "Medium").otherwise("High")
+    tier = F.when(v <= F.lit(e1), "Low").when(v <= F.lit(e2), "Medium").otherwise("High")
     return (df.withColumn("value_tier", tier).groupBy("value_tier")
             .agg(r6(F.avg(measure)).alias("avg_cli"), F.count("*").alias("n_users"))
             .withColumn("pct_users", r6(F.col("n_users") * 100.0 / n)))
@@ -148,8 +150,7 @@ def histogram(df: DataFrame, c: str, bins: int) -> DataFrame:
 def boxplot(df: DataFrame, group: str, c: str) -> DataFrame:
     """AGG-29: quartiles per group (pass 1), whiskers = extreme values inside
     1.5 IQR and outlier count (pass 2, join on the small per-group table)."""
-    q = df.groupBy(group).agg(quantile(c, [0.25, 0.5, 0.75]).alias("_q")).select(
-        group, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("med"), F.col("_q")[2].alias("q3"))
+    q = quantile_table(df, c, [0.25, 0.5, 0.75], [group], ["q1", "med", "q3"])
     j = df.select(group, c).join(F.broadcast(q), group)  # one row per group
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))

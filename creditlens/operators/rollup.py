@@ -208,7 +208,8 @@ def impute_by_name(df: DataFrame, key: str = "user_id", median_mode: str = "exac
     """PRJ-22 + PRJ-23: +-inf -> missing; name-driven fill (0 for count-like
     names, median for the rest).  Medians are computed only for columns that
     actually hold missing values (one null-count pass first); ``median_mode``
-    'approx' switches to ``percentile_approx`` for very large tables."""
+    'exact' uses the distributed exact quantile (``operators.quantiles``),
+    'approx' ``percentile_approx``."""
     from pyspark.sql.types import NumericType, FloatType, DoubleType
     num = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name != key]
     dbl = {f.name for f in df.schema.fields if isinstance(f.dataType, (FloatType, DoubleType))}
@@ -225,7 +226,8 @@ def impute_by_name(df: DataFrame, key: str = "user_id", median_mode: str = "exac
         if median_mode == "approx":
             med = df.agg(*[F.percentile_approx(c, 0.5, 10000).alias(c) for c in need]).first().asDict()
         else:
-            med = df.agg(*[F.median(c).alias(c) for c in need]).first().asDict()
+            from creditlens.operators.quantiles import exact_medians
+            med = exact_medians(df, need)
     cols = {c: F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)) for c in zero}
     # median-filled columns are DOUBLE (a median of integers may be fractional)
     for c in rest:

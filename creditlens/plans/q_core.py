@@ -377,10 +377,11 @@ FROM apu"""
 @query("accounts_summary", _apu_summary_sql)
 def accounts_summary(spark, sf_dir):
     """AGG-13: users, accounts, mean / median / min / max accounts per user."""
-    from creditlens.operators.reports import quantile
+    from creditlens.operators.reports import quantile_table
     apu = accounts_per_user(spark, sf_dir)
     total = roles.identity_map(Tables(spark, sf_dir)).select(F.count("*")).scalar()
+    med = quantile_table(apu, "n_accounts", [0.5], names=["m"]).select("m").scalar()
     return apu.agg(F.count("*").alias("total_users"), r6(F.avg("n_accounts")).alias("mean_accounts"),
-                   r6(quantile("n_accounts", 0.5)).alias("median_accounts"),
+                   r6(med).alias("median_accounts"),
                    F.min("n_accounts").alias("min_accounts"), F.max("n_accounts").alias("max_accounts")) \
               .withColumn("total_accounts", total)

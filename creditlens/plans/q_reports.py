@@ -288,9 +288,9 @@ FROM ({qs})"""
 def increase_quantiles(spark, sf_dir):
     """FLT-05 + AGG-17: exact quartiles of the recommended increase."""
     s = scored_view(spark, sf_dir).filter(F.col("segment_label").isin(0, 1))
-    q = F.percentile("recommended_cli_amount", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return s.agg(F.count("*").alias("n_eligible"), q.alias("_q")).select(
-        "n_eligible", *[r6(F.col("_q")[i]).alias(n) for i, n in enumerate(["q25", "q50", "q75"])])
+    q = RP.quantile_table(s, "recommended_cli_amount", [0.25, 0.5, 0.75], names=["_a", "_b", "_c"])
+    return q.select(s.select(F.count("*")).scalar().alias("n_eligible"),
+                    r6(F.col("_a")).alias("q25"), r6(F.col("_b")).alias("q50"), r6(F.col("_c")).alias("q75"))
 
 
 # -------------------------------------------------------- business reports

@@ -111,3 +111,16 @@ def test_io_roundtrip_csv_and_first_available(spark):
     df, used = io.first_available(spark, [f"{out}/missing", f"{SF_SMALL}/nation.parquet"])
     assert used.endswith("nation.parquet") and df.count() == 25
     assert io.schema_only(spark, f"{SF_SMALL}/orders.parquet").fieldNames()[0] == "o_orderkey"
+
+
+def test_banded_exact_quantiles_match_percentile(spark):
+    from creditlens.operators.quantiles import exact_quantiles
+    df = spark.range(20000).select((F.col("id") % 3).alias("g"),
+                                   F.when(F.col("id") % 2 == 0, F.lit(5.0))  # a hot value
+                                   .otherwise((F.col("id") * 7919 % 1000).cast("double")).alias("x"))
+    ps = [0.0, 0.1, 1.0 / 3, 0.5, 0.75, 1.0]
+    got = {r["g"]: [r[f"q{i}"] for i in range(len(ps))]
+           for r in exact_quantiles(df, "x", ps, ["g"], direct_limit=0, accuracy=1000).collect()}
+    ref = {r["g"]: list(r["q"]) for r in df.groupBy("g").agg(
+        F.percentile("x", F.array(*[F.lit(p) for p in ps])).alias("q")).collect()}
+    assert got == ref
