@@ -25,10 +25,21 @@ def standardise(df: DataFrame, cols: Sequence[str], fit_filter: Column | None =
     return df.withColumns(out)
 
 
+ROWS_PER_PARTITION = 250_000
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage of a prepared feature table (reliable checkpoint in
-    the session's checkpoint folder) and keep it cached for the booster."""
-    return df.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+    the session's checkpoint folder) and keep it cached for the booster.
+    The booster runs one job per tree level, so the table is laid out in
+    partitions of about ``ROWS_PER_PARTITION`` rows (sized from its count):
+    few tasks per job on small tables, full parallelism on large ones."""
+    cp = df.checkpoint(eager=True)
+    n = cp.count()
+    parts = max(1, -(-n // ROWS_PER_PARTITION))
+    if parts < cp.rdd.getNumPartitions():
+        cp = cp.coalesce(parts)
+    return cp.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 # ---------------------------------------------------------------- models
