@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from creditlens.operators import ml
 from creditlens.operators.prepare import initialise
 from creditlens.operators.scoring import rule_scores
-from creditlens.plans.registry import query, scored_view, user_view
+from creditlens.plans.registry import query, scored_view, session_key, user_view
 
 _FLOW_CACHE: dict = {}
 
@@ -52,7 +52,7 @@ def cli_model(spark, sf_dir):
 def run_flow(spark, sf_dir):
     """ML-19: initialise, then the four stages in order; each stage is
     isolated — a failure leaves its columns NULL and records an error row."""
-    key = (id(spark), sf_dir)
+    key = session_key(spark, sf_dir)
     if key in _FLOW_CACHE:
         return _FLOW_CACHE[key]
     base = initialise(user_view(spark, sf_dir)).checkpoint(eager=True)

@@ -63,13 +63,18 @@ def sigs(e: str, digits: int = 12) -> str:
 _USER_CACHE: dict = {}
 
 
+def session_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """Cache key that cannot outlive its session (application id included)."""
+    return id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/")
+
+
 def user_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The master user table, built once per session and data folder and
     checkpointed (reliable checkpoint in the session's checkpoint folder)."""
     from creditlens.operators.rollup import user_master
     from creditlens.session import checkpoint_dir
     checkpoint_dir(spark)  # the cluster's folder; a scratch one only if unset
-    key = (id(spark), sf_dir)
+    key = session_key(spark, sf_dir)
     if key not in _USER_CACHE:
         _USER_CACHE[key] = user_master(Tables(spark, sf_dir)).checkpoint(eager=True)
     return _USER_CACHE[key]
