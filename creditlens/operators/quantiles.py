@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 ACCURACY = 100_000
 DIRECT_LIMIT = 2_000_000
+BROADCAST_GROUPS = 100_000
 
 
 def exact_quantiles(df: DataFrame, col: str, ps: Sequence[float], group_cols: Sequence[str] = (),
@@ -43,14 +44,15 @@ def exact_quantiles(df: DataFrame, col: str, ps: Sequence[float], group_cols: Se
     g = list(group_cols) or ["_k"]
     d = df.select(*(group_cols or [F.lit(0).alias("_k")]), F.col(col).cast("double").alias("v"))
     d = d.filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    largest = d.groupBy(*g).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 0
+    sizes = d.groupBy(*g).agg(F.count("*").alias("_n")).agg(F.max("_n").alias("mx"), F.count("*").alias("ng")).first()
+    largest, n_groups = (sizes["mx"] or 0), (sizes["ng"] or 0)
     if largest <= limit:
         arr = F.percentile("v", F.array(*[F.lit(float(p)) for p in ps]))
         res = d.groupBy(*g).agg(arr.alias("_q")).select(*g, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
         return res.drop("_k") if not group_cols else res
     margin = 4.0 / accuracy
     for _ in range(4):
-        out = _attempt(d, g, list(ps), margin, accuracy)
+        out = _attempt(d, g, list(ps), margin, accuracy, n_groups <= BROADCAST_GROUPS)
         bad = out.filter(~F.col("_ok")).limit(1).count()
         if not bad:
             res = out.select(*g, *[F.col(f"_q{i}").alias(n) for i, n in enumerate(names)])
@@ -59,7 +61,8 @@ def exact_quantiles(df: DataFrame, col: str, ps: Sequence[float], group_cols: Se
     raise RuntimeError("exact quantile band did not converge")
 
 
-def _attempt(d: DataFrame, g: list, ps: list, margin: float, accuracy: int) -> DataFrame:
+def _attempt(d: DataFrame, g: list, ps: list, margin: float, accuracy: int, small: bool) -> DataFrame:
+    bc = F.broadcast if small else (lambda x: x)
     k = len(ps)
     lo_p = [max(0.0, p - margin) for p in ps]
     hi_p = [min(1.0, p + margin) for p in ps]
@@ -67,7 +70,7 @@ def _attempt(d: DataFrame, g: list, ps: list, margin: float, accuracy: int) -> D
                              F.percentile_approx("v", lo_p + hi_p, accuracy).alias("_ab"))
     summ = summ.select(*g, "_n", *[F.col("_ab")[i].alias(f"_a{i}") for i in range(k)],
                        *[F.col("_ab")[k + i].alias(f"_b{i}") for i in range(k)])
-    j = d.join(F.broadcast(summ), g)  # one row per group
+    j = d.join(bc(summ), g)  # one row per group: broadcast only when the group count is bounded
     below = j.groupBy(*g).agg(*[F.count_if(F.col("v") < F.col(f"_a{i}")).alias(f"_below{i}") for i in range(k)])
     in_band = [(F.col("v") >= F.col(f"_a{i}")) & (F.col("v") <= F.col(f"_b{i}")) for i in range(k)]
     tagged = j.select(*g, "v", F.explode(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(in_band)])).alias("_i"))
@@ -85,7 +88,7 @@ def _attempt(d: DataFrame, g: list, ps: list, margin: float, accuracy: int) -> D
     tg = rows[0]
     for r in rows[1:]:
         tg = tg.unionByName(r)
-    bj = band.join(F.broadcast(tg), g + ["_i"])  # tg: groups x k rows
+    bj = band.join(bc(tg), g + ["_i"])  # tg: groups x k rows
     start = F.col("_below") + F.col("_cum")
     hit_lo = (start <= F.col("_lower")) & (F.col("_lower") < start + F.col("_c"))
     hit_hi = (start <= F.col("_higher")) & (F.col("_higher") < start + F.col("_c"))

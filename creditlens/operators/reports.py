@@ -150,8 +150,9 @@ def histogram(df: DataFrame, c: str, bins: int) -> DataFrame:
 def boxplot(df: DataFrame, group: str, c: str) -> DataFrame:
     """AGG-29: quartiles per group (pass 1), whiskers = extreme values inside
     1.5 IQR and outlier count (pass 2, join on the small per-group table)."""
-    q = quantile_table(df, c, [0.25, 0.5, 0.75], [group], ["q1", "med", "q3"])
-    j = df.select(group, c).join(F.broadcast(q), group)  # one row per group
+    q = quantile_table(df, c, [0.25, 0.5, 0.75], [group], ["q1", "med", "q3"]).checkpoint(eager=True)
+    small = q.count() <= 100_000          # one row per group: broadcast only a bounded table
+    j = df.select(group, c).join(F.broadcast(q) if small else q, group)
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     x = F.col(c)
