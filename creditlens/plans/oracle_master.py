@@ -47,9 +47,9 @@ acct AS (
          s.cu_crd_line AS credit_line, s.cu_cur_balance AS current_balance,
          s.cu_bhv_scr AS behavior_score, s.cu_crd_bureau_scr AS credit_score,
          {ph},
-         DATE '{PERIODS.ref_date}' - a.open_date AS account_age_days,
-         CASE WHEN a.card_activation_date IS NOT NULL AND a.open_date IS NOT NULL
-              THEN a.card_activation_date - a.open_date END AS activation_delay_days,
+         CAST(DATE '{PERIODS.ref_date}' - a.open_date AS INTEGER) AS account_age_days,
+         CAST(CASE WHEN a.card_activation_date IS NOT NULL AND a.open_date IS NOT NULL
+              THEN a.card_activation_date - a.open_date END AS INTEGER) AS activation_delay_days,
          CASE WHEN piv.total_transactions_2024 > 0
               THEN CAST(piv.total_spend_2024 AS DOUBLE) / CAST(piv.total_transactions_2024 AS DOUBLE) ELSE 0.0 END
              AS avg_transaction_size_2024,
@@ -186,7 +186,7 @@ def scored_ctes() -> str:
 sc1 AS (SELECT *, {m['economic_factor']} AS economic_factor, {m['seasonal_index']} AS seasonal_index,
                {m['spending_elasticity']} AS spending_elasticity,
                {m['q4_adjustment_factor']} AS q4_adjustment_factor,
-               1.25 AS holiday_spending_multiplier,
+               CAST(1.25 AS DOUBLE) AS holiday_spending_multiplier,
                avg_monthly_spend_2024 * 1.25 * (1.0 + 0.2 * is_high_income) AS holiday_spending_power,
                total_spend_2024 * 0.3 AS spend_Q4_2024,
                total_spend_2024 * 0.3 * 1.05 AS predicted_q4_spend,

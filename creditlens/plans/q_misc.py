@@ -194,7 +194,7 @@ def rename_drop_prune(spark, sf_dir):
 
 def _masked_sql() -> str:
     return OM.user_view_ctes() + """
-SELECT user_id, 0.05 AS economic_factor, 1 AS is_active_default,
+SELECT user_id, CAST(0.05 AS DOUBLE) AS economic_factor, 1 AS is_active_default,
        CASE WHEN utilization_pct > 90 THEN 'critical' WHEN utilization_pct > 70 THEN 'high'
             WHEN utilization_pct > 30 THEN 'moderate' ELSE 'low' END AS util_band
 FROM um"""
@@ -564,7 +564,7 @@ def lenient_dates(spark, sf_dir):
 
 @query("pattern_dates", lambda: f"""WITH d AS ({_TEXT_DATES_SQL})
 SELECT current_account_nbr, CAST(CAST(strptime(open_date_text, '%Y-%m-%d') AS DATE) AS VARCHAR) AS open_date,
-       year(CAST(strptime(open_date_text, '%Y-%m-%d') AS DATE)) AS open_year
+       CAST(year(CAST(strptime(open_date_text, '%Y-%m-%d') AS DATE)) AS INTEGER) AS open_year
 FROM d WHERE try_strptime(open_date_text, '%Y-%m-%d') IS NOT NULL""")
 def pattern_dates(spark, sf_dir):
     """DAT-09 + DAT-06: strict ``yyyy-MM-dd`` parse of the valid texts, year."""

@@ -141,7 +141,7 @@ def _age_sql() -> str:
     return with_roles("account_dim") + f"""
 SELECT current_account_nbr, CAST(open_date AS VARCHAR) AS open_date,
        CAST(card_activation_date AS VARCHAR) AS card_activation_date,
-       DATE '{PERIODS.ref_date}' - open_date AS account_age_days,
+       CAST(DATE '{PERIODS.ref_date}' - open_date AS INTEGER) AS account_age_days,
        CASE WHEN card_activation_date IS NOT NULL AND open_date IS NOT NULL
             THEN CAST(floor(epoch(CAST(card_activation_date AS TIMESTAMP) - CAST(open_date AS TIMESTAMP)) / 86400) AS BIGINT)
        END AS activation_delay_days
@@ -235,7 +235,8 @@ def _topk_sql() -> str:
 d AS (SELECT CAST((payment_hist_1_12_delinquency_count >= 1 OR payment_hist_13_24_delinquency_count >= 1)
                   AS INTEGER) AS delinquent, credit_line FROM um),
 f AS (SELECT delinquent, credit_line, count(*) AS n FROM d GROUP BY 1, 2)
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY delinquent ORDER BY n DESC, credit_line) AS rank FROM f)
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY delinquent ORDER BY n DESC, credit_line) AS INTEGER)
+                     AS rank FROM f)
 WHERE rank <= 20"""
 
 

@@ -84,11 +84,11 @@ def clip_sql(c: str, lo=None, hi=None) -> str:
 
 def macro_sql(score="credit_score", hi="is_high_income") -> dict:
     mult = f"(1.1 + ({clip_sql(score, 300, 850)} - 300) / 550 * 0.3)"
-    el = f"(CASE WHEN {hi} = 1 THEN 0.8 ELSE 1.0 END)"
+    el = f"CAST(CASE WHEN {hi} = 1 THEN 0.8 ELSE 1.0 END AS DOUBLE)"
     return {
         "holiday_spending_multiplier": mult,
-        "economic_factor": "0.05",
-        "seasonal_index": "1.2",
+        "economic_factor": "CAST(0.05 AS DOUBLE)",
+        "seasonal_index": "CAST(1.2 AS DOUBLE)",
         "spending_elasticity": el,
         "q4_adjustment_factor": f"({mult} * (1.0 + 0.05) / {el})",
     }

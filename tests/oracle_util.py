@@ -66,7 +66,19 @@ def compare_rows(spark_rows, spark_cols, duck_rows, duck_cols, digits=12):
     return True, "ok"
 
 
-def check(spark, query_fn, sql: str, sf_dir: str, digits=12):
+SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+                 "BooleanType": "BOOLEAN", "DateType": "DATE", "FloatType": "FLOAT", "ShortType": "SMALLINT",
+                 "ByteType": "TINYINT"}
+
+
+def type_diffs(df, con, sql):
+    st = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__) for f in df.schema.fields}
+    rel = con.sql(sql)
+    dt = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return [(c, st[c], dt.get(c)) for c in st if st[c] != dt.get(c)]
+
+
+def check(spark, query_fn, sql: str, sf_dir: str, digits=12, types=False):
     df = query_fn(spark, sf_dir)
     srows = [tuple(r) for r in df.collect()]
     scols = df.columns
@@ -75,4 +87,8 @@ def check(spark, query_fn, sql: str, sf_dir: str, digits=12):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     ok, msg = compare_rows(srows, scols, drows, dcols, digits)
+    if ok and types:
+        diffs = type_diffs(df, con, sql)
+        if diffs:
+            ok, msg = False, f"column types differ: {diffs[:6]}"
     return ok, msg, len(srows)

@@ -124,3 +124,63 @@ def test_banded_exact_quantiles_match_percentile(spark):
     ref = {r["g"]: list(r["q"]) for r in df.groupBy("g").agg(
         F.percentile("x", F.array(*[F.lit(p) for p in ps])).alias("q")).collect()}
     assert got == ref
+
+
+def _py_hash(uid, seed):
+    import hashlib
+    return hashlib.md5(f"{uid}|{seed}".encode()).hexdigest()
+
+
+def _py_move(labels, src, dst, n, seed):
+    pool = sorted((u for u, s in labels.items() if s in src), key=lambda u: (_py_hash(u, seed), u))
+    for u in pool[:n]:
+        labels[u] = dst
+
+
+def _py_rebalance_small(labels):
+    """Brute-force statement of SMP-04(b) on a dict user -> segment."""
+    shares = S.TARGET_SHARES
+    n = len(labels)
+    initial = {s: sum(1 for v in labels.values() if v == s) for s in range(4)}
+    initial = {s: c for s, c in initial.items() if c}
+    for seg in range(4):
+        if seg not in initial or initial[seg] / n * 100 < 5.0:
+            needed = int(n * shares[seg])
+            order = sorted([s for s in range(4) if s != seg], key=lambda s: initial.get(s, 0), reverse=True)
+            moved = 0
+            for other in order:
+                if other in initial and moved < needed:
+                    live = sum(1 for v in labels.values() if v == other)
+                    take = min(int(live * 0.5), needed - moved)
+                    if take > 0:
+                        _py_move(labels, [other], seg, take, seg * 100 + other)
+                        moved += take
+    return labels
+
+
+def _py_rebalance_half(labels):
+    """Brute-force statement of SMP-04(c)."""
+    shares = S.TARGET_SHARES
+    n = len(labels)
+    for seg in range(4):
+        cnt = sum(1 for v in labels.values() if v == seg)
+        if cnt / n < shares[seg] * 0.5:
+            needed = int(n * shares[seg]) - cnt
+            for other in [s for s in range(4) if s != seg]:
+                ocnt = sum(1 for v in labels.values() if v == other)
+                if ocnt / n > shares[other] and needed > 0:
+                    take = int(min(ocnt * 0.5, needed))
+                    if take > 0:
+                        _py_move(labels, [other], seg, take, seg * 100 + other)
+                        needed -= take
+    return labels
+
+
+def test_segment_rebalancing_matches_brute_force(spark):
+    # segment 0 tiny (< 5 %), segment 3 empty
+    data = {u: (0 if u < 20 else 1 if u < 700 else 2) for u in range(1000)}
+    df = spark.createDataFrame(list(data.items()), "user_id long, seg int")
+    got_b = {r[0]: r[1] for r in S.rebalance_small_segments(df, "seg", ["user_id"]).collect()}
+    assert got_b == _py_rebalance_small(dict(data))
+    got_c = {r[0]: r[1] for r in S.rebalance_under_half(df, "seg", ["user_id"]).collect()}
+    assert got_c == _py_rebalance_half(dict(data))

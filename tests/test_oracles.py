@@ -12,7 +12,7 @@ NO_SQL = sorted(set(registry.QUERIES) - set(registry.ORACLE))
 
 @pytest.mark.parametrize("name", WITH_SQL)
 def test_query_matches_oracle(spark, name):
-    ok, msg, _ = U.check(spark, registry.QUERIES[name], registry.ORACLE[name](), SF_SMALL, digits=17)
+    ok, msg, _ = U.check(spark, registry.QUERIES[name], registry.ORACLE[name](), SF_SMALL, digits=17, types=True)
     assert ok, msg
 
 
