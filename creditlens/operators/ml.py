@@ -185,6 +185,13 @@ def _classifier_frame(users: DataFrame, feats, label: str, key: str) -> DataFram
     return materialise(standardise(d, feats, fit_filter=F.col("is_test") == 0))
 
 
+def _class_shares(df: DataFrame, section: str) -> list:
+    """ML-18 class distribution (a table of at most #classes rows)."""
+    rows = df.groupBy("label").agg(F.count("*").alias("n")).collect()
+    total = sum(r["n"] for r in rows) or 1
+    return [(section, "class_share", str(r["label"]), r["n"] / total) for r in sorted(rows, key=lambda r: r["label"])]
+
+
 def _cls_metrics(pred: DataFrame, section: str) -> list:
     rep = M.classification_report(pred, "label", "predicted").collect()
     out = []
@@ -206,16 +213,20 @@ def segment_model(users: DataFrame, key: str = "user_id", label: str = "segment_
     d = _classifier_frame(users, feats, label, key)
     asm = _assembler(feats)
     base = asm.transform(d)
-    models, prob_cols = [], []
     tr = base.filter("is_test = 0")
-    for c in range(k):
+
+    def fit_one(c: int):
         gbt = (GBTClassifier(featuresCol="features", labelCol=f"y{c}", maxIter=100, maxDepth=4, stepSize=0.1,
                              subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42,
                              validationIndicatorCol="is_val")
                .setProbabilityCol(f"prob{c}").setRawPredictionCol(f"raw{c}").setPredictionCol(f"pred{c}"))
-        m = gbt.fit(tr.withColumn(f"y{c}", (F.col("label") == c).cast("double")))
-        models.append(m)
-        prob_cols.append(c)
+        return gbt.fit(tr.withColumn(f"y{c}", (F.col("label") == c).cast("double")))
+
+    # the k boosters are independent: fit them concurrently (like OneVsRest's
+    # ``parallelism``) so their jobs share the executors instead of queueing
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=k) as pool:
+        models = list(pool.map(fit_one, range(k)))
     scored = base
     for c, m in enumerate(models):
         scored = m.transform(scored).withColumn(f"p{c}", vector_to_array(f"prob{c}")[1]).drop(
@@ -229,7 +240,7 @@ def segment_model(users: DataFrame, key: str = "user_id", label: str = "segment_
                            (F.array_position("_probs", F.array_max("_probs")) - 1).cast("int").alias("predicted"))
     scored = scored.select(key, "is_test", "label", "predicted", *probs.keys()).checkpoint(eager=True)
     sec = "model2_segmentation"
-    metrics = _cls_metrics(scored.filter("is_test = 1"), sec)
+    metrics = _cls_metrics(scored.filter("is_test = 1"), sec) + _class_shares(scored, sec)
     imp = [sum(m.featureImportances.toArray()[i] for m in models) / k for i in range(len(feats))]
     metrics += [(sec, "feature_importance", c, float(v))
                 for c, v in sorted(zip(feats, imp), key=lambda x: (-x[1], x[0]))[:10]]
@@ -256,7 +267,7 @@ def risk_model(users: DataFrame, key: str = "user_id", label: str = "risk_flag")
                        vector_to_array("probability")[1].alias("risk_probability")).checkpoint(eager=True)
     sec = "model3_risk"
     test = pred.filter("is_test = 1")
-    metrics = _cls_metrics(test, sec)
+    metrics = _cls_metrics(test, sec) + _class_shares(pred, sec)
     auc = M.roc_auc(test, "label", "risk_probability").first()["auc"]
     metrics.append((sec, "roc_auc", "", float(auc) if auc is not None else None))
     metrics += _importances(model.stages[-1], feats, sec)
