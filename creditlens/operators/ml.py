@@ -32,11 +32,13 @@ def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage of a prepared feature table (reliable checkpoint in
     the session's checkpoint folder) and keep it cached for the booster.
     The booster runs one job per tree level, so the table is laid out in
-    partitions of about ``ROWS_PER_PARTITION`` rows (sized from its count):
-    few tasks per job on small tables, full parallelism on large ones."""
+    partitions of about ``ROWS_PER_PARTITION`` rows (sized from its count),
+    with at least the default parallelism."""
     cp = df.checkpoint(eager=True)
     n = cp.count()
-    parts = max(1, -(-n // ROWS_PER_PARTITION))
+    # never below the cluster's default parallelism (each tree-level job
+    # should still use every core), never above one partition per ~250 k rows
+    parts = max(cp.sparkSession.sparkContext.defaultParallelism, -(-n // ROWS_PER_PARTITION))
     if parts < cp.rdd.getNumPartitions():
         cp = cp.coalesce(parts)
     return cp.persist(StorageLevel.MEMORY_AND_DISK)
