@@ -26,7 +26,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_HEX = 4
-_BUCKETS = 16 ** BUCKET_HEX
 
 
 def key_hash(key_cols: Sequence[str], seed) -> Column:

@@ -9,7 +9,6 @@ from creditlens.functions import rules as R
 from creditlens.operators import clean as C
 from creditlens.operators import rollup
 from creditlens.plans import oracle_master as OM
-from creditlens.plans import sqlparts as Q
 from creditlens.plans.registry import query, r6, r6s, scored_view, user_view
 from creditlens.sources import roles
 from creditlens.sources.roles import with_roles
