@@ -16,11 +16,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from creditlens.functions import rules as R
-from creditlens.sources import roles
+from creditlens.sources.extracts import as_sources
 from creditlens.sources.roles import PERIODS, Periods
-from creditlens.sources.tables import Tables
 
 SPEND_MEASURES = (
     # (spend column, count column, period attribute)
@@ -92,34 +92,35 @@ SNAPSHOT_RENAME = {
 }
 
 
-def account_table(t: Tables, periods: Periods = PERIODS) -> DataFrame:
+def account_table(t, periods: Periods = PERIODS) -> DataFrame:
     """The account-level merged table (one row per account x snapshot row):
     JOIN-01 inner spine, JOIN-02 left joins to pre-aggregated facts, AGG-06
     fraud flag max per account, JOIN-03 snapshot fan-out, SET-02 / PRJ-08
     payment-history struct expanded next to the existing columns, PRJ-25
-    derived columns in one ``withColumns``."""
-    idm = (roles.identity_map(t)
+    derived columns in one ``withColumns``.  ``t``: ``Tables`` or ``Sources``."""
+    src = as_sources(t)
+    idm = (src.identity_map
            .select(F.col("account_nbr_pty").alias("current_account_nbr"), F.col("ds_id").alias("user_id"))
            .filter(F.col("current_account_nbr").isNotNull() & F.col("user_id").isNotNull()))
-    acc = (roles.account_dim(t)
+    acc = (src.account_dim
            .drop("date_in_collection", "special_finance_charge_ind")
            .withColumn("is_high_income", R.income_from_code("employee_code")).drop("employee_code"))
     m = acc.join(idm, "current_account_nbr", "inner")
 
-    stmt = (roles.statement_fact(t).groupBy("current_account_nbr")
+    stmt = (src.statement_fact.groupBy("current_account_nbr")
             .agg(F.sum("return_check_cnt_total").alias("return_check_cnt_total")))
     m = m.join(stmt, "current_account_nbr", "left")
 
-    m = m.join(period_pivot(roles.transactions(t), periods, prefilter=True), "current_account_nbr", "left")
+    m = m.join(period_pivot(src.transactions, periods, prefilter=True), "current_account_nbr", "left")
 
-    cases = roles.fraud_claim_case(t).groupBy("current_account_nbr").agg(F.max(F.lit(1)).alias("has_fraud"))
+    cases = src.fraud_claim_case.groupBy("current_account_nbr").agg(F.max(F.lit(1)).alias("has_fraud"))
     m = (m.join(cases, "current_account_nbr", "left")
           .withColumn("has_fraud", F.coalesce("has_fraud", F.lit(0)).cast("int")))
 
-    ft = fraud_tran_by_account(roles.fraud_claim_tran(t))
+    ft = fraud_tran_by_account(src.fraud_claim_tran)
     m = m.join(ft, "current_account_nbr", "left").fillna(0, subset=list(FRAUD_TX_COLS))
 
-    snap = roles.credit_snapshot(t).withColumnsRenamed(SNAPSHOT_RENAME)
+    snap = src.credit_snapshot.withColumnsRenamed(SNAPSHOT_RENAME)
     m = m.join(snap, "current_account_nbr", "left")  # JOIN-03: fan-out kept
 
     for period in ("1_12", "13_24"):
@@ -179,9 +180,9 @@ def user_rollup(acct: DataFrame) -> DataFrame:
     return acct.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(*aggs)
 
 
-def accounts_per_user(t: Tables) -> DataFrame:
+def accounts_per_user(t) -> DataFrame:
     """AGG-02: distinct accounts per user from the identity map."""
-    return (roles.identity_map(t).filter(F.col("ds_id").isNotNull())
+    return (as_sources(t).identity_map.filter(F.col("ds_id").isNotNull())
             .groupBy(F.col("ds_id").alias("user_id"))
             .agg(F.count_distinct("account_nbr_pty").alias("num_accounts")))
 
@@ -189,7 +190,7 @@ def accounts_per_user(t: Tables) -> DataFrame:
 def finish_user(users: DataFrame, counts: DataFrame) -> DataFrame:
     """JOIN-08 + RUL-24 + RUL-03 + MTH-09: account counts, activity flag,
     utilisation and monthly spend; money cast to DOUBLE from here on."""
-    money = [c for c in users.columns if isinstance(users.schema[c].dataType, __import__("pyspark").sql.types.DecimalType)]
+    money = [c for c in users.columns if isinstance(users.schema[c].dataType, DecimalType)]
     u = users.withColumns({c: F.col(c).cast("double") for c in money})
     u = u.join(counts, "user_id", "left")
     return u.withColumns({
@@ -258,11 +259,12 @@ def add_master_labels(u: DataFrame, seed=42) -> DataFrame:
                         R.risk_probability_proxy("risk_flag", "credit_score", "utilization_pct", "user_id"))
 
 
-def user_master(t: Tables, periods: Periods = PERIODS, median_mode: str = "exact",
+def user_master(t, periods: Periods = PERIODS, median_mode: str = "exact",
                 checkpoint: bool = True) -> DataFrame:
     """The full master build: one row per user with spend, credit, fraud,
     history, derived measures and rule labels."""
-    users = finish_user(user_rollup(account_table(t, periods)), accounts_per_user(t))
+    src = as_sources(t)  # Tables (role views) or Sources (e.g. CSV extracts)
+    users = finish_user(user_rollup(account_table(src, periods)), accounts_per_user(src))
     if checkpoint:
         # several small actions follow (null counts, medians, quota counts);
         # cut the lineage once so they do not recompute the rollup
