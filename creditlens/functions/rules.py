@@ -87,6 +87,7 @@ def payment_history(s) -> Column:
     )
 
 
+# Names of the payment-history measures
 PAYMENT_METRICS = ("delinquency_count", "max_delinquency", "zero_balance_months",
                    "credit_balance_months", "normal_months")
 
@@ -111,6 +112,7 @@ def sentinel_recode(c, sentinel=99, value=0) -> Column:
     return F.when(c == sentinel, F.lit(value)).otherwise(c)
 
 
+# Text flag values read as true
 TRUE_WORDS = ("y", "yes", "true", "t", "1")
 
 

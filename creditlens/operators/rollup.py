@@ -22,6 +22,7 @@ from creditlens.functions import rules as R
 from creditlens.sources.extracts import as_sources
 from creditlens.sources.roles import PERIODS, Periods
 
+# Spend / count measure names per reporting period
 SPEND_MEASURES = (
     # (spend column, count column, period attribute)
     ("total_spend_2024", "total_transactions_2024", "year"),
@@ -153,6 +154,7 @@ def user_rollup(acct: DataFrame) -> DataFrame:
         aggs.append(F.coalesce(F.sum(c), F.lit(0)).alias(c))
     for c in _present(acct, ["behavior_score", "credit_score"]):
         aggs.append(F.min(c).alias(c))
+    # Flag columns rolled up with max when present
     flag_cols = ["delinquency_12mo", "delinquency_24mo", "sent_to_collection", "ever_overlimit",
                  "has_unactivated_card", "uses_ebill", "is_high_income", "high_spender",
                  "has_pscc_account", "has_external_status", "has_fraud"]
@@ -200,6 +202,7 @@ def finish_user(users: DataFrame, counts: DataFrame) -> DataFrame:
     })
 
 
+# Name patterns imputed with 0 instead of the median
 ZERO_PREFIXES = ("total_", "count_", "num_")
 ZERO_SUFFIXES = ("_count", "_flag")
 

@@ -50,10 +50,10 @@ def cli_model(spark, sf_dir):
 
 
 def run_flow(spark, sf_dir):
-    """ML-19: initialise, then the four stages.  Stages 1-3 (Q4 forecast,
-    segments, risk) read only the initialised table, so they are fitted
-    concurrently; stage 4 (increase amount) consumes the forecast and the
-    risk probability.  Each stage is isolated: a failure leaves its columns
+    """ML-19: initialise, then the model stages.  The Q4 forecast, the Q3
+    back-test, the segment and the risk models read only the initialised
+    table, so they are fitted concurrently; the increase-amount model
+    consumes the forecast and the risk probability.  Each stage is isolated: a failure leaves its columns
     NULL and records an error row in the metrics table."""
     from concurrent.futures import ThreadPoolExecutor
     key = session_key(spark, sf_dir)
@@ -78,6 +78,7 @@ def run_flow(spark, sf_dir):
         return table.drop(*[c for c in cols if c in table.columns]).join(keep, "user_id", "left")
 
     stages = [("q4_forecast", ml.q4_forecast, ["predicted_q4_spend"]),
+              ("q3_backtest", ml.q3_backtest, ["predicted_q3_spend"]),
               ("segment_model", ml.segment_model, [f"segment_{c}_prob" for c in range(4)]),
               ("risk_model", ml.risk_model, ["risk_probability"])]
     with ThreadPoolExecutor(max_workers=len(stages)) as pool:
