@@ -11,7 +11,7 @@ from creditlens.operators import rollup
 from creditlens.plans import oracle_master as OM
 from creditlens.plans.registry import query, r6, r6s, scored_view, user_view
 from creditlens.sources import roles
-from creditlens.sources.roles import with_roles
+from creditlens.sources.roles import PERIODS, with_roles
 from creditlens.sources.tables import Tables
 
 # ------------------------------------------------------------- cleaning
@@ -726,3 +726,119 @@ def entity_users(spark, sf_dir):
     return m.groupBy(F.col("ds_id").alias("user_id")).agg(
         F.count_distinct("account_nbr_pty").alias("n_accounts"), F.min("account_nbr_pty").alias("first_account"),
         F.max("account_nbr_pty").alias("last_account"))
+
+
+# ------------------------------------------------ single-operator queries
+# (the registry names of SURVEY §7.4 for operators that the combined
+# queries above also exercise)
+
+@query("segment_a", lambda: OM.user_view_ctes() + """
+SELECT user_id, CASE WHEN ((utilization_pct > 70) OR (credit_score < 670)) AND (risk_flag = 0) THEN 1
+                     WHEN (utilization_pct > 30) AND (utilization_pct <= 70) AND (credit_score >= 670)
+                          AND (risk_flag = 0) THEN 0
+                     WHEN risk_flag = 1 THEN 3 ELSE 2 END AS segment FROM um""")
+def segment_a(spark, sf_dir):
+    """RUL-09: master segmentation rule."""
+    u = user_view(spark, sf_dir)
+    return u.select("user_id", R.segment_a("utilization_pct", "credit_score", "risk_flag").alias("segment"))
+
+
+@query("segment_b", lambda: OM.user_view_ctes() + """
+SELECT user_id, CASE WHEN (utilization_pct > 30) AND (utilization_pct <= 70) AND (credit_score >= 670)
+                          AND NOT coalesce(risk_flag = 1, false) THEN 0
+                     WHEN ((utilization_pct > 70) OR (credit_score < 670)) AND NOT coalesce(risk_flag = 1, false)
+                          AND NOT coalesce(utilization_pct <= 30, false) THEN 1
+                     WHEN (utilization_pct <= 30) AND NOT coalesce(risk_flag = 1, false) THEN 2
+                     WHEN risk_flag = 1 THEN 3 ELSE 2 END AS segment FROM um""")
+def segment_b(spark, sf_dir):
+    """RUL-10: model / scoring segmentation rule (utilisation <= 30 stays 2)."""
+    u = user_view(spark, sf_dir)
+    return u.select("user_id", R.segment_b("utilization_pct", "credit_score", "risk_flag").alias("segment"))
+
+
+@query("utilisation", lambda: OM.user_ctes() + """
+SELECT user_id, CASE WHEN credit_line > 0 THEN current_balance / credit_line * 100.0 END AS utilization_pct
+FROM ufin""")
+def utilisation(spark, sf_dir):
+    """MTH-01 / RUL-03: guarded utilisation on user totals (before scaling)."""
+    from creditlens.plans.q_core import user_rollup_q
+    u = user_rollup_q(spark, sf_dir)
+    return u.select("user_id", R.guarded_pct("current_balance", "credit_line").alias("utilization_pct"))
+
+
+@query("avg_transaction_size", lambda: with_roles("transactions") + f""",
+s AS (SELECT current_account_nbr, transaction_date, transaction_type,
+             CASE WHEN transaction_type = 'RETURN' THEN -(CASE WHEN us_equiv_amt IS NULL OR us_equiv_amt = 0
+                  THEN transaction_amt ELSE us_equiv_amt END) ELSE (CASE WHEN us_equiv_amt IS NULL OR us_equiv_amt = 0
+                  THEN transaction_amt ELSE us_equiv_amt END) END AS signed_amount FROM transactions),
+p AS (SELECT current_account_nbr,
+             coalesce(sum(CASE WHEN transaction_date BETWEEN DATE '{PERIODS.year[0]}' AND DATE '{PERIODS.year[1]}'
+                          THEN signed_amount END), 0) AS spend,
+             count(*) FILTER (WHERE transaction_date BETWEEN DATE '{PERIODS.year[0]}' AND DATE '{PERIODS.year[1]}'
+                              AND transaction_type = 'SALE') AS n
+      FROM s GROUP BY 1)
+SELECT current_account_nbr, CASE WHEN n > 0 THEN CAST(spend AS DOUBLE) / CAST(n AS DOUBLE) ELSE 0.0 END
+    AS avg_transaction_size_2024 FROM p""")
+def avg_transaction_size(spark, sf_dir):
+    """MTH-02: guarded average transaction size per account (0 without purchases)."""
+    from creditlens.operators.rollup import period_pivot
+    p = period_pivot(roles.transactions(Tables(spark, sf_dir)))
+    return p.select("current_account_nbr",
+                    R.guarded_avg("total_spend_2024", "total_transactions_2024").alias("avg_transaction_size_2024"))
+
+
+def _qg_sql() -> str:
+    g3 = "(CASE WHEN spend_2024_q2 > 0 THEN (spend_2024_q3 - spend_2024_q2) / greatest(1.0, spend_2024_q2) ELSE 0.0 END)"
+    clipped = f"(CASE WHEN {g3} < -5.0 THEN -5.0 WHEN {g3} > 5.0 THEN 5.0 ELSE {g3} END)"
+    return OM.user_view_ctes() + f"""
+SELECT user_id, {clipped} AS q2_to_q3_growth,
+       CASE WHEN spend_2024_q1 > 0 THEN (spend_2024_q2 - spend_2024_q1) / spend_2024_q1 ELSE 0.0 END AS q1_to_q2_growth,
+       CASE WHEN coalesce(CASE WHEN spend_2024_q3 <> 0 THEN spend_2024_q4 / spend_2024_q3 END, 1.0) < 0 THEN 0.0
+            WHEN coalesce(CASE WHEN spend_2024_q3 <> 0 THEN spend_2024_q4 / spend_2024_q3 END, 1.0) > 5 THEN 5.0
+            ELSE coalesce(CASE WHEN spend_2024_q3 <> 0 THEN spend_2024_q4 / spend_2024_q3 END, 1.0) END AS q4_q3_growth
+FROM um"""
+
+
+@query("quarter_growth", _qg_sql)
+def quarter_growth(spark, sf_dir):
+    """MTH-03 (clipped growth), MTH-04 (plain growth), MTH-05 (ratio growth)."""
+    u = user_view(spark, sf_dir)
+    return u.select("user_id", R.growth_clipped("spend_2024_q2", "spend_2024_q3").alias("q2_to_q3_growth"),
+                    R.growth("spend_2024_q1", "spend_2024_q2").alias("q1_to_q2_growth"),
+                    R.ratio_growth("spend_2024_q3", "spend_2024_q4").alias("q4_q3_growth"))
+
+
+@query("annual_monthly", lambda: OM.user_view_ctes() + """
+SELECT user_id, total_spend_2024 / 12 AS monthly_from_annual, avg_monthly_spend_2024 * 12 AS annual_from_monthly,
+       credit_line * utilization_pct / 100 AS balance_from_utilisation FROM um""")
+def annual_monthly(spark, sf_dir):
+    """MTH-09 + RUL-23: annual <-> monthly and balance from line x utilisation."""
+    u = user_view(spark, sf_dir)
+    return u.select("user_id", (F.col("total_spend_2024") / 12).alias("monthly_from_annual"),
+                    (F.col("avg_monthly_spend_2024") * 12).alias("annual_from_monthly"),
+                    (F.col("credit_line") * F.col("utilization_pct") / 100).alias("balance_from_utilisation"))
+
+
+@query("status_description_fill", lambda: with_roles("account_dim") + """
+SELECT current_account_nbr, external_status_reason_code,
+       CASE WHEN ext_status_reason_cd_desc IS NULL AND coalesce(external_status_reason_code = 0, false) THEN 'Normal'
+            WHEN ext_status_reason_cd_desc IS NULL AND NOT coalesce(external_status_reason_code = 0, false) THEN 'Other'
+            ELSE ext_status_reason_cd_desc END AS ext_status_reason_cd_desc
+FROM account_dim""")
+def status_description_fill(spark, sf_dir):
+    """PRJ-10: nested conditional fill of the status description."""
+    a = roles.account_dim(Tables(spark, sf_dir))
+    return a.select("current_account_nbr", "external_status_reason_code",
+                    C.status_description("ext_status_reason_cd_desc", "external_status_reason_code")
+                    .alias("ext_status_reason_cd_desc"))
+
+
+@query("sentinel_recode", lambda: with_roles("statement_fact") + """
+SELECT current_account_nbr, return_check_cnt_last_mth AS raw_value,
+       CASE WHEN return_check_cnt_last_mth = 99 THEN 0 ELSE return_check_cnt_last_mth END AS recoded
+FROM statement_fact""")
+def sentinel_recode(spark, sf_dir):
+    """PRJ-16: sentinel 99 -> 0."""
+    s = roles.statement_fact(Tables(spark, sf_dir))
+    return s.select("current_account_nbr", F.col("return_check_cnt_last_mth").alias("raw_value"),
+                    R.sentinel_recode("return_check_cnt_last_mth", 99, 0).alias("recoded"))
