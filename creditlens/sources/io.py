@@ -10,15 +10,24 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
 def read_csv(spark: SparkSession, path: str, schema, header: bool = True) -> DataFrame:
     """SRC-01 header CSV, SRC-02 explicit schema instead of an inference
-    pass, SRC-03 date columns typed by the schema; malformed values become
-    NULL (PERMISSIVE), like a lenient parse."""
-    return (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
-            .option("dateFormat", "yyyy-MM-dd").csv(path))
+    pass, SRC-03 date columns typed by the schema.  Columns are matched by
+    header name (order and extra columns do not matter, missing ones are
+    NULL) and converted with ``try_cast`` (a malformed value becomes NULL,
+    like a lenient parse)."""
+    struct = schema if isinstance(schema, StructType) else spark.createDataFrame([], schema).schema
+    if not header:
+        return spark.read.schema(struct).option("mode", "PERMISSIVE").csv(path)
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    present = set(raw.columns)
+    cols = [F.expr(f"try_cast(`{f.name}` as {f.dataType.simpleString()})").alias(f.name) if f.name in present
+            else F.lit(None).cast(f.dataType).alias(f.name) for f in struct.fields]
+    return raw.select(*cols)
 
 
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:

@@ -200,3 +200,30 @@ def test_master_build_from_csv_extracts(spark):
     a = sorted(tuple(r) for r in user_master(src).collect())
     b = sorted(tuple(r) for r in user_master(back).collect())
     assert a == b
+
+
+def test_extracts_fetch_usd_amounts_from_side_table(spark):
+    """SRC-05 + JOIN-04: a foreign extract without converted amounts gets them
+    from the (account, date, amount) side table; entity tables round-trip
+    through the parquet sink (SRC-11)."""
+    from creditlens.operators.entities import account_entities
+    from creditlens.operators.rollup import user_master
+    from creditlens.sources import io
+    from creditlens.sources.extracts import Sources
+    from creditlens.sources.tables import Tables
+    t = Tables(spark, SF_SMALL)
+    src = Sources.from_tables(t)
+    folder = tempfile.mkdtemp(prefix="creditlens-extracts-")
+    src.write_extracts(folder)
+    foreign = src.transactions.filter(F.col("us_equiv_amt").isNotNull())
+    io.write_table(foreign.drop("us_equiv_amt"), f"{folder}/cleaned_foreign_transaction_fact.csv", "csv")
+    io.write_table(foreign.select("current_account_nbr", "transaction_date", "transaction_amt", "us_equiv_amt"),
+                   f"{folder}/us_equiv_amt.csv", "csv")
+    back = Sources.from_extracts(spark, folder, key="bigint")
+    assert back.origin.endswith("cleaned_foreign_transaction_fact.csv")
+    a = sorted(tuple(r) for r in user_master(src).collect())
+    b = sorted(tuple(r) for r in user_master(back).collect())
+    assert a == b
+    ent = account_entities(t)
+    io.write_table(ent, f"{folder}/entity_accounts")
+    assert sorted(spark.read.parquet(f"{folder}/entity_accounts").collect()) == sorted(ent.collect())
