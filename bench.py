@@ -43,15 +43,22 @@ def main() -> None:
     spark = get_spark(f"local[{cpus}]", int(cpus) * 2, extra={"spark.driver.memory": "16g"})
     registry.load_all()
     registry.clear_cache()
-    times = {}
+    times, failed = {}, {}
     names = HEADLINE + ([m for m in MODELS if m in registry.QUERIES] if with_models else [])
     for name in names:
         t0 = time.time()
-        registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t0, 3)
+        try:
+            registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.time() - t0, 3)
+        except Exception as exc:  # noqa: BLE001 - one failing query must not lose the whole line
+            failed[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            print(f"bench: {name} failed: {failed[name]}", file=sys.stderr)
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
-    print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": int(cpus)}))
+    out = {"metric": "headline_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
+           "queries": times, "sf": sf, "cpus": int(cpus)}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out), flush=True)
     spark.stop()
 
 
