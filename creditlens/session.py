@@ -46,11 +46,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset."""
+    """Return the shared checkpoint folder named by the session; a scratch
+    folder is created only in local mode (tests) when none is set."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder is not readable by other executors
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for this cluster")
         d = tempfile.mkdtemp(prefix="creditlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
