@@ -116,9 +116,10 @@ def imputed_select(src: str, cols, key="user_id", scale=("credit_line", "current
         if _is_zero(c):
             e = f"coalesce({c}, 0)"
         else:
-            v = f"CAST({c} AS DOUBLE)"
-            v = f"(CASE WHEN isinf({v}) OR isnan({v}) THEN NULL ELSE {v} END)" if True else v
-            e = f"coalesce({v}, (SELECT median(CASE WHEN isinf(CAST({c} AS DOUBLE)) OR isnan(CAST({c} AS DOUBLE)) THEN NULL ELSE CAST({c} AS DOUBLE) END) FROM {src}))"
+            d = f"CAST({c} AS DOUBLE)"
+            v = f"(CASE WHEN isinf({d}) OR isnan({d}) THEN NULL ELSE {d} END)"
+            # median with the same interpolation formula as Spark's percentile
+            e = f"coalesce({v}, (SELECT q0 FROM ({Q.quantile_sql(src, v, [0.5])})))"
         if c in scale:
             e = f"{e} / 1000"
         out.append(f"{e} AS {c}")

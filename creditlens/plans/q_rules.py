@@ -427,8 +427,8 @@ INIT_OUT = ["user_id", "credit_score", "utilization_pct", "credit_line", "curren
 
 
 def _init_sql() -> str:
-    def med(c, src):
-        return f"(SELECT median({c}) FROM {src})"
+    def med(c, src):  # Spark's percentile interpolation
+        return f"(SELECT q0 FROM ({Q.quantile_sql(src, c, [0.5])}))"
     inf_null = "CASE WHEN isinf({c}) OR isnan({c}) THEN NULL ELSE {c} END"
     return _injected_sql() + f""",
 i0 AS (SELECT *, current_balance AS _cb FROM (SELECT * EXCLUDE (cur_balance, fraud_flag, delinq_12mo),
@@ -494,7 +494,7 @@ def _impute_sql() -> str:
         if c.endswith("_count") or c.startswith("has_"):
             outs.append(f"coalesce({v}, 0.0) AS {c}")
         else:
-            outs.append(f"coalesce({v}, (SELECT coalesce(median({v}), 0.0) FROM inj)) AS {c}")
+            outs.append(f"coalesce({v}, coalesce((SELECT q0 FROM ({Q.quantile_sql('inj', v, [0.5])})), 0.0)) AS {c}")
     return _injected_sql() + f"\nSELECT user_id, {', '.join(outs)} FROM inj"
 
 
