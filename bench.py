@@ -42,7 +42,11 @@ def main() -> None:
     with_models = os.environ.get("BENCH_MODELS", "1") == "1"
     from creditlens.plans import registry
     from creditlens.session import get_spark
-    spark = get_spark(f"local[{cpus}]", int(cpus) * 2, extra={"spark.driver.memory": "16g"})
+    extra = {"spark.driver.memory": "16g"}
+    log_dir = os.environ.get("BENCH_EVENTLOG_DIR")  # optional: stage / task times for later analysis
+    if log_dir:
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir})
+    spark = get_spark(f"local[{cpus}]", int(cpus) * 2, extra=extra)
     registry.load_all()
     registry.clear_cache()
     # engine warm-up on a table no headline query reads (JVM class loading,
