@@ -282,7 +282,7 @@ def cli_model(scored_users: DataFrame, key: str = "user_id") -> ModelResult:
     """ML-09 + RUL-18..21: increase-amount regressor on eligible users (200
     trees, depth 6, lr 0.1, sampling 0.8), target line x 1000 x max share,
     then the floor / cap post-processing on the full table."""
-    from creditlens.plans.q_rules import with_cli_features  # RUL-19 features
+    from creditlens.operators.scoring import with_cli_features  # RUL-19 features
     eligible = F.col("segment_label").isin(0, 1)
     df = scored_users
     if "max_cli_percentage" not in df.columns:

@@ -10,7 +10,7 @@ from creditlens.functions import rules as R
 from creditlens.operators import metrics as M
 from creditlens.operators import prepare as P
 from creditlens.operators import sampling as S
-from creditlens.operators.scoring import add_macro
+from creditlens.operators.scoring import CLI_FEATURES, add_macro, with_cli_features
 from creditlens.plans import oracle_master as OM
 from creditlens.plans import sqlparts as Q
 from creditlens.plans.registry import query, r6, r6s, scored_view, sig, sigs, user_view
@@ -263,57 +263,6 @@ def cli_max_pct(spark, sf_dir):
                     (F.col("credit_line") * 1000 * pct).alias("max_cli_amount"))
 
 
-CLI_FEATURES = ["spend_to_limit_ratio", "available_credit", "available_credit_ratio", "is_excellent_credit",
-                "is_good_credit", "is_fair_credit", "is_poor_credit", "q2_q1_growth", "q3_q2_growth",
-                "q4_q3_growth", "growth_trajectory", "projected_headroom_needed", "risk_adjusted_cli_potential",
-                "is_segment_0", "is_segment_1", "segment0_spend", "segment1_spend", "high_income_seg0",
-                "high_income_seg1", "high_income_cli_potential", "prime_cli_candidate", "high_tier_cli_potential",
-                "max_cli_percentage", "cli_recommendation_score"]
-
-
-def cli_feature_columns() -> dict:
-    """RUL-19 as ordered (name -> Column) pairs; later ones use earlier ones."""
-    c = F.col
-    line_usd = c("credit_line") * 1000
-    return {
-        "spend_to_limit_ratio": F.try_divide(c("total_spend_2024"), line_usd),
-        "available_credit": line_usd * (F.lit(1.0) - c("utilization_pct") / 100),
-        "available_credit_ratio": F.try_divide(c("available_credit"), line_usd),
-        "is_excellent_credit": (c("credit_score") >= 750).cast("int"),
-        "is_good_credit": ((c("credit_score") >= 700) & (c("credit_score") < 750)).cast("int"),
-        "is_fair_credit": ((c("credit_score") >= 650) & (c("credit_score") < 700)).cast("int"),
-        "is_poor_credit": (c("credit_score") < 650).cast("int"),
-        "q2_q1_growth": R.ratio_growth("spend_2024_q1", "spend_2024_q2"),
-        "q3_q2_growth": R.ratio_growth("spend_2024_q2", "spend_2024_q3"),
-        "q4_q3_growth": R.ratio_growth("spend_2024_q3", "spend_2024_q4"),
-        "growth_trajectory": 0.2 * c("q2_q1_growth") + 0.3 * c("q3_q2_growth") + 0.5 * c("q4_q3_growth"),
-        "projected_headroom_needed": R.clip(c("predicted_q4_spend") - c("available_credit"), 0.0),
-        "risk_adjusted_cli_potential": ((F.lit(1.0) - c("risk_probability")) * c("credit_score") / 850
-                                        * c("credit_line") * 1000 * 0.25),
-        "is_segment_0": (c("segment_label") == 0).cast("int"),
-        "is_segment_1": (c("segment_label") == 1).cast("int"),
-        "segment0_spend": c("is_segment_0") * c("total_spend_2024"),
-        "segment1_spend": c("is_segment_1") * c("total_spend_2024"),
-        "high_income_seg0": c("is_high_income") * c("is_segment_0"),
-        "high_income_seg1": c("is_high_income") * c("is_segment_1"),
-        "high_income_cli_potential": c("is_high_income") * c("credit_line") * 1000 * 0.05,
-        "prime_cli_candidate": ((c("is_excellent_credit") == 1) & (c("utilization_pct") > 40)
-                                & (c("utilization_pct") < 80) & (c("is_high_income") == 1)
-                                & (c("risk_probability") < 0.2)).cast("int"),
-        "high_tier_cli_potential": c("prime_cli_candidate") * c("credit_line") * 1000 * 0.10,
-        "max_cli_percentage": R.max_cli_pct("segment_label", "credit_score", "is_high_income"),
-        "cli_recommendation_score": (0.3 * c("max_cli_percentage") * c("credit_line") * 1000
-                                     + 0.2 * c("high_income_cli_potential") + 0.3 * c("high_tier_cli_potential")
-                                     + 0.2 * c("projected_headroom_needed")),
-    }
-
-
-def with_cli_features(df):
-    for name, expr in cli_feature_columns().items():
-        df = df.withColumn(name, expr)
-    return df
-
-
 def _cli_features_sql() -> str:
     line = "(credit_line * 1000)"
 
