@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlens.llm import decontaminate, mixing, quality, simhash, token_files
+from creditlens.llm import chat, decontaminate, html_text, language, lm, mixing, quality, simhash, substring_dedup, token_files
 from creditlens.sources.tables import Tables
 
 
@@ -14,6 +14,14 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(Tables(spark, sf_dir).conversations)
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(Tables(spark, sf_dir).documents, modulus=4, remainder=2)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     return quality.score(t.documents, t.labels)
@@ -27,6 +35,14 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(Tables(spark, sf_dir).documents, window=35)
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(Tables(spark, sf_dir).pages)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_and_read(Tables(spark, sf_dir).documents)
 
@@ -37,13 +53,45 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.get("targets", F.lit(0)).alias("target"), "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op4_quality_rules, op5_decontaminate, op8_token_files,
-                                   op9_mix_sources)}
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(Tables(spark, sf_dir).documents)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_simhash_dedup, op2_chat_format, op3_language_id, op4_quality_rules, op5_decontaminate, op6_substring_dedup,
+    op7_html_text, op8_token_files, op9_mix_sources, op10_lm_scores)}
 
 _FOLDED = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
           "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 ORACLE = {
+    "op2_chat_format": """
+WITH conv AS (
+    SELECT conv_id, count(*) AS n_turns,
+           list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS turns
+    FROM conversations GROUP BY conv_id),
+whole AS (SELECT turns, n_turns, min(conv_id) AS conv_id, count(*) AS n_copies FROM conv GROUP BY turns, n_turns),
+proper AS (
+    SELECT DISTINCT turns[1:k] AS turns
+    FROM (SELECT turns, unnest(range(1, len(turns))) AS k FROM conv))
+SELECT conv_id, n_turns, n_copies,
+       array_to_string(list_transform(turns, lambda x: '<|im_start|>' || x.r || chr(10) || x.t || '<|im_end|>' || chr(10)), '') AS text
+FROM whole ANTI JOIN proper USING (turns)""",
+    "op6_substring_dedup": r"""
+WITH doc AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS k
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM doc WHERE len(w) >= 35)),
+rep AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+hit AS (
+    SELECT doc_id, list(DISTINCT j) AS js
+    FROM (SELECT doc_id, unnest(range(i, i + 35)) AS j FROM win SEMI JOIN rep USING (k)) GROUP BY doc_id)
+SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(js), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN js IS NULL THEN w
+           ELSE list_transform(list_filter(range(1, len(w) + 1), lambda j: NOT list_contains(js, j)), lambda j: w[j]) END, ' '))
+       AS kept_sha256
+FROM doc LEFT JOIN hit USING (doc_id)""",
     "op5_decontaminate": f"""
 WITH item AS (SELECT item_id, {_FOLDED} AS w FROM benchmark),
 win AS (
