@@ -115,14 +115,19 @@ def distinct_texts(docs: DataFrame, window: int) -> DataFrame:
     """One row per distinct text: ``tid, h1, h2, copies, n, sha, blob`` (words joined by blanks, compressed)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(3)
-        for batch in batches:
-            words = [(t or b"").split() for t in raw_bytes(batch, "text")]
-            joined = [b" ".join(w) for w in words]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(w) for w in words], pa.int64()),
-                 pa.array([hashlib.sha256(j).hexdigest() for j in joined], pa.string()),
-                 pa.array([squeeze.compress(j) if len(w) >= window else b"" for w, j in zip(words, joined)], pa.binary())],
-                ["h1", "h2", "n", "sha", "blob"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                n, sha, blobs = [], [], []
+                for text in raw_bytes(batch, "text"):  # one text's words at a time
+                    words = (text or b"").split()
+                    joined = b" ".join(words)
+                    n.append(len(words))
+                    sha.append(hashlib.sha256(joined).hexdigest())
+                    blobs.append(squeeze.compress(joined) if len(words) >= window else b"")
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sha, pa.string()),
+                     pa.array(blobs, pa.binary())], ["h1", "h2", "n", "sha", "blob"])
     ship(docs.sparkSession)
     rows = docs.select("h1", "h2", "text").mapInArrow(run, "h1 long, h2 long, n long, sha string, blob binary")
     return (rows.groupBy("h1", "h2").agg(F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sha").alias("sha"),
