@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from creditlens.llm.common import map_batches, raw_bytes, ship, store
 from creditlens.llm.graph import connected_components
@@ -188,8 +189,21 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     one with its smallest id.  Rows with the same id count as one document.
     Rows without an id go if their component has one, else they stay."""
     found = near_duplicates(docs, id_col, text_col, **how)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_keep_id")).distinct()
-    kept = docs.join(keep, docs[id_col].eqNullSafe(keep["_keep_id"]), "left_semi")
-    with_id = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return with_id.unionByName(kept.where(F.col(id_col).isNull()))
+    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("_keep_id")).distinct()
+    kept = docs.join(keep, docs[id_col] == keep["_keep_id"], "left_semi").dropDuplicates([id_col])
+    return kept.unionByName(_without_id(docs, found, id_col, text_col, **how))
+
+
+def _without_id(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, shingle: int = 4, seed: int = 42,
+                max_bits: int = 4) -> DataFrame:
+    """The rows without an id whose component has none; they are told apart by their fingerprints."""
+    at = docs.columns.index(text_col)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        fp = [fingerprint(t, shingle, seed) for t in batch.column(at).cast(pa.binary()).to_pylist()]
+        return batch.append_column("_keep_fp", pa.array(np.array(fp, np.uint64).view(np.int64)))
+
+    rows = docs.where(F.col(id_col).isNull())
+    marked = map_batches(rows, run, T.StructType([*rows.schema.fields, T.StructField("_keep_fp", T.LongType())]))
+    lone = found.where("component_id is null").select("fp").distinct()
+    return marked.join(lone, marked["_keep_fp"] == lone["fp"], "left_semi").drop("_keep_fp")

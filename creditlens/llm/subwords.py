@@ -17,7 +17,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 #: Entries in each of the two generations of a worker's caches.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 _CALL_WORDS = 128
 #: Closing punctuation that the tokenizer never joins to a letter before it.
 _CLOSING = b".,;:!?*$&%#"
