@@ -147,9 +147,10 @@ def segment_from_number(c) -> Column:
 
 
 def clip(c, lo=None, hi=None) -> Column:
-    """PRJ-21: pandas ``clip`` (NULL stays NULL; bounds may be columns)."""
+    """PRJ-21: pandas ``clip`` (NULL stays NULL, NaN counts as missing and
+    becomes NULL; bounds may be columns)."""
     c = col(c)
-    out = c
+    out = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
     if lo is not None:
         lo = lo if isinstance(lo, Column) else F.lit(lo)
         out = F.when(out < lo, lo).otherwise(out)

@@ -25,7 +25,11 @@ def as_bool(c) -> Column:
     """PRJ-13 with pandas ``astype(bool)`` semantics: missing -> True,
     numbers -> value != 0, text -> non-empty."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(c.isNull(), F.lit(True)).otherwise(c.cast("double") != 0)
+    text = c.cast("string")
+    return (F.when(c.isNull(), F.lit(True))
+            .when(F.typeof(c) == "string", text != "")
+            .when(F.typeof(c) == "boolean", text == "true")
+            .otherwise(text.try_cast("double") != 0))
 
 
 def status_description(desc, code) -> Column:

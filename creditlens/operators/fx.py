@@ -27,12 +27,13 @@ from creditlens.sources.tables import Tables
 # Fixed values of the conversion rules
 USD_NUMERIC_CODE = 840            # converted 1:1
 SKIPPED_CURRENCIES = ("BAM", "AMD")  # never converted
-BROADCAST_CALENDAR_ROWS = 5_000_000
 
 
 def rate_calendar(rates: DataFrame) -> DataFrame:
     """(currency, day, open) for every day from a rate date to the day before
-    the next rate date of the same currency."""
+    the next rate date of the same currency.  A repeated rate date counts
+    once, with its lowest rate."""
+    rates = rates.groupBy("currency", "rate_date").agg(F.min("open").alias("open"))
     w = Window.partitionBy("currency").orderBy("rate_date")
     nxt = F.lead("rate_date").over(w)
     spans = rates.select("currency", "rate_date", "open", F.date_sub(nxt, 1).alias("_until"))
@@ -41,7 +42,7 @@ def rate_calendar(rates: DataFrame) -> DataFrame:
 
 
 def latest_rate(rates: DataFrame) -> DataFrame:
-    return rates.groupBy("currency").agg(F.max_by("open", "rate_date").alias("last_open"),
+    return rates.groupBy("currency").agg(F.min_by("open", F.struct(-F.unix_date("rate_date"), "open")).alias("last_open"),
                                          F.max("rate_date").alias("last_date"))
 
 
@@ -49,10 +50,8 @@ def asof_rate(tx: DataFrame, rates: DataFrame, cur_col: str = "currency",
               date_col: str = "transaction_date", out: str = "rate") -> DataFrame:
     """Add ``out`` = open rate of the latest rate date <= the row's date."""
     cal = rate_calendar(rates)
-    n_cal = cal.count()  # small table: bounded by currencies x rate-history days
     cal = cal.withColumnsRenamed({"currency": "_c", "day": "_d", "open": "_o"})
-    cal = F.broadcast(cal) if n_cal <= BROADCAST_CALENDAR_ROWS else cal
-    last = F.broadcast(latest_rate(rates).withColumnRenamed("currency", "_lc"))  # one row per currency
+    last = latest_rate(rates).withColumnRenamed("currency", "_lc")
     j = (tx.join(cal, (F.col(cur_col) == F.col("_c")) & (F.col(date_col) == F.col("_d")), "left")
            .join(last, F.col(cur_col) == F.col("_lc"), "left"))
     rate = F.coalesce(F.col("_o"), F.when(F.col(date_col) >= F.col("last_date"), F.col("last_open")))

@@ -57,26 +57,26 @@ def confusion_matrix(df: DataFrame, y: str, p: str, classes: Sequence[int]) -> D
         "actual", "predicted", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
-def roc_auc(df: DataFrame, y: str, score: str, buckets: int = 65536) -> DataFrame:
+def roc_auc(df: DataFrame, y: str, score: str, buckets: int = 512) -> DataFrame:
     """ML-16: exact ROC AUC by the rank-sum identity
     AUC = sum_pos (negatives below + half the tied negatives) / (P * N).
 
     Rows are first reduced to (distinct score -> pos, neg) counts (partial
     aggregation absorbs hot scores).  The running count of negatives is
-    computed in two levels — per score-range bucket (small table, cumulative
-    window) and within a bucket (window partitioned by bucket) — so no
-    window ever holds all scores.  NULL when only one class is present."""
+    computed in two levels — per bucket between quantiles of the distinct
+    scores (small table, cumulative window) and within a bucket (window
+    partitioned by bucket) — so every window holds its share of the scores,
+    however they are spread.  NULL when only one class is present."""
     s = df.select(F.col(score).cast("double").alias("s"), F.col(y).cast("int").alias("y")).dropna()
     per = s.groupBy("s").agg(F.sum(F.when(F.col("y") == 1, 1).otherwise(0)).alias("pos"),
                              F.sum(F.when(F.col("y") == 1, 0).otherwise(1)).alias("neg"))
-    mn = per.select(F.min("s")).scalar()
-    mx = per.select(F.max("s")).scalar()
-    b = F.when(mx > mn, F.least(F.floor((F.col("s") - mn) / (mx - mn) * buckets), F.lit(buckets - 1))).otherwise(0)
-    per = per.withColumn("b", b.cast("long"))
+    edges = per.agg(F.percentile_approx("s", [i / buckets for i in range(1, buckets)], 20 * buckets)).first()[0]
+    at = F.array(*[F.lit(e) for e in sorted(set(edges or []))]).cast("array<double>")
+    per = per.withColumn("b", F.size(F.filter(at, lambda e: e < F.col("s"))).cast("long"))
     bt = per.groupBy("b").agg(F.sum("neg").alias("bneg"))
     wb = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)  # <= `buckets` rows
     bt = bt.withColumn("neg_before_bucket", F.coalesce(F.sum("bneg").over(wb), F.lit(0))).drop("bneg")
-    per = per.join(F.broadcast(bt), "b")
+    per = per.join(bt, "b")
     wi = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     per = per.withColumn("neg_below", F.col("neg_before_bucket") + F.coalesce(F.sum("neg").over(wi), F.lit(0)))
     a = per.agg(F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * 0.5)).alias("u"),

@@ -49,8 +49,9 @@ def materialise(df: DataFrame) -> DataFrame:
 # The reference's boosted models are re-expressed with Spark ML GBTs.  The
 # feature table is one row per user; it is persisted once per fit (the
 # booster scans it every iteration).  Splits are hash-determined (stable
-# under repartitioning); early stopping uses a validation subset of the
-# training rows (``validationIndicatorCol``), never the test rows.
+# under repartitioning); early stopping scores every round on a validation
+# subset of the training rows, never on the test rows, and waits ``patience``
+# rounds for a better one.
 
 from dataclasses import dataclass, field  # noqa: E402
 
@@ -124,6 +125,38 @@ def _reg_metrics(df: DataFrame, y: str, p: str, section: str, scope: str) -> lis
     return [(section, f"{scope}_{k}", "", float(v) if v is not None else None) for k, v in row.items()]
 
 
+def stopping_round(losses: Sequence[float], patience: int) -> tuple[int, int]:
+    """(best round, last round run), both counted from 1: rounds go on until
+    ``patience`` of them brought no lower loss than the best before."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, i + 1
+    return best + 1, len(losses)
+
+
+def fit_boosted(booster, rows: DataFrame, features, section: str, patience: int) -> tuple[PipelineModel, list]:
+    """Fit ``booster`` on the rows that are not ``is_val``, score each round on
+    those that are, and keep the trees up to the best round.  Boosting is
+    sequential and seeded, so the shorter fit is exactly that prefix.  Without
+    validation rows every round is kept."""
+    asm = _assembler(features)
+    ready = asm.transform(rows)
+    train, val = ready.filter(~F.col("is_val")), ready.filter("is_val")
+    model, rounds = booster.fit(train), booster.getMaxIter()
+    best = last = rounds
+    if val.limit(1).count():
+        losses = (model.evaluateEachIteration(val, booster.getLossType())
+                  if isinstance(booster, GBTRegressor) else model.evaluateEachIteration(val))
+        best, last = stopping_round(losses, patience)
+        if best < rounds:
+            model = booster.copy({booster.maxIter: best}).fit(train)
+    facts = {"trees": model.getNumTrees, "best_round": best, "last_round": last, "max_rounds": rounds, "patience": patience}
+    return PipelineModel([asm, model]), [(section, name, "", float(v)) for name, v in facts.items()]
+
+
 def q4_forecast(users: DataFrame, key: str = "user_id") -> ModelResult:
     """ML-05 + ML-10 + ML-11: Q4 spend regressor (100 trees, depth 5,
     lr 0.05, row / column sampling 0.8) and the 20 % adjustment."""
@@ -140,11 +173,11 @@ def q4_forecast(users: DataFrame, key: str = "user_id") -> ModelResult:
     d = materialise(S.hash_split(d, [key], 0.2, 42, "is_test").withColumn(
         "is_val", (S.hash_fraction([key], 43) < 0.2) & (F.col("is_test") == 0)))
     gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=100, maxDepth=5, stepSize=0.05,
-                       subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42, validationIndicatorCol="is_val")
-    model = Pipeline(stages=[_assembler(cols), gbt]).fit(d.filter("is_test = 0"))
-    pred = model.transform(d)
+                       subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)
     sec = "model1_q4_spend"
-    metrics = _reg_metrics(pred.filter("is_test = 1"), "label", "prediction", sec, "test")
+    model, metrics = fit_boosted(gbt, d.filter("is_test = 0"), cols, sec, patience=20)
+    pred = model.transform(d)
+    metrics += _reg_metrics(pred.filter("is_test = 1"), "label", "prediction", sec, "test")
     metrics += _importances(model.stages[-1], cols, sec)
     adj = F.col("prediction") * (F.lit(0.8) + F.lit(0.2) * F.col("q4_adjustment_factor"))
     scored = pred.select(key, "is_test", F.col("prediction").alias("raw_q4_prediction"), adj.alias("predicted_q4_spend"))
@@ -165,11 +198,11 @@ def q3_backtest(users: DataFrame, key: str = "user_id") -> ModelResult:
     d = materialise(S.hash_split(d, [key], 0.2, 42, "is_test").withColumn(
         "is_val", (S.hash_fraction([key], 44) < 0.2) & (F.col("is_test") == 0)))
     gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=100, maxDepth=5, stepSize=0.1,
-                       subsamplingRate=0.9, featureSubsetStrategy="0.9", seed=42, validationIndicatorCol="is_val")
-    model = Pipeline(stages=[_assembler(cols), gbt]).fit(d.filter("is_test = 0"))
-    pred = model.transform(d)
+                       subsamplingRate=0.9, featureSubsetStrategy="0.9", seed=42)
     sec = "model1_q3_backtest"
-    metrics = _reg_metrics(pred.filter("is_test = 1"), "label", "prediction", sec, "test")
+    model, metrics = fit_boosted(gbt, d.filter("is_test = 0"), cols, sec, patience=10)
+    pred = model.transform(d)
+    metrics += _reg_metrics(pred.filter("is_test = 1"), "label", "prediction", sec, "test")
     metrics += _reg_metrics(pred, "label", "prediction", sec, "full")
     metrics += _importances(model.stages[-1], cols, sec)
     scored = pred.select(key, "is_test", F.col("prediction").alias("predicted_q3_spend"))
@@ -213,25 +246,25 @@ def segment_model(users: DataFrame, key: str = "user_id", label: str = "segment_
     the class probabilities are normalised across the k boosters."""
     feats = _present(users, SEGMENT_FEATURES)
     d = _classifier_frame(users, feats, label, key)
-    asm = _assembler(feats)
-    base = asm.transform(d)
-    tr = base.filter("is_test = 0")
+    tr = d.filter("is_test = 0")
+    sec = "model2_segmentation"
 
     def fit_one(c: int):
         gbt = (GBTClassifier(featuresCol="features", labelCol=f"y{c}", maxIter=100, maxDepth=4, stepSize=0.1,
-                             subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42,
-                             validationIndicatorCol="is_val")
+                             subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)
                .setProbabilityCol(f"prob{c}").setRawPredictionCol(f"raw{c}").setPredictionCol(f"pred{c}"))
-        return gbt.fit(tr.withColumn(f"y{c}", (F.col("label") == c).cast("double")))
+        rows = tr.withColumn(f"y{c}", (F.col("label") == c).cast("double"))
+        return fit_boosted(gbt, rows, feats, sec, patience=10)
 
     # the k boosters are independent: fit them concurrently (like OneVsRest's
     # ``parallelism``) so their jobs share the executors instead of queueing
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=k) as pool:
-        models = list(pool.map(fit_one, range(k)))
-    scored = base
+        fits = list(pool.map(fit_one, range(k)))
+    models = [m for m, _ in fits]
+    scored = models[0].stages[0].transform(d)
     for c, m in enumerate(models):
-        scored = m.transform(scored).withColumn(f"p{c}", vector_to_array(f"prob{c}")[1]).drop(
+        scored = m.stages[-1].transform(scored).withColumn(f"p{c}", vector_to_array(f"prob{c}")[1]).drop(
             f"prob{c}", f"raw{c}", f"pred{c}")
     raw = F.array(*[F.col(f"p{c}") for c in range(k)])
     scored = scored.select("*", F.transform(raw, lambda x: x / F.aggregate(raw, F.lit(0.0), lambda a, b: a + b))
@@ -241,9 +274,10 @@ def segment_model(users: DataFrame, key: str = "user_id", label: str = "segment_
     scored = scored.select("*", *[v.alias(n) for n, v in probs.items()],
                            (F.array_position("_probs", F.array_max("_probs")) - 1).cast("int").alias("predicted"))
     scored = scored.select(key, "is_test", "label", "predicted", *probs.keys()).checkpoint(eager=True)
-    sec = "model2_segmentation"
-    metrics = _cls_metrics(scored.filter("is_test = 1"), sec) + _class_shares(scored, sec)
-    imp = [sum(m.featureImportances.toArray()[i] for m in models) / k for i in range(len(feats))]
+    d.unpersist()
+    metrics = [(s, n, str(c), v) for c, (_, facts) in enumerate(fits) for s, n, _, v in facts]
+    metrics += _cls_metrics(scored.filter("is_test = 1"), sec) + _class_shares(scored, sec)
+    imp = [sum(m.stages[-1].featureImportances.toArray()[i] for m in models) / k for i in range(len(feats))]
     metrics += [(sec, "feature_importance", c, float(v))
                 for c, v in sorted(zip(feats, imp), key=lambda x: (-x[1], x[0]))[:10]]
     out = scored.select(key, "is_test", "label", "predicted", *probs.keys())
@@ -254,27 +288,26 @@ def risk_model(users: DataFrame, key: str = "user_id", label: str = "risk_flag")
     """ML-08: imbalance-weighted binary risk classifier (depth 3, lr 0.1,
     sampling 0.8; positive rows weighted neg/pos of the training rows)."""
     feats = _present(users, RISK_FEATURES)
-    d = _classifier_frame(users, feats, label, key)
+    kept = d = _classifier_frame(users, feats, label, key)
     cnt = {r["label"]: r["n"] for r in d.filter("is_test = 0").groupBy("label").agg(F.count("*").alias("n")).collect()}
     w = (cnt.get(0, 0) / cnt[1]) if cnt.get(1) else 1.0
     d = d.withColumn("w", F.when(F.col("label") == 1, F.lit(float(w))).otherwise(F.lit(1.0)))
     gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="w", maxIter=100, maxDepth=3,
-                        stepSize=0.1, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42,
-                        validationIndicatorCol="is_val")
-    model = Pipeline(stages=[_assembler(feats), gbt]).fit(d.filter("is_test = 0").withColumn(
-        "label", F.col("label").cast("double")))
+                        stepSize=0.1, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)
+    sec = "model3_risk"
+    model, facts = fit_boosted(gbt, d.filter("is_test = 0").withColumn("label", F.col("label").cast("double")),
+                               feats, sec, patience=10)
     pred = model.transform(d.withColumn("label", F.col("label").cast("double")))
     pred = pred.select(key, "is_test", F.col("label").cast("int").alias("label"),
                        F.col("prediction").cast("int").alias("predicted"),
                        vector_to_array("probability")[1].alias("risk_probability")).checkpoint(eager=True)
-    sec = "model3_risk"
+    kept.unpersist()
     test = pred.filter("is_test = 1")
-    metrics = _cls_metrics(test, sec) + _class_shares(pred, sec)
+    metrics = facts + _cls_metrics(test, sec) + _class_shares(pred, sec)
     auc = M.roc_auc(test, "label", "risk_probability").first()["auc"]
     metrics.append((sec, "roc_auc", "", float(auc) if auc is not None else None))
     metrics += _importances(model.stages[-1], feats, sec)
     out = pred.select(key, "is_test", "label", "predicted", "risk_probability")
-    d.unpersist()
     return ModelResult("risk_model", out, model, metrics)
 
 
@@ -318,5 +351,14 @@ def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def save_models(results, folder: str) -> None:
+    """SRC-10: every fitted model of a flow under ``folder``/stage (the
+    segment boosters under ``folder``/segment_model/class)."""
+    for res in results:
+        many = isinstance(res.model, list)
+        for k, model in enumerate(res.model if many else [res.model]):
+            save_model(model, f"{folder}/{res.name}" + (f"/{k}" if many else ""))
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)

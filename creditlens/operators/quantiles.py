@@ -9,101 +9,76 @@ v[higher]) is found in three distributed passes:
 1. per group: row count and approximate quantiles at p -/+ a margin
    (``percentile_approx``, bounded memory); together they bracket the
    exact lower / higher order statistics in a narrow value band;
-2. one aggregate counts, per group and quantile, the rows strictly below the
-   band; the rows inside the band are reduced to (value -> count);
-3. only the band (a fraction of about 2 x margin of the group) is ranked,
-   with a window partitioned by (group, quantile).
-
-If a band misses its order statistic (the approximation guarantee failed),
-the margin is widened and the pass repeated.  Nothing but the per-group
-summary table (one row per group) is broadcast.
-
-Size check first: when the largest group has at most ``DIRECT_LIMIT`` rows,
-Spark's ``percentile`` (same formula, one aggregate) is used directly — its
-per-group map is then bounded by that limit.
+2. one aggregate, combined before its shuffle, counts per group and quantile
+   the rows below the band and the distinct values inside it;
+3. only the band (a fraction of about 2 x margin of the group) is ranked.
+
+The band is widened until it holds its order statistics, at the widest the
+whole group.  One algorithm serves every size; NULL is a group like any other.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from creditlens.operators.sampling import join_groups
+
 ACCURACY = 100_000
-DIRECT_LIMIT = 2_000_000
-BROADCAST_GROUPS = 100_000
 
 
 def exact_quantiles(df: DataFrame, col: str, ps: Sequence[float], group_cols: Sequence[str] = (),
-                    names: Sequence[str] | None = None, accuracy: int = ACCURACY,
-                    direct_limit: int | None = None) -> DataFrame:
-    """One row per group: ``group_cols`` + one column per quantile."""
-    limit = DIRECT_LIMIT if direct_limit is None else direct_limit
+                    names: Sequence[str] | None = None, accuracy: int = ACCURACY) -> DataFrame:
+    """One row per group: ``group_cols`` + one column per quantile.  NULL and
+    NaN values are left out; a group without values has no row."""
     names = list(names or [f"q{i}" for i in range(len(ps))])
-    g = list(group_cols) or ["_k"]
+    groups = list(group_cols) or ["_k"]
     d = df.select(*(group_cols or [F.lit(0).alias("_k")]), F.col(col).cast("double").alias("v"))
     d = d.filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    sizes = d.groupBy(*g).agg(F.count("*").alias("_n")).agg(F.max("_n").alias("mx"), F.count("*").alias("ng")).first()
-    largest, n_groups = (sizes["mx"] or 0), (sizes["ng"] or 0)
-    if largest <= limit:
-        arr = F.percentile("v", F.array(*[F.lit(float(p)) for p in ps]))
-        res = d.groupBy(*g).agg(arr.alias("_q")).select(*g, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-        return res.drop("_k") if not group_cols else res
     margin = 4.0 / accuracy
-    for _ in range(4):
-        out = _attempt(d, g, list(ps), margin, accuracy, n_groups <= BROADCAST_GROUPS)
-        bad = out.filter(~F.col("_ok")).limit(1).count()
-        if not bad:
-            res = out.select(*g, *[F.col(f"_q{i}").alias(n) for i, n in enumerate(names)])
-            return res.drop("_k") if not group_cols else res
+    while True:
+        out = _banded(d, groups, [float(p) for p in ps], margin, accuracy).checkpoint(eager=True)
+        if margin >= 1 or not out.filter("not _ok").limit(1).count():
+            break
         margin *= 8
-    raise RuntimeError("exact quantile band did not converge")
+    res = out.select(*groups, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    return res if group_cols else res.drop("_k")
 
 
-def _attempt(d: DataFrame, g: list, ps: list, margin: float, accuracy: int, small: bool) -> DataFrame:
-    bc = F.broadcast if small else (lambda x: x)
+def _banded(d: DataFrame, groups: list, ps: list, margin: float, accuracy: int) -> DataFrame:
+    """Groups, ``_q`` (the quantiles) and ``_ok`` (every band held its order statistics)."""
     k = len(ps)
-    lo_p = [max(0.0, p - margin) for p in ps]
-    hi_p = [min(1.0, p + margin) for p in ps]
-    summ = d.groupBy(*g).agg(F.count("*").alias("_n"),
-                             F.percentile_approx("v", lo_p + hi_p, accuracy).alias("_ab"))
-    summ = summ.select(*g, "_n", *[F.col("_ab")[i].alias(f"_a{i}") for i in range(k)],
-                       *[F.col("_ab")[k + i].alias(f"_b{i}") for i in range(k)])
-    j = d.join(bc(summ), g)  # one row per group: broadcast only when the group count is bounded
-    below = j.groupBy(*g).agg(*[F.count_if(F.col("v") < F.col(f"_a{i}")).alias(f"_below{i}") for i in range(k)])
-    in_band = [(F.col("v") >= F.col(f"_a{i}")) & (F.col("v") <= F.col(f"_b{i}")) for i in range(k)]
-    tagged = j.select(*g, "v", F.explode(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(in_band)])).alias("_i"))
-    band = tagged.filter(F.col("_i").isNotNull()).groupBy(*g, "_i", "v").agg(F.count("*").alias("_c"))
-    w = Window.partitionBy(*g, "_i").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    band = band.withColumn("_cum", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-    # order statistics needed per (group, quantile)
-    targets = summ.join(below, g)
-    rows = []
-    for i, p in enumerate(ps):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        rows.append(targets.select(*g, F.lit(i).alias("_i"), pos.alias("_pos"),
-                                   F.floor(pos).cast("long").alias("_lower"), F.ceil(pos).cast("long").alias("_higher"),
-                                   F.col(f"_below{i}").alias("_below")))
-    tg = rows[0]
-    for r in rows[1:]:
-        tg = tg.unionByName(r)
-    bj = band.join(bc(tg), g + ["_i"])  # tg: groups x k rows
-    start = F.col("_below") + F.col("_cum")
-    hit_lo = (start <= F.col("_lower")) & (F.col("_lower") < start + F.col("_c"))
-    hit_hi = (start <= F.col("_higher")) & (F.col("_higher") < start + F.col("_c"))
-    picked = bj.groupBy(*g, "_i", "_pos", "_lower", "_higher").agg(
-        F.max(F.when(hit_lo, F.col("v"))).alias("_vlo"), F.max(F.when(hit_hi, F.col("v"))).alias("_vhi"))
-    val = (F.when((F.col("_higher") == F.col("_lower")) | (F.col("_vlo") == F.col("_vhi")), F.col("_vlo"))
-           .otherwise((F.col("_higher").cast("double") - F.col("_pos")) * F.col("_vlo")
-                      + (F.col("_pos") - F.col("_lower").cast("double")) * F.col("_vhi")))
-    picked = picked.select(*g, "_i", val.alias("_val"), (F.col("_vlo").isNotNull() & F.col("_vhi").isNotNull())
-                           .alias("_ok"))
-    # groups whose band held no rows at all for some quantile -> not ok
-    full = tg.select(*g, "_i").join(picked, g + ["_i"], "left").withColumn("_ok", F.coalesce("_ok", F.lit(False)))
-    wide = full.groupBy(*g).agg(*[F.max(F.when(F.col("_i") == i, F.col("_val"))).alias(f"_q{i}") for i in range(k)],
-                                F.min(F.col("_ok").cast("int")).alias("_okn"))
-    return wide.withColumn("_ok", F.col("_okn") == 1).drop("_okn").checkpoint(eager=True)
+    probes = [max(0.0, p - margin) for p in ps] + [min(1.0, p + margin) for p in ps]
+    edges = d.groupBy(*groups).agg(F.count("*").alias("_n"), F.percentile_approx("v", probes, accuracy).alias("_e"))
+    low = lambda i: F.col("_e")[i] if margin < 1 else F.lit(float("-inf"))
+    high = lambda i: F.col("_e")[k + i] if margin < 1 else F.lit(float("inf"))
+    # one pass gives, per quantile, the rows below its band (one row, no value) and the band's values with counts
+    places = F.filter(F.array(*[F.when(F.col("v") <= high(i), F.struct(
+        F.lit(i).alias("i"), F.when(F.col("v") >= low(i), F.col("v")).alias("v"))) for i in range(k)]),
+        lambda x: x.isNotNull())
+    cells = (join_groups(d, edges, groups).select(*groups, "_n", F.explode(places).alias("x"))
+             .groupBy(*groups, "_n", F.col("x.i").alias("i"), F.col("x.v").alias("v")).agg(F.count("*").alias("c")))
+    upto = F.sum("c").over(Window.partitionBy(*groups, "i").orderBy(F.col("v").asc_nulls_first()))
+    at = (F.col("_n") - 1).cast("double") * F.element_at(F.array(*[F.lit(p) for p in ps]), F.col("i") + 1)
+    ranked = cells.withColumn("_at", at).withColumn("_upto", upto).where("v is not null")
+    holds = lambda place: (F.col("_upto") - F.col("c") <= place) & (place < F.col("_upto"))
+    found = ranked.groupBy(*groups, "i", "_at").agg(
+        F.max(F.when(holds(F.floor("_at")), F.col("v"))).alias("a"), F.max(F.when(holds(F.ceil("_at")), F.col("v"))).alias("b"))
+    quantiles = found.groupBy(*groups).agg(
+        F.array_sort(F.collect_list(F.struct("i", _between("a", "b", "_at").alias("q")))).alias("_q"),
+        F.bool_and(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("_held"))
+    return (join_groups(edges.select(*groups), quantiles, groups, "left")
+            .select(*groups, F.transform("_q", lambda x: x["q"]).alias("_q"),
+                    (F.coalesce("_held", F.lit(False)) & (F.size("_q") == k)).alias("_ok")))
+
+
+def _between(low: str, high: str, at: str) -> Column:
+    """Linear interpolation between neighbouring order statistics, as ``percentile`` has it."""
+    a, b, place = F.col(low), F.col(high), F.col(at)
+    return F.when((F.floor(place) == F.ceil(place)) | (a == b), a).otherwise(
+        (F.ceil(place).cast("double") - place) * a + (place - F.floor(place).cast("double")) * b)
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict:

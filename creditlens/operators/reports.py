@@ -5,8 +5,7 @@ All of them are single aggregate passes (or two for the two-pass box plot)
 with partial aggregation; "share of total" uses a scalar subquery, never an
 unpartitioned window.  Exact quantiles come from ``operators.quantiles`` (same linear
 interpolation as Spark's ``percentile`` and pandas, computed without
-gathering a group into one task); ``EXACT_QUANTILES = False`` switches to
-``percentile_approx``.
+gathering a group into one task).
 """
 
 from __future__ import annotations
@@ -17,9 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditlens.operators.quantiles import exact_quantiles
-
-EXACT_QUANTILES = True
-APPROX_ACCURACY = 100_000
+from creditlens.operators.sampling import join_groups
 
 
 def r6(c) -> Column:
@@ -63,10 +60,7 @@ def column_profile(df: DataFrame) -> DataFrame:
 def quantile_table(df: DataFrame, c: str, ps, group_cols=(), names=None) -> DataFrame:
     """One row per group with the requested quantiles of ``c``."""
     names = list(names or [f"q{i}" for i in range(len(ps))])
-    if EXACT_QUANTILES:
-        return exact_quantiles(df, c, ps, group_cols, names)
-    a = df.groupBy(*group_cols).agg(F.percentile_approx(F.col(c).cast("double"), list(ps), APPROX_ACCURACY).alias("_q"))
-    return a.select(*group_cols, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    return exact_quantiles(df, c, ps, group_cols, names)
 
 
 def describe(df: DataFrame, cols: Sequence[str], group: str | None = None) -> DataFrame:
@@ -78,7 +72,7 @@ def describe(df: DataFrame, cols: Sequence[str], group: str | None = None) -> Da
              .agg(F.count("value").alias("count"), r6(F.avg("value")).alias("mean"),
                   r6(F.stddev_samp("value")).alias("std"), F.min("value").alias("min"), F.max("value").alias("max")))
     q = quantile_table(long, "value", [0.25, 0.5, 0.75], ids + ["column_name"], ["_p25", "_p50", "_p75"])
-    out = stats.join(q, ids + ["column_name"], "left")
+    out = join_groups(stats, q, ids + ["column_name"], "left")
     return out.select(*ids, "column_name", "count", "mean", "std", "min",
                       r6(F.col("_p25")).alias("p25"), r6(F.col("_p50")).alias("p50"),
                       r6(F.col("_p75")).alias("p75"), "max")
@@ -151,8 +145,7 @@ def boxplot(df: DataFrame, group: str, c: str) -> DataFrame:
     """AGG-29: quartiles per group (pass 1), whiskers = extreme values inside
     1.5 IQR and outlier count (pass 2, join on the small per-group table)."""
     q = quantile_table(df, c, [0.25, 0.5, 0.75], [group], ["q1", "med", "q3"]).checkpoint(eager=True)
-    small = q.count() <= 100_000          # one row per group: broadcast only a bounded table
-    j = df.select(group, c).join(F.broadcast(q) if small else q, group)
+    j = join_groups(df.select(group, c), q, [group])
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     x = F.col(c)

@@ -207,13 +207,11 @@ ZERO_PREFIXES = ("total_", "count_", "num_")
 ZERO_SUFFIXES = ("_count", "_flag")
 
 
-def impute_by_name(df: DataFrame, key: str = "user_id", median_mode: str = "exact",
+def impute_by_name(df: DataFrame, key: str = "user_id",
                    zero_prefixes=ZERO_PREFIXES, zero_suffixes=ZERO_SUFFIXES) -> DataFrame:
     """PRJ-22 + PRJ-23: +-inf -> missing; name-driven fill (0 for count-like
     names, median for the rest).  Medians are computed only for columns that
-    actually hold missing values (one null-count pass first); ``median_mode``
-    'exact' uses the distributed exact quantile (``operators.quantiles``),
-    'approx' ``percentile_approx``."""
+    actually hold missing values (one null-count pass first)."""
     from pyspark.sql.types import NumericType, FloatType, DoubleType
     num = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name != key]
     dbl = {f.name for f in df.schema.fields if isinstance(f.dataType, (FloatType, DoubleType))}
@@ -227,11 +225,8 @@ def impute_by_name(df: DataFrame, key: str = "user_id", median_mode: str = "exac
         need = []
     med = {}
     if need:
-        if median_mode == "approx":
-            med = df.agg(*[F.percentile_approx(c, 0.5, 10000).alias(c) for c in need]).first().asDict()
-        else:
-            from creditlens.operators.quantiles import exact_medians
-            med = exact_medians(df, need)
+        from creditlens.operators.quantiles import exact_medians
+        med = exact_medians(df, need)
     cols = {c: F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)) for c in zero}
     # median-filled columns are DOUBLE (a median of integers may be fractional)
     for c in rest:
@@ -262,7 +257,7 @@ def add_master_labels(u: DataFrame, seed=42) -> DataFrame:
                         R.risk_probability_proxy("risk_flag", "credit_score", "utilization_pct", "user_id"))
 
 
-def user_master(t, periods: Periods = PERIODS, median_mode: str = "exact",
+def user_master(t, periods: Periods = PERIODS,
                 checkpoint: bool = True) -> DataFrame:
     """The full master build: one row per user with spend, credit, fraud,
     history, derived measures and rule labels."""
@@ -272,5 +267,5 @@ def user_master(t, periods: Periods = PERIODS, median_mode: str = "exact",
         # several small actions follow (null counts, medians, quota counts);
         # cut the lineage once so they do not recompute the rollup
         users = users.checkpoint(eager=True)
-    users = scale_thousands(impute_by_name(users, median_mode=median_mode))
+    users = scale_thousands(impute_by_name(users))
     return add_master_labels(users)

@@ -1,25 +1,26 @@
-"""Deterministic, distributed replacements for the reference's random draws.
+"""Deterministic, distributed replacements for random draws.
 
-Every "pick n rows at random" becomes "pick the n rows with the smallest
-``md5(key || '|' || seed)``".  The rank of a row's hash among the eligible
-rows of its group is computed without any single-partition window over the
-big table:
+"Pick n rows at random" becomes "pick the n rows with the smallest
+``md5(key || '|' || seed)``" of a group.  No row has to be ranked for that:
+:func:`hash_at` finds the hash of the n-th row, and every row then decides on
+its own by comparing hashes.
 
 1. bucket = first 4 hex digits of the hash (65,536 buckets, uniform for
-   distinct keys, so no hot bucket);
-2. eligible rows are counted per (group, bucket) — a table of at most
-   65,536 rows per group — and a running total per group gives the number of
-   eligible rows in earlier buckets;
-3. that small table is joined back (broadcast: its size is bounded by the
-   bucket count times the number of groups) and a ``row_number`` partitioned
-   by (group, bucket) finishes the exact rank.
-
-So the rank equals ``row_number() OVER (PARTITION BY group ORDER BY hash)``
-— which is what the oracle SQL uses — but every window is small.
+   distinct keys); rows are counted per (group, bucket), at most 65,536 counts
+   per group;
+2. the running total of the counts names the one bucket that holds the n-th
+   row, and only that bucket's rows (about 1 / 65,536 of the group) are ranked.
+
+The result equals ``row_number() OVER (PARTITION BY group ORDER BY hash) <= n``
+for distinct keys (rows with equal keys are taken together).  NULL is a group
+like any other.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable
+from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -52,33 +53,77 @@ def hash_rank(df: DataFrame, key_cols: Sequence[str], seed, out: str = "_rank",
     w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy())
     w = w.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    # bounded: at most 65,536 rows per group
-    d = d.join(F.broadcast(before), group_cols + ["_b"], "left")
+    d = join_groups(d, before, group_cols + ["_b"], "left")
     wr = Window.partitionBy(*group_cols, "_b", "_e").orderBy("_h", *key_cols)
     rank = F.when(F.col("_e"), F.col("_before") + F.row_number().over(wr))
     return d.withColumn(out, rank.cast("long")).drop("_h", "_b", "_e", "_before")
 
 
+def join_groups(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal ``cols`` where NULL equals NULL; ``right`` adds its other columns."""
+    named = right.withColumnsRenamed({c: f"_r_{i}" for i, c in enumerate(cols)})
+    on = [F.col(c).eqNullSafe(F.col(f"_r_{i}")) for i, c in enumerate(cols)]
+    return left.join(named, on, how).drop(*[f"_r_{i}" for i in range(len(cols))])
+
+
+def hash_at(df: DataFrame, key_cols: Sequence[str], seed, points: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """``points`` (group columns and ``n``) -> the same with ``cut``, the hash
+    of the group's n-th row in hash order.  Points with n < 1 or beyond the
+    group give no row."""
+    groups = list(group_cols)
+    if not groups:  # one group
+        one = F.lit(1).alias("_one")
+        return hash_at(df.select("*", one), key_cols, seed, points.select("*", one), ["_one"]).drop("_one")
+    d = df.select(*groups, *[c for c in key_cols if c not in groups], key_hash(key_cols, seed).alias("_h"))
+    d = d.withColumn("_b", F.substring("_h", 1, BUCKET_HEX))
+    order = Window.partitionBy(*groups).orderBy("_b")  # at most 65,536 rows per group
+    counts = (d.groupBy(*groups, "_b").agg(F.count("*").alias("_c"))
+              .withColumn("_upto", F.sum("_c").over(order)))
+    edge = (join_groups(counts, points, groups).where("_upto - _c < n and n <= _upto")
+            .select(*groups, "n", F.col("_b").alias("_edge"), (F.col("n") - F.col("_upto") + F.col("_c")).alias("_left")))
+    near = join_groups(d.withColumnRenamed("_b", "_edge"), edge, [*groups, "_edge"])
+    rank = F.row_number().over(Window.partitionBy(*groups, "n").orderBy("_h", *key_cols))
+    return near.withColumn("_rank", rank).where("_rank = _left").select(*groups, "n", F.col("_h").alias("cut"))
+
+
+def _first_n(df: DataFrame, key_cols: Sequence[str], seed, n: int) -> Column:
+    """Condition that holds for the ``n`` rows of ``df`` with the smallest hashes."""
+    if n < 1:
+        return F.lit(False)
+    points = df.sparkSession.createDataFrame([(n,)], "n long")
+    found = hash_at(df, key_cols, seed, points).first()
+    return F.lit(True) if found is None else key_hash(key_cols, seed) <= found["cut"]
+
+
 def flag_top_up(df: DataFrame, flag: str, key_cols: Sequence[str], quota: float, seed=42) -> DataFrame:
     """SMP-03: if the flagged share is below ``quota``, flag
     ``int(N*quota) - flagged`` more rows, taken from the unflagged rows in
-    hash order.  Only two counts reach the driver."""
+    hash order.  Two counts and one hash reach the driver."""
     row = df.agg(F.count("*").alias("n"), F.sum(F.col(flag)).alias("k")).first()
     n, k = int(row["n"] or 0), int(row["k"] or 0)
-    if n == 0 or k >= n * quota:
-        return df
     needed = int(n * quota) - k
     if needed <= 0:
         return df
-    ranked = hash_rank(df, key_cols, seed, "_qr", eligible=F.col(flag) == 0)
-    return ranked.withColumn(flag, F.when(F.col("_qr") <= needed, F.lit(1)).otherwise(F.col(flag))).drop("_qr")
+    open_ = F.col(flag) == 0
+    chosen = _first_n(df.filter(open_), key_cols, seed, needed)
+    return df.withColumn(flag, F.when(open_ & chosen, F.lit(1)).otherwise(F.col(flag)))
+
+
+def _up_to(df: DataFrame, key_cols: Sequence[str], seed, group_cols: Sequence[str], n: Column) -> DataFrame:
+    """``df`` plus ``_in``: whether a row is among its group's first ``n``
+    (an expression of the group's size ``_size``)."""
+    groups = list(group_cols)
+    points = (df.groupBy(*groups).agg(F.count("*").alias("_size"))
+              .select(*groups, F.least(n, F.col("_size")).cast("long").alias("n")))
+    cuts = hash_at(df, key_cols, seed, points, groups).drop("n")
+    inside = F.coalesce(key_hash(key_cols, seed) <= F.col("cut"), F.lit(False))
+    return join_groups(df, cuts, groups, "left").withColumn("_in", inside).drop("cut")
 
 
 def sample_per_group(df: DataFrame, group_cols: Sequence[str], key_cols: Sequence[str],
                      n: int, seed=42) -> DataFrame:
     """SMP-01: n rows per group (all rows of smaller groups)."""
-    r = hash_rank(df, key_cols, seed, "_sr", group_cols=group_cols)
-    return r.filter(F.col("_sr") <= n).drop("_sr")
+    return _up_to(df, key_cols, seed, group_cols, F.lit(n)).filter("_in").drop("_in")
 
 
 def hash_fraction(key_cols: Sequence[str], seed) -> Column:
@@ -103,88 +148,95 @@ def hash_split(df: DataFrame, key_cols: Sequence[str], test_fraction=0.2, seed=4
 
 def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], test_fraction=0.2,
                      seed=42, out: str = "is_test") -> DataFrame:
-    """ML-03: per class, the ceil(p * n_class) rows of smallest hash are test rows."""
-    sizes = df.groupBy(label).agg(F.count("*").alias("_cn"))  # one row per class
-    r = hash_rank(df, key_cols, seed, "_sr", group_cols=[label])
-    r = r.join(F.broadcast(sizes), label, "left")
-    return (r.withColumn(out, (F.col("_sr") <= F.ceil(F.col("_cn") * test_fraction)).cast("int"))
-             .drop("_sr", "_cn"))
+    """ML-03: per class, the ceil(p * n_class) rows of smallest hash are test
+    rows (rows without a label are a class of their own)."""
+    marked = _up_to(df, key_cols, seed, [label], F.ceil(F.col("_size") * test_fraction))
+    return marked.withColumn(out, F.col("_in").cast("int")).drop("_in")
 
 
 # ------------------------------------------------------------ rebalancing
 
-def _counts(df: DataFrame, label: str) -> dict:
-    return {int(r[0]): int(r[1]) for r in df.groupBy(label).count().collect() if r[0] is not None}
-
-
-def _move(df: DataFrame, label: str, key_cols, src: Sequence[int], dst: int, n: int, seed) -> DataFrame:
-    r = hash_rank(df, key_cols, seed, "_mr", eligible=F.col(label).isin(*src))
-    return r.withColumn(label, F.when(F.col("_mr") <= n, F.lit(dst)).otherwise(F.col(label))).drop("_mr")
+# Target share per segment
+TARGET_SHARES = {0: 0.15, 1: 0.25, 2: 0.45, 3: 0.15}
+SEGMENTS = tuple(TARGET_SHARES)
+
+
+@dataclass(frozen=True)
+class Move:
+    """``n`` rows of the segments ``source`` become ``to``; ``seed`` orders them."""
+    source: tuple
+    to: int
+    n: int
+    seed: object
+
+
+def segment_counts(df: DataFrame, label: str) -> Counter:
+    return Counter({int(r[0]): int(r[1]) for r in df.groupBy(label).count().collect() if r[0] is not None})
+
+
+def plan_moves(start: Counter, shortfall: Callable, donors: Callable) -> list[Move]:
+    """Moves that fill each segment's ``shortfall(segment, share, live)`` from
+    its ``donors(segment, share, live)`` in order, each giving at most half of
+    what it holds at that point.  ``share`` is the share before any move,
+    ``live`` the counts so far."""
+    total, live, moves = sum(start.values()), Counter(start), []
+    share = {s: start[s] / total if total else 0.0 for s in SEGMENTS}
+    for to in SEGMENTS:
+        missing = shortfall(to, share, live)
+        for source in donors(to, share, live):
+            part = min(missing, live[source] // 2)
+            if part > 0:
+                moves.append(Move((source,), to, part, to * 100 + source))
+                live[source] -= part
+                live[to] += part
+                missing -= part
+    return moves
+
+
+def apply_moves(df: DataFrame, label: str, key_cols: Sequence[str], moves: list[Move]) -> DataFrame:
+    """All moves as one projection: a move is a hash limit found beforehand,
+    so the plan reads its input once however many moves there are."""
+    for m in moves:
+        pool = F.col(label).isin(*m.source)
+        chosen = _first_n(df.filter(pool), key_cols, m.seed, m.n)
+        df = df.withColumn(label, F.when(pool & chosen, F.lit(m.to)).otherwise(F.col(label)))
+    return df
 
 
 def fill_empty_segments(df: DataFrame, label: str, key_cols: Sequence[str], seed=42,
-                        share=0.05, k: int = 4) -> DataFrame:
-    """SMP-04(a): an empty segment receives max(int(N*share), 1) rows from
-    segment 2 (targets 0, 1) or from segments 0/1 (targets 2, 3).  The move
-    plan is computed on the <= 4-row count table."""
-    counts = _counts(df, label)
-    n = sum(counts.values())
-    for seg in range(k):
-        if counts.get(seg, 0) == 0:
-            need = max(int(n * share), 1)
-            pool = [2] if seg < 2 else [0, 1]
-            avail = sum(counts.get(p, 0) for p in pool)
-            take = min(need, avail)
-            if take > 0:
-                df = _move(df, label, key_cols, pool, seg, take, f"{seed}-{seg}")
-                counts = _counts(df, label)
+                        share=0.05) -> DataFrame:
+    """SMP-04(a): an empty segment receives max(int(N*share), 1) rows, from
+    segment 2 (for 0 and 1) or from segments 0 and 1 together (for 2 and 3)."""
+    live = segment_counts(df, label)
+    amount = max(int(sum(live.values()) * share), 1)
+    for to in SEGMENTS:
+        pool = (2,) if to < 2 else (0, 1)
+        part = 0 if live[to] else min(amount, sum(live[s] for s in pool))
+        if part:
+            df = apply_moves(df, label, key_cols, [Move(pool, to, part, f"{seed}-{to}")])
+            live = segment_counts(df, label)
     return df
 
 
-# Target share per segment
-TARGET_SHARES = {0: 0.15, 1: 0.25, 2: 0.45, 3: 0.15}
-
-
 def rebalance_small_segments(df: DataFrame, label: str, key_cols: Sequence[str]) -> DataFrame:
-    """SMP-04(b): a segment below 5 % (of the distribution measured before
-    any move) receives int(N*target) rows, taken from the other segments in
-    descending order of their initial size, at most half of each segment's
-    current size."""
-    initial = _counts(df, label)
-    live = dict(initial)
-    n = sum(initial.values())
-    for seg in range(4):
-        if seg not in initial or initial[seg] / max(n, 1) * 100 < 5.0:
-            needed = int(n * TARGET_SHARES[seg])
-            order = sorted([s for s in range(4) if s != seg], key=lambda s: initial.get(s, 0), reverse=True)
-            moved = 0
-            for other in order:
-                if other in initial and moved < needed:
-                    take = min(int(live.get(other, 0) * 0.5), needed - moved)
-                    if take > 0:
-                        df = _move(df, label, key_cols, [other], seg, take, seg * 100 + other)
-                        live[other] = live.get(other, 0) - take
-                        live[seg] = live.get(seg, 0) + take
-                        moved += take
-    return df
+    """SMP-04(b): a segment that starts below 5 % receives int(N*target)
+    rows; donors are the segments that start with rows, largest first."""
+    start = segment_counts(df, label)
+    total = sum(start.values())
+    return apply_moves(df, label, key_cols, plan_moves(
+        start,
+        lambda to, share, live: int(total * TARGET_SHARES[to]) if share[to] * 100 < 5.0 else 0,
+        lambda to, share, live: sorted((s for s in SEGMENTS if s != to and start[s]), key=lambda s: -start[s])))
 
 
 def rebalance_under_half(df: DataFrame, label: str, key_cols: Sequence[str]) -> DataFrame:
-    """SMP-04(c): a segment under half its target share receives its
-    shortfall from segments above their own target, at most half of each."""
-    counts = _counts(df, label)
-    n = sum(counts.values())
-    for seg in range(4):
-        cnt = counts.get(seg, 0)
-        if cnt / max(n, 1) < TARGET_SHARES[seg] * 0.5:
-            needed = int(n * TARGET_SHARES[seg]) - cnt
-            for other in [s for s in range(4) if s != seg]:
-                ocnt = counts.get(other, 0)
-                if ocnt / max(n, 1) > TARGET_SHARES[other] and needed > 0:
-                    take = int(min(ocnt * 0.5, needed))
-                    if take > 0:
-                        df = _move(df, label, key_cols, [other], seg, take, seg * 100 + other)
-                        counts[other] = ocnt - take
-                        counts[seg] = counts.get(seg, 0) + take
-                        needed -= take
-    return df
+    """SMP-04(c): a segment under half its target share is filled up to the
+    target; donors are the segments above their own target at that point."""
+    start = segment_counts(df, label)
+    total = max(sum(start.values()), 1)
+    above = lambda s, live: live[s] / total > TARGET_SHARES[s]
+    return apply_moves(df, label, key_cols, plan_moves(
+        start,
+        lambda to, share, live: (int(total * TARGET_SHARES[to]) - live[to]
+                                 if live[to] / total < TARGET_SHARES[to] * 0.5 else 0),
+        lambda to, share, live: [s for s in SEGMENTS if s != to and above(s, live)]))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from creditlens.functions import rules as R
@@ -311,7 +312,6 @@ def fraud_comparison(spark, sf_dir):
                  F.col("current_balance").cast("double").alias("current_balance"),
                  "behavior_score", "credit_score",
                  F.datediff(F.lit(PERIODS.ref_date).cast("date"), "open_date").alias("account_age_days")))
-    total = m.select(F.count("*")).scalar()
     g = m.groupBy("has_fraud").agg(
         F.count("*").alias("n_accounts"),
         r6(F.avg("credit_line")).alias("avg_credit_line"),
@@ -320,6 +320,7 @@ def fraud_comparison(spark, sf_dir):
         r6(F.avg("credit_score")).alias("avg_credit_score"),
         r6(F.avg("account_age_days")).alias("avg_account_age_days"),
         r6(F.avg(R.guarded_pct("current_balance", "credit_line"))).alias("avg_utilization_pct"))
+    total = F.sum("n_accounts").over(Window.partitionBy())  # two rows
     return g.withColumn("pct_accounts", r6(F.col("n_accounts") * 100.0 / total))
 
 

@@ -49,15 +49,16 @@ def cli_model(spark, sf_dir):
     return ml.cli_model(scored_view(spark, sf_dir)).scored
 
 
-def run_flow(spark, sf_dir):
+def run_flow(spark, sf_dir, save_to: str | None = None):
     """ML-19: initialise, then the model stages.  The Q4 forecast, the Q3
     back-test, the segment and the risk models read only the initialised
     table, so they are fitted concurrently; the increase-amount model
     consumes the forecast and the risk probability.  Each stage is isolated: a failure leaves its columns
-    NULL and records an error row in the metrics table."""
+    NULL and records an error row in the metrics table.  ``save_to`` names a
+    folder that gets the fitted models."""
     from concurrent.futures import ThreadPoolExecutor
     key = session_key(spark, sf_dir)
-    if key in _FLOW_CACHE:
+    if key in _FLOW_CACHE and save_to is None:
         return _FLOW_CACHE[key]
     base = initialise(user_view(spark, sf_dir)).checkpoint(eager=True)
     results, errors = [], []
@@ -94,6 +95,8 @@ def run_flow(spark, sf_dir):
         return ml.cli_model(scored.join(t.select("user_id", "predicted_q4_spend"), "user_id"))
 
     table = attach(table, run("cli_model", cli_stage, table), ["recommended_cli_amount"]).checkpoint(eager=True)
+    if save_to:
+        ml.save_models(results, save_to)
     metrics = ml.metrics_table(spark, results)
     if errors:
         metrics = metrics.unionByName(spark.createDataFrame(errors, metrics.schema))

@@ -74,27 +74,23 @@ def monthly_spend_trend(spark, sf_dir):
 
 
 def _bfd_sql() -> str:
-    h = S.key_hash_sql(["current_account_nbr"], 42)
-    return OM.user_view_ctes() + f""",
+    return OM.user_view_ctes() + """,
 m AS (SELECT s.current_account_nbr, s.billing_cycle_date, s.prev_balance,
              CASE WHEN a.employee_code IS NULL OR a.employee_code = 'Y' THEN 0
                   WHEN a.employee_code = 'H' THEN 1 END AS is_high_income,
              u.has_fraud
       FROM statement_fact s LEFT JOIN account_dim a ON a.current_account_nbr = s.current_account_nbr
       LEFT JOIN identity_map i ON i.account_nbr_pty = s.current_account_nbr
-      LEFT JOIN um u ON u.user_id = i.ds_id),
-smp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY is_high_income ORDER BY {h}) AS rn
-                       FROM m WHERE is_high_income IN (0, 1)) WHERE rn <= 1000)
+      LEFT JOIN um u ON u.user_id = i.ds_id)
 SELECT is_high_income, CAST(billing_cycle_date AS VARCHAR) AS billing_cycle_date,
        CAST(sum(prev_balance) AS DOUBLE) / count(prev_balance) AS avg_prev_balance, max(has_fraud) AS has_fraud
-FROM smp GROUP BY 1, 2 HAVING max(has_fraud) = 1"""
+FROM m WHERE is_high_income IN (0, 1) GROUP BY 1, 2 HAVING max(has_fraud) = 1"""
 
 
 @query("balance_fraud_by_date", _bfd_sql)
 def balance_fraud_by_date(spark, sf_dir):
-    """JOIN-05 (differently named keys) + JOIN-06 (left-join chain) + SMP-01 +
-    AGG-10: statements joined to income, user and
-    the user fraud flag; 1000 statements per income group (hash sample);
+    """JOIN-05 (differently named keys) + JOIN-06 (left-join chain) +
+    AGG-10: all statements joined to income, user and the user fraud flag;
     mean balance and fraud flag per date, fraud dates only."""
     t = Tables(spark, sf_dir)
     u = user_view(spark, sf_dir).select("user_id", "has_fraud")
@@ -104,9 +100,7 @@ def balance_fraud_by_date(spark, sf_dir):
          .join(idm, s.current_account_nbr == idm.account_nbr_pty, "left").drop("account_nbr_pty")
          .withColumnRenamed("ds_id", "user_id")
          .join(u, "user_id", "left"))
-    smp = S.sample_per_group(m.filter(F.col("is_high_income").isin(0, 1)), ["is_high_income"],
-                             ["current_account_nbr"], 1000, 42)
-    return (smp.groupBy("is_high_income", F.col("billing_cycle_date").cast("string").alias("billing_cycle_date"))
+    return (m.filter(F.col("is_high_income").isin(0, 1)).groupBy("is_high_income", F.col("billing_cycle_date").cast("string").alias("billing_cycle_date"))
             .agg((F.sum("prev_balance").cast("double") / F.count("prev_balance")).alias("avg_prev_balance"),
                  F.max("has_fraud").alias("has_fraud"))
             .filter(F.col("has_fraud") == 1))
@@ -373,23 +367,28 @@ def holiday_multiplier_grid(spark, sf_dir):
 
 
 def _ql_sql() -> str:
-    return OM.user_view_ctes() + f"""
+    return OM.scored_ctes() + f"""
 SELECT {r6s('avg(spend_2024_q1)')} AS avg_q1, {r6s('avg(spend_2024_q2)')} AS avg_q2,
        {r6s('avg(spend_2024_q3)')} AS avg_q3, {r6s('avg(spend_2024_q4)')} AS avg_q4,
        {r6s('avg((spend_2024_q1 + spend_2024_q2 + spend_2024_q3) / 3)')} AS avg_q123,
-       {r6s('(avg(spend_2024_q4) / avg((spend_2024_q1 + spend_2024_q2 + spend_2024_q3) / 3) - 1) * 100')} AS q4_lift_pct
-FROM um"""
+       {r6s('avg(predicted_q4_spend)')} AS avg_predicted_q4,
+       {r6s('(avg(predicted_q4_spend) / avg((spend_2024_q1 + spend_2024_q2 + spend_2024_q3) / 3) - 1) * 100')} AS predicted_q4_lift_pct,
+       {r6s('(avg(spend_2024_q4) / avg((spend_2024_q1 + spend_2024_q2 + spend_2024_q3) / 3) - 1) * 100')} AS actual_q4_lift_pct
+FROM scored"""
 
 
 @query("quarter_lift", _ql_sql)
 def quarter_lift(spark, sf_dir):
-    """AGG-21: quarterly means and the Q4 lift over the row-wise Q1-Q3 mean."""
-    u = user_view(spark, sf_dir)
+    """AGG-21: quarterly means and the lift of the predicted (and of the
+    actual) Q4 spend over the row-wise Q1-Q3 mean."""
+    u = scored_view(spark, sf_dir)
     q123 = (F.col("spend_2024_q1") + F.col("spend_2024_q2") + F.col("spend_2024_q3")) / 3
     return u.agg(r6(F.avg("spend_2024_q1")).alias("avg_q1"), r6(F.avg("spend_2024_q2")).alias("avg_q2"),
                  r6(F.avg("spend_2024_q3")).alias("avg_q3"), r6(F.avg("spend_2024_q4")).alias("avg_q4"),
                  r6(F.avg(q123)).alias("avg_q123"),
-                 r6((F.avg("spend_2024_q4") / F.avg(q123) - 1) * 100).alias("q4_lift_pct"))
+                 r6(F.avg("predicted_q4_spend")).alias("avg_predicted_q4"),
+                 r6((F.avg("predicted_q4_spend") / F.avg(q123) - 1) * 100).alias("predicted_q4_lift_pct"),
+                 r6((F.avg("spend_2024_q4") / F.avg(q123) - 1) * 100).alias("actual_q4_lift_pct"))
 
 
 def _vt_sql() -> str:

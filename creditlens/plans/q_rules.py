@@ -172,6 +172,49 @@ def segment_rebalance(spark, sf_dir):
     return out.withColumnRenamed("segment_label", "segment_after")
 
 
+def _rebalance_small_sql() -> str:
+    """SMP-04(b) twin: donors of each target in the order of their size before any move."""
+    shares = S.TARGET_SHARES
+    seg_b = Q.segment_b_sql('coalesce(utilization_pct, 50.0)', 'coalesce(credit_score, 680.0)', 'risk_flag')
+    ctes = [f"st0 AS (SELECT user_id, {seg_b} AS segment_label FROM um)",
+            "c0 AS (SELECT segment_label AS seg, count(*) AS c FROM st0 GROUP BY 1)"]
+    prev, k = "st0", 0
+    for t in range(4):
+        start = prev
+        for r in range(3):
+            k += 1
+            donor = f"(SELECT seg FROM c0 WHERE seg <> {t} ORDER BY c DESC, seg LIMIT 1 OFFSET {r})"
+            n = "(SELECT count(*) FROM st0)"
+            small = f"(coalesce((SELECT c FROM c0 WHERE seg = {t}), 0) / CAST({n} AS DOUBLE) * 100 < 5.0)"
+            came = (f"((SELECT count(*) FILTER (WHERE segment_label = {t}) FROM {prev})"
+                    f" - (SELECT count(*) FILTER (WHERE segment_label = {t}) FROM {start}))")
+            half = f"(SELECT count(*) FILTER (WHERE segment_label = d.seg) // 2 FROM {prev})"
+            ctes.append(f"""d{k} AS (SELECT seg, CASE WHEN {small} THEN greatest(0, least({half},
+      CAST(floor({n} * CAST({shares[t]} AS DOUBLE)) AS BIGINT) - {came})) ELSE 0 END AS take FROM (SELECT {donor} AS seg) d)""")
+            ctes.append(f"""st{k} AS (SELECT user_id, CASE WHEN _in AND _rn <= (SELECT take FROM d{k}) THEN {t} ELSE segment_label END AS segment_label
+  FROM (SELECT p.*, coalesce(segment_label = (SELECT seg FROM d{k}), false) AS _in,
+               row_number() OVER (PARTITION BY coalesce(segment_label = (SELECT seg FROM d{k}), false)
+                 ORDER BY md5(CAST(user_id AS VARCHAR) || '|' || CAST({t} * 100 + (SELECT seg FROM d{k}) AS VARCHAR))) AS _rn
+        FROM {prev} p))""")
+            prev = f"st{k}"
+    return OM.user_view_ctes() + ",\n" + ",\n".join(ctes) + f"""
+SELECT s0.user_id, s0.segment_label AS segment_before, s.segment_label AS segment_after
+FROM st0 s0 JOIN {prev} s ON s.user_id = s0.user_id"""
+
+
+@query("segment_rebalance_small", _rebalance_small_sql)
+def segment_rebalance_small(spark, sf_dir):
+    """SMP-04(b): a segment that starts below 5 % receives its target share
+    from the others, largest first, at most half of each."""
+    u = user_view(spark, sf_dir)
+    d = u.select("user_id", R.segment_b(F.coalesce(F.col("utilization_pct"), F.lit(50.0)),
+                                        F.coalesce(F.col("credit_score"), F.lit(680.0)), "risk_flag")
+                 .alias("segment_before"))
+    d = d.withColumn("segment_label", F.col("segment_before")).checkpoint(eager=True)
+    out = S.rebalance_small_segments(d, "segment_label", ["user_id"])
+    return out.withColumnRenamed("segment_label", "segment_after")
+
+
 def _proxy_sql() -> str:
     return OM.user_view_ctes() + f"\nSELECT user_id, {Q.risk_probability_sql()} AS risk_probability FROM um"
 
@@ -337,16 +380,18 @@ def cli_postprocess(spark, sf_dir):
 # ------------------------------------------------- initialisation / impute
 
 def injected_view(u):
-    """The user table with missing / infinite / text values injected by key
-    and some columns under alternative names (test convention)."""
-    k = F.col("user_id")
+    """The user table with missing / infinite / NaN / text values injected by
+    key and some columns under alternative names (test convention)."""
+    k, nan = F.col("user_id"), F.lit(float("nan"))
     return u.select(
         "user_id",
-        F.when(k % 17 == 0, F.lit(None)).otherwise(F.col("credit_score")).alias("credit_score"),
-        F.when(k % 23 == 0, F.lit(0.0)).otherwise(F.col("credit_line")).alias("credit_line"),
-        F.when(k % 29 == 0, F.lit(float("inf"))).otherwise(F.col("utilization_pct")).alias("utilization_pct"),
+        F.when(k % 17 == 0, F.lit(None)).when(k % 19 == 0, nan).otherwise(F.col("credit_score")).alias("credit_score"),
+        F.when(k % 23 == 0, F.lit(0.0)).when(k % 37 == 0, nan).otherwise(F.col("credit_line")).alias("credit_line"),
+        F.when(k % 29 == 0, F.lit(float("inf"))).when(k % 31 == 0, nan).otherwise(F.col("utilization_pct"))
+        .alias("utilization_pct"),
         F.col("current_balance").alias("cur_balance"),
-        "total_spend_2024", "spend_2024_q1", "spend_2024_q2", "spend_2024_q3", "spend_2024_q4",
+        F.when(k % 41 == 0, nan).otherwise(F.col("total_spend_2024")).alias("total_spend_2024"),
+        F.when(k % 43 == 0, F.lit("NaN")).otherwise(F.col("spend_2024_q1").cast("string")).alias("spend_2024_q1"), "spend_2024_q2", "spend_2024_q3", "spend_2024_q4",
         "is_high_income",
         F.when(k % 3 == 0, "Yes").when(k % 3 == 1, "n").alias("fraud_flag"),
         F.col("delinquency_12mo").alias("delinq_12mo"), "delinquency_24mo", "risk_flag",
@@ -357,10 +402,16 @@ def injected_view(u):
 
 def _injected_sql() -> str:
     return OM.user_view_ctes() + f""",
-inj AS (SELECT user_id, CASE WHEN user_id % 17 = 0 THEN NULL ELSE credit_score END AS credit_score,
-               CASE WHEN user_id % 23 = 0 THEN 0.0 ELSE credit_line END AS credit_line,
-               CASE WHEN user_id % 29 = 0 THEN CAST('inf' AS DOUBLE) ELSE utilization_pct END AS utilization_pct,
-               current_balance AS cur_balance, total_spend_2024, spend_2024_q1, spend_2024_q2, spend_2024_q3,
+inj AS (SELECT user_id, CASE WHEN user_id % 17 = 0 THEN NULL WHEN user_id % 19 = 0 THEN CAST('nan' AS DOUBLE)
+                    ELSE credit_score END AS credit_score,
+               CASE WHEN user_id % 23 = 0 THEN 0.0 WHEN user_id % 37 = 0 THEN CAST('nan' AS DOUBLE)
+                    ELSE credit_line END AS credit_line,
+               CASE WHEN user_id % 29 = 0 THEN CAST('inf' AS DOUBLE) WHEN user_id % 31 = 0 THEN CAST('nan' AS DOUBLE)
+                    ELSE utilization_pct END AS utilization_pct,
+               current_balance AS cur_balance,
+               CASE WHEN user_id % 41 = 0 THEN CAST('nan' AS DOUBLE) ELSE total_spend_2024 END AS total_spend_2024,
+               CASE WHEN user_id % 43 = 0 THEN 'NaN' ELSE CAST(spend_2024_q1 AS VARCHAR) END AS spend_2024_q1,
+               spend_2024_q2, spend_2024_q3,
                spend_2024_q4, is_high_income,
                CASE WHEN user_id % 3 = 0 THEN 'Yes' WHEN user_id % 3 = 1 THEN 'n' END AS fraud_flag,
                delinquency_12mo AS delinq_12mo, delinquency_24mo, risk_flag,
@@ -378,6 +429,8 @@ INIT_OUT = ["user_id", "credit_score", "utilization_pct", "credit_line", "curren
 def _init_sql() -> str:
     def med(c, src):  # Spark's percentile interpolation
         return f"(SELECT q0 FROM ({Q.quantile_sql(src, c, [0.5])}))"
+    def num(c):  # NaN, also as text, is missing
+        return f"(CASE WHEN isnan(try_cast({c} AS DOUBLE)) THEN NULL ELSE try_cast({c} AS DOUBLE) END)"
     inf_null = "CASE WHEN isinf({c}) OR isnan({c}) THEN NULL ELSE {c} END"
     return _injected_sql() + f""",
 i0 AS (SELECT *, current_balance AS _cb FROM (SELECT * EXCLUDE (cur_balance, fraud_flag, delinq_12mo),
@@ -388,15 +441,15 @@ i1 AS (SELECT *, CASE WHEN segment_label = 0 AND is_high_income = 1 THEN credit_
                       WHEN segment_label = 0 THEN credit_line * 500 WHEN segment_label = 1 THEN credit_line * 250
                       ELSE 0.0 END AS CLI_target_amount FROM i0),
 i2 AS (SELECT user_id,
-              coalesce({Q.clip_sql('try_cast(credit_score AS DOUBLE)', 300.0, 850.0)}, 680.0) AS credit_score,
-              coalesce({Q.clip_sql('try_cast(utilization_pct AS DOUBLE)', 0.0, 100.0)}, 50.0) AS utilization_pct,
-              coalesce({Q.clip_sql('try_cast(credit_line AS DOUBLE)', 0.5, 100.0)}, 10.0) AS credit_line,
-              try_cast(current_balance AS DOUBLE) AS current_balance,
-              try_cast(total_spend_2024 AS DOUBLE) AS total_spend_2024,
-              try_cast(avg_monthly_spend_2024 AS DOUBLE) AS avg_monthly_spend_2024,
+              coalesce({Q.clip_sql(num('credit_score'), 300.0, 850.0)}, 680.0) AS credit_score,
+              coalesce({Q.clip_sql(num('utilization_pct'), 0.0, 100.0)}, 50.0) AS utilization_pct,
+              coalesce({Q.clip_sql(num('credit_line'), 0.5, 100.0)}, 10.0) AS credit_line,
+              {num('current_balance')} AS current_balance,
+              {num('total_spend_2024')} AS total_spend_2024,
+              {num('avg_monthly_spend_2024')} AS avg_monthly_spend_2024,
               {inf_null.format(c='try_cast(is_high_income AS DOUBLE)')} AS is_high_income,
-              try_cast(spend_2024_q1 AS DOUBLE) AS spend_2024_q1, try_cast(spend_2024_q2 AS DOUBLE) AS spend_2024_q2,
-              try_cast(spend_2024_q3 AS DOUBLE) AS spend_2024_q3, try_cast(spend_2024_q4 AS DOUBLE) AS spend_2024_q4,
+              {num('spend_2024_q1')} AS spend_2024_q1, {num('spend_2024_q2')} AS spend_2024_q2,
+              {num('spend_2024_q3')} AS spend_2024_q3, {num('spend_2024_q4')} AS spend_2024_q4,
               {inf_null.format(c='try_cast(CLI_target_amount AS DOUBLE)')} AS CLI_target_amount,
               {inf_null.format(c='try_cast(risk_probability AS DOUBLE)')} AS risk_probability,
               has_fraud, delinquency_12mo, delinquency_24mo, risk_flag, segment_label

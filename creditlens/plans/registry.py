@@ -7,6 +7,7 @@ SQL form (model fits) register no oracle.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,14 +70,17 @@ def session_key(spark: SparkSession, sf_dir: str) -> tuple:
 
 
 def user_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The master user table, built once per session and data folder and
-    checkpointed (reliable checkpoint in the session's checkpoint folder)."""
+    """The master user table, built once per session and data folder and kept
+    as Parquet in the shared folder, so that readers scan only the columns
+    they name."""
     from creditlens.operators.rollup import user_master
     from creditlens.session import checkpoint_dir
-    checkpoint_dir(spark)  # the cluster's folder; a scratch one only if unset
     key = session_key(spark, sf_dir)
     if key not in _USER_CACHE:
-        _USER_CACHE[key] = user_master(Tables(spark, sf_dir)).checkpoint(eager=True)
+        path = f"{checkpoint_dir(spark).rstrip('/')}/users-{uuid.uuid4().hex}"
+        users = user_master(Tables(spark, sf_dir))
+        users.write.parquet(path)
+        _USER_CACHE[key] = spark.read.schema(users.schema).parquet(path)
     return _USER_CACHE[key]
 
 

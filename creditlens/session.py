@@ -52,7 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             # a machine-local folder is not readable by other executors
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for this cluster")
         d = tempfile.mkdtemp(prefix="creditlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))

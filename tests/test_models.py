@@ -31,6 +31,8 @@ def test_risk_probabilities_and_auc(users):
     assert res.scored.filter((F.col("risk_probability") < 0) | (F.col("risk_probability") > 1)).count() == 0
     auc = [m[3] for m in res.metrics if m[1] == "roc_auc"][0]
     assert auc is None or 0.0 <= auc <= 1.0
+    m = {x[1]: x[3] for x in res.metrics if not x[2]}
+    assert m["last_round"] == 100 or m["last_round"] - m["best_round"] == m["patience"]
 
 
 def test_q4_forecast_beats_the_mean(users):
@@ -40,6 +42,59 @@ def test_q4_forecast_beats_the_mean(users):
     assert r2 > 0  # held-out error below predicting the held-out mean
 
 
+def test_patience_rule():
+    assert ml.stopping_round([5, 4, 3, 3.5, 3.2, 2.9, 3, 3, 3], 3) == (6, 9)
+    assert ml.stopping_round([5, 4, 4, 4, 4, 1], 3) == (2, 5)
+    assert ml.stopping_round([3.0], 10) == (1, 1)
+
+
+def test_fits_run_until_their_patience_ends_and_beat_one_tree(users):
+    """The back-test on a target its inputs do carry (the given quarters are unrelated)."""
+    t = users.withColumn("spend_2024_q3", F.col("spend_2024_q1") * 0.5 + F.col("spend_2024_q2") * 0.8
+                         + F.col("credit_line") * 20)
+    res = ml.q3_backtest(t)
+    m = {x[1]: x[3] for x in res.metrics if not x[2]}
+    assert m["trees"] == m["best_round"] and (m["last_round"] == 100 or m["last_round"] - m["best_round"] == m["patience"])
+    assert m["trees"] > 10
+    assert m["test_r2"] > 0.5  # one tree with step 0.1 explains far less
+    one = res.model.stages[-1].treeWeights[0]
+    assert one == 1.0 and res.model.stages[-1].getNumTrees == m["trees"]
+
+
+def test_models_release_their_tables_and_can_be_saved(spark, users, tmp_path):
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    res = ml.risk_model(users)
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
+    many = ml.ModelResult("segment_model", None, [res.model, res.model], [])
+    ml.save_models([res, many], str(tmp_path))
+    again = ml.load_model(f"{tmp_path}/segment_model/1")
+    assert again.stages[-1].getNumTrees == res.model.stages[-1].getNumTrees
+
+
+def test_a_failing_stage_leaves_nulls_and_an_error_row(spark, monkeypatch):
+    from creditlens.plans import q_ml
+
+    def fail(users):
+        raise ValueError("no rows")
+
+    def flat(name, cols):
+        def stage(table):
+            return ml.ModelResult(name, table.select("user_id", *[F.lit(0.25).alias(c) for c in cols]), None,
+                                  [(name, "trees", "", 1.0)])
+        return stage
+
+    monkeypatch.setattr(ml, "q4_forecast", flat("q4_forecast", ["predicted_q4_spend"]))
+    monkeypatch.setattr(ml, "q3_backtest", fail)
+    monkeypatch.setattr(ml, "segment_model", flat("segment_model", [f"segment_{c}_prob" for c in range(4)]))
+    monkeypatch.setattr(ml, "risk_model", flat("risk_model", ["risk_probability"]))
+    monkeypatch.setattr(ml, "cli_model", flat("cli_model", ["recommended_cli_amount"]))
+    monkeypatch.setattr(q_ml, "_FLOW_CACHE", {})
+    table, metrics = q_ml.run_flow(spark, SF_MID)
+    assert table.filter("predicted_q3_spend is not null").count() == 0
+    assert table.filter("recommended_cli_amount = 0.25").count() == table.count()
+    assert metrics.filter("section = 'q3_backtest' and name = 'error' and key = 'ValueError'").count() == 1
+
+
 def test_cli_amount_rules(spark):
     s = scored_view(spark, SF_MID)
     res = ml.cli_model(s)

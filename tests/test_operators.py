@@ -120,12 +120,39 @@ def test_banded_exact_quantiles_match_percentile(spark):
                                    .otherwise((F.col("id") * 7919 % 1000).cast("double")).alias("x"))
     ps = [0.0, 0.1, 1.0 / 3, 0.5, 0.75, 1.0]
     got = {r["g"]: [r[f"q{i}"] for i in range(len(ps))]
-           for r in exact_quantiles(df, "x", ps, ["g"], direct_limit=0, accuracy=1000).collect()}
+           for r in exact_quantiles(df, "x", ps, ["g"], accuracy=1000).collect()}
     ref = {r["g"]: list(r["q"]) for r in df.groupBy("g").agg(
         F.percentile("x", F.array(*[F.lit(p) for p in ps])).alias("q")).collect()}
     assert got == ref
 
 
+def test_quantiles_and_selection_keep_null_groups(spark):
+    from creditlens.operators.quantiles import exact_quantiles
+    df = spark.createDataFrame([(i, (1, 2, None)[i % 3], float(i)) for i in range(300)], "k long, g int, x double")
+    got = {r["g"]: (r["q0"], r["q1"]) for r in exact_quantiles(df, "x", [0.0, 0.5], ["g"]).collect()}
+    assert got == {1: (0.0, 148.5), 2: (1.0, 149.5), None: (2.0, 150.5)}
+    assert {r["g"]: r["count"] for r in S.sample_per_group(df, ["g"], ["k"], 7).groupBy("g").count().collect()} == {
+        1: 7, 2: 7, None: 7}
+    split = S.stratified_split(df, "g", ["k"], 0.2)
+    assert split.filter("is_test is null").count() == 0 and split.filter("is_test = 1 and g is null").count() == 20
+
+
+def test_quantile_bands_widen_until_they_hold(spark):
+    from creditlens.operators.quantiles import exact_quantiles
+    df = spark.range(5000).select((F.col("id") * F.col("id") % 4999).cast("double").alias("x"))
+    want = df.agg(F.percentile("x", F.array(F.lit(0.25), F.lit(0.9)))).first()[0]
+    assert list(exact_quantiles(df, "x", [0.25, 0.9], accuracy=2).first()) == want
+
+
+def test_moves_do_not_grow_the_plan(spark):
+    df = spark.createDataFrame([(i, i % 4) for i in range(400)], "user_id long, seg int")
+    scans = []
+    for n in (1, 12):
+        out = S.apply_moves(df, "seg", ["user_id"], [S.Move((k % 4,), (k + 1) % 4, 5, k) for k in range(n)])
+        scans.append(out._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+    assert scans == [1, 1]
+
+
 def _py_hash(uid, seed):
     import hashlib
     return hashlib.md5(f"{uid}|{seed}".encode()).hexdigest()
