@@ -36,3 +36,9 @@ def test_hash_rank_windows_are_bucketed(spark):
     lines = [ln for ln in p.split("\n") if "Exchange hashpartitioning(" in ln and "_b#" in ln]
     assert lines, p
     assert "Exchange SinglePartition" not in p
+
+
+def test_user_table_readers_scan_only_their_columns(spark):
+    p = _plan(spark, "filter_equal_flag")
+    read = [line.split("ReadSchema: ")[1] for line in p.splitlines() if "ReadSchema" in line]
+    assert len(read) == 1 and read[0].count(":") <= 3  # two columns and the filter's
