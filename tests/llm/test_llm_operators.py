@@ -493,11 +493,12 @@ def test_lm_shares(spark):
     shares = lm.Shares(kind, share, slot, table)
     every = np.arange(lm.VOCABULARY)
     for before in (lm.END, lm.VOCABULARY - 2, *{a for a, _ in pairs}):
-        total = np.bincount(kind, 10.0 ** shares.of(every, np.full(lm.VOCABULARY, before)), lm.CLASSES)
+        after = shares.along(np.stack((np.full(lm.VOCABULARY, before), every), 1).reshape(-1))[::2]
+        total = np.bincount(kind, 10.0 ** after, lm.CLASSES)
         assert np.allclose(total[np.unique(kind)], 1, atol=1e-3)  # a distribution over the ids of every class
     (a, b), n = max(((p, n) for p, n in pairs.items() if (kind == kind[p[1]]).sum() > 1), key=lambda x: x[1], default=((0, 0), 0))
     if n:
-        assert shares.of(np.array([b]), np.array([a]))[0] > share[b]
+        assert shares.along(np.array([a, b]))[0] > share[b]
 
 
 def test_lm_held_out(spark):
