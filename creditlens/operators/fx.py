@@ -174,7 +174,9 @@ def business_day_calendar(bounds: DataFrame) -> DataFrame:
 
 def business_days(df: DataFrame, start: str, end: str, out: str = "business_days") -> DataFrame:
     """pandas ``len(date_range(start, end, freq=US business day)) - 1``."""
-    bounds = df.agg(F.least(F.min(start), F.min(end)).alias("lo"), F.greatest(F.max(start), F.max(end)).alias("hi"))
+    span = df.agg(F.least(F.min(start), F.min(end)).alias("lo"), F.greatest(F.max(start), F.max(end)).alias("hi")).first()
+    # one row, found once: the calendar is then built without the input
+    bounds = df.sparkSession.range(1).select(*[F.lit(span[c]).cast("date").alias(c) for c in ("lo", "hi")])
     cal = F.broadcast(business_day_calendar(bounds))
     a = cal.select(F.col("day").alias("_sd"), F.col("bd_upto").alias("_sb"))
     b = cal.select(F.col("day").alias("_ed"), F.col("bd_upto").alias("_eb"))

@@ -62,14 +62,13 @@ def monthly_spend_trend(spark, sf_dir):
     """SET-01 + FLT-01 + DAT-05 + AGG-11 + FLT-06: monthly sum of converted
     sales (pandas sums skip missing conversions), reporting years only."""
     t = Tables(spark, sf_dir)
-    u = roles.domestic_transactions(t).unionByName(roles.foreign_transactions(t), allowMissingColumns=True)
     lo, hi = int(PERIODS.year[0][:4]), int(PERIODS.ytd[0][:4])
     month = F.trunc("transaction_date", "MM")
-    return (u.filter(F.col("transaction_type") == "SALE")
+    span = F.col("transaction_date").between(F.lit(f"{lo}-01-01").cast("date"), F.lit(f"{hi}-12-31").cast("date"))
+    return (roles.transactions(t).filter(span & (F.col("transaction_type") == "SALE"))
             .groupBy(month.alias("ym"))
             .agg(F.coalesce(F.sum("us_equiv_amt"), F.lit(0)).cast("double").alias("total_spend"),
                  F.count("*").alias("n_sales"))
-            .filter(F.year("ym").between(lo, hi))
             .select(F.col("ym").cast("string").alias("year_month"), "total_spend", "n_sales"))
 
 

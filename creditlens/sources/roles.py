@@ -58,24 +58,24 @@ def _d(s: str) -> Column:
 def line_summary(t: Tables) -> DataFrame:
     """Per order: first / last ship date and the two payment-history strings.
 
-    One scan of lineitem.  The history string is built from (account, period,
-    code) counts, so each account's group holds at most 30 entries however
-    many lines it has (a hot account cannot blow up one task).
+    One scan of lineitem.  A history string holds one code (the smallest) per
+    calendar month with a line, so it has at most 12 characters however many
+    lines an account has.
     """
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_shipdate")
     code = F.expr(f"substring('{HIST_CODES}', cast(l_partkey % 30 + 1 as int), 1)")
     period = F.when(F.col("l_shipdate") >= F.lit(HIST_SPLIT).cast("timestamp_ntz"), "1_12").otherwise("13_24")
-    per_code = (li.groupBy("l_orderkey", period.alias("period"), code.alias("ch"))
-                .agg(F.count("*").alias("n"),
-                     F.min("l_shipdate").alias("first_ship"),
-                     F.max("l_shipdate").alias("last_ship")))
+    monthly = (li.groupBy("l_orderkey", period.alias("period"), F.month("l_shipdate").alias("m"))
+               .agg(F.min(code).alias("ch"),
+                    F.min("l_shipdate").alias("first_ship"),
+                    F.max("l_shipdate").alias("last_ship")))
 
     def hist(p: str) -> Column:
-        pieces = F.collect_list(F.when(F.col("period") == p, F.struct("ch", F.expr("repeat(ch, cast(n as int))").alias("s"))))
+        pieces = F.collect_list(F.when(F.col("period") == p, F.struct("m", "ch")))
         arr = F.array_sort(pieces)
-        return F.when(F.size(arr) > 0, F.array_join(F.transform(arr, lambda x: x["s"]), ""))
+        return F.when(F.size(arr) > 0, F.array_join(F.transform(arr, lambda x: x["ch"]), ""))
 
-    return (per_code.groupBy("l_orderkey")
+    return (monthly.groupBy("l_orderkey")
             .agg(F.min("first_ship").cast("date").alias("first_ship"),
                  F.max("last_ship").cast("date").alias("last_ship"),
                  hist("1_12").alias("payment_hist_1_12_mths"),
@@ -178,12 +178,17 @@ def transaction_fact_raw(t: Tables) -> DataFrame:
 
 # ------------------------------------------------------ statements, fraud
 
+def _event_account() -> Column:
+    """Eight successive events belong to one account."""
+    return F.expr("event_id div 8")
+
+
 def statement_fact(t: Tables) -> DataFrame:
     e = t.events
     return e.select(
-        F.col("event_id").alias("current_account_nbr"),
+        _event_account().alias("current_account_nbr"),
         F.col("user_id"),
-        F.col("ts").cast("date").alias("billing_cycle_date"),
+        F.add_months(F.col("ts").cast("date"), (F.col("event_id") % 12).cast("int")).alias("billing_cycle_date"),
         F.col("value").cast(MONEY).alias("prev_balance"),
         (F.col("event_id") % 4).alias("return_check_cnt_total"),
         F.when(F.col("event_id") % 50 == 0, F.lit(99)).otherwise(F.col("event_id") % 3).alias("return_check_cnt_last_mth"),
@@ -192,13 +197,13 @@ def statement_fact(t: Tables) -> DataFrame:
 
 def _fraud_events(t: Tables) -> DataFrame:
     e = t.events
-    return e.filter((F.col("event_type") == "error") & (F.col("event_id") % 10 == 0))
+    return e.filter(F.col("event_type") == "error")
 
 
 def fraud_claim_tran(t: Tables) -> DataFrame:
     return _fraud_events(t).select(
         F.col("user_id").alias("case_id"),
-        F.col("event_id").alias("current_account_nbr"),
+        _event_account().alias("current_account_nbr"),
         F.col("value").cast(MONEY).alias("transaction_am"),
         F.col("ts").cast("date").alias("transaction_dt"),
     )
@@ -207,7 +212,7 @@ def fraud_claim_tran(t: Tables) -> DataFrame:
 def fraud_claim_case(t: Tables) -> DataFrame:
     return _fraud_events(t).select(
         F.col("user_id").alias("case_id"),
-        F.col("event_id").alias("current_account_nbr"),
+        _event_account().alias("current_account_nbr"),
         F.col("ts").cast("date").alias("reported_date"),
         F.col("ts").cast("date").alias("open_date"),
         F.lit(None).cast("date").alias("reopen_date"),
@@ -295,16 +300,16 @@ ROLE_SQL = {
     "line_codes": f"""
         SELECT l_orderkey,
                CASE WHEN l_shipdate >= TIMESTAMP '{HIST_SPLIT}' THEN '1_12' ELSE '13_24' END AS period,
-               substr('{HIST_CODES}', CAST(l_partkey % 30 + 1 AS INTEGER), 1) AS ch,
-               count(*) AS n, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
+               month(l_shipdate) AS m, min(substr('{HIST_CODES}', CAST(l_partkey % 30 + 1 AS INTEGER), 1)) AS ch,
+               min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
         FROM lineitem GROUP BY 1, 2, 3""",
     "line_summary": """
         SELECT l_orderkey,
                CAST(min(first_ship) AS DATE) AS first_ship,
                CAST(max(last_ship) AS DATE) AS last_ship,
-               string_agg(CASE WHEN period = '1_12' THEN repeat(ch, CAST(n AS INTEGER)) END, '' ORDER BY ch)
+               string_agg(CASE WHEN period = '1_12' THEN ch END, '' ORDER BY m)
                    AS payment_hist_1_12_mths,
-               string_agg(CASE WHEN period = '13_24' THEN repeat(ch, CAST(n AS INTEGER)) END, '' ORDER BY ch)
+               string_agg(CASE WHEN period = '13_24' THEN ch END, '' ORDER BY m)
                    AS payment_hist_13_24_mths
         FROM line_codes GROUP BY 1""",
     "account_dim": """
@@ -343,21 +348,22 @@ ROLE_SQL = {
                l_quantity AS product_qty
         FROM lineitem WHERE l_linestatus = 'F'""",
     "statement_fact": """
-        SELECT event_id AS current_account_nbr, user_id, CAST(ts AS DATE) AS billing_cycle_date,
+        SELECT event_id // 8 AS current_account_nbr, user_id,
+               CAST(CAST(ts AS DATE) + to_months(CAST(event_id % 12 AS INTEGER)) AS DATE) AS billing_cycle_date,
                CAST(value AS DECIMAL(18,2)) AS prev_balance, event_id % 4 AS return_check_cnt_total,
                CASE WHEN event_id % 50 = 0 THEN 99 ELSE event_id % 3 END AS return_check_cnt_last_mth
         FROM events""",
     "fraud_claim_tran": """
-        SELECT user_id AS case_id, event_id AS current_account_nbr,
+        SELECT user_id AS case_id, event_id // 8 AS current_account_nbr,
                CAST(value AS DECIMAL(18,2)) AS transaction_am, CAST(ts AS DATE) AS transaction_dt
-        FROM events WHERE event_type = 'error' AND event_id % 10 = 0""",
+        FROM events WHERE event_type = 'error'""",
     "fraud_claim_case": """
-        SELECT user_id AS case_id, event_id AS current_account_nbr,
+        SELECT user_id AS case_id, event_id // 8 AS current_account_nbr,
                CAST(ts AS DATE) AS reported_date, CAST(ts AS DATE) AS open_date,
                CAST(NULL AS DATE) AS reopen_date, CAST(NULL AS DATE) AS close_date,
                CAST(value AS DECIMAL(18,2)) AS gross_fraud_amt,
                CAST(value AS DECIMAL(18,2)) * CAST(0.9 AS DECIMAL(2,1)) AS net_fraud_amt
-        FROM events WHERE event_type = 'error' AND event_id % 10 = 0""",
+        FROM events WHERE event_type = 'error'""",
     "open_balance": """
         SELECT l_orderkey,
                sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS bal
