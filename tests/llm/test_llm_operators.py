@@ -505,3 +505,44 @@ def test_lm_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = lm.score(docs).where("held_out").agg(F.sum("score"), F.sum("n_tokens")).first()
     assert got[0] / got[1] > -6  # log10 per word on texts not learned from
+
+
+def stored(spark, texts):
+    rows = [(i, bytearray(np.array(t, np.uint16).tobytes())) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "h long, ids binary")
+
+
+def test_lm_counts_whole_texts(spark):
+    kind = np.arange(lm.VOCABULARY) % (lm.CLASSES - 1) + 1
+    kind[lm.END] = 0
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(0, 500, n).tolist() for n in [0, 1, 15, 16, 9000] + [3] * 2500]
+    want, blocks = np.zeros((lm.CLASSES, lm.CLASSES), int), 0
+    for t in texts:
+        classes = [0, *kind[t].tolist(), 0]
+        for a, b in zip(classes, classes[1:]):
+            want[a, b] += 1
+        blocks += -(-(len(t) + 1) // lm.STRIDE)
+    pairs, n = lm.text_counts(stored(spark, texts), kind)[:2]
+    assert (pairs == want).all() and n == blocks
+
+
+@pytest.mark.parametrize("shard", [1 << 16, 1 << 12])
+def test_lm_learns_from_all_of_every_text(spark, monkeypatch, shard):
+    monkeypatch.setattr(lm, "SHARD", shard)  # the small one gives several shards a round
+    kind = np.zeros(lm.VOCABULARY, np.int64)
+    kind[:lm.CLASSES] = np.arange(lm.CLASSES)
+    rng = np.random.default_rng(7)
+
+    def text(plain):  # only the end of a long text repeats the class three before
+        x = rng.integers(1, 12, plain + 3).tolist()
+        while len(x) < plain + 2200:
+            x.append(x[-3])
+        return x
+    tokens = stored(spark, [text(500) for _ in range(380)])
+    pairs, blocks = lm.text_counts(tokens, kind)[:2]
+    model = lm.fit_all(tokens, kind, pairs, blocks)
+    flat = lm.Model.start()
+    flat.t["pair"] = lm.bigram_scores(pairs)
+    into, goal = lm._blocks(np.array(text(0)))
+    assert model.log10(into, goal).mean() > flat.log10(into, goal).mean() + 0.15
