@@ -546,3 +546,17 @@ def test_lm_learns_from_all_of_every_text(spark, monkeypatch, shard):
     flat.t["pair"] = lm.bigram_scores(pairs)
     into, goal = lm._blocks(np.array(text(0)))
     assert model.log10(into, goal).mean() > flat.log10(into, goal).mean() + 0.15
+
+
+def test_lm_pairs_across_blanks(spark):
+    texts = ["the one of the other the one", "", "of", "the one"] * 3
+    ids = [lm.subword_ids(lm.words_of(t.encode())) for t in texts]
+    plain = np.bincount([i for t in ids for i in (*t, lm.END)], minlength=lm.VOCABULARY)
+    kind, share = lm.classes_of(plain)
+    slot = lm.slots_of(plain)
+    pairs = Counter(x for t in ids for x in zip([lm.END, *t], [*t, lm.END]))
+    table = lm.text_counts(stored(spark, ids), kind, slot)[2]
+    back = {int(slot[i]): i for i in np.flatnonzero(slot >= 0).tolist()}
+    assert {(back[i], back[j]): int(table[i, j]) for i, j in np.argwhere(table)} == pairs
+    the, one = lm.subword_ids([b"the", b"one"])
+    assert pairs[the, one] == 9  # no word holds both, so the word table has no such pair
