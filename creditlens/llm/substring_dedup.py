@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from creditlens.llm.common import raw_bytes, ship, store
 
 _BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+#: The check bits are sums modulo the prime 2^31 - 1, over bytes and over words.
+_PRIME, _CHECK_BASE, _CHECK_WORD_BASE = (1 << 31) - 1, 0x2545F491, 0x5851F42D
 
 
 def levels(window: int) -> list[int]:
@@ -76,6 +78,38 @@ def word_hashes(joined: bytes) -> np.ndarray:
     return _mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+@lru_cache(4)
+def _check_powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """base^k and base^-k mod _PRIME for k < size."""
+    both = []
+    for b in (base, pow(base, -1, _PRIME)):
+        out = np.ones(1, np.uint64)
+        while len(out) < size:
+            out = np.concatenate((out, out * np.uint64(pow(b, len(out), _PRIME)) % np.uint64(_PRIME)))
+        both.append(out[:size])
+    return both[0], both[1]
+
+
+def _check_sums(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sums of values[start + k] * base^k up to each end, mod _PRIME (values below it)."""
+    prime = np.uint64(_PRIME)
+    up, down = _check_powers(base, 1 << max(12, int(len(values)).bit_length()))
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[:len(values)] % prime, out=total[1:])  # exact: below 2^31 x 2^33 values
+    return (total[ends] - total[starts]) % prime * down[starts] % prime
+
+
+def check_hashes(joined: bytes) -> np.ndarray:
+    """Hashes of the words below _PRIME, from other sums than :func:`word_hashes`."""
+    if not joined:
+        return np.zeros(0, np.uint64)
+    raw = np.frombuffer(joined, np.uint8)
+    ends = np.append(np.flatnonzero(raw == 0x20), len(raw))
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    return (_check_sums(raw.astype(np.uint64) + np.uint64(1), _CHECK_BASE, starts, ends)
+            + (ends - starts).astype(np.uint64)) % np.uint64(_PRIME)
+
+
 class Pieces:
     """Hashes of all ``length``-word pieces of a text and the anchor of each window."""
 
@@ -84,6 +118,7 @@ class Pieces:
         total, down = _sums(words, _WORD_BASE)
         at = np.arange(max(0, n - length + 1))
         self.hashes = _mix((total[at + length] - total[at]) * down[at])
+        self.length = length
         # smallest hash (leftmost) of the pieces in each window, by doubling the range
         width, have, best = window - length + 1, 1, at
         while have < width:
@@ -93,9 +128,10 @@ class Pieces:
             have += step
         self.anchors = best  # one per window start
 
-    def check(self) -> np.ndarray:
-        """Further 32 bits of each piece, by a different route than ``hashes``."""
-        return _mix(self.hashes * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1))
+    def check(self, joined: bytes, at: np.ndarray) -> np.ndarray:
+        """Further 31 bits of the pieces at ``at``, from the words of the text
+        by sums of another modulus, so they do not follow from ``hashes``."""
+        return _check_sums(check_hashes(joined), _CHECK_WORD_BASE, at, at + self.length)
 
 
 def _spans(starts: np.ndarray) -> list[int]:
@@ -141,11 +177,12 @@ def _pieces(state: DataFrame, length: int, window: int) -> DataFrame:
         expand = zstandard.ZstdDecompressor()
         for batch in batches:
             for tid, blob, spans in zip(*(c.to_pylist() for c in batch.columns)):
-                found = Pieces(word_hashes(expand.decompress(blob)), length, window)
+                joined = expand.decompress(blob)
+                found = Pieces(word_hashes(joined), length, window)
                 at = np.unique(found.anchors[_numbers(spans)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found.hashes[at].view(np.int64)),
-                     pa.array((found.check()[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                     pa.array(found.check(joined, at).astype(np.int32)),
                      pa.array(np.full(len(at), tid, np.int64)), pa.array(at.astype(np.int32))], ["g", "c", "tid", "pos"])
 
     ship(state.sparkSession)

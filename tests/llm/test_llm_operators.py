@@ -560,3 +560,15 @@ def test_lm_pairs_across_blanks(spark):
     assert {(back[i], back[j]): int(table[i, j]) for i, j in np.argwhere(table)} == pairs
     the, one = lm.subword_ids([b"the", b"one"])
     assert pairs[the, one] == 9  # no word holds both, so the word table has no such pair
+
+
+def test_substring_check_is_not_a_function_of_the_hash():
+    joined = b"a b c d a b e f"
+    found = substring_dedup.Pieces(substring_dedup.word_hashes(joined), 2, 4)
+    check = substring_dedup.Pieces(np.zeros(8, np.uint64), 2, 4).check(joined, np.arange(7))  # all hashes collide
+    assert check[0] == check[4] and len(set(check.tolist())) == 6
+    assert (found.check(joined, np.arange(7)) == check).all()
+    p, base = substring_dedup._PRIME, substring_dedup._CHECK_BASE
+    words = b"zebra \xc3\xa9t\xc3\xa9".split()
+    want = [(sum((b + 1) * pow(base, i, p) for i, b in enumerate(w)) + len(w)) % p for w in words]
+    assert substring_dedup.check_hashes(b" ".join(words)).tolist() == want
