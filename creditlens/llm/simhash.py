@@ -132,7 +132,8 @@ def links(groups: DataFrame, n: int, max_bits: int = 4) -> DataFrame:
     """Spanning links ``(a, b)`` between distinct fingerprints ``fp``.
 
     Rows meet by equal key; a key with more than CHUNK rows is cut into
-    chunks that meet pairwise, so no task holds an unbounded group."""
+    chunks that meet pairwise, and bins are as many as the rows after that
+    need, so no task holds an unbounded group."""
     spans, free = _layout(n, max_bits)
     keys = []
     for combo in itertools.combinations(spans, free):
@@ -141,9 +142,10 @@ def links(groups: DataFrame, n: int, max_bits: int = 4) -> DataFrame:
         keys.append(F.xxhash64(F.lit(mask), F.col("fp").bitwiseAND(F.lit(mask))))
     rows = groups.select("fp", F.explode(F.array(*keys)).alias("key"))
     hot = (rows.groupBy("key").count().where(F.col("count") > CHUNK)
-           .select("key", F.ceil(F.col("count") / CHUNK).alias("chunks")))
+           .select("key", "count", F.ceil(F.col("count") / CHUNK).alias("chunks"))).checkpoint(eager=True)
+    more = hot.agg(F.coalesce(F.sum(F.col("count") * (F.col("chunks") - 2)), F.lit(0))).first()[0]  # a row goes to chunks - 1 pairs
     own = F.pmod(F.xxhash64(F.lit(7), F.col("fp")), F.col("chunks"))
-    met = (rows.join(hot, "key", "left")
+    met = (rows.join(hot.drop("count"), "key", "left")
            .withColumn("own", own)
            .select("fp", F.explode(F.when(
                F.col("chunks").isNull(), F.array(F.col("key")))
@@ -151,7 +153,7 @@ def links(groups: DataFrame, n: int, max_bits: int = 4) -> DataFrame:
                    F.filter(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda j: j != F.col("own")),
                    lambda j: F.xxhash64(F.col("key"), F.least(j, F.col("own")), F.greatest(j, F.col("own"))))))
                .alias("key")))
-    bins = max(1, math.ceil(n * len(keys) / BIN_ROWS))
+    bins = max(1, math.ceil((n * len(keys) + more) / BIN_ROWS))
 
     def run(group: pa.Table) -> pa.Table:
         fp = group.column("fp").to_numpy().view(np.uint64)

@@ -572,3 +572,12 @@ def test_substring_check_is_not_a_function_of_the_hash():
     words = b"zebra \xc3\xa9t\xc3\xa9".split()
     want = [(sum((b + 1) * pow(base, i, p) for i, b in enumerate(w)) + len(w)) % p for w in words]
     assert substring_dedup.check_hashes(b" ".join(words)).tolist() == want
+
+
+def test_simhash_bins_follow_the_rows_of_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CHUNK", 16)
+    monkeypatch.setattr(simhash, "BIN_ROWS", 256)
+    fps = spark.range(600).select((F.col("id") * 2 ** 50).alias("fp"))  # all meet under keys without the high bits
+    plan = simhash.links(fps, 600, 4)._jdf.queryExecution().analyzed().toString()
+    bins = int(re.search(r"pmod\(xxhash64\(11, key#\d+L, 42\), cast\((\d+) as bigint\)\)", plan)[1])
+    assert bins > 10 * 600 * 5 // 256
