@@ -23,9 +23,8 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from creditlens.llm.common import map_batches, raw_bytes, ship, store
 from creditlens.llm.graph import connected_components
@@ -64,12 +63,19 @@ def fingerprint(text: bytes | None, shingle: int = 4, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                  seed: int = 42) -> DataFrame:
-    """``(doc_id, fp)``, one row per input row; fp is the fingerprint as a signed long."""
+    """``(doc_id, fp, h1, h2)``, one row per input row; fp is the fingerprint
+    as a signed long, h1 and h2 are hashes of the text."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         fp = np.array([fingerprint(t, shingle, seed) for t in raw_bytes(batch, "text")], np.uint64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return map_batches(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64)), batch.column(2), batch.column(3)],
+                                          ["doc_id", "fp", "h1", "h2"])
+    h1, h2 = _text_hashes(text_col)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), h1.alias("h1"), h2.alias("h2"))
+    return map_batches(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long, h1 long, h2 long")
+
+
+def _text_hashes(text_col: str) -> tuple[Column, Column]:
+    return F.xxhash64(F.col(text_col)), F.xxhash64(F.lit(1), F.col(text_col))
 
 
 def local_links(fp: np.ndarray, key: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -176,36 +182,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest id of its component (null if the component has none).  An empty
     table gives an empty result.  Other columns are ignored.
     """
-    fps = store(fingerprints(docs, id_col, text_col, shingle, seed), "simhash-fp")
-    groups = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")).checkpoint(eager=True)
-    roots = connected_components(links(groups, groups.count(), max_bits))
-    labelled = (groups.join(roots, groups.fp == roots.node, "left")
-                .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
+    fps, labelled = _labelled(docs, id_col, text_col, shingle, max_bits, seed)
     least = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
     members = labelled.join(least, "root").select("fp", "component_id")
     return fps.join(members, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` (same columns) that represent their component: the
-    one with its smallest id.  Rows with the same id count as one document.
-    Rows without an id go if their component has one, else they stay."""
-    found = near_duplicates(docs, id_col, text_col, **how)
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("_keep_id")).distinct()
-    kept = docs.join(keep, docs[id_col] == keep["_keep_id"], "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(_without_id(docs, found, id_col, text_col, **how))
-
+def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int = 4, max_bits: int = 4,
+              seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of the rows, and ``(fp, first_id, root)`` per distinct one."""
+    fps = store(fingerprints(docs, id_col, text_col, shingle, seed), "simhash-fp")
+    groups = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")).checkpoint(eager=True)
+    roots = connected_components(links(groups, groups.count(), max_bits))
+    return fps, (groups.join(roots, groups.fp == roots.node, "left")
+                 .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
 
-def _without_id(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, shingle: int = 4, seed: int = 42,
-                max_bits: int = 4) -> DataFrame:
-    """The rows without an id whose component has none; they are told apart by their fingerprints."""
-    at = docs.columns.index(text_col)
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fp = [fingerprint(t, shingle, seed) for t in batch.column(at).cast(pa.binary()).to_pylist()]
-        return batch.append_column("_keep_fp", pa.array(np.array(fp, np.uint64).view(np.int64)))
-
-    rows = docs.where(F.col(id_col).isNull())
-    marked = map_batches(rows, run, T.StructType([*rows.schema.fields, T.StructField("_keep_fp", T.LongType())]))
-    lone = found.where("component_id is null").select("fp").distinct()
-    return marked.join(lone, marked["_keep_fp"] == lone["fp"], "left_semi").drop("_keep_fp")
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` (same columns) that represent their component: the
+    first by id (null ids last), then by hash of the text; of rows with equal
+    id and text, one.  So a component without any id keeps one row too.  Rows
+    with the same id count as one document: where several of its texts each
+    represent a component, the first by hash stays."""
+    fps, labelled = _labelled(docs, id_col, text_col, **how)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "h1", "h2")
+    first = (fps.join(labelled.select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("x"))
+             .select("root", "x.doc_id", F.struct("x.h1", "x.h2").alias("h")))
+    keep = (first.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("root")).alias("root")).agg(F.min("h").alias("h"))
+            .select(F.col("doc_id").alias("_keep_id"), F.col("h.h1").alias("_keep_1"), F.col("h.h2").alias("_keep_2")))
+    h1, h2 = _text_hashes(text_col)
+    rows = docs.withColumns({"_row_1": h1, "_row_2": h2})
+    same = rows[id_col].eqNullSafe(keep["_keep_id"]) & (rows["_row_1"] == keep["_keep_1"]) & (rows["_row_2"] == keep["_keep_2"])
+    return (rows.join(keep, same, "left_semi").dropDuplicates([id_col, "_row_1", "_row_2"])
+            .drop("_row_1", "_row_2"))

@@ -581,3 +581,11 @@ def test_simhash_bins_follow_the_rows_of_hot_keys(spark, monkeypatch):
     plan = simhash.links(fps, 600, 4)._jdf.queryExecution().analyzed().toString()
     bins = int(re.search(r"pmod\(xxhash64\(11, key#\d+L, 42\), cast\((\d+) as bigint\)\)", plan)[1])
     assert bins > 10 * 600 * 5 // 256
+
+
+def test_simhash_keeps_the_right_rows_without_unique_ids(spark):
+    a, b, c = (" ".join(f"w{x}" for x in np.random.default_rng(k).integers(0, 10**6, 100)) for k in (801, 802, 803))
+    rows = [(1, a), *[(2, t) for t in (a, b)], *[(None, c)] * 5, (None, a), (None, c + " "), (3, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, k int").repartition(7, "k")
+    kept = sorted((r.doc_id or 0, (r.text or "").strip()) for r in simhash.keep_one(docs).collect())
+    assert kept == sorted([(0, c), (1, a), (2, b), (3, "")])
