@@ -4,9 +4,12 @@ Text statistics are native column expressions.  Sequential covering learns an
 ordered list of threshold conjunctions from labelled statistics: each rule is
 grown by the condition with the best information gain on two thirds of the
 labelled rows, pruned back to the prefix that does best on the other third,
-and the rows it covers are set aside.  Every step is one aggregate over the
-labelled table (at most features x THRESHOLDS result rows), so all labels
-count.  The list becomes one chain of Spark ``when`` expressions.
+and the rows it covers are set aside, also when it fails pruning.  Cut points
+are the quantiles of the rows that the growing rule still covers, so a rare
+kind at the tail of a feature is told apart step by step.  A rule ends when
+a condition saves fewer bits of the labels than naming it costs, and learning
+when that holds for the first one.  Every step is two aggregates over the labelled table (the cut points, and at most
+features x THRESHOLDS result rows), so all labels count.  The list becomes one chain of Spark ``when`` expressions.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ SYMBOLS = "[#*$%&|<>]"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Candidate cut points of a feature (its quantiles).
 THRESHOLDS = 32
-MAX_RULES, MAX_CONDITIONS, MIN_COVER = 8, 4, 5
+MIN_COVER = 5
 
 
 def with_statistics(docs: DataFrame, text_col: str = "text", into: str = "stats") -> DataFrame:
@@ -105,10 +108,20 @@ def _gain(p: float, n: float, p0: float, n0: float) -> float:
     return p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0))) if p else 0.0
 
 
-def _best_condition(rows: DataFrame, names: list[str], p0: float, n0: float) -> tuple[float, Condition] | None:
-    """The condition with the best gain over ``rows``; thresholds lie halfway
-    between the values on either side of a cut."""
-    cells = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f"bin_{f}").alias("bin"), F.col(f).alias("v"))
+def _bits(p: float, n: float, p0: float, n0: float) -> float:
+    """What splitting ``p`` of ``p0`` bad and ``n`` of ``n0`` good rows off saves in coding the labels."""
+    cost = lambda a, b: sum(-x * math.log2(x / (a + b)) for x in (a, b) if x)
+    return cost(p0, n0) - cost(p, n) - cost(p0 - p, n0 - n)
+
+
+def _best_condition(rows: DataFrame, names: list[str], p0: float, n0: float) -> tuple[float, Condition, float] | None:
+    """The condition with the best gain over ``rows``, after its gain, and the
+    bits it saves; cut points are quantiles of ``rows``, and
+    thresholds lie halfway between the values on either side of a cut."""
+    quantiles = [i / THRESHOLDS for i in range(1, THRESHOLDS)]
+    cuts = rows.agg(*[F.percentile_approx(f, quantiles, 10000).alias(f) for f in names]).first()
+    bins = {f: sum((F.col(f) > v).cast("int") for v in sorted(set(cuts[f] or []))) + F.lit(0) for f in names}
+    cells = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), bins[f].alias("bin"), F.col(f).alias("v"))
                                 for f in names])).alias("c")
     found = (rows.select("bad", cells).groupBy("c.f", "c.bin")
              .agg(F.sum("bad").alias("p"), F.count("*").alias("t"), F.min("c.v").alias("lo"), F.max("c.v").alias("hi"))
@@ -122,7 +135,7 @@ def _best_condition(rows: DataFrame, names: list[str], p0: float, n0: float) ->
             cut = (a["hi"] + b["lo"]) / 2
             for above, pos, neg in ((False, p, t - p), (True, p0 - p, n0 - (t - p))):
                 if pos + neg >= MIN_COVER and (best is None or _gain(pos, neg, p0, n0) > best[0]):
-                    best = (_gain(pos, neg, p0, n0), Condition(f, above, cut))
+                    best = (_gain(pos, neg, p0, n0), Condition(f, above, cut), _bits(pos, neg, p0, n0))
     return best
 
 
@@ -131,21 +144,20 @@ def learn(labelled: DataFrame, names: list[str], key: str = "doc_id") -> list[Ru
     and a key that only decides the growing / pruning parts.  No rows, or no
     bad ones: no rules."""
     checkpoint_dir(labelled.sparkSession)
-    quantiles = [i / THRESHOLDS for i in range(1, THRESHOLDS)]
-    cuts = labelled.agg(*[F.percentile_approx(f, quantiles, 10000).alias(f) for f in names]).first()
-    bins = [sum((F.col(f) > v).cast("int") for v in sorted(set(cuts[f] or []))) + F.lit(0) for f in names]
     rows = labelled.select(
-        *names, F.col("bad").cast("int").alias("bad"), *[b.alias(f"bin_{f}") for f, b in zip(names, bins)],
+        *names, F.col("bad").cast("int").alias("bad"),
         (F.pmod(F.xxhash64(F.lit(3), F.col(key)), F.lit(3)) > 0).alias("grow")).checkpoint(eager=True)
     columns = {f: F.col(f) for f in names}
+    least = math.log2(2 * THRESHOLDS * len(names))  # bits to name one of the conditions
     rules: list[Rule] = []
-    while len(rules) < MAX_RULES:
-        left = rows.where(rejects(rules, columns).isNull()) if rules else rows
+    aside: list[Rule] = []  # all rules, those that failed pruning too
+    while True:
+        left = rows.where(rejects(aside, columns).isNull()) if aside else rows
         growing, rule = left.where("grow"), ()
         p, t = growing.agg(F.coalesce(F.sum("bad"), F.lit(0)), F.count("*")).first()
-        while p and p < t and len(rule) < MAX_CONDITIONS:
+        while p and p < t:
             best = _best_condition(growing, names, p, t - p)
-            if best is None or best[0] <= 1e-9:
+            if best is None or best[0] <= 1e-9 or best[2] <= least:
                 break
             rule = (*rule, best[1])
             growing = growing.where(best[1].expr(columns))
@@ -158,9 +170,10 @@ def learn(labelled: DataFrame, names: list[str], key: str = "doc_id") -> list[Ru
             for k in range(1, len(rule) + 1) for v in (F.col("bad"), F.lit(1))]).first()
         worth = [((2 * counts[2 * k] - counts[2 * k + 1]) / max(1, counts[2 * k + 1]), -k) for k in range(len(rule))]
         value, k = max(worth)
-        if value <= 0:
-            break
-        rules.append(rule[: 1 - k])
+        if value > 0:
+            rule = rule[: 1 - k]
+            rules.append(rule)
+        aside.append(rule)
     return rules
 
 

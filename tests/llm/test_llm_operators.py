@@ -589,3 +589,29 @@ def test_simhash_keeps_the_right_rows_without_unique_ids(spark):
     docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, k int").repartition(7, "k")
     kept = sorted((r.doc_id or 0, (r.text or "").strip()) for r in simhash.keep_one(docs).collect())
     assert kept == sorted([(0, c), (1, a), (2, b), (3, "")])
+
+
+@pytest.mark.parametrize("rare", [0.006, 0.015])
+def test_decision_list_finds_a_rare_kind_at_a_tail(spark, rare):
+    rng = np.random.default_rng(5)
+    n, bad = 6000, int(6000 * rare)
+    x = np.concatenate((rng.normal(5, 0.3, n - bad), rng.uniform(8, 9, bad)))
+    y = rng.normal(0, 1, n)
+    rows = [(i, float(u), float(v), int(i >= n - bad)) for i, (u, v) in enumerate(zip(x, y))]
+    data = spark.createDataFrame(rows, "doc_id long, x double, y double, bad int")
+    rules = quality.learn(data, ["x", "y"])
+    hit = quality.rejects(rules, {"x": F.col("x"), "y": F.col("y")}).isNotNull()
+    got = data.agg(F.sum((hit & (F.col("bad") == 1)).cast("int")), F.sum((hit & (F.col("bad") == 0)).cast("int"))).first()
+    assert got[0] >= bad - 1 and got[1] <= 2, rules
+
+
+def test_decision_list_goes_on_after_a_failed_rule_and_ends_on_noise(spark):
+    rng = np.random.default_rng(8)
+    x, y, z = rng.uniform(0, 1, 6000), rng.uniform(0, 1, 6000), rng.uniform(0, 1, 6000)
+    bad = (x > 0.5) & (rng.uniform(0, 1, 6000) < 0.3) | (z > 0.995)  # the first kind is nowhere more than half
+    rows = [(i, float(a), float(b), float(c), int(d)) for i, (a, b, c, d) in enumerate(zip(x, y, z, bad))]
+    data = spark.createDataFrame(rows, "doc_id long, x double, y double, z double, bad int")
+    rules = quality.learn(data, ["x", "y", "z"])
+    assert any(c.feature == "z" for r in rules for c in r), rules
+    noise = spark.createDataFrame([(i, float(a), int(b < 0.2)) for i, (a, b) in enumerate(zip(x, y))], "doc_id long, x double, bad int")
+    assert quality.learn(noise, ["x"]) == []
