@@ -1,11 +1,12 @@
-"""The ten operators on the driver tables: ``QUERIES`` (name -> fn(spark, sf_dir)) and ``ORACLE`` SQL."""
+"""The operators on the driver tables: ``QUERIES`` (name -> fn(spark, sf_dir)) and ``ORACLE`` SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlens.llm import chat, decontaminate, html_text, language, lm, mixing, quality, simhash, substring_dedup, token_files
+from creditlens.llm import (chat, decontaminate, exact_dedup, html_text, language, lm, mixing, prefix_trie, quality, simhash,
+                            substring_dedup, token_align, token_files)
 from creditlens.sources.tables import Tables
 
 
@@ -57,9 +58,25 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(Tables(spark, sf_dir).documents)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(Tables(spark, sf_dir).conversations)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = token_align.align(Tables(spark, sf_dir).documents)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = exact_dedup.find_duplicates(Tables(spark, sf_dir).documents)
+    return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash_dedup, op2_chat_format, op3_language_id, op4_quality_rules, op5_decontaminate, op6_substring_dedup,
-    op7_html_text, op8_token_files, op9_mix_sources, op10_lm_scores)}
+    op7_html_text, op8_token_files, op9_mix_sources, op10_lm_scores,
+    op11_prefix_trie, op12_token_alignment, op13_exact_dedup)}
 
 _FOLDED = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
           "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -110,4 +127,41 @@ items AS (
 SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    # crc32 of a decimal id: the table-driven form, one step per digit
+    "op11_prefix_trie": """
+WITH own AS (
+    SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS turns
+    FROM conversations GROUP BY conv_id),
+crc AS (
+    SELECT list(list_reduce(list_prepend(i, range(8)),
+                            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab
+    FROM range(256) AS t(i)),
+opening AS (
+    SELECT conv_id, turns, xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+        lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) % 6 AS h
+    FROM own, crc),
+conv AS (
+    SELECT o.conv_id, list_concat(coalesce(b.turns, o.turns[1:0])[1:o.h], o.turns[o.h + 1:]) AS turns
+    FROM opening o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100),
+pre AS (
+    SELECT conv_id, len(turns) AS n, k AS depth, turns[1:k] AS p
+    FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS k FROM conv)),
+node AS (
+    SELECT p, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(length(p[depth].t), 0) AS own,
+           sha256(coalesce(string_agg(CASE WHEN n = depth THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+    FROM pre GROUP BY p, depth),
+kids AS (SELECT p[1:depth - 1] AS p, depth - 1 AS depth, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+below AS (
+    SELECT p[1:k] AS p, k AS depth, CAST(sum(own) AS BIGINT) AS saved_tokens, count(*) FILTER (n_children IS NULL) AS n_leaves
+    FROM (SELECT node.*, n_children, unnest(range(0, node.depth + 1)) AS k FROM node LEFT JOIN kids USING (p, depth))
+    GROUP BY ALL)
+SELECT node.conv_id, node.depth, up.conv_id AS parent_conv_id, node.n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, saved_tokens, node.ends_sha256
+FROM node LEFT JOIN kids USING (p, depth) JOIN below USING (p, depth)
+LEFT JOIN node up ON up.depth = node.depth - 1 AND up.p = node.p[1:node.depth - 1] AND node.depth > 0""",
+    "op13_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
 }

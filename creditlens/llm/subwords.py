@@ -23,16 +23,17 @@ _CALL_WORDS = 128
 _CLOSING = b".,;:!?*$&%#"
 
 
-class _Recent:
-    """Bounded map: when the young generation is full it becomes the old one."""
+class Recent:
+    """Bounded map: when the young generation of ``limit`` entries is full it becomes the old one."""
 
-    def __init__(self) -> None:
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+        self.young: dict = {}
+        self.old: dict = {}
 
     def missing(self, words: Iterable[bytes]) -> list[bytes]:
         """The ``words`` that are not kept; the others are in ``young`` afterwards."""
-        if len(self.young) > CACHE_WORDS:
+        if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
         out = []
         for w in set(words).difference(self.young):
@@ -49,7 +50,7 @@ class WordIds:
 
     def __init__(self, name: str):
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.words, self.stems = _Recent(), _Recent()
+        self.words, self.stems = Recent(CACHE_WORDS), Recent(CACHE_WORDS)
 
     def _encode(self, stems: list[bytes]) -> None:
         for i in range(0, len(stems), _CALL_WORDS):
