@@ -199,17 +199,14 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int = 4, max
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` (same columns) that represent their component: the
-    first by id (null ids last), then by hash of the text; of rows with equal
-    id and text, one.  So a component without any id keeps one row too.  Rows
-    with the same id count as one document: where several of its texts each
-    represent a component, the first by hash stays."""
+    """The rows of ``docs`` (same columns) that represent their component, one
+    each: the first by id (null ids last), then by hash of the text; of rows
+    with equal id and text, one.  So a component without any id keeps one row
+    too, and different texts under one id stay where their components differ."""
     fps, labelled = _labelled(docs, id_col, text_col, **how)
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "h1", "h2")
-    first = (fps.join(labelled.select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("x"))
-             .select("root", "x.doc_id", F.struct("x.h1", "x.h2").alias("h")))
-    keep = (first.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("root")).alias("root")).agg(F.min("h").alias("h"))
-            .select(F.col("doc_id").alias("_keep_id"), F.col("h.h1").alias("_keep_1"), F.col("h.h2").alias("_keep_2")))
+    first = fps.join(labelled.select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("x"))
+    keep = first.select(F.col("x.doc_id").alias("_keep_id"), F.col("x.h1").alias("_keep_1"), F.col("x.h2").alias("_keep_2"))
     h1, h2 = _text_hashes(text_col)
     rows = docs.withColumns({"_row_1": h1, "_row_2": h2})
     same = rows[id_col].eqNullSafe(keep["_keep_id"]) & (rows["_row_1"] == keep["_keep_1"]) & (rows["_row_2"] == keep["_keep_2"])

@@ -2,7 +2,9 @@
 
 The tokenizers used here split at white space and between letters and other
 characters, so the ids of a text are the ids of its words one after another,
-and a letter followed by closing punctuation may be split there too.  A worker
+and a letter followed by closing punctuation may be split there too, unless
+normalising turns the letter's end into something else (a dotted capital I
+ends in a combining dot): the tokenizer itself is asked, once per letter.  A worker
 keeps the ids of recent words and word stems; only unseen stems go through the
 tokenizer, many in one call, and the offsets that it returns say which ids
 belong to which stem.
@@ -51,6 +53,7 @@ class WordIds:
     def __init__(self, name: str):
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.words, self.stems = Recent(CACHE_WORDS), Recent(CACHE_WORDS)
+        self.closed: dict[str, bool] = {}
 
     def _encode(self, stems: list[bytes]) -> None:
         for i in range(0, len(stems), _CALL_WORDS):
@@ -65,10 +68,17 @@ class WordIds:
             for w, a, b in zip(part, edges, edges[1:]):
                 self.stems.young[w] = packed[4 * a:4 * b]
 
-    @staticmethod
-    def _split(word: bytes) -> tuple[bytes, bytes]:
+    def _closes(self, letter: str) -> bool:
+        """Whether the tokenizer splits between ``letter`` and punctuation after it."""
+        if letter not in self.closed:
+            t, text = self.tokenizer, f"a{letter}."
+            text = t.normalizer.normalize_str(text) if t.normalizer else text
+            self.closed[letter] = letter.isalpha() and t.pre_tokenizer.pre_tokenize_str(text)[-1][0][:1] == "."
+        return self.closed[letter]
+
+    def _split(self, word: bytes) -> tuple[bytes, bytes]:
         stem = word.rstrip(_CLOSING)
-        if len(stem) == len(word) or not stem or not (97 <= stem[-1] <= 122 or stem.decode()[-1].isalpha()):
+        if len(stem) == len(word) or not stem or not (97 <= stem[-1] <= 122 or self._closes(stem[-4:].decode(errors="ignore")[-1:])):
             return word, b""
         return stem, word[len(stem):]
 
