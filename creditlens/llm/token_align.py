@@ -23,7 +23,7 @@ import json
 import os
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -36,12 +36,12 @@ from creditlens.llm.common import map_batches, raw_bytes, ship, store
 from creditlens.llm.subwords import Recent
 
 #: Words in each of the two generations of a worker's caches; longer words than LONG bytes are not kept.
-CACHE_WORDS, LONG = 100_000, 100
+CACHE_WORDS, LONG = 150_000, 100
 #: Id pairs that are broadcast at most; more are joined by a shuffle.
 MAX_PAIRS = 4_000_000
 #: Bytes of a text that are cut into words at a time.
 SLICE = 1 << 20
-_TEXTS, _CALL = 64, 512
+_CALL = 1024
 #: Where a text may be cut: before a single space that no other white space can follow, before a line feed after a
 #: visible ASCII character, before closing punctuation after an ASCII letter.
 _CUT = re.compile(rb"(?<=[^ ])(?= [!-~\x80-\xc1\xc3-\xe0\xe4-\xff])|(?<=[!-~])(?=\n)|(?<=[A-Za-z])(?=[,.;:!?])")
@@ -58,29 +58,13 @@ def byte_of_symbol() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def byte_ends(spans: list[tuple[int, int]], sizes: list[int]) -> list[int]:
+def byte_ends(begin: np.ndarray, end: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """End offset of each token: its span's end where the next span starts there
     (a coarse cut), else the end before plus the bytes that it decodes to."""
-    ends, at, n = [], 0, len(spans)
-    for i, (start, end) in enumerate(spans):
-        coarse = end > start and (i + 1 == n or spans[i + 1][0] >= end)
-        at = end if coarse else at + sizes[i]
-        ends.append(at)
-    return ends
-
-
-def groups_and_links(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> tuple[bytes, list[tuple[int, int]]]:
-    """``a1,a2|b1;a3|b2`` and the linked id pairs in order."""
-    groups, links, i, j, i0, j0 = [], [], 0, 0, 0, 0
-    while i < len(a) and j < len(b):
-        links.append((a[i], b[j]))
-        x, y = a_ends[i], b_ends[j]
-        i += x <= y
-        j += y <= x
-        if x == y:
-            groups.append(",".join(map(str, a[i0:i])) + "|" + ",".join(map(str, b[j0:j])))
-            i0, j0 = i, j
-    return ";".join(groups).encode(), links
+    n, upto = len(sizes), np.cumsum(sizes)
+    coarse = (end > begin) & (np.append(begin[1:], end[-1:]) >= end)
+    last = np.maximum.accumulate(np.where(coarse, np.arange(n), -1))  # the coarse cut at or before each token
+    return np.where(last >= 0, end[last] + upto - upto[last], upto)
 
 
 class Aligner:
@@ -92,13 +76,21 @@ class Aligner:
         from tokenizers import Tokenizer
         self.a = Tokenizer.from_file(public_tokenizers.path(a))
         self.a.encode_special_tokens = True
-        symbols = byte_of_symbol()
-        self.a_bytes = {i: bytes(symbols[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
+        symbols, size_a = byte_of_symbol(), self.a.get_vocab_size()
+        vocabulary = self.a.get_vocab(with_added_tokens=False)
+        self.a_bytes = [b""] * size_a
+        for token, i in vocabulary.items():
+            self.a_bytes[i] = bytes(symbols[c] for c in token)
         self.b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(b))
         self.size_b = self.b.get_piece_size()
         pieces = [self.b.id_to_piece(i) for i in range(self.size_b)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes))
+        self.kind = code_kind(size_a, self.size_b)
+        # an id as it is written: within a group, and last of its side in it
+        self.written = [b"%d%s" % (i, end) for n, ends in ((size_a, (b",", b"|")), (self.size_b, (b",", b";")))
+                        for i in range(n) for end in ends]
         before = json.loads(self.a.pre_tokenizer.__getstate__())
         joined = (p for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i)))
         self.cuts = (before.get("type") == "ByteLevel" and before.get("use_regex", True) and not any(
@@ -121,33 +113,50 @@ class Aligner:
                 yield [p[1:] if p[:1] == b" " else _BARE + p for p in _CUT.split(part)]
             at = end
 
-    def _align(self, parts: list[bytes]) -> Iterator[tuple | None]:
-        """The alignment of each part (with its leading space, if it has one)."""
-        texts = [p.decode() for p in parts]
-        side_a = self.a.encode_batch(texts, add_special_tokens=False)
-        # B puts a space before a text; a part without one follows a letter instead, which B joins to nothing after it
-        side_b = self.b.encode([t[1:] if t[:1] == " " else "x" + t for t in texts], num_threads=1, return_type="proto")
-        for data, text, x, y in zip(parts, texts, side_a, side_b):
-            a, spans = x.ids, x.offsets
-            if len(text) != len(data):
-                places = np.zeros(len(text) + 1, np.int64)
-                np.cumsum([1 if c < "\x80" else len(c.encode()) for c in text], out=places[1:])
-                places = places.tolist()
-                spans = [(places[s], places[e]) for s, e in spans]
-            b = [p.id for p in y.pieces]
-            if data[:1] == b" ":
-                moved = [(p.begin + 1 if p.begin else 0, p.end + 1 if p.end else 0) for p in y.pieces]
-            else:
-                b, moved = b[1:], [(max(p.begin - 1, 0), max(p.end - 1, 0)) for p in y.pieces][1:]
-            bytes_a, bytes_b = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            if b"".join(bytes_a) != data or b"".join(bytes_b) != data:
-                yield None
-                continue
-            groups, links = groups_and_links(a, byte_ends(spans, list(map(len, bytes_a))),
-                                             b, byte_ends(moved, list(map(len, bytes_b))))
-            yield groups, np.array([i * self.size_b + j for i, j in links], np.int64).tobytes(), len(a)
-
-    def learn(self, keys: list[bytes]) -> None:
+    def _align(self, parts: list[bytes]) -> list[tuple | None]:
+        """The alignment of each part, many in one text.  A part without a space
+        before it follows a letter, which neither side joins to it."""
+        if len(parts) > 1 and any(p[-1:] == b" " for p in parts):  # only these could join the next part
+            return [x for p in parts for x in self._align([p])]
+        laid = [p if p[:1] == b" " else b" x" + p for p in parts]
+        data = b"".join(laid)
+        ends = np.cumsum(np.fromiter(map(len, laid), np.int64, len(laid)))
+        starts = ends - np.fromiter(map(len, parts), np.int64, len(parts))
+        text = data.decode()
+        side_a = self.a.encode(text, add_special_tokens=False)
+        side_b = self.b.encode(text[1:], return_type="proto").pieces  # B puts the first space before its text
+        a_ids, b_spans = side_a.ids, [(p.id, p.begin, p.end) for p in side_b]
+        same = (b"".join([self.a_bytes[i] for i in a_ids]) == data == b"".join([self.b_bytes[i] for i, _, _ in b_spans]))
+        if same:
+            a, spans = np.array(a_ids, np.int64), np.array(side_a.offsets, np.int64)
+            if len(text) != len(data):  # characters to bytes
+                starts_of = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
+                spans = np.append(starts_of, len(data))[spans]
+            b, begin, end = np.array(b_spans, np.int64).T
+            a_end = byte_ends(spans[:, 0], spans[:, 1], self.a_sizes[a])
+            b_end = byte_ends(np.append(0, begin[1:] + 1), np.append(end[0] + 1 if end[0] else 0, end[1:] + 1), self.b_sizes[b])
+            edges = np.union1d(ends, starts[starts > 0])
+            same = bool(np.isin(edges, a_end).all() and np.isin(edges, b_end).all())
+        if not same:
+            half = len(parts) // 2
+            return [None] if not half else self._align(parts[:half]) + self._align(parts[half:])
+        union, common = np.union1d(a_end, b_end), np.intersect1d(a_end, b_end, assume_unique=True)
+        codes = (a[np.searchsorted(a_end, union)] * self.size_b + b[np.searchsorted(b_end, union)]).astype(self.kind)
+        group_a, group_b = np.searchsorted(common, a_end), np.searchsorted(common, b_end)
+        place = np.concatenate((2 * group_a, 2 * group_b + 1))
+        order = np.argsort(place, kind="stable")
+        place = place[order]
+        name = np.concatenate((2 * a + (common[group_a] == a_end), 2 * (len(self.a_bytes) + b) + (common[group_b] == b_end)))[order]
+        written = list(map(self.written.__getitem__, name.tolist()))
+        after = lambda x, edge: np.searchsorted(x, edge, "right")
+        width = self.kind.itemsize
+        first, last = (np.searchsorted(place, 2 * after(common, e)).tolist() for e in (starts, ends))
+        low, high = ((after(union, e) * width).tolist() for e in (starts, ends))
+        n_a = (after(a_end, ends) - after(a_end, starts)).tolist()
+        raw = codes.tobytes()
+        return [(b"".join(written[i:j])[:-1], raw[x:y], n) for i, j, x, y, n in zip(first, last, low, high, n_a)]
+
+    def learn(self, keys: Iterable[bytes]) -> None:
         """Make the alignment of every one of ``keys`` present in ``words.young``."""
         for w in self.passing:
             self.words.young.pop(w, None)
@@ -156,21 +165,28 @@ class Aligner:
         cut = {w: _CUT.split(data) if self.cuts else [data] for w in new
                for data in [w[1:] if w[:1] == _BARE else b" " + w]}
         missing = self.parts.missing(p for parts in cut.values() for p in parts)
-        for i in range(0, len(missing), _CALL):
-            self.parts.young.update(zip(missing[i:i + _CALL], self._align(missing[i:i + _CALL])))
+        odd = [p for p in missing if p[-1:] == b" "]
+        plain = [p for p in missing if p[-1:] != b" "]
         known = self.parts.young
+        for i in range(0, len(plain), _CALL):
+            known.update(zip(plain[i:i + _CALL], self._align(plain[i:i + _CALL])))
+        known.update((p, self._align([p])[0]) for p in odd)
         for w, parts in cut.items():
             found = [known[p] for p in parts]
-            self.words.young[w] = None if None in found else found[0] if len(found) == 1 else (
-                b";".join([x[0] for x in found]), b"".join([x[1] for x in found]), sum(x[2] for x in found))
+            self.words.young[w] = found[0] if len(found) == 1 else None if None in found else (
+                b";".join([x[0] for x in found]), b"".join([x[1] for x in found]), sum([x[2] for x in found]))
         for p in missing:
             if len(p) > LONG:
                 del known[p]
 
-    def known(self, keys: list[bytes]) -> list[tuple | None]:
+    def known(self, keys: Iterable[bytes]) -> list[tuple | None]:
         return list(map(self.words.young.__getitem__, keys))
 
 
+def code_kind(size_a: int, size_b: int) -> np.dtype:
+    return np.dtype(np.uint32 if size_a * size_b <= 2**32 else np.int64)
+
+
 _LOADED: dict[tuple[str, str], Aligner] = {}
 
 
@@ -185,11 +201,35 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+def _batches(batches: Iterator[pa.RecordBatch], tool: Aligner) -> Iterator[tuple[pa.RecordBatch, list[list[list[bytes]] | None]]]:
+    """Rows of about SLICE bytes with the words of their texts, which are
+    learned; a longer text comes alone, as None and its bytes are cut later."""
     for batch in batches:
-        for at in range(0, batch.num_rows, _TEXTS):
-            part = batch.slice(at, _TEXTS)
-            yield part, raw_bytes(part, "text")
+        texts = raw_bytes(batch, "text")
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end] or b"") <= SLICE):
+                size += len(texts[end] or b"")
+                end += 1
+            part = texts[at:end]
+            if len(part) == 1 and size > SLICE:
+                yield batch.slice(at, 1), part
+            else:
+                words = [next(tool.keys(b" " + t)) if t else [] for t in part]
+                tool.learn(w for keys in words for w in keys)
+                yield batch.slice(at, end - at), words
+            at = end
+
+
+def _slices(words: list[bytes] | bytes, tool: Aligner) -> Iterator[list[bytes]]:
+    """The words of a text, learned, some at a time."""
+    if isinstance(words, bytes):
+        for keys in tool.keys(b" " + words):
+            tool.learn(keys)
+            yield keys
+    elif words:
+        yield words
 
 
 def _sum_by_code(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -203,33 +243,42 @@ def pair_counts(docs: DataFrame, a: str, b: str, text_col: str = "text") -> Data
     """``(code, n, best)``: how many links of the corpus hold an id pair, and
     whether that is the most that its B id has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, codes, counts, held = aligner(a, b), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
-        for _, texts in _batches(batches):
+        tool = aligner(a, b)
+        none = [np.zeros(0, tool.kind)], [np.zeros(0, np.int64)]
+        (codes, counts), held = none, 0
+
+        def sums() -> tuple[list[np.ndarray], list[np.ndarray]]:
+            x, n = _sum_by_code(codes, counts)
+            return [x], [n]
+
+        for _, texts in _batches(batches, tool):
             seen: Counter = Counter()
-            for text in texts:
-                one: Counter = Counter()
-                for keys in tool.keys(b" " + text) if text else ():
-                    one.update(keys)
-                tool.learn(one)
-                if None not in tool.known(one):
-                    for w in tool.passing:  # not kept beyond this text
-                        codes.append(np.frombuffer(tool.words.young[w][1], np.int64))
-                        counts.append(np.full(len(codes[-1]), one.pop(w), np.int64))
-                    seen.update(one)
-            tool.learn(seen)
-            parts = [np.frombuffer(x[1], np.int64) for x in tool.known(seen)]
+            for words in texts:
+                if isinstance(words, bytes):  # counted slice by slice, unless a word is refused
+                    parts = [[], []]
+                    for keys in _slices(words, tool):
+                        found = tool.known(keys)
+                        if None in found:
+                            parts = [[], []]
+                            break
+                        x, n = np.unique(np.frombuffer(b"".join([r[1] for r in found]), tool.kind), return_counts=True)
+                        parts[0].append(x)
+                        parts[1].append(n)
+                    codes, counts = codes + parts[0], counts + parts[1]
+                elif None not in tool.known(words):
+                    seen.update(words)
+            parts = [np.frombuffer(r[1], tool.kind) for r in tool.known(seen)]
             if parts:
                 codes.append(np.concatenate(parts))
                 counts.append(np.repeat(np.fromiter(seen.values(), np.int64, len(seen)), [len(p) for p in parts]))
-            held += sum(map(len, codes[-1:]))
+            held += sum(len(p) for p in parts)
             if held > 1 << 20:
-                codes, counts = ([x] for x in _sum_by_code(codes, counts))
-                held = 0
+                (codes, counts), held = sums(), 0
                 if len(codes[0]) > 1 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(codes[0]), pa.array(counts[0])], ["code", "n"])
-                    codes, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        x, n = _sum_by_code(codes, counts)
-        yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(n)], ["code", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(codes[0].astype(np.int64)), pa.array(counts[0])], ["code", "n"])
+                    codes, counts = none
+        codes, counts = sums()
+        yield pa.RecordBatch.from_arrays([pa.array(codes[0].astype(np.int64)), pa.array(counts[0])], ["code", "n"])
 
     ship(docs.sparkSession)
     size_b = aligner(a, b).size_b
@@ -243,36 +292,42 @@ def pair_counts(docs: DataFrame, a: str, b: str, text_col: str = "text") -> Data
 _OUT = "n_a long, n_b long, n_groups long, n_links long, groups string"
 
 
-def _text_rows(batch: pa.RecordBatch, texts: list[bytes | None], tool: Aligner, score) -> Iterator[tuple]:
+def _text_rows(texts: list, tool: Aligner, score) -> Iterator[tuple]:
     """``(n_a, n_b, n_groups, n_links, groups, score total 1, score total 2)`` per text."""
-    for text in texts:
-        groups, n_a, n_links, best, total = [], 0, 0, 0, 0
-        for keys in tool.keys(b" " + text) if text else ():
-            tool.learn(keys)
+    for words in texts:
+        groups, n_a, size, best, total = [], 0, 0, 0, 0
+        for keys in _slices(words, tool):
             found = tool.known(keys)
             if None in found:
-                groups, n_a, n_links, best, total = [], 0, 0, 0, 0
+                groups, n_a, size, best, total = [], 0, 0, 0, 0
                 break
             groups.append(b";".join([x[0] for x in found]))
+            size += sum([len(x[1]) for x in found])
             n_a += sum([x[2] for x in found])
-            n_links += sum([len(x[1]) for x in found]) // 8
             more = score(keys, found)
             best, total = best + more[0], total + more[1]
-        joined = b";".join(groups)
+        joined, n_links = b";".join(groups), size // tool.kind.itemsize
         n_groups = joined.count(b";") + 1 if joined else 0
         # the links of a group are one less than its tokens
         yield n_a, n_links + n_groups - n_a, n_groups, n_links, joined, best, total
 
 
+def _columns(texts: list, tool: Aligner, score) -> tuple[list[pa.Array], list[pa.Array]]:
+    cols = list(zip(*_text_rows(texts, tool, score)))
+    return ([*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.binary()).cast(pa.string())],
+            [pa.array(c, pa.int64()) for c in cols[5:]])
+
+
+_NAMES = ("n_a", "n_b", "n_groups", "n_links", "groups")
+
+
 def _plain(docs: DataFrame, a: str, b: str) -> DataFrame:
     """``(doc_id, row, ...)`` without the counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = aligner(a, b)
-        for batch, texts in _batches(batches):
-            cols = list(zip(*_text_rows(batch, texts, tool, lambda keys, found: (0, 0))))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.binary()).cast(pa.string())],
-                ["doc_id", "row", "n_a", "n_b", "n_groups", "n_links", "groups"])
+        for batch, texts in _batches(batches, tool):
+            out, _ = _columns(texts, tool, lambda keys, found: (0, 0))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *out], ["doc_id", "row", *_NAMES])
     rows = docs.select("doc_id", "row", "text")
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, row long, {_OUT}")
 
@@ -281,19 +336,18 @@ def _links(docs: DataFrame, a: str, b: str) -> DataFrame:
     """``(row, code, k)``: the links of each row by id pair."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = aligner(a, b)
-        for batch, texts in _batches(batches):
-            for row, text in zip(batch.column(0).to_pylist(), texts):
-                codes, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-                for keys in tool.keys(b" " + text) if text else ():
-                    tool.learn(keys)
+        for batch, texts in _batches(batches, tool):
+            for row, words in zip(batch.column(0).to_pylist(), texts):
+                codes, counts = [np.zeros(0, tool.kind)], [np.zeros(0, np.int64)]
+                for keys in _slices(words, tool):
                     found = tool.known(keys)
                     if None in found:
                         codes, counts = codes[:1], counts[:1]
                         break
-                    codes.append(np.frombuffer(b"".join([x[1] for x in found]), np.int64))
+                    codes.append(np.frombuffer(b"".join([x[1] for x in found]), tool.kind))
                     counts.append(np.ones(len(codes[-1]), np.int64))
                 x, n = _sum_by_code(codes, counts)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), row, np.int64)), pa.array(x), pa.array(n)],
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), row, np.int64)), pa.array(x.astype(np.int64)), pa.array(n)],
                                                  ["row", "code", "k"])
     return docs.select("row", "text").mapInArrow(run, "row long, code long, k long")
 
@@ -329,25 +383,26 @@ def align(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, (code, n, best), scores = aligner(a, b), shared.value, {}
+        width = tool.kind.itemsize
+        code = code.astype(tool.kind)
 
         def score(keys: list[bytes], found: list[tuple]) -> tuple[int, int]:
+            """n_best and count_sum of a text, from those of its words."""
             if len(scores) > 2 * CACHE_WORDS:
                 scores.clear()
-            new = [(w, x[1]) for w, x in dict(zip(keys, found)).items() if w not in scores]
+            new = [(w, x[1]) for w, x in zip(keys, found) if w not in scores]
             if new:
-                at = np.searchsorted(code, np.frombuffer(b"".join([x for _, x in new]), np.int64))
-                first = np.cumsum([0] + [len(x) // 8 for _, x in new])[:-1]
+                at = np.searchsorted(code, np.frombuffer(b"".join([x for _, x in new]), tool.kind))
+                first = np.cumsum([0] + [len(x) // width for _, x in new])[:-1]
                 scores.update(zip([w for w, _ in new], zip(np.add.reduceat(best[at].astype(np.int64), first).tolist(),
                                                            np.add.reduceat(n[at], first).tolist())))
             got = list(map(scores.__getitem__, keys))
-            for w in tool.passing:
-                scores.pop(w, None)
+            for w, _ in new:
+                if len(w) > LONG:
+                    scores.pop(w, None)
             return sum([x[0] for x in got]), sum([x[1] for x in got])
 
-        for batch, texts in _batches(batches):
-            cols = list(zip(*_text_rows(batch, texts, tool, score)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.binary()).cast(pa.string()),
-                 pa.array(cols[5], pa.int64()), pa.array(cols[6], pa.int64())],
-                ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "n_best", "count_sum"])
+        for batch, texts in _batches(batches, tool):
+            out, more = _columns(texts, tool, score)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *out, *more], ["doc_id", *_NAMES, "n_best", "count_sum"])
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {_OUT}, n_best long, count_sum long")

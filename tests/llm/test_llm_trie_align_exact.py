@@ -4,7 +4,9 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -185,11 +187,15 @@ def test_words_align_like_whole_texts():
 
 
 def test_coarse_cuts_and_refined_ends():
+    ends = lambda spans, sizes: token_align.byte_ends(*np.array(spans).T, np.array(sizes)).tolist()
     # a character of three bytes over two A tokens; byte fallback has empty spans
-    assert token_align.byte_ends([(0, 1), (1, 4), (1, 4), (4, 5)], [1, 2, 1, 1]) == [1, 3, 4, 5]
-    assert token_align.byte_ends([(0, 0), (1, 1), (1, 1), (1, 4)], [1, 1, 1, 1]) == [1, 2, 3, 4]
-    groups, links = token_align.groups_and_links([1, 2, 3], [1, 3, 4], [7, 8], [2, 4])
-    assert groups == b"1,2,3|7,8" and links == [(1, 7), (2, 7), (2, 8), (3, 8)]
+    assert ends([(0, 1), (1, 4), (1, 4), (4, 5)], [1, 2, 1, 1]) == [1, 3, 4, 5]
+    assert ends([(0, 0), (1, 1), (1, 1), (1, 4)], [1, 1, 1, 1]) == [1, 2, 3, 4]
+    tool = token_align.Aligner("byte_bpe_50k.json", "piece_bpe_32k.model")
+    # the first part stands for itself, the last after a letter; U+2581 is refused alone
+    parts = [" 漢字".encode(), b" Tree", " x▁y".encode(), b"\nb", b",!"]
+    together, alone = tool._align(parts), [tool._align([p])[0] for p in parts]
+    assert together == alone and [x is None for x in alone] == [False, False, True, False, False]
 
 
 def test_alignment_of_nothing(nothing):
@@ -247,10 +253,14 @@ def test_exact_keeps_rows(messy, messy_rows, nothing):
 def test_slices_and_small_caches_change_nothing(messy_rows, monkeypatch):
     texts = [r[1] for r in messy_rows if r[1]] + [t for t in ODD if t]
     whole = token_align.Aligner("byte_bpe_50k.json", "piece_bpe_32k.model")
-    want = list(token_align._text_rows(None, [t.encode() for t in texts], whole, lambda keys, found: (0, 0)))
+    none = lambda keys, found: (0, 0)
+    want = list(token_align._text_rows([t.encode() for t in texts], whole, none))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    assert [r for _, words in token_align._batches([batch], whole) for r in token_align._text_rows(words, whole, none)] == want
     monkeypatch.setattr(token_align, "CACHE_WORDS", 30)
     monkeypatch.setattr(token_align, "SLICE", 200)
     small = token_align.Aligner("byte_bpe_50k.json", "piece_bpe_32k.model")
     assert sum(len(list(small.keys((" " + t).encode()))) for t in texts) > 2 * len(texts)
-    assert list(token_align._text_rows(None, [t.encode() for t in texts], small, lambda keys, found: (0, 0))) == want
+    assert list(token_align._text_rows([t.encode() for t in texts], small, none)) == want
+    assert [r for _, words in token_align._batches([batch], small) for r in token_align._text_rows(words, small, none)] == want
     assert len(small.words.young) <= 30 + max(len(t.split()) for t in texts)
