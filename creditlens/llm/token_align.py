@@ -13,8 +13,11 @@ Neither tokenizer joins characters across certain places (a single space
 before a character, a line feed after one, closing punctuation after a letter;
 checked against the pieces of B when it is loaded), so a text is the sequence
 of the words between them and a worker keeps the alignment of recent words.
-Links of an id pair are counted over the corpus with a map-side sum per task;
-a second pass looks the counts up.
+
+The texts are encoded once.  What is stored of a text are its links in order,
+each with the side or sides that end with it; groups and counts follow from
+that.  Links of an id pair are counted over the corpus with a map-side sum per
+task, and a last pass looks the counts up.
 """
 
 from __future__ import annotations
@@ -22,25 +25,27 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditlens.llm.common import map_batches, raw_bytes, ship, store
+from creditlens.llm.common import raw_bytes, ship, store
 from creditlens.llm.subwords import Recent
 
 #: Words in each of the two generations of a worker's caches; longer words than LONG bytes are not kept.
-CACHE_WORDS, LONG = 150_000, 100
+CACHE_WORDS, LONG = 300_000, 100
 #: Id pairs that are broadcast at most; more are joined by a shuffle.
 MAX_PAIRS = 4_000_000
 #: Bytes of a text that are cut into words at a time.
 SLICE = 1 << 20
+#: Links that are turned into text, or looked up, at a time.
+LINKS = 1 << 18
 _CALL = 1024
 #: Where a text may be cut: before a single space that no other white space can follow, before a line feed after a
 #: visible ASCII character, before closing punctuation after an ASCII letter.
@@ -68,8 +73,10 @@ def byte_ends(begin: np.ndarray, end: np.ndarray, sizes: np.ndarray) -> np.ndarr
 
 
 class Aligner:
-    """Both tokenizers, and the alignment of recent words: ``(groups, codes, n_a)``,
-    or None where the decoded bytes differ.  A code is a * size_b + b."""
+    """Both tokenizers, and the alignment of recent words: the packed codes of
+    their links (a * size_b + b) and a byte per link, 1 where the token of A
+    ends with it, 2 where that of B does, 3 where a group does; or None where
+    the decoded bytes differ."""
 
     def __init__(self, a: str, b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -88,9 +95,6 @@ class Aligner:
                         for i, p in enumerate(pieces)]
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes))
         self.kind = code_kind(size_a, self.size_b)
-        # an id as it is written: within a group, and last of its side in it
-        self.written = [b"%d%s" % (i, end) for n, ends in ((size_a, (b",", b"|")), (self.size_b, (b",", b";")))
-                        for i in range(n) for end in ends]
         before = json.loads(self.a.pre_tokenizer.__getstate__())
         joined = (p for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i)))
         self.cuts = (before.get("type") == "ByteLevel" and before.get("use_regex", True) and not any(
@@ -140,21 +144,13 @@ class Aligner:
         if not same:
             half = len(parts) // 2
             return [None] if not half else self._align(parts[:half]) + self._align(parts[half:])
-        union, common = np.union1d(a_end, b_end), np.intersect1d(a_end, b_end, assume_unique=True)
-        codes = (a[np.searchsorted(a_end, union)] * self.size_b + b[np.searchsorted(b_end, union)]).astype(self.kind)
-        group_a, group_b = np.searchsorted(common, a_end), np.searchsorted(common, b_end)
-        place = np.concatenate((2 * group_a, 2 * group_b + 1))
-        order = np.argsort(place, kind="stable")
-        place = place[order]
-        name = np.concatenate((2 * a + (common[group_a] == a_end), 2 * (len(self.a_bytes) + b) + (common[group_b] == b_end)))[order]
-        written = list(map(self.written.__getitem__, name.tolist()))
-        after = lambda x, edge: np.searchsorted(x, edge, "right")
+        union = np.union1d(a_end, b_end)
+        at_a, at_b = np.searchsorted(a_end, union), np.searchsorted(b_end, union)
+        codes = (a[at_a] * self.size_b + b[at_b]).astype(self.kind).tobytes()
+        sides = ((a_end[at_a] == union) + 2 * (b_end[at_b] == union)).astype(np.uint8).tobytes()
+        low, high = (np.searchsorted(union, e, "right").tolist() for e in (starts, ends))
         width = self.kind.itemsize
-        first, last = (np.searchsorted(place, 2 * after(common, e)).tolist() for e in (starts, ends))
-        low, high = ((after(union, e) * width).tolist() for e in (starts, ends))
-        n_a = (after(a_end, ends) - after(a_end, starts)).tolist()
-        raw = codes.tobytes()
-        return [(b"".join(written[i:j])[:-1], raw[x:y], n) for i, j, x, y, n in zip(first, last, low, high, n_a)]
+        return [(codes[width * i:width * j], sides[i:j]) for i, j in zip(low, high)]
 
     def learn(self, keys: Iterable[bytes]) -> None:
         """Make the alignment of every one of ``keys`` present in ``words.young``."""
@@ -174,7 +170,7 @@ class Aligner:
         for w, parts in cut.items():
             found = [known[p] for p in parts]
             self.words.young[w] = found[0] if len(found) == 1 else None if None in found else (
-                b";".join([x[0] for x in found]), b"".join([x[1] for x in found]), sum([x[2] for x in found]))
+                b"".join([x[0] for x in found]), b"".join([x[1] for x in found]))
         for p in missing:
             if len(p) > LONG:
                 del known[p]
@@ -197,10 +193,6 @@ def aligner(a: str, b: str) -> Aligner:
     return _LOADED[a, b]
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-
-
 def _batches(batches: Iterator[pa.RecordBatch], tool: Aligner) -> Iterator[tuple[pa.RecordBatch, list[list[list[bytes]] | None]]]:
     """Rows of about SLICE bytes with the words of their texts, which are
     learned; a longer text comes alone, as None and its bytes are cut later."""
@@ -232,124 +224,146 @@ def _slices(words: list[bytes] | bytes, tool: Aligner) -> Iterator[list[bytes]]:
         yield words
 
 
+def text_links(words: list[bytes] | bytes | None, tool: Aligner) -> tuple[bytes, bytes]:
+    """Codes and sides of a text's links; none where a word is refused."""
+    codes, sides = [], []
+    for keys in _slices(words, tool):
+        found = tool.known(keys)
+        if None in found:
+            return b"", b""
+        codes += [x[0] for x in found]
+        sides += [x[1] for x in found]
+        if len(codes) > 4 * SLICE:
+            codes, sides = [b"".join(codes)], [b"".join(sides)]
+    return b"".join(codes), b"".join(sides)
+
+
+def stored_links(docs: DataFrame, a: str, b: str) -> DataFrame:
+    """``(doc_id, row, n, links)`` per row of ``(doc_id, text)``: its links,
+    packed; ``row`` numbers the rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool, squeeze = aligner(a, b), zstandard.ZstdCompressor(1)
+        for batch, texts in _batches(batches, tool):
+            found = [text_links(words, tool) for words in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([len(sides) for _, sides in found], pa.int64()),
+                 pa.array([squeeze.compress(codes + sides) for codes, sides in found], pa.binary())], ["doc_id", "row", "n", "links"])
+    ship(docs.sparkSession)
+    rows = docs.withColumn("row", F.monotonically_increasing_id()).select("doc_id", "row", "text")
+    return store(rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, row long, n long, links binary"),
+                 "align-links")
+
+
+def _unpacked(batch: pa.RecordBatch, kind: np.dtype) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Codes and sides of each row."""
+    expand = zstandard.ZstdDecompressor()
+    for n, blob in zip(batch.column("n").to_pylist(), batch.column("links")):
+        raw = expand.decompress(blob.as_buffer()) if n else b""
+        yield np.frombuffer(raw, kind, n), np.frombuffer(raw, np.uint8, n, n * kind.itemsize)
+
+
 def _sum_by_code(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     unique, inverse = np.unique(np.concatenate(codes), return_inverse=True)
-    total = np.zeros(len(unique), np.int64)
-    np.add.at(total, inverse, np.concatenate(counts))
-    return unique, total
+    return unique, np.bincount(inverse, np.concatenate(counts), len(unique)).astype(np.int64)
 
 
-def pair_counts(docs: DataFrame, a: str, b: str, text_col: str = "text") -> DataFrame:
+def pair_counts(links: DataFrame, kind: np.dtype, size_b: int) -> DataFrame:
     """``(code, n, best)``: how many links of the corpus hold an id pair, and
     whether that is the most that its B id has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = aligner(a, b)
-        none = [np.zeros(0, tool.kind)], [np.zeros(0, np.int64)]
-        (codes, counts), held = none, 0
-
-        def sums() -> tuple[list[np.ndarray], list[np.ndarray]]:
-            x, n = _sum_by_code(codes, counts)
-            return [x], [n]
-
-        for _, texts in _batches(batches, tool):
-            seen: Counter = Counter()
-            for words in texts:
-                if isinstance(words, bytes):  # counted slice by slice, unless a word is refused
-                    parts = [[], []]
-                    for keys in _slices(words, tool):
-                        found = tool.known(keys)
-                        if None in found:
-                            parts = [[], []]
-                            break
-                        x, n = np.unique(np.frombuffer(b"".join([r[1] for r in found]), tool.kind), return_counts=True)
-                        parts[0].append(x)
-                        parts[1].append(n)
-                    codes, counts = codes + parts[0], counts + parts[1]
-                elif None not in tool.known(words):
-                    seen.update(words)
-            parts = [np.frombuffer(r[1], tool.kind) for r in tool.known(seen)]
-            if parts:
-                codes.append(np.concatenate(parts))
-                counts.append(np.repeat(np.fromiter(seen.values(), np.int64, len(seen)), [len(p) for p in parts]))
-            held += sum(len(p) for p in parts)
-            if held > 1 << 20:
-                (codes, counts), held = sums(), 0
-                if len(codes[0]) > 1 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(codes[0].astype(np.int64)), pa.array(counts[0])], ["code", "n"])
-                    codes, counts = none
-        codes, counts = sums()
-        yield pa.RecordBatch.from_arrays([pa.array(codes[0].astype(np.int64)), pa.array(counts[0])], ["code", "n"])
-
-    ship(docs.sparkSession)
-    size_b = aligner(a, b).size_b
-    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "code long, n long")
-    total = store(rows.groupBy("code").agg(F.sum("n").alias("n")), "align-counts")
+        total, held, size = (np.zeros(0, kind), np.zeros(0, np.int64)), [], 0
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(total[0].astype(np.int64)), pa.array(total[1])], ["code", "n"])
+
+        for batch in batches:
+            for codes, _ in _unpacked(batch, kind):
+                held.append(codes)
+                size += len(codes)
+                if size > 1 << 21:
+                    x, n = np.unique(np.concatenate(held), return_counts=True)
+                    total, held, size = _sum_by_code([total[0], x], [total[1], n]), [], 0
+                    if len(total[0]) > 1 << 21:
+                        yield out()
+                        total = np.zeros(0, kind), np.zeros(0, np.int64)
+        if held:
+            x, n = np.unique(np.concatenate(held), return_counts=True)
+            total = _sum_by_code([total[0], x], [total[1], n])
+        yield out()
+
+    total = store(links.select("n", "links").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")),
+                  "align-counts")
     most = total.groupBy((F.col("code") % size_b).alias("b")).agg(F.max("n").alias("most"))  # a row per B id at most
     return (total.withColumn("b", F.col("code") % size_b).join(F.broadcast(most), "b")
             .select("code", "n", (F.col("n") == F.col("most")).alias("best")))
 
 
-_OUT = "n_a long, n_b long, n_groups long, n_links long, groups string"
+def _parts(codes: np.ndarray, sides: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Whole groups, about LINKS links at a time."""
+    at = 0
+    while at < len(codes):
+        end = at + LINKS
+        while end < len(codes) and not (sides[at:end] == 3).any():
+            end += LINKS
+        if end < len(codes):
+            end = at + int(np.flatnonzero(sides[at:end] == 3)[-1]) + 1
+        yield codes[at:end], sides[at:end]
+        at = end
 
 
-def _text_rows(texts: list, tool: Aligner, score) -> Iterator[tuple]:
-    """``(n_a, n_b, n_groups, n_links, groups, score total 1, score total 2)`` per text."""
-    for words in texts:
-        groups, n_a, size, best, total = [], 0, 0, 0, 0
-        for keys in _slices(words, tool):
-            found = tool.known(keys)
-            if None in found:
-                groups, n_a, size, best, total = [], 0, 0, 0, 0
-                break
-            groups.append(b";".join([x[0] for x in found]))
-            size += sum([len(x[1]) for x in found])
-            n_a += sum([x[2] for x in found])
-            more = score(keys, found)
-            best, total = best + more[0], total + more[1]
-        joined, n_links = b";".join(groups), size // tool.kind.itemsize
-        n_groups = joined.count(b";") + 1 if joined else 0
-        # the links of a group are one less than its tokens
-        yield n_a, n_links + n_groups - n_a, n_groups, n_links, joined, best, total
+class Writer:
+    """Links -> groups as text."""
 
+    def __init__(self, size_a: int, size_b: int):
+        self.size_a, self.size_b = size_a, size_b
+        # an id as it is written: within a group, and last of its side in it
+        self.written = [b"%d%s" % (i, end) for n, ends in ((size_a, (b",", b"|")), (size_b, (b",", b";")))
+                        for i in range(n) for end in ends]
 
-def _columns(texts: list, tool: Aligner, score) -> tuple[list[pa.Array], list[pa.Array]]:
-    cols = list(zip(*_text_rows(texts, tool, score)))
-    return ([*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.binary()).cast(pa.string())],
-            [pa.array(c, pa.int64()) for c in cols[5:]])
+    def groups(self, codes: np.ndarray, sides: np.ndarray) -> bytes:
+        out = []
+        for c, s in _parts(codes, sides):
+            closed = s == 3
+            group = np.cumsum(closed) - closed
+            by_a, by_b = s & 1 > 0, s & 2 > 0
+            a, b = c[by_a] // self.size_b, c[by_b] % self.size_b
+            name = np.concatenate((2 * a.astype(np.int64) + closed[by_a], 2 * (self.size_a + b.astype(np.int64)) + closed[by_b]))
+            order = np.argsort(np.concatenate((2 * group[by_a], 2 * group[by_b] + 1)), kind="stable")
+            out += map(self.written.__getitem__, name[order].tolist())
+        return b"".join(out)[:-1]
 
 
-_NAMES = ("n_a", "n_b", "n_groups", "n_links", "groups")
+_SHAPE = "n_a long, n_b long, n_groups long, n_links long, groups string"
 
 
-def _plain(docs: DataFrame, a: str, b: str) -> DataFrame:
-    """``(doc_id, row, ...)`` without the counts."""
+def _described(links: DataFrame, kind: np.dtype, size_a: int, size_b: int, score, extra: Sequence[str]) -> DataFrame:
+    """``(doc_id, row, n_a, ..., groups, *extra)``; ``score(codes)`` gives the extra sums."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = aligner(a, b)
-        for batch, texts in _batches(batches, tool):
-            out, _ = _columns(texts, tool, lambda keys, found: (0, 0))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *out], ["doc_id", "row", *_NAMES])
-    rows = docs.select("doc_id", "row", "text")
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, row long, {_OUT}")
-
-
-def _links(docs: DataFrame, a: str, b: str) -> DataFrame:
+        writer = Writer(size_a, size_b)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part, out = batch.slice(at, 64), []
+                for codes, sides in _unpacked(part, kind):
+                    out.append((int((sides & 1 > 0).sum()), int((sides & 2 > 0).sum()), int((sides == 3).sum()), len(sides),
+                                writer.groups(codes, sides), *(score(codes) if extra else ())))
+                cols = list(zip(*out))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), *(pa.array(c, pa.int64()) for c in cols[:4]),
+                     pa.array(cols[4], pa.binary()).cast(pa.string()), *(pa.array(c, pa.int64()) for c in cols[5:])],
+                    ["doc_id", "row", "n_a", "n_b", "n_groups", "n_links", "groups", *extra])
+    kinds = f"doc_id {links.schema['doc_id'].dataType.simpleString()}, row long, {_SHAPE}" + "".join(f", {c} long" for c in extra)
+    return links.mapInArrow(run, kinds)
+
+
+def _exploded(links: DataFrame, kind: np.dtype) -> DataFrame:
     """``(row, code, k)``: the links of each row by id pair."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = aligner(a, b)
-        for batch, texts in _batches(batches, tool):
-            for row, words in zip(batch.column(0).to_pylist(), texts):
-                codes, counts = [np.zeros(0, tool.kind)], [np.zeros(0, np.int64)]
-                for keys in _slices(words, tool):
-                    found = tool.known(keys)
-                    if None in found:
-                        codes, counts = codes[:1], counts[:1]
-                        break
-                    codes.append(np.frombuffer(b"".join([x[1] for x in found]), tool.kind))
-                    counts.append(np.ones(len(codes[-1]), np.int64))
-                x, n = _sum_by_code(codes, counts)
+        for batch in batches:
+            for row, (codes, _) in zip(batch.column("row").to_pylist(), _unpacked(batch, kind)):
+                x, n = np.unique(codes, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), row, np.int64)), pa.array(x.astype(np.int64)), pa.array(n)],
                                                  ["row", "code", "k"])
-    return docs.select("row", "text").mapInArrow(run, "row long, code long, k long")
+    return links.mapInArrow(run, "row long, code long, k long")
 
 
 def align(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k.model", id_col: str = "doc_id",
@@ -367,42 +381,27 @@ def align(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k
     empty result.  The counts of more than ``max_pairs`` id pairs are joined
     by a shuffle instead of looked up, with the same result.
     """
-    spark, rows = docs.sparkSession, _rows(docs, id_col, text_col)
-    ship(spark)
-    counts = store(pair_counts(rows, a, b), "align-pairs")
+    spark, tool = docs.sparkSession, aligner(a, b)
+    size_a, size_b, kind = len(tool.a_bytes), tool.size_b, tool.kind
+    links = stored_links(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), a, b)
+    counts = store(pair_counts(links, kind, size_b), "align-pairs")
     if counts.count() > max_pairs:
-        rows = store(rows.withColumn("row", F.monotonically_increasing_id()), "align-rows")
-        scored = (_links(rows, a, b).join(counts, "code").groupBy("row")
+        scored = (_exploded(links, kind).join(counts, "code").groupBy("row")
                   .agg(F.sum(F.when(F.col("best"), F.col("k")).otherwise(0)).alias("n_best"),
                        F.sum(F.col("k") * F.col("n")).alias("count_sum")))
         zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
-        return (_plain(rows, a, b).join(scored, "row", "left")
+        return (_described(links, kind, size_a, size_b, None, ()).join(scored, "row", "left")
                 .select("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", zero("n_best"), zero("count_sum")))
     table = counts.toArrow().sort_by("code")
-    shared = spark.sparkContext.broadcast(tuple(table.column(c).to_numpy() for c in ("code", "n", "best")))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, (code, n, best), scores = aligner(a, b), shared.value, {}
-        width = tool.kind.itemsize
-        code = code.astype(tool.kind)
-
-        def score(keys: list[bytes], found: list[tuple]) -> tuple[int, int]:
-            """n_best and count_sum of a text, from those of its words."""
-            if len(scores) > 2 * CACHE_WORDS:
-                scores.clear()
-            new = [(w, x[1]) for w, x in zip(keys, found) if w not in scores]
-            if new:
-                at = np.searchsorted(code, np.frombuffer(b"".join([x for _, x in new]), tool.kind))
-                first = np.cumsum([0] + [len(x) // width for _, x in new])[:-1]
-                scores.update(zip([w for w, _ in new], zip(np.add.reduceat(best[at].astype(np.int64), first).tolist(),
-                                                           np.add.reduceat(n[at], first).tolist())))
-            got = list(map(scores.__getitem__, keys))
-            for w, _ in new:
-                if len(w) > LONG:
-                    scores.pop(w, None)
-            return sum([x[0] for x in got]), sum([x[1] for x in got])
-
-        for batch, texts in _batches(batches, tool):
-            out, more = _columns(texts, tool, score)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *out, *more], ["doc_id", *_NAMES, "n_best", "count_sum"])
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {_OUT}, n_best long, count_sum long")
+    code, n, best = (table.column(c).to_numpy() for c in ("code", "n", "best"))
+    shared = spark.sparkContext.broadcast((code.astype(kind), n, best.astype(np.int64)))
+
+    def score(codes: np.ndarray) -> tuple[int, int]:
+        code, n, best = shared.value
+        out = [0, 0]
+        for i in range(0, len(codes), LINKS):
+            at = np.searchsorted(code, codes[i:i + LINKS])
+            out = [out[0] + int(best[at].sum()), out[1] + int(n[at].sum())]
+        return out[0], out[1]
+
+    return _described(links, kind, size_a, size_b, score, ("n_best", "count_sum")).drop("row")

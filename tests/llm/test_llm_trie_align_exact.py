@@ -173,6 +173,7 @@ def test_alignment(spark, messy_rows, monkeypatch, max_pairs, cache, size):
 def test_words_align_like_whole_texts():
     tool = token_align.Aligner("byte_bpe_50k.json", "piece_bpe_32k.model")
     assert tool.cuts
+    writer = token_align.Writer(len(tool.a_bytes), tool.size_b)
     rng = random.Random(5)
     bits = [" ", "  ", "\n", "\n ", ",", ".", "a", "Tree", "é", "漢", "1", "'s", "\t", " ", "👍", "-", "x.y", "　", "the", "\x1f"]
     for _ in range(3000):
@@ -180,8 +181,9 @@ def test_words_align_like_whole_texts():
         a, b = brute_tokens(text)
         [keys] = tool.keys((" " + text).encode())
         tool.learn(keys)
-        found = tool.known(keys)
-        flat = [] if None in found else [g.split("|") for g in b";".join(x[0] for x in found).decode().split(";")]
+        codes, sides = token_align.text_links(keys, tool)
+        groups = writer.groups(np.frombuffer(codes, tool.kind), np.frombuffer(sides, np.uint8)).decode()
+        flat = [g.split("|") for g in groups.split(";")] if groups else []
         ids = [[int(i) for g in flat for i in g[k].split(",")] for k in (0, 1)]
         assert ids == [[i for i, _ in a], [i for i, _ in b]], repr(text)
 
@@ -253,14 +255,18 @@ def test_exact_keeps_rows(messy, messy_rows, nothing):
 def test_slices_and_small_caches_change_nothing(messy_rows, monkeypatch):
     texts = [r[1] for r in messy_rows if r[1]] + [t for t in ODD if t]
     whole = token_align.Aligner("byte_bpe_50k.json", "piece_bpe_32k.model")
-    none = lambda keys, found: (0, 0)
-    want = list(token_align._text_rows([t.encode() for t in texts], whole, none))
+    want = [token_align.text_links(t.encode(), whole) for t in texts]
     batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
-    assert [r for _, words in token_align._batches([batch], whole) for r in token_align._text_rows(words, whole, none)] == want
+    every = lambda tool: [token_align.text_links(w, tool) for _, words in token_align._batches([batch], tool) for w in words]
+    assert every(whole) == want
+    writer = token_align.Writer(len(whole.a_bytes), whole.size_b)
+    arrays = [(np.frombuffer(c, whole.kind), np.frombuffer(s, np.uint8)) for c, s in want]
+    written = [writer.groups(*x) for x in arrays]
     monkeypatch.setattr(token_align, "CACHE_WORDS", 30)
     monkeypatch.setattr(token_align, "SLICE", 200)
+    monkeypatch.setattr(token_align, "LINKS", 7)
     small = token_align.Aligner("byte_bpe_50k.json", "piece_bpe_32k.model")
     assert sum(len(list(small.keys((" " + t).encode()))) for t in texts) > 2 * len(texts)
-    assert list(token_align._text_rows([t.encode() for t in texts], small, none)) == want
-    assert [r for _, words in token_align._batches([batch], small) for r in token_align._text_rows(words, small, none)] == want
+    assert [token_align.text_links(t.encode(), small) for t in texts] == want and every(small) == want
+    assert [writer.groups(*x) for x in arrays] == [b";".join(writer.groups(c, s) for c, s in token_align._parts(*x)) for x in arrays] == written
     assert len(small.words.young) <= 30 + max(len(t.split()) for t in texts)
