@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -46,26 +47,22 @@ def materialise(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- models
 #
-# The reference's boosted models are re-expressed with Spark ML GBTs.  The
-# feature table is one row per user; it is persisted once per fit (the
-# booster scans it every iteration).  Splits are hash-determined (stable
-# under repartitioning); early stopping scores every round on a validation
-# subset of the training rows, never on the test rows, and waits ``patience``
-# rounds for a better one.
+# The models use the regularised second-order booster of ``boosting``.  Splits
+# are hash-determined (stable under repartitioning); in the early-stopped
+# models (all but the increase amount) every round is scored on a validation
+# subset of the training rows, never on the test rows, and the fit ends when
+# ``patience`` rounds brought no better one.
 
 from dataclasses import dataclass, field  # noqa: E402
 
-from pyspark.ml import Pipeline, PipelineModel  # noqa: E402
-from pyspark.ml.classification import GBTClassifier  # noqa: E402
-from pyspark.ml.feature import VectorAssembler  # noqa: E402
-from pyspark.ml.functions import vector_to_array  # noqa: E402
-from pyspark.ml.regression import GBTRegressor  # noqa: E402
 
 from creditlens.functions import rules as R  # noqa: E402
+from creditlens.operators import boosting as B  # noqa: E402
 from creditlens.operators import metrics as M  # noqa: E402
 from creditlens.operators import sampling as S  # noqa: E402
 from creditlens.operators.prepare import impute_model_features  # noqa: E402
 from creditlens.operators.scoring import add_macro  # noqa: E402
+from creditlens.sources.versions import read_version, write_version  # noqa: E402
 
 # Model feature lists
 Q4_FEATURES = ["avg_monthly_spend_2024", "total_spend_2024", "spend_2024_q1", "spend_2024_q2", "spend_2024_q3",
@@ -92,7 +89,7 @@ CLI_MODEL_FEATURES = ["predicted_q4_spend", "utilization_pct", "credit_score", "
 class ModelResult:
     name: str
     scored: DataFrame                      # key + prediction columns
-    model: PipelineModel | list | None
+    model: B.Boosted | list | None
     metrics: list = field(default_factory=list)   # (section, name, key, value)
 
 
@@ -109,14 +106,9 @@ def median_fill(df: DataFrame, cols) -> DataFrame:
                            for c in cols})
 
 
-def _assembler(cols) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep")
-
-
 def _importances(model, cols, section: str, top: int = 10) -> list:
     """ML-17 + SRT-06: normalised importances of the fitted trees, top k."""
-    imp = list(model.featureImportances.toArray())
-    pairs = sorted(zip(cols, imp), key=lambda x: (-x[1], x[0]))[:top]
+    pairs = sorted(model.importances().items(), key=lambda x: (-x[1], x[0]))[:top]
     return [(section, "feature_importance", c, float(v)) for c, v in pairs]
 
 
@@ -137,29 +129,31 @@ def stopping_round(losses: Sequence[float], patience: int) -> tuple[int, int]:
     return best + 1, len(losses)
 
 
-def fit_boosted(booster, rows: DataFrame, features, section: str, patience: int) -> tuple[PipelineModel, list]:
-    """Fit ``booster`` on the rows that are not ``is_val``, score each round on
-    those that are, and keep the trees up to the best round.  Boosting is
-    sequential and seeded, so the shorter fit is exactly that prefix.  Without
-    validation rows every round is kept."""
-    asm = _assembler(features)
-    ready = asm.transform(rows)
-    train, val = ready.filter(~F.col("is_val")), ready.filter("is_val")
-    model, rounds = booster.fit(train), booster.getMaxIter()
-    best = last = rounds
-    if val.limit(1).count():
-        losses = (model.evaluateEachIteration(val, booster.getLossType())
-                  if isinstance(booster, GBTRegressor) else model.evaluateEachIteration(val))
-        best, last = stopping_round(losses, patience)
-        if best < rounds:
-            model = booster.copy({booster.maxIter: best}).fit(train)
-    facts = {"trees": model.getNumTrees, "best_round": best, "last_round": last, "max_rounds": rounds, "patience": patience}
-    return PipelineModel([asm, model]), [(section, name, "", float(v)) for name, v in facts.items()]
+def fit_boosted(rows: DataFrame, key: str, features, section: str, params: B.Params) -> tuple[B.Boosted, list]:
+    """Fit on the rows that are not ``is_val``; the others decide when to stop.
+    Without validation rows every round is kept."""
+    model = B.fit(rows, [key], features, params)
+    last = len(model.losses) or model.getNumTrees
+    facts = {"trees": model.getNumTrees, "best_round": model.best_round, "last_round": last, "max_rounds": params.rounds,
+             "patience": params.patience}
+    return model, [(section, name, "", float(v)) for name, v in facts.items()]
 
 
 def q4_forecast(users: DataFrame, key: str = "user_id") -> ModelResult:
     """ML-05 + ML-10 + ML-11: Q4 spend regressor (100 trees, depth 5,
-    lr 0.05, row / column sampling 0.8) and the 20 % adjustment."""
+    lr 0.05, row / column sampling 0.8, L1 0.1, L2 1) and the 20 % adjustment."""
+    d, cols = q4_matrix(users, key)
+    return _q4_fit(d, cols, key)
+
+
+def q4_adjusted(prediction, factor) -> Column:
+    """ML-10: a fifth of the seasonal factor is applied to a forecast."""
+    return prediction * (F.lit(0.8) + F.lit(0.2) * factor)
+
+
+def q4_matrix(users: DataFrame, key: str = "user_id") -> tuple[DataFrame, list]:
+    """ML-01: the feature matrix of the forecast (missing values filled with
+    medians), its label, and the feature names."""
     df = add_macro(users)
     feats = _present(df, Q4_FEATURES)
     y = F.col("spend_2024_q4") if "spend_2024_q4" in df.columns else F.col("total_spend_2024") * 0.35
@@ -169,18 +163,20 @@ def q4_forecast(users: DataFrame, key: str = "user_id") -> ModelResult:
     d = d.withColumns({"q2_to_q3_growth": R.growth_clipped("spend_2024_q2", "spend_2024_q3"),
                        "high_income_credit_capacity": F.col("is_high_income") * F.col("credit_line")})
     cols = feats + ["q2_to_q3_growth", "high_income_credit_capacity"]
-    d = median_fill(d, cols)
+    return median_fill(d, cols), cols
+
+
+def _q4_fit(d: DataFrame, cols: list, key: str) -> ModelResult:
     d = materialise(S.hash_split(d, [key], 0.2, 42, "is_test").withColumn(
         "is_val", (S.hash_fraction([key], 43) < 0.2) & (F.col("is_test") == 0)))
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=100, maxDepth=5, stepSize=0.05,
-                       subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)
     sec = "model1_q4_spend"
-    model, metrics = fit_boosted(gbt, d.filter("is_test = 0"), cols, sec, patience=20)
-    pred = model.transform(d)
+    model, metrics = fit_boosted(d.filter("is_test = 0"), key, cols, sec, B.Params(
+        rounds=100, depth=5, step=0.05, rows=0.8, columns=0.8, l1=0.1, l2=1.0, patience=20))
+    pred = model.transform(d).checkpoint(eager=True)
     metrics += _reg_metrics(pred.filter("is_test = 1"), "label", "prediction", sec, "test")
-    metrics += _importances(model.stages[-1], cols, sec)
-    adj = F.col("prediction") * (F.lit(0.8) + F.lit(0.2) * F.col("q4_adjustment_factor"))
-    scored = pred.select(key, "is_test", F.col("prediction").alias("raw_q4_prediction"), adj.alias("predicted_q4_spend"))
+    metrics += _importances(model, cols, sec)
+    scored = pred.select(key, "is_test", F.col("prediction").alias("raw_q4_prediction"),
+                         q4_adjusted(F.col("prediction"), F.col("q4_adjustment_factor")).alias("predicted_q4_spend"))
     d.unpersist()
     return ModelResult("q4_forecast", scored, model, metrics)
 
@@ -197,14 +193,13 @@ def q3_backtest(users: DataFrame, key: str = "user_id") -> ModelResult:
     d = median_fill(d, cols)
     d = materialise(S.hash_split(d, [key], 0.2, 42, "is_test").withColumn(
         "is_val", (S.hash_fraction([key], 44) < 0.2) & (F.col("is_test") == 0)))
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=100, maxDepth=5, stepSize=0.1,
-                       subsamplingRate=0.9, featureSubsetStrategy="0.9", seed=42)
     sec = "model1_q3_backtest"
-    model, metrics = fit_boosted(gbt, d.filter("is_test = 0"), cols, sec, patience=10)
-    pred = model.transform(d)
+    model, metrics = fit_boosted(d.filter("is_test = 0"), key, cols, sec, B.Params(
+        rounds=100, depth=5, step=0.1, rows=0.9, columns=0.9, patience=10))
+    pred = model.transform(d).checkpoint(eager=True)
     metrics += _reg_metrics(pred.filter("is_test = 1"), "label", "prediction", sec, "test")
     metrics += _reg_metrics(pred, "label", "prediction", sec, "full")
-    metrics += _importances(model.stages[-1], cols, sec)
+    metrics += _importances(model, cols, sec)
     scored = pred.select(key, "is_test", F.col("prediction").alias("predicted_q3_spend"))
     d.unpersist()
     return ModelResult("q3_backtest", scored, model, metrics)
@@ -213,10 +208,7 @@ def q3_backtest(users: DataFrame, key: str = "user_id") -> ModelResult:
 def _classifier_frame(users: DataFrame, feats, label: str, key: str) -> DataFrame:
     d = users.select(key, *feats, F.col(label).cast("int").alias("label"))
     d = impute_model_features(d, feats)
-    d = S.stratified_split(d, "label", [key], 0.2, 42, "is_test")
-    tr = d.filter("is_test = 0")
-    val = S.stratified_split(tr, "label", [key], 0.1, 43, "is_val").select(key, "is_val")
-    d = d.join(val, key, "left").withColumn("is_val", F.coalesce(F.col("is_val") == 1, F.lit(False)))
+    d = S.stratified_three_way(d, "label", [key], 0.2, 0.1, 42, "is_test", "is_val")
     return materialise(standardise(d, feats, fit_filter=F.col("is_test") == 0))
 
 
@@ -241,74 +233,47 @@ def _cls_metrics(pred: DataFrame, section: str) -> list:
 
 
 def segment_model(users: DataFrame, key: str = "user_id", label: str = "segment_label", k: int = 4) -> ModelResult:
-    """ML-07: 4-class segment classifier.  Spark's GBTClassifier is binary,
-    so one booster per class (depth 4, lr 0.1, sampling 0.8) is fitted and
-    the class probabilities are normalised across the k boosters."""
+    """ML-07: k-class segment classifier (depth 4, lr 0.1, sampling 0.8).  The
+    classes share the softmax margins of a round, so their probabilities sum
+    to 1; the fit stops on the multi-class log loss."""
     feats = _present(users, SEGMENT_FEATURES)
     d = _classifier_frame(users, feats, label, key)
-    tr = d.filter("is_test = 0")
     sec = "model2_segmentation"
-
-    def fit_one(c: int):
-        gbt = (GBTClassifier(featuresCol="features", labelCol=f"y{c}", maxIter=100, maxDepth=4, stepSize=0.1,
-                             subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)
-               .setProbabilityCol(f"prob{c}").setRawPredictionCol(f"raw{c}").setPredictionCol(f"pred{c}"))
-        rows = tr.withColumn(f"y{c}", (F.col("label") == c).cast("double"))
-        return fit_boosted(gbt, rows, feats, sec, patience=10)
-
-    # the k boosters are independent: fit them concurrently (like OneVsRest's
-    # ``parallelism``) so their jobs share the executors instead of queueing
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=k) as pool:
-        fits = list(pool.map(fit_one, range(k)))
-    models = [m for m, _ in fits]
-    scored = models[0].stages[0].transform(d)
-    for c, m in enumerate(models):
-        scored = m.stages[-1].transform(scored).withColumn(f"p{c}", vector_to_array(f"prob{c}")[1]).drop(
-            f"prob{c}", f"raw{c}", f"pred{c}")
-    raw = F.array(*[F.col(f"p{c}") for c in range(k)])
-    scored = scored.select("*", F.transform(raw, lambda x: x / F.aggregate(raw, F.lit(0.0), lambda a, b: a + b))
-                           .alias("_probs"))
+    model, metrics = fit_boosted(d.filter("is_test = 0"), key, feats, sec, B.Params(
+        loss="softmax", classes=k, rounds=100, depth=4, step=0.1, rows=0.8, columns=0.8, patience=10))
     probs = {f"segment_{c}_prob": F.col("_probs")[c] for c in range(k)}
     # argmax, first class wins ties
-    scored = scored.select("*", *[v.alias(n) for n, v in probs.items()],
-                           (F.array_position("_probs", F.array_max("_probs")) - 1).cast("int").alias("predicted"))
-    scored = scored.select(key, "is_test", "label", "predicted", *probs.keys()).checkpoint(eager=True)
+    best = (F.array_position("_probs", F.array_max("_probs")) - 1).cast("int").alias("predicted")
+    scored = (model.transform(d.select(key, "is_test", "label", *feats), "_probs")
+              .select(key, "is_test", "label", best, *[v.alias(n) for n, v in probs.items()]).checkpoint(eager=True))
     d.unpersist()
-    metrics = [(s, n, str(c), v) for c, (_, facts) in enumerate(fits) for s, n, _, v in facts]
     metrics += _cls_metrics(scored.filter("is_test = 1"), sec) + _class_shares(scored, sec)
-    imp = [sum(m.stages[-1].featureImportances.toArray()[i] for m in models) / k for i in range(len(feats))]
-    metrics += [(sec, "feature_importance", c, float(v))
-                for c, v in sorted(zip(feats, imp), key=lambda x: (-x[1], x[0]))[:10]]
-    out = scored.select(key, "is_test", "label", "predicted", *probs.keys())
-    return ModelResult("segment_model", out, models, metrics)
+    metrics += _importances(model, feats, sec)
+    return ModelResult("segment_model", scored, model, metrics)
 
 
 def risk_model(users: DataFrame, key: str = "user_id", label: str = "risk_flag") -> ModelResult:
     """ML-08: imbalance-weighted binary risk classifier (depth 3, lr 0.1,
-    sampling 0.8; positive rows weighted neg/pos of the training rows)."""
+    sampling 0.8; positive training rows weighted neg/pos, validation rows
+    not; the fit stops on the log loss)."""
     feats = _present(users, RISK_FEATURES)
     kept = d = _classifier_frame(users, feats, label, key)
     cnt = {r["label"]: r["n"] for r in d.filter("is_test = 0").groupBy("label").agg(F.count("*").alias("n")).collect()}
-    w = (cnt.get(0, 0) / cnt[1]) if cnt.get(1) else 1.0
-    d = d.withColumn("w", F.when(F.col("label") == 1, F.lit(float(w))).otherwise(F.lit(1.0)))
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="w", maxIter=100, maxDepth=3,
-                        stepSize=0.1, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)
+    w = (cnt.get(0, 0) / cnt[1]) if cnt.get(1) and cnt.get(0) else 1.0
+    d = d.withColumn("weight", F.when((F.col("label") == 1) & ~F.col("is_val"), F.lit(float(w))).otherwise(F.lit(1.0)))
     sec = "model3_risk"
-    model, facts = fit_boosted(gbt, d.filter("is_test = 0").withColumn("label", F.col("label").cast("double")),
-                               feats, sec, patience=10)
-    pred = model.transform(d.withColumn("label", F.col("label").cast("double")))
-    pred = pred.select(key, "is_test", F.col("label").cast("int").alias("label"),
-                       F.col("prediction").cast("int").alias("predicted"),
-                       vector_to_array("probability")[1].alias("risk_probability")).checkpoint(eager=True)
+    model, facts = fit_boosted(d.filter("is_test = 0"), key, feats, sec, B.Params(
+        loss="logistic", rounds=100, depth=3, step=0.1, rows=0.8, columns=0.8, patience=10))
+    pred = model.transform(d.select(key, "is_test", "label", *feats), "risk_probability")
+    pred = pred.select(key, "is_test", "label", (F.col("risk_probability") > 0.5).cast("int").alias("predicted"),
+                       "risk_probability").checkpoint(eager=True)
     kept.unpersist()
     test = pred.filter("is_test = 1")
     metrics = facts + _cls_metrics(test, sec) + _class_shares(pred, sec)
     auc = M.roc_auc(test, "label", "risk_probability").first()["auc"]
     metrics.append((sec, "roc_auc", "", float(auc) if auc is not None else None))
-    metrics += _importances(model.stages[-1], feats, sec)
-    out = pred.select(key, "is_test", "label", "predicted", "risk_probability")
-    return ModelResult("risk_model", out, model, metrics)
+    metrics += _importances(model, feats, sec)
+    return ModelResult("risk_model", pred, model, metrics)
 
 
 def cli_model(scored_users: DataFrame, key: str = "user_id") -> ModelResult:
@@ -324,13 +289,11 @@ def cli_model(scored_users: DataFrame, key: str = "user_id") -> ModelResult:
     e = e.withColumn("label", F.col("credit_line") * 1000 * F.col("max_cli_percentage"))
     feats = _present(e, CLI_MODEL_FEATURES)
     e = materialise(S.hash_split(e, [key], 0.2, 42, "is_test"))
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=200, maxDepth=6, stepSize=0.1,
-                       subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)
-    model = Pipeline(stages=[_assembler(feats), gbt]).fit(e.filter("is_test = 0"))
-    pred = model.transform(e)
     sec = "model4_cli"
+    model = B.fit(e.filter("is_test = 0"), [key], feats, B.Params(rounds=200, depth=6, step=0.1, rows=0.8, columns=0.8))
+    pred = model.transform(e).checkpoint(eager=True)
     metrics = _reg_metrics(pred.filter("is_test = 1"), "label", "prediction", sec, "test")
-    metrics += _importances(model.stages[-1], feats, sec)
+    metrics += _importances(model, feats, sec)
     p = pred.select(key, F.col("prediction").alias("predicted_cli_amount"), "is_test")
     full = df.select(key, "segment_label", "credit_line", "is_high_income", "max_cli_percentage").join(p, key, "left")
     rec = R.cli_postprocess("predicted_cli_amount", "credit_line", "max_cli_percentage",
@@ -346,19 +309,23 @@ def metrics_table(spark, results) -> DataFrame:
     return spark.createDataFrame(rows, "section string, name string, key string, value double")
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """SRC-10."""
-    model.write().overwrite().save(path)
+def save_model(model: B.Boosted, path: str) -> None:
+    """SRC-10: the model as the new version at ``path``; if the write dies, the
+    model before can still be loaded."""
+    spark = SparkSession.getActiveSession()
+    row = spark.createDataFrame([(json.dumps(model.to_dict()),)], "boosted string")
+    write_version(row, path, {"trees": model.getNumTrees, "loss": model.params.loss})
 
 
 def save_models(results, folder: str) -> None:
-    """SRC-10: every fitted model of a flow under ``folder``/stage (the
-    segment boosters under ``folder``/segment_model/class)."""
+    """SRC-10: every fitted model of a flow under ``folder``/stage (several
+    models of a stage under ``folder``/stage/number)."""
     for res in results:
         many = isinstance(res.model, list)
         for k, model in enumerate(res.model if many else [res.model]):
             save_model(model, f"{folder}/{res.name}" + (f"/{k}" if many else ""))
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> B.Boosted:
+    """The current version of a saved model."""
+    return B.Boosted.from_dict(json.loads(read_version(SparkSession.getActiveSession(), path).first()["boosted"]))

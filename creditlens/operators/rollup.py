@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from creditlens.functions import rules as R
-from creditlens.sources.extracts import as_sources
+from creditlens.sources import roles
+from creditlens.sources.extracts import Sources, as_sources
 from creditlens.sources.roles import PERIODS, Periods
 
 # Spend / count measure names per reporting period
@@ -53,18 +54,21 @@ def period_pivot(tx: DataFrame, periods: Periods = PERIODS, prefilter: bool = Fa
     the source); accounts without any transaction in the span then have no
     row, which is equivalent after a left join + sum.
     """
-    d = F.col("transaction_date")
     if prefilter:
         lo, hi = periods.span()
-        tx = tx.filter(_between(d, (lo, hi)))
-    tx = with_signed_amount(tx)
-    purchase = F.col("transaction_type") == "SALE"
+        tx = tx.filter(_between(F.col("transaction_date"), (lo, hi)))
+    return with_signed_amount(tx).groupBy(key).agg(*pivot_measures(periods))
+
+
+def pivot_measures(periods: Periods) -> list[Column]:
+    """The twelve conditional aggregates over signed transactions."""
+    d, purchase = F.col("transaction_date"), F.col("transaction_type") == "SALE"
     aggs = []
     for spend, cnt, attr in SPEND_MEASURES:
         in_p = _between(d, getattr(periods, attr))
         aggs.append(F.coalesce(F.sum(F.when(in_p, F.col("signed_amount"))), F.lit(0)).alias(spend))
         aggs.append(F.count_if(in_p & purchase).alias(cnt))
-    return tx.groupBy(key).agg(*aggs)
+    return aggs
 
 
 def fraud_tran_by_account(ft: DataFrame) -> DataFrame:
@@ -98,15 +102,36 @@ def account_table(t, periods: Periods = PERIODS) -> DataFrame:
     JOIN-01 inner spine, JOIN-02 left joins to pre-aggregated facts, AGG-06
     fraud flag max per account, JOIN-03 snapshot fan-out, SET-02 / PRJ-08
     payment-history struct expanded next to the existing columns, PRJ-25
-    derived columns in one ``withColumns``.  ``t``: ``Tables`` or ``Sources``."""
-    src = as_sources(t)
+    derived columns in one ``withColumns``.  ``t``: ``Tables`` (each driver
+    table is scanned once) or ``Sources`` (a scan per source table)."""
+    m = _merged_sources(t, periods) if isinstance(t, Sources) else _merged_tables(t, periods)
+    m = m.fillna(0, subset=list(FRAUD_TX_COLS))
+    for period in ("1_12", "13_24"):
+        src = f"payment_hist_{period}_mths"
+        m = m.select("*", *R.payment_history_columns(src, f"payment_hist_{period}_")).drop(src)
+
+    ref = F.lit(periods.ref_date).cast("date")
+    both = F.col("card_activation_date").isNotNull() & F.col("open_date").isNotNull()
+    return m.withColumns({
+        "account_age_days": F.datediff(ref, F.col("open_date")),
+        "activation_delay_days": F.when(both, F.datediff("card_activation_date", "open_date")),
+        "avg_transaction_size_2024": R.guarded_avg("total_spend_2024", "total_transactions_2024"),
+        "is_active_account": F.col("closed_date").isNull().cast("int"),
+    })
+
+
+def _account_columns(acc: DataFrame) -> DataFrame:
+    return (acc.drop("date_in_collection", "special_finance_charge_ind")
+            .withColumn("is_high_income", R.income_from_code("employee_code")).drop("employee_code"))
+
+
+def _merged_sources(src: Sources, periods: Periods) -> DataFrame:
+    """Spine and facts of separate source tables.  Over tables bucketed by
+    account no aggregate and no join below needs an exchange."""
     idm = (src.identity_map
            .select(F.col("account_nbr_pty").alias("current_account_nbr"), F.col("ds_id").alias("user_id"))
            .filter(F.col("current_account_nbr").isNotNull() & F.col("user_id").isNotNull()))
-    acc = (src.account_dim
-           .drop("date_in_collection", "special_finance_charge_ind")
-           .withColumn("is_high_income", R.income_from_code("employee_code")).drop("employee_code"))
-    m = acc.join(idm, "current_account_nbr", "inner")
+    m = _account_columns(src.account_dim).join(idm, "current_account_nbr", "inner")
 
     stmt = (src.statement_fact.groupBy("current_account_nbr")
             .agg(F.sum("return_check_cnt_total").alias("return_check_cnt_total")))
@@ -118,24 +143,25 @@ def account_table(t, periods: Periods = PERIODS) -> DataFrame:
     m = (m.join(cases, "current_account_nbr", "left")
           .withColumn("has_fraud", F.coalesce("has_fraud", F.lit(0)).cast("int")))
 
-    ft = fraud_tran_by_account(src.fraud_claim_tran)
-    m = m.join(ft, "current_account_nbr", "left").fillna(0, subset=list(FRAUD_TX_COLS))
+    m = m.join(fraud_tran_by_account(src.fraud_claim_tran), "current_account_nbr", "left")
 
     snap = src.credit_snapshot.withColumnsRenamed(SNAPSHOT_RENAME)
-    m = m.join(snap, "current_account_nbr", "left")  # JOIN-03: fan-out kept
+    return m.join(snap, "current_account_nbr", "left")  # JOIN-03: fan-out kept
 
-    for period in ("1_12", "13_24"):
-        src = f"payment_hist_{period}_mths"
-        m = m.select("*", *R.payment_history_columns(src, f"payment_hist_{period}_")).drop(src)
 
-    ref = F.lit(periods.ref_date).cast("date")
-    both = F.col("card_activation_date").isNotNull() & F.col("open_date").isNotNull()
-    return m.withColumns({
-        "account_age_days": F.datediff(ref, F.col("open_date")),
-        "activation_delay_days": F.when(both, F.datediff("card_activation_date", "open_date")),
-        "avg_transaction_size_2024": R.guarded_avg("total_spend_2024", "total_transactions_2024"),
-        "is_active_account": F.col("closed_date").isNull().cast("int"),
-    })
+def _merged_tables(t, periods: Periods) -> DataFrame:
+    """The same over the driver tables, where accounts, identities and
+    snapshots are rows of ``orders``, transactions, histories and balances
+    come from ``lineitem`` and statements and fraud from ``events``: one
+    aggregate per table instead of one per role."""
+    lines, events = roles.line_facts(t, periods.span(), with_signed_amount, pivot_measures(periods)), roles.event_facts(t)
+    # one row per order: account, identity and snapshot agree on the key, so the spine join is the row itself
+    spine = roles.account_rows(t).filter("current_account_nbr is not null and user_id is not null")
+    customers = t.customer.select("c_custkey", "c_acctbal")
+    m = (spine.join(lines, "current_account_nbr", "left")
+         .join(events, "current_account_nbr", "left")
+         .join(customers, F.col("user_id") == F.col("c_custkey"), "left"))
+    return _account_columns(roles.merged_columns(m)).withColumn("has_fraud", F.coalesce("has_fraud", F.lit(0)).cast("int"))
 
 
 def exact_avg(c: str) -> Column:
@@ -261,8 +287,8 @@ def user_master(t, periods: Periods = PERIODS,
                 checkpoint: bool = True) -> DataFrame:
     """The full master build: one row per user with spend, credit, fraud,
     history, derived measures and rule labels."""
-    src = as_sources(t)  # Tables (role views) or Sources (e.g. CSV extracts)
-    users = finish_user(user_rollup(account_table(src, periods)), accounts_per_user(src))
+    # Tables (role views) or Sources (e.g. CSV extracts)
+    users = finish_user(user_rollup(account_table(t, periods)), accounts_per_user(t))
     if checkpoint:
         # several small actions follow (null counts, medians, quota counts);
         # cut the lineage once so they do not recompute the rollup

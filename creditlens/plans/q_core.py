@@ -75,7 +75,12 @@ def _acct_out_sql() -> str:
 def account_features(spark, sf_dir):
     """The account-level merged table (JOIN-01/02/03, AGG-03/04/05/06,
     RUL-02, DAT-07/08, MTH-02, RUL-24)."""
-    a = rollup.account_table(Tables(spark, sf_dir))
+    return account_columns(Tables(spark, sf_dir))
+
+
+def account_columns(src):
+    """The account table of ``Tables`` or ``Sources`` as the query returns it."""
+    a = rollup.account_table(src)
     out = []
     for c in _ACCT_COLS:
         dt = a.schema[c].dataType.typeName()
@@ -101,10 +106,9 @@ SELECT current_account_nbr, {cols} FROM p"""
 
 @query("period_pivot_by_account", _pivot_sql)
 def period_pivot_by_account(spark, sf_dir):
-    """SET-01 + FLT-02 + DAT-11 + AGG-04 over every account with a transaction."""
-    t = Tables(spark, sf_dir)
-    tx = roles.domestic_transactions(t).unionByName(roles.foreign_transactions(t), allowMissingColumns=True)
-    p = rollup.period_pivot(tx)
+    """FLT-02 + DAT-11 + AGG-04 over every account with a transaction, from one
+    scan of both kinds (the union by name of two tables is ``union_transactions``)."""
+    p = rollup.period_pivot(roles.transactions(Tables(spark, sf_dir)))
     return p.select("current_account_nbr", *[F.col(c).cast("double").alias(c) for c in rollup.SPEND_COLS],
                     *rollup.COUNT_COLS)
 

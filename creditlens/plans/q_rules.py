@@ -172,12 +172,11 @@ def segment_rebalance(spark, sf_dir):
     return out.withColumnRenamed("segment_label", "segment_after")
 
 
-def _rebalance_small_sql() -> str:
-    """SMP-04(b) twin: donors of each target in the order of their size before any move."""
+def _rebalance_small_ctes(st0: str) -> tuple[list[str], str]:
+    """SMP-04(b) twin over ``st0`` (user_id, segment_label): donors of each
+    target in the order of their size before any move.  CTEs and the last one's name."""
     shares = S.TARGET_SHARES
-    seg_b = Q.segment_b_sql('coalesce(utilization_pct, 50.0)', 'coalesce(credit_score, 680.0)', 'risk_flag')
-    ctes = [f"st0 AS (SELECT user_id, {seg_b} AS segment_label FROM um)",
-            "c0 AS (SELECT segment_label AS seg, count(*) AS c FROM st0 GROUP BY 1)"]
+    ctes = [f"st0 AS ({st0})", "c0 AS (SELECT segment_label AS seg, count(*) AS c FROM st0 GROUP BY 1)"]
     prev, k = "st0", 0
     for t in range(4):
         start = prev
@@ -197,9 +196,15 @@ def _rebalance_small_sql() -> str:
                  ORDER BY md5(CAST(user_id AS VARCHAR) || '|' || CAST({t} * 100 + (SELECT seg FROM d{k}) AS VARCHAR))) AS _rn
         FROM {prev} p))""")
             prev = f"st{k}"
+    return ctes, prev
+
+
+def _rebalance_small_sql() -> str:
+    seg_b = Q.segment_b_sql('coalesce(utilization_pct, 50.0)', 'coalesce(credit_score, 680.0)', 'risk_flag')
+    ctes, last = _rebalance_small_ctes(f"SELECT user_id, {seg_b} AS segment_label FROM um")
     return OM.user_view_ctes() + ",\n" + ",\n".join(ctes) + f"""
 SELECT s0.user_id, s0.segment_label AS segment_before, s.segment_label AS segment_after
-FROM st0 s0 JOIN {prev} s ON s.user_id = s0.user_id"""
+FROM st0 s0 JOIN {last} s ON s.user_id = s0.user_id"""
 
 
 @query("segment_rebalance_small", _rebalance_small_sql)
@@ -274,6 +279,45 @@ def cli_target_spend(spark, sf_dir):
                     .alias("CLI_target_amount"))
 
 
+# master columns as the preparation meets them: without labels, with gaps
+_RAW_USERS = {
+    "utilization_pct": ("CASE WHEN user_id % 29 = 0 THEN NULL ELSE utilization_pct END",
+                        lambda: F.when(F.col("user_id") % 29 != 0, F.col("utilization_pct"))),
+    "credit_score": ("CASE WHEN user_id % 17 = 0 THEN NULL ELSE credit_score END",
+                     lambda: F.when(F.col("user_id") % 17 != 0, F.col("credit_score"))),
+}
+_PREPARED = ("spend_Q4_2024 delinquency_12mo delinquency_24mo has_fraud utilization_pct credit_score risk_flag segment_label "
+             "predicted_q4_spend CLI_target_amount").split()
+
+
+def _prepared_sql() -> str:
+    k = ("(CASE WHEN segment_label = 0 AND is_high_income = 1 THEN 2.0 WHEN segment_label = 1 AND is_high_income = 1 "
+         "THEN 1.5 WHEN segment_label = 0 THEN 1.5 WHEN segment_label = 1 THEN 1.2 END)")
+    raw = ", ".join(f"coalesce({sql}, {fill}) AS {c}" for (c, (sql, _)), fill in zip(_RAW_USERS.items(), ("50.0", "680.0")))
+    ctes, last = _rebalance_small_ctes(f"SELECT user_id, {Q.segment_b_sql('utilization_pct', 'credit_score', 'risk_flag')} AS segment_label FROM pq")
+    return OM.user_view_ctes() + f""",
+p0 AS (SELECT user_id, is_high_income, credit_line, total_spend_2024 * 0.3 AS spend_Q4_2024,
+              CAST(coalesce({DC12}, 0) > 1 AS INTEGER) AS delinquency_12mo, CAST(coalesce({DC24}, 0) > 1 AS INTEGER) AS delinquency_24mo,
+              CAST(coalesce(has_fraud, 0) AS INTEGER) AS has_fraud, {raw} FROM um),
+p1 AS (SELECT *, CAST((delinquency_12mo = 1 OR delinquency_24mo = 1 OR has_fraud = 1) OR (utilization_pct > 85 AND credit_score < 650)
+                      AS INTEGER) AS risk_raw FROM p0),
+pq AS ({OM._quota_sql('p1', 'risk_raw', 0.15, 42, 'risk_flag')}),
+""" + ",\n".join(ctes) + f""",
+pl AS (SELECT pq.*, s.segment_label, spend_Q4_2024 * 1.05 AS predicted_q4_spend FROM pq JOIN {last} s ON s.user_id = pq.user_id)
+SELECT user_id, {', '.join(_PREPARED[:-1])},
+       CASE WHEN {k} IS NOT NULL THEN greatest(0.0, {k} * predicted_q4_spend - credit_line * 1000) ELSE 0.0 END AS CLI_target_amount
+FROM pl"""
+
+
+@query("prepared_targets", _prepared_sql)
+def prepared_targets(spark, sf_dir):
+    """RUL-04/06/10/11/15/16 + SMP-03/04(b) in one chain: the targets of a user
+    table that has neither flags nor labels and misses some values."""
+    u = user_view(spark, sf_dir).drop("risk_flag", "segment_label", "delinquency_12mo", "delinquency_24mo", "risk_probability")
+    raw = u.withColumns({c: value() for c, (_, value) in _RAW_USERS.items()}).checkpoint(eager=True)
+    return P.prepare_targets(raw).select("user_id", *_PREPARED)
+
+
 def _ctl_sql() -> str:
     return OM.user_view_ctes() + """
 SELECT user_id, CASE WHEN segment_label = 0 AND is_high_income = 1 THEN credit_line * 750

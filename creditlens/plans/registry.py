@@ -95,4 +95,4 @@ def clear_cache() -> None:
 
 def load_all() -> None:
     """Import every query module (each registers on import)."""
-    from creditlens.plans import q_core, q_reports, q_rules, q_misc, q_ml  # noqa: F401
+    from creditlens.plans import q_core, q_reports, q_rules, q_misc, q_sources, q_ml  # noqa: F401

@@ -88,23 +88,29 @@ def account_dim(t: Tables) -> DataFrame:
     return (o.join(ls, o.o_orderkey == ls.l_orderkey, "left")
             .select(
                 F.col("o_orderkey").alias("current_account_nbr"),
-                F.col("o_custkey").alias("client_id"),
                 F.col("o_orderdate").cast("date").alias("open_date"),
-                F.col("first_ship").alias("card_activation_date"),
-                F.when(F.col("o_orderstatus") == "F", F.col("last_ship")).alias("closed_date"),
-                F.when((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P"), "H")
-                 .when(F.col("o_orderpriority") == "2-HIGH", "Y").alias("employee_code"),
-                F.when(F.col("o_orderstatus") == "F", "Y").when(F.col("o_orderstatus") == "O", "N").alias("ebill_ind"),
-                F.when(F.col("o_orderpriority") == "5-LOW", 1)
-                 .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(None).cast("int"))
-                 .otherwise(0).alias("pscc_ind"),
-                F.when(F.col("o_orderstatus") == "F", 0).otherwise(F.col("o_custkey") % 3 + 1).cast("int")
-                 .alias("external_status_reason_code"),
-                F.when(F.col("o_orderpriority") == "3-MEDIUM", "Closed by request").alias("ext_status_reason_cd_desc"),
                 "payment_hist_1_12_mths", "payment_hist_13_24_mths",
-                F.lit(None).cast("string").alias("date_in_collection"),
-                F.lit(None).cast("string").alias("special_finance_charge_ind"),
-            ))
+                *[c.alias(n) for n, c in _account_values(F.col("o_custkey"), F.col("first_ship"), F.col("last_ship")).items()],
+            ).select("current_account_nbr", "client_id", "open_date", "card_activation_date", "closed_date", "employee_code",
+                     "ebill_ind", "pscc_ind", "external_status_reason_code", "ext_status_reason_cd_desc",
+                     "payment_hist_1_12_mths", "payment_hist_13_24_mths", "date_in_collection", "special_finance_charge_ind"))
+
+
+def _account_values(customer: Column, first_ship: Column, last_ship: Column) -> dict[str, Column]:
+    """Account columns derived from an order's status, priority and ship dates."""
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    return {
+        "client_id": customer,
+        "card_activation_date": first_ship,
+        "closed_date": F.when(status == "F", last_ship),
+        "employee_code": F.when((priority == "1-URGENT") & (status == "P"), "H").when(priority == "2-HIGH", "Y"),
+        "ebill_ind": F.when(status == "F", "Y").when(status == "O", "N"),
+        "pscc_ind": F.when(priority == "5-LOW", 1).when(priority == "4-NOT SPECIFIED", F.lit(None).cast("int")).otherwise(0),
+        "external_status_reason_code": F.when(status == "F", 0).otherwise(customer % 3 + 1).cast("int"),
+        "ext_status_reason_cd_desc": F.when(priority == "3-MEDIUM", "Closed by request"),
+        "date_in_collection": F.lit(None).cast("string"),
+        "special_finance_charge_ind": F.lit(None).cast("string"),
+    }
 
 
 def identity_map(t: Tables) -> DataFrame:
@@ -227,6 +233,11 @@ def fraud_claim_case(t: Tables) -> DataFrame:
 SCORE_EXPR = "300 + 550 * (c_acctbal + 1000) / 11000"
 
 
+def _scores() -> tuple[Column, Column]:
+    """Behaviour and bureau score of a customer."""
+    return F.floor(F.expr(SCORE_EXPR)).cast("int"), F.expr(SCORE_EXPR)
+
+
 def credit_snapshot(t: Tables) -> DataFrame:
     o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     c = t.customer.select("c_custkey", "c_acctbal")
@@ -240,14 +251,87 @@ def credit_snapshot(t: Tables) -> DataFrame:
                 F.col("o_orderkey").alias("cu_account_nbr"),
                 F.col("o_totalprice").cast(MONEY).alias("cu_crd_line"),
                 F.coalesce(F.col("bal"), F.lit(0)).cast("decimal(38,4)").alias("cu_cur_balance"),
-                F.floor(F.expr(SCORE_EXPR)).cast("int").alias("cu_bhv_scr"),
-                F.expr(SCORE_EXPR).alias("cu_crd_bureau_scr"),
+                *[c.alias(n) for n, c in zip(("cu_bhv_scr", "cu_crd_bureau_scr"), _scores())],
                 F.date_add(F.col("o_orderdate").cast("date"), 365).alias("cu_next_crd_line_rev_date"),
                 F.col("o_orderdate").cast("date").alias("cu_processing_date"),
                 F.lit(None).cast("string").alias("cu_rnd_nbr"),
             ))
 
 
+# ------------------------------------------- one pass per driver table
+#
+# The role views above each scan their driver table.  Where several roles of
+# one table are needed per account, these give them from a single scan and a
+# single exchange.
+
+def _history_slot() -> Column:
+    """0-11: months of the newer period; 12-24: of the older one (12: no month)."""
+    newer = F.col("l_shipdate") >= F.lit(HIST_SPLIT).cast("timestamp_ntz")
+    return F.when(newer, F.month("l_shipdate") - 1).otherwise(12 + F.coalesce(F.month("l_shipdate"), F.lit(0)))
+
+
+def line_facts(t: Tables, span: tuple, signed, measures: list[Column]) -> DataFrame:
+    """Per account with a line: ship dates, history strings, the transaction
+    ``measures`` (NULL without a transaction in ``span``) and the open balance.
+    ``signed`` adds the signed amount to transactions."""
+    li = t.lineitem
+    code = F.ascii(F.expr(f"substring('{HIST_CODES}', cast(l_partkey % 30 + 1 as int), 1)"))
+    open_line = F.col("l_linestatus") == "O"
+    rows = signed(li.select(
+        *_tx_base(li), F.when(open_line, _us()).alias("us_equiv_amt"), "l_shipdate",
+        F.struct(_history_slot().alias("slot"), code.alias("code")).alias("h"),
+        F.when(open_line, _amt() * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).alias("open_amt")))
+    inside = F.col("transaction_date").between(*(F.lit(d).cast("date") for d in span))
+    # codes are compared as numbers, so the aggregate stays a hash aggregate
+    facts = rows.groupBy("current_account_nbr").agg(
+        F.min("l_shipdate").cast("date").alias("first_ship"), F.max("l_shipdate").cast("date").alias("last_ship"),
+        F.sum("open_amt").alias("bal"), F.count_if(inside).alias("_inside"), *measures,
+        *[F.min(F.when(F.col("h.slot") == k, F.col("h.code"))).alias(f"_h{k}") for k in range(25)])
+
+    def history(slots: range) -> Column:
+        codes = [F.col(f"_h{k}") for k in slots]
+        return F.when(F.coalesce(*codes).isNotNull(), F.concat_ws("", *[F.chr(c.cast("long")) for c in codes]))
+
+    names = [c for c in facts.columns if not c.startswith("_") and c not in ("current_account_nbr", "first_ship", "last_ship", "bal")]
+    return facts.select("current_account_nbr", "first_ship", "last_ship", "bal",
+                        history(range(12)).alias("payment_hist_1_12_mths"), history(range(12, 25)).alias("payment_hist_13_24_mths"),
+                        *[F.when(F.col("_inside") > 0, F.col(c)).alias(c) for c in names])
+
+
+def event_facts(t: Tables) -> DataFrame:
+    """Per account with an event: statement checks, the fraud flag and the fraud measures."""
+    error = F.col("event_type") == "error"
+    e = t.events.select(_event_account().alias("current_account_nbr"), (F.col("event_id") % 4).alias("checks"),
+                        F.when(error, F.col("user_id")).alias("case_id"), F.when(error, F.lit(1)).alias("has_fraud"),
+                        F.when(error, F.col("value").cast(MONEY)).alias("amt"))
+    return e.groupBy("current_account_nbr").agg(
+        F.sum("checks").alias("return_check_cnt_total"), F.max("has_fraud").alias("has_fraud"),
+        F.count("amt").alias("fraud_transaction_count"), F.sum("amt").alias("fraud_transaction_sum"),
+        (F.sum("amt").cast("double") / F.count("amt")).alias("fraud_transaction_avg"),
+        F.max("amt").alias("fraud_transaction_max"), F.min("amt").alias("fraud_transaction_min"),
+        F.count_distinct("case_id").alias("fraud_case_count"))
+
+
+def account_rows(t: Tables) -> DataFrame:
+    """Account, identity and snapshot columns that ``orders`` itself holds."""
+    return t.orders.select(
+        F.col("o_orderkey").alias("current_account_nbr"), F.col("o_custkey").alias("user_id"), "o_orderstatus",
+        "o_orderpriority", F.col("o_orderdate").cast("date").alias("open_date"), F.col("o_totalprice").cast(MONEY).alias("credit_line"))
+
+
+def merged_columns(m: DataFrame) -> DataFrame:
+    """:func:`account_rows` with line facts, event facts and the customer -> the
+    columns of account dimension, identity map and snapshot in one row."""
+    own = ("o_orderstatus", "o_orderpriority", "first_ship", "last_ship", "bal", "c_custkey", "c_acctbal")
+    return m.select(
+        *[c for c in m.columns if c not in own],
+        *[c.alias(n) for n, c in _account_values(F.col("user_id"), F.col("first_ship"), F.col("last_ship")).items()],
+        F.coalesce(F.col("bal"), F.lit(0)).cast("decimal(38,4)").alias("current_balance"),
+        *[c.alias(n) for n, c in zip(("behavior_score", "credit_score"), _scores())],
+        F.date_add("open_date", 365).alias("cu_next_crd_line_rev_date"), F.col("open_date").alias("cu_processing_date"),
+        F.lit(None).cast("string").alias("cu_rnd_nbr"))
+
+
 # ------------------------------------------------------------- FX
 
 def currency_codes(t: Tables) -> DataFrame:

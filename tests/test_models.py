@@ -95,6 +95,41 @@ def test_a_failing_stage_leaves_nulls_and_an_error_row(spark, monkeypatch):
     assert metrics.filter("section = 'q3_backtest' and name = 'error' and key = 'ValueError'").count() == 1
 
 
+def test_a_rerun_starts_at_the_failed_stage(spark, monkeypatch, tmp_path):
+    from creditlens.plans import q_ml
+    from creditlens.sources import versions
+    ran, broken = [], {"risk_model"}
+
+    def flat(name, cols):
+        def stage(table):
+            ran.append(name)
+            if name in broken:
+                raise ValueError("lost")
+            value = F.lit(0.25) if name != "risk_model" else F.lit(0.5)
+            return ml.ModelResult(name, table.select("user_id", *[value.alias(c) for c in cols]), None, [(name, "trees", "", 1.0)])
+        return stage
+
+    for name, cols in (("q4_forecast", ["predicted_q4_spend"]), ("q3_backtest", ["predicted_q3_spend"]),
+                       ("segment_model", [f"segment_{c}_prob" for c in range(4)]), ("risk_model", ["risk_probability"]),
+                       ("cli_model", ["recommended_cli_amount"])):
+        monkeypatch.setattr(ml, name, flat(name, cols))
+    monkeypatch.setattr(q_ml, "_FLOW_CACHE", {})
+    folder = str(tmp_path)
+    table, metrics = q_ml.run_flow(spark, SF_MID, ledger=folder)
+    assert sorted(ran) == ["cli_model", "q3_backtest", "q4_forecast", "risk_model", "segment_model"]
+    assert metrics.where("name = 'error'").count() == 1 and versions.current(spark, f"{folder}/risk_model") is None
+    ran.clear()
+    broken.clear()
+    table, metrics = q_ml.run_flow(spark, SF_MID, ledger=folder)
+    # the failed stage, and the one that reads it
+    assert sorted(ran) == ["cli_model", "risk_model"]
+    assert metrics.where("name = 'error'").count() == 0 and metrics.count() == 5
+    assert table.where("risk_probability = 0.5 and predicted_q3_spend = 0.25 and recommended_cli_amount = 0.25").count() == table.count()
+    ran.clear()
+    q_ml.run_flow(spark, SF_MID, ledger=folder)
+    assert ran == []
+
+
 def test_cli_amount_rules(spark):
     s = scored_view(spark, SF_MID)
     res = ml.cli_model(s)
