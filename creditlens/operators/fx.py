@@ -49,6 +49,7 @@ def latest_rate(rates: DataFrame) -> DataFrame:
 def asof_rate(tx: DataFrame, rates: DataFrame, cur_col: str = "currency",
               date_col: str = "transaction_date", out: str = "rate") -> DataFrame:
     """Add ``out`` = open rate of the latest rate date <= the row's date."""
+    rates = rates.checkpoint(eager=True)  # read twice below; its source once
     cal = rate_calendar(rates)
     cal = cal.withColumnsRenamed({"currency": "_c", "day": "_d", "open": "_o"})
     last = latest_rate(rates).withColumnRenamed("currency", "_lc")

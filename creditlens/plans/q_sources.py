@@ -68,6 +68,10 @@ GROUP BY 1, 2, 3""")
     return with_roles(*[r for r, _ in _NESTED.values()]) + " UNION ALL ".join(parts)
 
 
+def _written(cols):
+    return F.transform("rows", lambda r: F.concat_ws("/", *[F.coalesce(r[c].cast("string"), F.lit("")) for c in cols]))
+
+
 @query("entity_rows", _nested_sql)
 def entity_rows(spark, sf_dir):
     """AGG-26 + SRC-11: the rows of each account nested in numbered chunks,
@@ -76,11 +80,9 @@ def entity_rows(spark, sf_dir):
     for kind, chunks in entities.nested_account_rows(Tables(spark, sf_dir), CHUNK).items():
         path = _scratch(spark, f"entity-{kind}")
         io.write_table(chunks, path)
-        text = F.transform("rows", lambda r, cols=_NESTED[kind][1]: F.concat_ws(
-            "/", *[F.coalesce(r[c].cast("string"), F.lit("")) for c in cols[:3]]))
         part = spark.read.parquet(path).select(
             "current_account_nbr", F.lit(kind).alias("collection"), "chunk", F.size("rows").cast("long").alias("n_rows"),
-            F.array_join(text, ";").alias("rows_text"))
+            F.array_join(_written(_NESTED[kind][1][:3]), ";").alias("rows_text"))
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -264,6 +264,12 @@ def credit_snapshot(t: Tables) -> DataFrame:
 # one table are needed per account, these give them from a single scan and a
 # single exchange.
 
+#: The history codes in the order in which the smallest of a month is taken.
+_CODES = "".join(sorted(set(HIST_CODES)))
+#: Months whose sets of codes share one BIGINT, a bit per code.
+_MONTHS_A_LONG = 63 // len(_CODES)
+
+
 def _history_slot() -> Column:
     """0-11: months of the newer period; 12-24: of the older one (12: no month)."""
     newer = F.col("l_shipdate") >= F.lit(HIST_SPLIT).cast("timestamp_ntz")
@@ -273,24 +279,34 @@ def _history_slot() -> Column:
 def line_facts(t: Tables, span: tuple, signed, measures: list[Column]) -> DataFrame:
     """Per account with a line: ship dates, history strings, the transaction
     ``measures`` (NULL without a transaction in ``span``) and the open balance.
-    ``signed`` adds the signed amount to transactions."""
+    ``signed`` adds the signed amount to transactions.
+
+    The codes of a month are a set of bits, and a few BIGINTs hold all months
+    of an account, so the histories need no rows of their own."""
     li = t.lineitem
-    code = F.ascii(F.expr(f"substring('{HIST_CODES}', cast(l_partkey % 30 + 1 as int), 1)"))
+    code = F.instr(F.lit(_CODES), F.expr(f"substring('{HIST_CODES}', cast(l_partkey % 30 + 1 as int), 1)")) - 1
     open_line = F.col("l_linestatus") == "O"
+    slot = _history_slot()
     rows = signed(li.select(
         *_tx_base(li), F.when(open_line, _us()).alias("us_equiv_amt"), "l_shipdate",
-        F.struct(_history_slot().alias("slot"), code.alias("code")).alias("h"),
+        F.floor(slot / _MONTHS_A_LONG).alias("_long"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), (slot % _MONTHS_A_LONG * len(_CODES) + code).cast("int")).alias("_bit"),
         F.when(open_line, _amt() * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).alias("open_amt")))
     inside = F.col("transaction_date").between(*(F.lit(d).cast("date") for d in span))
-    # codes are compared as numbers, so the aggregate stays a hash aggregate
     facts = rows.groupBy("current_account_nbr").agg(
         F.min("l_shipdate").cast("date").alias("first_ship"), F.max("l_shipdate").cast("date").alias("last_ship"),
         F.sum("open_amt").alias("bal"), F.count_if(inside).alias("_inside"), *measures,
-        *[F.min(F.when(F.col("h.slot") == k, F.col("h.code"))).alias(f"_h{k}") for k in range(25)])
+        *[F.bit_or(F.when(F.col("_long") == k, F.col("_bit"))).alias(f"_h{k}") for k in range(-(-25 // _MONTHS_A_LONG))])
+
+    def month(k: int) -> Column:
+        """The smallest code of a month; NULL without one."""
+        codes = F.shiftright(f"_h{k // _MONTHS_A_LONG}", k % _MONTHS_A_LONG * len(_CODES)).bitwiseAND(F.lit(2 ** len(_CODES) - 1))
+        lowest = codes.bitwiseAND(-codes)
+        return F.when(codes != 0, F.substring(F.lit(_CODES), F.bit_count(lowest - 1) + 1, F.lit(1)))
 
     def history(slots: range) -> Column:
-        codes = [F.col(f"_h{k}") for k in slots]
-        return F.when(F.coalesce(*codes).isNotNull(), F.concat_ws("", *[F.chr(c.cast("long")) for c in codes]))
+        text = F.concat_ws("", *[month(k) for k in slots])
+        return F.when(text != "", text)
 
     names = [c for c in facts.columns if not c.startswith("_") and c not in ("current_account_nbr", "first_ship", "last_ship", "bal")]
     return facts.select("current_account_nbr", "first_ship", "last_ship", "bal",
