@@ -18,8 +18,8 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-#: Entries in each of the two generations of a worker's caches.
-CACHE_WORDS = 250_000
+#: Entries in each of the two generations of a worker's cache.
+CACHE_WORDS = 200_000
 _CALL_WORDS = 128
 #: Closing punctuation that the tokenizer never joins to a letter before it.
 _CLOSING = b".,;:!?*$&%#"
@@ -33,9 +33,10 @@ class Recent:
         self.young: dict = {}
         self.old: dict = {}
 
-    def missing(self, words: Iterable[bytes]) -> list[bytes]:
-        """The ``words`` that are not kept; the others are in ``young`` afterwards."""
-        if len(self.young) > self.limit:
+    def missing(self, words: Iterable[bytes], age: bool = True) -> list[bytes]:
+        """The ``words`` that are not kept; the others are in ``young`` afterwards.
+        With ``age`` a full young generation is put away first."""
+        if age and len(self.young) > self.limit:
             self.old, self.young = self.young, {}
         out = []
         for w in set(words).difference(self.young):
@@ -52,7 +53,7 @@ class WordIds:
 
     def __init__(self, name: str):
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.words, self.stems = Recent(CACHE_WORDS), Recent(CACHE_WORDS)
+        self.words = Recent(CACHE_WORDS)  # words, and the stems and tails of those that are split
         self.closed: dict[str, bool] = {}
 
     def _encode(self, stems: list[bytes]) -> None:
@@ -66,7 +67,7 @@ class WordIds:
             edges = np.searchsorted(first, np.append(starts, 2**62)).tolist()
             packed = np.array(enc.ids, np.uint32).tobytes()
             for w, a, b in zip(part, edges, edges[1:]):
-                self.stems.young[w] = packed[4 * a:4 * b]
+                self.words.young[w] = packed[4 * a:4 * b]
 
     def _closes(self, letter: str) -> bool:
         """Whether the tokenizer splits between ``letter`` and punctuation after it."""
@@ -82,19 +83,20 @@ class WordIds:
             return word, b""
         return stem, word[len(stem):]
 
-    def learn(self, words: Iterable[bytes]) -> None:
+    def learn(self, words: set[bytes]) -> None:
         """Make every one of ``words`` present in ``words.young``."""
         new = self.words.missing(words)
         if new:
-            halves = [self._split(w) for w in new]
-            self._encode(self.stems.missing(x for pair in halves for x in pair if x))
-            known = self.stems.young
-            for w, (stem, tail) in zip(new, halves):
-                self.words.young[w] = known[stem] + known[tail] if tail else known[stem]
+            halves = {w: pair for w in new if (pair := self._split(w))[1]}
+            parts = self.words.missing((x for pair in halves.values() for x in pair), age=False)
+            self._encode(list({w for w in new if w not in halves}.union(parts)))
+            known = self.words.young
+            for w, (stem, tail) in halves.items():
+                known[w] = known[stem] + known[tail]
 
     def of_texts(self, texts: list[list[bytes]]) -> list[np.ndarray]:
         """Ids of each text, given as its words."""
-        self.learn(w for words in texts for w in words)
+        self.learn(set().union(*texts))
         get = self.words.young.__getitem__
         return [np.frombuffer(b"".join(map(get, words)), np.uint32) for words in texts]
 
