@@ -1,9 +1,15 @@
 """Main text of web pages from flat text blocks and a decision tree.
 
 A page is cut into text blocks at block-level tags.  Each block is described
-by its own and its neighbours' word count and link density and by the kind of
-element around it; a decision tree (Gini, trained here on the blocks of a few
-labelled sample pages) tells article text from the rest.
+by its own word count and link density, those of its neighbours, and those of
+the run of little-linked blocks that it stands in; and by the kind of element
+around it.  A decision tree (Gini, trained here on the blocks of labelled
+sample pages) tells article text from the rest.
+
+An element is marked as beside the article by its tag, its role, or by a name
+that is a whole word of its class or id (``no-sidebar`` is none); the id decides
+where the two disagree.  An article or main element ends any mark that its
+ancestors or its own names set.
 """
 
 from __future__ import annotations
@@ -29,16 +35,20 @@ _SKIPPED = frozenset("""script style noscript template svg math iframe object ca
 title option datalist""".split())
 _AROUND = frozenset("nav aside footer form dialog menu fieldset".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-_ASIDE_NAME = re.compile(r"""(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|banner|promo\w*|sponsor\w*|cookie\w*|consent|gdpr|notice|
-alert|warning|disclaimer|menu|nav|navbar|navigation|breadcrumbs?|side|sidebar|rail|widget|footer|header|masthead|topbar|
-comments?|commentlist|discussion|replies|reply|respond|share|sharing|social|related|recommend\w*|newsletter|subscribe|
-signup|popup|modal|overlay|login|search|pagination|pager|tags|copyright|legal|toolbar|skip)(?:$|[\s_-])""", re.I | re.X)
-_MAIN_NAME = re.compile(r"(?:^|[\s_-])(?:article|articlebody|content|main|post|entry|story|body|text)(?:$|[\s_-])", re.I)
+#: Whole names of elements beside the article, and of those that hold it.
+_ASIDE_NAMES = frozenset("""ad ads adv advert advertisement adsense banner promo promotion sponsor sponsored cookie cookies
+cookie-notice cookie-banner consent gdpr notice alert warning disclaimer menu nav navbar navigation breadcrumb breadcrumbs side
+sidebar rail widget footer header masthead topbar comment comments comment-list commentlist kommentare commentaires comentarios
+discussion replies respond share sharing social related recommended newsletter subscribe signup popup modal overlay login search
+pagination pager tags copyright legal toolbar""".split())
+_MAIN_NAMES = frozenset("article article-body articlebody content main post post-body entry entry-content story body text".split())
 _ATTR = re.compile(r"""(class|id|role|data-main)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _CLOSER = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in _SKIPPED}
 
-FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after", "aside", "main",
-            "page_header", "heading")
+FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after", "run_words", "run_blocks",
+            "run_longest", "aside", "main", "page_header", "heading")
+#: A block with a smaller share of linked characters belongs to a run.
+_RUN_LINKS = 0.5
 
 
 class Block:
@@ -118,7 +128,7 @@ def blocks(page: str) -> list[Block]:
 
 def _opened(tag: str, attrs: str, stack: list) -> tuple[str, bool, bool, bool, bool]:
     _, aside, main, header, label = stack[-1] if stack else ("", False, False, False, False)
-    names, role = [], ""
+    names, role = {"class": set(), "id": set()}, ""
     if "=" in attrs:
         for key, a, b, c in _ATTR.findall(attrs):
             value = a or b or c
@@ -127,22 +137,43 @@ def _opened(tag: str, attrs: str, stack: list) -> tuple[str, bool, bool, bool, b
             elif key.lower() == "data-main":
                 label = value == "1"
             else:
-                names.append(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value))
-    name = " ".join(names)
+                names[key.lower()].update(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower().split())
+    if tag in ("article", "main") or role in ("main", "article"):
+        return tag, False, True, header, label
     if tag not in ("html", "body"):
-        aside = aside or tag in _AROUND or bool(name and _ASIDE_NAME.search(name)) or role in (
+        by_id = names["id"] & (_ASIDE_NAMES | _MAIN_NAMES)
+        words = by_id or names["class"]
+        beside = bool(words & _ASIDE_NAMES)
+        aside = aside or tag in _AROUND or beside or role in (
             "navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog", "menu")
         header = header or (tag == "header" and not main)
-        main = main or tag in ("article", "main") or role in ("main", "article") or bool(name and _MAIN_NAME.search(name))
+        main = main or (bool(words & _MAIN_NAMES) and not beside)
     return tag, aside, main, header, label
 
 
+def _runs(found: list[Block]) -> list[tuple[float, float, float]]:
+    """Words, blocks and longest block of the run around each block: neighbours
+    of the same place (beside the article or not) that are hardly linked.  A
+    linked block is a run of its own without words."""
+    out: list[tuple[float, float, float]] = []
+    at = 0
+    while at < len(found):
+        end = at
+        plain = lambda b: b.linked / len(b.text) < _RUN_LINKS
+        while end < len(found) and plain(found[end]) and found[end].aside == found[at].aside and found[end].header == found[at].header:
+            end += 1
+        sizes = [len(b.text.split()) for b in found[at:end]]
+        out += [(float(sum(sizes)), float(len(sizes)), float(max(sizes)))] * len(sizes) if sizes else [(0.0, 0.0, 0.0)]
+        at = max(end, at + 1)
+    return out
+
+
 def describe(found: list[Block]) -> list[tuple[float, ...]]:
     """FEATURES of each block; a missing neighbour has no words and no links."""
     own = [(len(b.text.split()), b.linked / len(b.text)) for b in found]
     edge = [(0, 0.0)]
-    return [(*own[i], *b, *a, float(x.aside), float(x.main), float(x.header), float(x.heading))
-            for i, (x, b, a) in enumerate(zip(found, edge + own[:-1], own[1:] + edge))]
+    return [(*own[i], *b, *a, *run, float(x.aside), float(x.main), float(x.header), float(x.heading))
+            for i, (x, b, a, run) in enumerate(zip(found, edge + own[:-1], own[1:] + edge, _runs(found)))]
 
 
 _SENTENCE = "The river rose over night and the lower road was closed until the water fell again"
@@ -190,24 +221,33 @@ def _said(n: int) -> str:
 
 def sample_pages() -> list[str]:
     """SAMPLES and, for every way to wrap an article, pages whose paragraphs
-    and surroundings run through many lengths.  Unwrapped articles have long
-    paragraphs; what stands around them is short or linked."""
+    and surroundings run through many lengths.  Unwrapped articles are told by
+    counts and links alone: a run of paragraphs, short ones among them, with
+    short or linked blocks around."""
     out = list(SAMPLES)
-    wraps = ("article", "main", "div class=content", "div id=post-body", "section role=main", "div")
+    wraps = ("article", "main", "div class=content", "div id=post-body", "section role=main", "div", "div", "div")
     asides = ("nav", "aside", "footer", "div class=ad", "div class='notice box'", "form", "div id=sidebar",
               "section class=comments", "header")
     dice = random.Random(7)
-    for k in range(40 * len(wraps)):
+    for k in range(50 * len(wraps)):
         wrap, plain = wraps[k % len(wraps)], wraps[k % len(wraps)] == "div"
-        text = "".join(f"<p>{_said(dice.randint(18 if plain else 1, dice.choice((20, 60, 250))))}.</p>"
-                       for _ in range(dice.randint(1, 8)))
+        sizes = [dice.randint(1, dice.choice((20, 60, 250))) for _ in range(dice.randint(3 if plain else 1, 8))]
+        while plain and sum(sizes) < 40:  # a page without a wrapper is an article only if it says something
+            sizes.append(dice.randint(1, 20))
+        text = [f"<p>{_said(n)}.</p>" for n in sizes]
         links = lambda: "".join(f"<li><a>{_said(dice.randint(1, 6))}</a>" for _ in range(dice.randint(2, 6)))
-        box = lambda: (
-            f"<div>{_said(dice.randint(1, 8))}</div>" if plain else
-            f"<{(tag := dice.choice(asides))}><p>{_said(dice.randint(1, dice.choice((12, 60))))}</p></{tag.split()[0]}>")
-        head = "" if plain else f"<h1>{_said(dice.randint(1, 14))}</h1>"
-        inner = "" if plain else dice.choice(("", "", f"<ul data-main=0>{links()}</ul>", f"<div data-main=0>{box()}</div>"))
-        out.append(f"<body data-main=0><ul>{links()}</ul>{box()}<{wrap} data-main=1>{head}{text}{inner}"
+        # a header inside the article is the article's own
+        box = lambda kinds=asides: (
+            f"<div><a>{_said(dice.randint(1, 4))}</a></div><div>{_said(dice.randint(1, 8))}</div><div><a>{_said(dice.randint(1, 4))}</a></div>" if plain else
+            f"<{(tag := dice.choice(kinds))}>{dice.choice(('', f'<h3>{_said(dice.randint(1, 6))}</h3>'))}"
+            + "".join(f"<p>{_said(dice.randint(1, dice.choice((12, 60))))}</p>" for _ in range(dice.randint(1, 4)))
+            + f"</{tag.split()[0]}>")
+        head = "" if plain or dice.random() < 0.5 else f"<h1>{_said(dice.randint(1, 14))}</h1>"
+        inner = lambda: "" if plain else dice.choice(
+            ("", f"<ul data-main=0>{links()}</ul>", f"<div data-main=0>{box(asides[:-1])}</div>"))
+        for _ in range(2):
+            text.insert(dice.randint(0, len(text)), inner())
+        out.append(f"<body data-main=0><ul>{links()}</ul>{box()}<{wrap} data-main=1>{head}{''.join(text)}"
                    f"</{wrap.split()[0]}>{box()}<div><a>{_said(dice.randint(1, 5))}</a></div>{dice.choice(('', box()))}")
     return out
 
@@ -270,8 +310,10 @@ def main_text(page: str | None) -> str:
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(page_id, url, text, n_chars)`` per input row.  Repeated rows each
-    get a row; null ids and urls stay null; other columns are ignored."""
+    """``(page_id, url, text, n_chars)`` per input row.  Null and empty pages
+    give '', very long pages are read whole, repeated rows each get a row,
+    null ids and urls stay null; other columns, whatever their names, are
+    ignored.  An empty table gives an empty result."""
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

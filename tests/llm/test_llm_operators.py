@@ -301,6 +301,66 @@ def test_html_pages(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+LINE = "the water rose over the lower road all night until it fell again at dawn"
+LONG = " ".join([LINE] * 3)
+NAV = "<ul><li><a href=/>Home</a><li><a href=/n>All the news</a><li><a href=/s>Sport</a></ul>"
+#: Hand-written templates: page, the article's blocks.
+TEMPLATES = [
+    (f'<article class="post no-sidebar"><p>{LINE}</p><p>Short.</p></article>', [LINE, "Short."]),
+    (f'<main class="has-sidebar"><p>{LINE}</p></main><div class=sidebar><p>{LINE}</p></div>', [LINE]),
+    (f'<div id=content class="content comments-open comments"><p>{LINE}</p></div>', [LINE]),
+    (f'{NAV}<div><p>{LINE}</p><p>Short.</p><p>{LINE}</p><p>All went well.</p><p>{LINE}</p></div><div><a>Next</a></div>',
+     [LINE, "Short.", LINE, "All went well.", LINE]),
+    (f'<article><h1>Flood</h1><p>{LONG}</p></article><section id=kommentare><p>{LONG} says a reader</p></section>', ["Flood", LONG]),
+    (f'<body class="sidebar menu"><main><h2>Two</h2><p>{LINE}</p><div class="ad box"><p>{LINE}, buy now</p></div></main></body>', ["Two", LINE]),
+    (f'<header><h1>The Paper</h1><p>{LINE}</p></header><article><header><h1>Bridge</h1></header><p>{LONG}</p></article><footer>{LINE}</footer>',
+     ["Bridge", LONG]),
+    (f'<div role=banner><p>{LINE}</p></div><div role=main><p>{LINE}</p><ul><li>One</li><li>Two</li></ul></div><div role=search>{LINE}</div>',
+     [LINE, "One", "Two"]),
+    (f'<table><tr><td><ul><li><a>A</a><li><a>B</a></ul></td></tr><tr><td><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></td></tr></table>', [LONG] * 3),
+    (f'<div class=cookie-notice>{LINE}</div><div class="entry-content"><h2>Head</h2><p>{LONG}</p><blockquote>{LINE}</blockquote></div>',
+     ["Head", LONG, LINE]),
+    (f'<article><p>{LINE}</p><form><p>{LINE}</p></form><div class="share"><a>Mail</a></div><p>End.</p></article>', [LINE, "End."]),
+    (f'{NAV}<div><h1>Plain</h1><p>{LONG}</p><p>{LONG} <a>more</a></p><p>{LINE}</p></div>{NAV}', ["Plain", LONG, f"{LONG} more", LINE]),
+    (f'<div class="post"><p>{LONG}</p></div><div class="comment text"><p>{LONG}</p></div>', [LONG]),
+]
+
+
+@pytest.mark.parametrize("k", range(len(TEMPLATES)))
+def test_html_templates(k):
+    page, want = TEMPLATES[k]
+    assert html_text.main_text(f"<!doctype html><html>{page}</html>").split("\n\n") == want
+
+
+def test_html_tree_is_read_as_it_is_trained():
+    """A plain reader: the rules of the tree as lists of conditions, tried one by one."""
+    tree = html_text.default_tree()
+    rules = []
+
+    def paths(t, so_far):
+        if isinstance(t, html_text.Leaf):
+            rules.append((so_far, t.keep))
+        else:
+            paths(t[2], [*so_far, (t[0], t[1], True)])
+            paths(t[3], [*so_far, (t[0], t[1], False)])
+    paths(tree, [])
+    assert len(rules) > 5 and {"words", "run_blocks"} & {html_text.FEATURES[f] for r, _ in rules for f, _, _ in r}
+    for page, _ in TEMPLATES:
+        found = html_text.blocks(page)
+        kept = []
+        for b, row in zip(found, html_text.describe(found)):
+            [keep] = [k for rule, k in rules if all((row[f] <= cut) == low for f, cut, low in rule)]
+            kept += [b.text] * keep
+        assert "\n\n".join(kept) == html_text.main_text(page)
+
+
+def test_html_long_pages_and_clashing_columns(spark):
+    page = "<article>" + f"<p>{LINE}</p>" * 30_000 + "</article>"
+    df = spark.createDataFrame([(1, None, page, "t", 5)], "page_id long, url string, html string, text string, n_chars int")
+    [r] = html_text.extract(df).collect()
+    assert r.text == "\n\n".join([LINE] * 30_000) and r.n_chars == len(r.text) and r.url is None
+
+
 def test_html_tree_on_pages_it_did_not_see():
     held = html_text.sample_pages()[::5]
     rows, labels = [], []
