@@ -10,8 +10,6 @@ gets the full passes, and those up to a hash threshold one more.
 
 from __future__ import annotations
 
-import heapq
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,8 +18,8 @@ from creditlens.llm.common import store, word_array
 
 #: Weights of the sources in code point order (null last), repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
-#: Membership patterns that the driver's network may hold.
-MAX_PATTERNS = 100_000
+#: Membership patterns that the driver's network may hold (about 200 bytes each).
+MAX_PATTERNS = 1_000_000
 _BUCKETS = 4096
 
 
@@ -49,58 +47,84 @@ def route(patterns: dict[tuple, int], quota: dict, passes: int = 2) -> dict[tupl
 
     Arcs: start -> pattern, one arc of the pattern's size per pass with cost
     1, 3, 5, ... (convex); pattern -> each of its sources; source -> end with
-    its quota.  Successive shortest paths with potentials."""
-    names = [*patterns, *quota]
-    at = {("p", p): 2 + i for i, p in enumerate(patterns)} | {
-        ("s", s): 2 + len(patterns) + i for i, s in enumerate(quota)}
-    graph: list[list[int]] = [[] for _ in range(2 + len(names))]
-    to, cap, cost = [], [], []
-
-    def arc(a: int, b: int, c: int, w: int) -> None:
-        for x, y, room, price in ((a, b, c, w), (b, a, 0, -w)):
+    its quota.  Only the first arc of a path costs anything, so paths of equal
+    cost are those that start with the same pass: all of them are augmented
+    together (blocking flows on levels), pass after pass.  A pattern whose only
+    source has no other pattern is its own network, with the flow
+    min(quota, passes x size)."""
+    met: dict = {}
+    for p in patterns:
+        for s in p:
+            met[s] = met.get(s, 0) + 1
+    out: dict[tuple, dict] = {p: {s: 0 for s in p} for p in patterns}
+    shared = {}
+    for p, size in patterns.items():
+        if len(p) == 1 and met[p[0]] == 1:
+            out[p][p[0]] = min(quota[p[0]], passes * size)
+        elif p:
+            shared[p] = size
+    node = {("p", p): 2 + i for i, p in enumerate(shared)}
+    node |= {("s", s): 2 + len(shared) + i for i, s in enumerate(dict.fromkeys(s for p in shared for s in p))}
+    graph: list[list[int]] = [[] for _ in range(2 + len(node))]
+    to, room = [], []
+
+    def arc(a: int, b: int, c: int) -> int:
+        for x, y, r in ((a, b, c), (b, a, 0)):
             graph[x].append(len(to))
             to.append(y)
-            cap.append(room)
-            cost.append(price)
+            room.append(r)
+        return len(to) - 2
+
+    first = {p: arc(0, node["p", p], 0) for p in shared}
+    routed = [(p, s, arc(node["p", p], node["s", s], passes * size)) for p, size in shared.items() for s in p]
+    for kind, s in node:
+        if kind == "s":
+            arc(node["s", s], 1, quota[s])
+    for _ in range(passes):
+        for p, size in shared.items():
+            room[first[p]] += size
+        _augment(graph, to, room)
+    for p, s, e in routed:
+        out[p][s] = room[e ^ 1]
+    return out
 
-    routed = []
-    for p, size in patterns.items():
-        for k in range(passes):
-            arc(0, at["p", p], size, 2 * k + 1)
-        for s in p:
-            routed.append((p, s, len(to)))
-            arc(at["p", p], at["s", s], passes * size, 0)
-    for s, q in quota.items():
-        arc(at["s", s], 1, q, 0)
-    height = [0] * len(graph)
+
+def _augment(graph: list[list[int]], to: list[int], room: list[int]) -> None:
+    """Maximum flow from node 0 to node 1 over what ``room`` leaves: blocking
+    flows on breadth-first levels until the end is out of reach."""
     while True:
-        far, via, queue = {0: 0}, {}, [(0, 0)]
-        while queue:
-            d, x = heapq.heappop(queue)
-            if d > far[x]:
-                continue
+        level = [-1] * len(graph)
+        level[0], queue = 0, [0]
+        for x in queue:
             for e in graph[x]:
-                if cap[e] > 0:
-                    nd = d + cost[e] + height[x] - height[to[e]]
-                    if nd < far.get(to[e], float("inf")):
-                        far[to[e]], via[to[e]] = nd, e
-                        heapq.heappush(queue, (nd, to[e]))
-        if 1 not in far:
-            break
-        for x in range(len(graph)):
-            height[x] += far.get(x, far[1])
-        path, x = [], 1
-        while x:
-            path.append(via[x])
-            x = to[via[x] ^ 1]
-        push = min(cap[e] for e in path)
-        for e in path:
-            cap[e] -= push
-            cap[e ^ 1] += push
-    out: dict[tuple, dict] = {p: {} for p in patterns}
-    for p, s, e in routed:
-        out[p][s] = cap[e ^ 1]
-    return out
+                if room[e] and level[to[e]] < 0:
+                    level[to[e]] = level[x] + 1
+                    queue.append(to[e])
+        if level[1] < 0:
+            return
+        after, path, x = [0] * len(graph), [], 0
+        while True:
+            if x == 1:
+                push = min(room[e] for e in path)
+                for e in path:
+                    room[e] -= push
+                    room[e ^ 1] += push
+                back = next(i for i, e in enumerate(path) if not room[e])
+                x = to[path[back] ^ 1]
+                del path[back:]
+            while after[x] < len(graph[x]):
+                e = graph[x][after[x]]
+                if room[e] and level[to[e]] == level[x] + 1:
+                    break
+                after[x] += 1
+            if after[x] < len(graph[x]):
+                path.append(graph[x][after[x]])
+                x = to[path[-1]]
+            elif path:
+                x = to[path.pop() ^ 1]
+                after[x] += 1
+            else:
+                break
 
 
 def _members(sources: DataFrame, col: str) -> Column:

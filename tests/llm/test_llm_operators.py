@@ -436,6 +436,67 @@ def test_flow_uses_fresh_words_first_and_meets_quotas():
     assert sum(sum(f.values()) for f in flow.values()) == 260
 
 
+def brute_flow(patterns, quota, passes):
+    """Cheapest total by successive shortest paths, one word at a time."""
+    left, used, out = dict(quota), Counter(), Counter()
+    cost = 0
+    while True:
+        best = None
+        for p in sorted(patterns, key=str):  # cheapest next use of a pattern that can still reach a quota
+            if used[p] < passes * patterns[p]:
+                price = 2 * (used[p] // patterns[p]) + 1
+                queue, via = [(p, None)], {}
+                while queue:
+                    at, _ = queue.pop(0)
+                    for s in at:
+                        if s not in via:
+                            via[s] = at
+                            queue += [(q, s) for (q, t), n in out.items() if t == s and n]
+                ends = [s for s in via if left[s]]
+                if ends and (best is None or price < best[0]):
+                    best = price, p, ends[0], dict(via)
+        if best is None:
+            return cost, sum(used.values())
+        price, p, s, via = best
+        cost, left[s] = cost + price, left[s] - 1
+        used[p] += 1
+        while True:  # along the path, patterns hand a source over
+            q = via[s]
+            out[q, s] += 1
+            if q == p:
+                break
+            s = next(t for t in via if out[q, t] and t != s and q != via[t])
+            out[q, s] -= 1
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_flow_costs_as_little_as_one_word_at_a_time(seed):
+    rng = np.random.default_rng(seed)
+    names = "abcd"
+    patterns = {p: int(rng.integers(1, 7)) for p in {tuple(sorted(rng.choice(list(names), rng.integers(1, 4), replace=False))) for _ in range(5)}}
+    quota = {s: int(rng.integers(0, 12)) for s in sorted({s for p in patterns for s in p})}
+    flow = mixing.route(patterns, quota, 2)
+    used = {p: sum(f.values()) for p, f in flow.items()}
+    assert all(used[p] <= 2 * n for p, n in patterns.items()) and all(set(f) <= set(p) for p, f in flow.items())
+    assert all(sum(f.get(s, 0) for f in flow.values()) <= q for s, q in quota.items())
+    cost = sum(n + 2 * max(0, n - patterns[p]) for p, n in used.items())
+    assert (cost, sum(used.values())) == brute_flow(patterns, quota, 2)
+
+
+def test_flow_of_many_patterns_is_quick():
+    import time
+    rng = np.random.default_rng(1)
+    single = {(f"s{i:06d}",): int(rng.integers(1, 1000)) for i in range(100_000)}
+    start = time.time()
+    flow = mixing.route(single, {p[0]: n * 3 // 2 for p, n in single.items()})
+    assert all(flow[p][p[0]] == n * 3 // 2 for p, n in single.items())
+    overlap = {tuple(sorted(f"s{x:03d}" for x in set(rng.integers(0, 400, rng.integers(1, 5)).tolist()))): int(rng.integers(1, 1000)) for _ in range(30_000)}
+    total = sum(overlap.values())
+    flow = mixing.route(overlap, {f"s{i:03d}": total * 3 // 2 // 400 for i in range(400)})
+    assert sum(sum(f.values()) for f in flow.values()) == total * 3 // 2 // 400 * 400
+    assert time.time() - start < 60
+
+
 def test_mix(messy, messy_rows, nothing):
     got = mixing.mix(messy).collect()
     again = mixing.mix(messy).collect()
