@@ -55,10 +55,42 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.words = Recent(CACHE_WORDS)  # words, and the stems and tails of those that are split
         self.closed: dict[str, bool] = {}
+        self.letters: dict[str, bool] = {}
+        # a byte-level piece is written in the symbols of its bytes
+        alphabet = self.tokenizer.pre_tokenizer.pre_tokenize_str("é")[0][0] if self.tokenizer.pre_tokenizer else ""
+        own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        self.symbols = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in own)}
+        self.direct = alphabet == "é".encode().decode("latin-1").translate(self.symbols)
 
     def _encode(self, stems: list[bytes]) -> None:
+        """Ids of ``stems``.  A word of letters alone is one piece of the
+        tokenizer's model, which takes it directly; others go through the whole
+        tokenizer, many in one call, and its offsets tell them apart."""
+        mixed, model, known = [], self.tokenizer.model, self.words.young
         for i in range(0, len(stems), _CALL_WORDS):
             part = stems[i:i + _CALL_WORDS]
+            text = b" ".join(part).decode()
+            plain = (self.tokenizer.normalizer.normalize_str(text) if self.tokenizer.normalizer else text).split(" ")
+            if not self.direct or len(plain) != len(part):
+                mixed += part
+                continue
+            found, ends, ids = [], [0], []
+            for w, word in zip(part, plain):
+                if word.isascii():
+                    direct, piece = word.isalpha(), word
+                else:
+                    direct, piece = self._is_letters(word), word.encode().decode("latin-1").translate(self.symbols)
+                if direct:
+                    found.append(w)
+                    ids += [t.id for t in model.tokenize(piece)]
+                    ends.append(len(ids))
+                else:
+                    mixed.append(w)
+            packed = np.array(ids, np.uint32).tobytes()
+            for w, a, b in zip(found, ends, ends[1:]):
+                known[w] = packed[4 * a:4 * b]
+        for i in range(0, len(mixed), _CALL_WORDS):
+            part = mixed[i:i + _CALL_WORDS]
             texts = [w.decode() for w in part]
             enc = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
             lens = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -67,7 +99,13 @@ class WordIds:
             edges = np.searchsorted(first, np.append(starts, 2**62)).tolist()
             packed = np.array(enc.ids, np.uint32).tobytes()
             for w, a, b in zip(part, edges, edges[1:]):
-                self.words.young[w] = packed[4 * a:4 * b]
+                known[w] = packed[4 * a:4 * b]
+
+    def _is_letters(self, word: str) -> bool:
+        """Whether every character joins its neighbours as a letter does, as the tokenizer has it."""
+        for c in set(word).difference(self.letters):
+            self.letters[c] = len(self.tokenizer.pre_tokenizer.pre_tokenize_str(f"a{c}b")) == 1
+        return all(map(self.letters.__getitem__, word))
 
     def _closes(self, letter: str) -> bool:
         """Whether the tokenizer splits between ``letter`` and punctuation after it."""
