@@ -69,13 +69,23 @@ def gram_counts(text: bytes | None) -> tuple[np.ndarray, np.ndarray, bool]:
             first = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1])))
             found.append(grams[first])
             counts.append(np.diff(np.append(first, len(grams))))
+        if len(found) == 2:  # one entry per trigram, however many blocks the text has
+            total = np.zeros(CLASSES ** 3, np.int64)
+            for g, n in zip(found, counts):
+                total[g] += n
+            found = [np.flatnonzero(total).astype(np.int32)]
+            counts = [total[found[0]]]
     if not found:
         return np.zeros(0, np.int32), np.zeros(0, np.int64), letter
-    return np.concatenate(found), np.concatenate(counts), letter
+    return found[0], counts[0], letter
 
 
 def text_vector(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    return counts.astype(np.float32) @ gram_vectors()[grams].astype(np.float32)
+    """The bundle of a text's trigrams, a slice of them at a time."""
+    vectors, out = gram_vectors(), np.zeros(DIMENSIONS, np.float32)
+    for at in range(0, len(grams), 8192):
+        out += counts[at:at + 8192].astype(np.float32) @ vectors[grams[at:at + 8192]].astype(np.float32)
+    return out
 
 
 def prototypes(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict[str, np.ndarray]:
@@ -152,8 +162,10 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], id_col: str = "doc
 
 def identify(docs: DataFrame, modulus: int = 4, remainder: int = 2) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)``: learns from the rows that are
-    not held out (a null id is not) and predicts every row.  Repeated rows
-    each get a row; other columns are ignored."""
+    not held out (a null id is not) and predicts every row.  Null texts and
+    texts without a letter are ``und``; repeated rows each get a row; very long
+    texts are read whole in bounded memory; an empty table gives an empty
+    result; other columns are ignored."""
     held = lambda: remainder_is(F.col("doc_id"), modulus, remainder)
     profiles = prototypes(docs.where(~held()))
     return predict(docs, profiles).select("doc_id", held().alias("held_out"), "lang_pred", "score")

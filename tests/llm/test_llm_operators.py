@@ -155,6 +155,58 @@ def test_language_edges(messy, nothing, spark):
     assert {r.lang_pred for r in language.identify(digits).collect()} <= {"und"}
 
 
+def brute_language(rows):
+    """The method with plain lists: letter vectors rotated by place, multiplied, added up, compared by cosine."""
+    letters = np.random.Generator(np.random.PCG64(99)).choice(np.array([-1, 1], np.int8), (language.CLASSES, language.DIMENSIONS)).astype(int)
+    kinds = language._letter_class()
+
+    def bundle(text):
+        classes = [0]
+        for c in text + "\0":
+            k = int(kinds[ord(c)])
+            if k or classes[-1]:
+                classes.append(k)
+        total = np.zeros(language.DIMENSIONS, int)
+        for a, b, c in zip(classes, classes[1:], classes[2:]):
+            total += np.roll(letters[a], 2) * np.roll(letters[b], 1) * letters[c]
+        return total, any(classes)
+    profiles = {}
+    for i, t, lang in rows:
+        if lang is not None and remainder(i, 4) != 2:
+            profiles[lang] = profiles.get(lang, 0) + bundle(t or "")[0]
+    out = []
+    for i, t, _ in rows:
+        v, letter = bundle(t or "")
+        cosines = {n: float(p @ v / max(np.linalg.norm(p) * np.linalg.norm(v), 1e-9)) for n, p in sorted(profiles.items()) if np.any(p)}
+        best = max(cosines, key=cosines.get) if letter and cosines else "und"
+        out.append((i, best, max(0.0, cosines.get(best, 0.0))))
+    return out
+
+
+def test_language_against_plain_lists(spark):
+    from creditlens.sources.tables import Tables
+    docs = [(r.doc_id, r.text[:700] if r.text else r.text, r.lang) for r in
+            Tables(spark, "/root/testdata/sf0.001").documents.select("doc_id", "text", "lang").collect()][:90]
+    docs += [(None, "Привет мир, как дела", "ru"), (5000, "Привет всем", None), (5001, None, "ru"), (5002, "1 2 3", "en")]
+    got = language.identify(spark.createDataFrame(docs, "doc_id long, text string, lang string")).collect()
+    want = {i: (lang, score) for i, lang, score in brute_language(docs)}
+    assert len(got) == len(docs)
+    for r in got:
+        assert r.lang_pred == want[r.doc_id][0] and abs(r.score - want[r.doc_id][1]) < 1e-5, r
+
+
+def test_language_memory_of_a_long_text():
+    import resource
+    rng = np.random.default_rng(1)
+    text = "".join(map(chr, rng.choice([*range(97, 123), 32, *range(0x430, 0x450)], 8_000_000))).encode()
+    language.gram_vectors()
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    grams, counts, letter = language.gram_counts(text)
+    vector = language.text_vector(grams, counts)
+    assert letter and len(grams) == len(set(grams.tolist())) and vector.shape == (language.DIMENSIONS,)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300_000  # kB
+
+
 def test_language_blocks_do_not_change_counts(monkeypatch):
     text = "Ein Würfel, zwei  Würfel -- drei!".encode()
     whole = language.gram_counts(text)
