@@ -222,9 +222,14 @@ def _narrow(state: DataFrame, alive: DataFrame, length: int, window: int) -> Dat
             .mapInArrow(run, "tid long, blob binary, spans array<bigint>"))
 
 
-def _repeated(pieces: DataFrame) -> DataFrame:
-    """Places of the pieces that occur more than once: ``(tid, places)``."""
-    often = pieces.groupBy("g", "c").agg(F.count("*").alias("k")).where("k > 1").drop("k")
+def _repeated(pieces: DataFrame, length: int) -> DataFrame:
+    """Places of the pieces that occur more than once: ``(tid, places)``.
+
+    Pieces are hashed once and stored, and so are the repeated keys: the join
+    then reads two tables, so a key with very many places can be split (an
+    aggregate between its shuffle and its sort would keep the skew join away)."""
+    pieces = store(pieces, f"substring-pieces-{length}")
+    often = store(pieces.groupBy("g", "c").agg(F.count("*").alias("k")).where("k > 1").drop("k"), f"substring-often-{length}")
     return pieces.join(often, ["g", "c"], "left_semi").groupBy("tid").agg(F.collect_list("pos").alias("places"))
 
 
@@ -266,7 +271,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     state = texts.where(F.col("n") >= window).select(
         "tid", "blob", F.array(F.lit(0).cast("long"), F.col("n") - window).alias("spans"))
     for length in levels(window):
-        alive = _repeated(_pieces(state, length, window))
+        alive = _repeated(_pieces(state, length, window), length)
         state = store(_narrow(state, alive, length, window), f"substring-{length}")
     left = _cover(state, window)
     whole = (F.col("copies") > 1) & (F.col("n") >= window)  # another row holds the same text
