@@ -9,17 +9,20 @@ the original text.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditlens.llm.common import map_batches, raw_bytes
+from creditlens.llm.common import map_batches, raw_bytes, store
 
-#: Item bytes that one automaton may hold; more items are scanned for in further passes of the same kind.
-MAX_ITEM_BYTES = 8_000_000
+#: Item bytes that one automaton may hold (about 310 MB of a worker); more items
+#: are scanned for in further passes of the same kind, one automaton at a time.
+MAX_ITEM_BYTES = 1_000_000
 #: Lower-cases A-Z and turns every ASCII character outside [0-9a-z] into a blank; byte length is unchanged.
 _FOLD = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20
               for b in range(256))
@@ -95,20 +98,21 @@ def original_spans(text: bytes, ranges: list[tuple[int, int]]) -> list[tuple[int
     return [(int(chars[starts[s]]), int(chars[ends[e - 1]])) for s, e in ranges]
 
 
-def item_tables(items: DataFrame, item_id: str = "item_id", item_text: str = "text", window: int = 10) -> list:
-    """(broadcast pattern table, its name) per block of at most about
-    MAX_ITEM_BYTES of items: the size is checked before anything is
-    collected, and larger item tables give more blocks."""
+def item_tables(items: DataFrame, item_id: str = "item_id", item_text: str = "text",
+                window: int = 10) -> Iterator[tuple[Broadcast, str, int, bool]]:
+    """(broadcast pattern table, its name, number, whether it is the last) per
+    block of at most about MAX_ITEM_BYTES of items: the size is checked before
+    anything is collected, and larger item tables give more blocks.  A block
+    is collected when the one before is done with."""
     bench = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"),
                          F.coalesce(F.col(item_text), F.lit("")).alias("t"))
     total = bench.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
-    blocks, out = int(total // MAX_ITEM_BYTES) + 1, []
+    blocks = int(total // MAX_ITEM_BYTES) + 1
     for block in range(blocks):
         part = bench.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block)
         table = patterns([(r["i"], r["t"].encode()) for r in part.collect()], window)
         name = hashlib.sha256(repr(sorted(table.items())).encode()).hexdigest()
-        out.append((items.sparkSession.sparkContext.broadcast(table), name))
-    return out
+        yield items.sparkSession.sparkContext.broadcast(table), name, block, block == blocks - 1
 
 
 def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
@@ -121,19 +125,17 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     wordless items no windows; a null item id is the empty string; repeated
     items and ids count once; repeated rows each get a row.  Other columns
     are ignored.  The item table is read in blocks of at most MAX_ITEM_BYTES
-    (an item is never split); each block is one automaton and one scan.
+    (an item is never split); each block is one automaton and one scan, and
+    the rows are stored between scans.  An empty table gives an empty result;
+    very long texts are scanned whole.
     """
-    tables = item_tables(items, item_id, item_text, window)
-    blocks = len(tables)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        F.lit(0).cast("long").alias("n_words"),
                        F.array().cast("array<struct<start:int,end:int>>").alias("ranges"),
                        F.array().cast("array<struct<start:int,end:int>>").alias("spans"),
                        F.array().cast("array<string>").alias("items"))
     schema = rows.schema
-    for block, (shared, name) in enumerate(tables):
-        last = block == blocks - 1
-
+    for shared, name, block, last in item_tables(items, item_id, item_text, window):
         def run(batch: pa.RecordBatch, shared=shared, name=name, first=not block, last=last) -> pa.RecordBatch:
             auto = automaton(shared.value, name)
             texts = raw_bytes(batch, "text")
@@ -154,16 +156,22 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
                  pa.array(ranges, pairs), pa.array(spans, pairs), pa.array(ids, pa.list_(pa.string()))],
                 ["doc_id", "text", "n_words", "ranges", "spans", "items"])
         rows = map_batches(rows, run, schema)
+        if not last:
+            rows = store(rows, "decontaminate")
+            shared.unpersist()
     return rows.drop("text")
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", window: int = 10) -> DataFrame:
     """The rows of ``docs`` (same columns) in which no item window occurs."""
     at = docs.columns.index(text_col)
-    for shared, name in item_tables(items, window=window):
+    for shared, name, _, last in item_tables(items, window=window):
         def run(batch: pa.RecordBatch, shared=shared, name=name) -> pa.RecordBatch:
             auto = automaton(shared.value, name)
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             return batch.filter(pa.array([not scan(t, auto)[1] for t in texts], pa.bool_()))
         docs = map_batches(docs, run, docs.schema)
+        if not last:
+            docs = store(docs, "decontaminate")
+            shared.unpersist()
     return docs

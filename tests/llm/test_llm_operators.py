@@ -283,7 +283,7 @@ def brute_hits(text, items, window=10):
     return len(w), len(hit), sorted(ids)
 
 
-@pytest.mark.parametrize("block", [8_000_000, 150])
+@pytest.mark.parametrize("block", [1_000_000, 150])
 def test_decontamination(messy, messy_rows, nothing, spark, monkeypatch, block):
     monkeypatch.setattr(decontaminate, "MAX_ITEM_BYTES", block)  # the small one scans in several blocks
     base = messy_rows[0][1].split()
