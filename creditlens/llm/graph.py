@@ -19,10 +19,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """Edges ``(a, b)`` of longs -> ``(node, root)``, root the smallest node.
 
     Each star step is a per-node minimum (combined before the shuffle) joined
-    back to the edges.  That join meets the edges of a node in one task: three
-    longs an edge, read as a stream.  The links that SimHash gives are spanning
-    links of its bins, so a node has at most one edge per bin that it is in.
-    Self-loops and repeated edges are allowed; nulls are not.  An empty
+    back to the edges.  That join meets all edges of a node in one task (two
+    longs an edge, read as a stream); the aggregate before it keeps the skew
+    join away, so a node with very many edges is not split.  Self-loops and repeated edges are allowed; nulls are not.  An empty
     table gives an empty one.
     """
     checkpoint_dir(edges.sparkSession)
