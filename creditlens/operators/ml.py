@@ -56,13 +56,15 @@ def materialise(df: DataFrame) -> DataFrame:
 from dataclasses import dataclass, field  # noqa: E402
 
 
+from pyspark.ml import PipelineModel  # noqa: E402
+
 from creditlens.functions import rules as R  # noqa: E402
 from creditlens.operators import boosting as B  # noqa: E402
 from creditlens.operators import metrics as M  # noqa: E402
 from creditlens.operators import sampling as S  # noqa: E402
 from creditlens.operators.prepare import impute_model_features  # noqa: E402
 from creditlens.operators.scoring import add_macro  # noqa: E402
-from creditlens.sources.versions import read_version, write_version  # noqa: E402
+from creditlens.sources.versions import current, publish, read_version, write_version  # noqa: E402
 
 # Model feature lists
 Q4_FEATURES = ["avg_monthly_spend_2024", "total_spend_2024", "spend_2024_q1", "spend_2024_q2", "spend_2024_q3",
@@ -309,12 +311,15 @@ def metrics_table(spark, results) -> DataFrame:
     return spark.createDataFrame(rows, "section string, name string, key string, value double")
 
 
-def save_model(model: B.Boosted, path: str) -> None:
+def save_model(model: B.Boosted | PipelineModel, path: str) -> None:
     """SRC-10: the model as the new version at ``path``; if the write dies, the
-    model before can still be loaded."""
+    model before can still be loaded.  Spark ML models keep their own format."""
     spark = SparkSession.getActiveSession()
-    row = spark.createDataFrame([(json.dumps(model.to_dict()),)], "boosted string")
-    write_version(row, path, {"trees": model.getNumTrees, "loss": model.params.loss})
+    if isinstance(model, B.Boosted):
+        row = spark.createDataFrame([(json.dumps(model.to_dict()),)], "boosted string")
+        write_version(row, path, {"kind": "boosted", "trees": model.getNumTrees, "loss": model.params.loss})
+    else:
+        publish(spark, path, lambda folder: model.write().save(folder), {"kind": "pipeline"})
 
 
 def save_models(results, folder: str) -> None:
@@ -326,6 +331,10 @@ def save_models(results, folder: str) -> None:
             save_model(model, f"{folder}/{res.name}" + (f"/{k}" if many else ""))
 
 
-def load_model(path: str) -> B.Boosted:
+def load_model(path: str) -> B.Boosted | PipelineModel:
     """The current version of a saved model."""
-    return B.Boosted.from_dict(json.loads(read_version(SparkSession.getActiveSession(), path).first()["boosted"]))
+    spark = SparkSession.getActiveSession()
+    at = current(spark, path)
+    if at and at["facts"]["kind"] == "pipeline":
+        return PipelineModel.load(at["folder"])
+    return B.Boosted.from_dict(json.loads(read_version(spark, path).first()["boosted"]))
