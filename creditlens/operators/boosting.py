@@ -8,16 +8,17 @@ and a split is worth what it adds to the sum of T(G)^2 / (H + l2) / 2.
 * Features are cut once into at most ``bins`` quantile bins (plus one for
   missing values, which take the better side of each split).  The binned rows
   are kept as blocks of packed columns, one small row per block.
-* A level is one aggregate: each task sums g and h per (class, node, feature,
-  bin) over its blocks, the sums are added by key.  Only these histograms,
-  whose size does not follow the rows, reach the driver, which picks the
-  splits.  Where one partition (at most BLOCK_ROWS rows) holds the whole
-  table there is nothing to add up between tasks, so the same loop over the
-  same sums runs in its task instead of a job per level; the model is equal.
+* A level is one job of one stage: each task sums g and h per (class, node,
+  feature, bin) over its blocks and the tasks' sums are added.  Only these
+  histograms, whose size does not follow the rows, reach the driver, which
+  picks the splits.  Up to TASK_BLOCKS blocks are summed faster than a job is
+  started, so there the same loop over the same sums runs in one task instead
+  of a job per level; the model is equal.
 * g and h are rounded to integer multiples of a power of two before they are
   summed, so no result depends on the order of rows, tasks or retries.
-* Margins are a function of the block and the trees so far.  A worker keeps
-  those of the blocks it has seen and adds the trees that are new; a lost
+* Margins are a function of the block and the trees so far, and so are a
+  round's sampled rows, their g and h and their nodes.  A worker keeps those of
+  the blocks it has seen and adds the trees and levels that are new; a lost
   worker costs only their recomputation.
 * The classes of a multi-class model share their softmax margins: a round
   grows one tree per class from the same probabilities.
@@ -31,6 +32,7 @@ Row samples are hashes of (key, round), column samples seeded draws per tree.
 from __future__ import annotations
 
 import json
+import operator
 import uuid
 from collections import OrderedDict
 from collections.abc import Callable, Iterator, Sequence
@@ -38,14 +40,17 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditlens.session import ship
 
-#: Rows of a block, and of a partition of blocks.
-BLOCK_ROWS = 65_536
-#: Bytes of margins that a worker keeps.
+#: Rows of a block, and the most blocks that one task fits alone.
+BLOCK_ROWS, TASK_BLOCKS = 65_536, 4
+#: Sums of more tasks than this are added on the executors first.
+GATHER = 64
+#: Bytes that a worker keeps of its blocks.
 KEEP_BYTES = 256 << 20
 #: Rank error of the quantile cuts is 1 / ACCURACY.
 ACCURACY = 10_000
@@ -87,16 +92,17 @@ class Tree:
         n = 2 ** (depth + 1) - 1
         return cls(np.full(n, -1, np.int16), np.zeros(n, np.uint8), np.zeros(n, bool), np.zeros(n), np.zeros(n))
 
-    def leaf_of(self, binned: np.ndarray, missing: int) -> np.ndarray:
-        """The heap index of each row's leaf; ``binned`` is features x rows."""
-        at = np.zeros(binned.shape[1], np.int64)
-        rows = np.arange(binned.shape[1])
+    def leaf_of(self, binned: np.ndarray, missing: int, at: np.ndarray | None = None) -> np.ndarray:
+        """The heap index of each row's leaf, from the nodes ``at`` or the root; ``binned`` is features x rows."""
+        n = binned.shape[1]
+        at = np.zeros(n, np.int64) if at is None else at
+        rows, flat = np.arange(n), binned.reshape(-1)
         while True:
             feature = self.feature[at]
             inner = feature >= 0
             if not inner.any():
                 return at
-            x = binned[np.where(inner, feature, 0), rows]
+            x = flat.take(np.where(inner, feature, 0).astype(np.int64) * n + rows)
             left = np.where(x == missing, self.missing_left[at], x <= self.cut[at])
             at = np.where(inner, 2 * at + 2 - left, at)
 
@@ -301,71 +307,86 @@ def in_sample(key: np.ndarray, share: float, rnd: int, seed: int) -> np.ndarray:
 _KEPT: OrderedDict = OrderedDict()
 
 
-def _present_margins(fit: str, block: int, binned: np.ndarray, base: list[float], trees: list, bins: int) -> np.ndarray:
+@dataclass
+class _Kept:
+    """What a worker keeps of a block: its margins after ``done`` rounds and,
+    of the round that follows, the sampled rows' bins, g, h and node per class."""
+    done: int
+    margins: np.ndarray
+    part: np.ndarray | None = None
+    g: np.ndarray | None = None
+    h: np.ndarray | None = None
+    at: list[np.ndarray] | None = None
+
+    @property
+    def nbytes(self) -> int:
+        return self.margins.nbytes + (0 if self.part is None else self.part.nbytes + self.g.nbytes + 2 * self.h.nbytes)
+
+
+def _kept(fit: str, block: int, binned: np.ndarray, base: list[float], trees: list, bins: int) -> _Kept:
     """The block's margins after ``trees``, from those this worker kept."""
-    done, margins = _KEPT.pop((fit, block), (0, None))
-    if margins is None or done > len(trees):
-        done, margins = 0, np.repeat(np.array(base)[:, None], binned.shape[1], axis=1)
-    _add_trees(margins, binned, trees[done:], bins)
-    _KEPT[fit, block] = len(trees), margins
-    while len(_KEPT) > 1 and sum(m.nbytes for _, m in _KEPT.values()) > KEEP_BYTES:
+    kept = _KEPT.pop((fit, block), None)
+    if kept is None or kept.done > len(trees):
+        kept = _Kept(0, np.repeat(np.array(base)[:, None], binned.shape[1], axis=1))
+    if kept.done < len(trees):
+        kept = _Kept(len(trees), _add_trees(kept.margins, binned, trees[kept.done:], bins))
+    _KEPT[fit, block] = kept
+    while len(_KEPT) > 1 and sum(k.nbytes for k in _KEPT.values()) > KEEP_BYTES:
         _KEPT.popitem(last=False)
-    return margins
+    return kept
 
 
 @dataclass
 class _Level:
     """What a task needs to sum one level.  ``nodes[k]`` lists the heap indices
-    that are still open in class k's tree."""
+    that are still open in class k's tree, ``columns[k]`` the features it may split."""
     fit: str
     params: Params
     base: list[float]
     trees: list
     growing: list[Tree]
     nodes: list[list[int]]
+    columns: np.ndarray
     scale: float
     loss_scale: float
     n_features: int
 
-    def sums(self, block: int, blobs: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(slot, g, h)`` of one block.  Slots count class, open node,
-        feature and bin; -1 and -2 hold the loss of validation and training
-        rows and their weight."""
-        p = self.params
+    def sums(self, block: int, blobs: Sequence[bytes]) -> np.ndarray:
+        """The sums of one block as one array of integers: loss and weight of
+        the validation rows, of the training rows (at the root, else 0), then g
+        and then h by class, open node, feature and bin."""
+        p, width = self.params, self.params.bins + 1
         y, w, key, val = (np.frombuffer(b, kind) for b, kind in zip(blobs[1:], ("f8", "f8", "i8", "?")))
         binned = np.frombuffer(blobs[0], np.uint8).reshape(self.n_features, len(y))
-        margins = _present_margins(self.fit, block, binned, self.base, self.trees, p.bins)
-        slots, gs, hs = [], [], []
+        kept = _kept(self.fit, block, binned, self.base, self.trees, p.bins)
+        out = np.zeros(4 + 2 * sum(map(len, self.nodes)) * self.n_features * width, np.int64)
         if self.nodes[0] == [0] and len(self.nodes) == p.classes:
-            loss = np.rint(row_losses(margins, y, p.loss) * w * self.loss_scale)
-            for slot, mask in ((-1, val), (-2, ~val)):
-                slots.append([slot])
-                gs.append([int(loss[mask].sum())])
-                hs.append([int(np.rint(w[mask] * 2**20).sum())])
-        use = np.flatnonzero(~val & in_sample(key, p.rows, len(self.trees), p.seed))
-        g, h = gradients(margins[:, use], y[use], w[use], p.loss)
-        part, width, at = binned[:, use], p.bins + 1, 0
+            loss = np.rint(row_losses(kept.margins, y, p.loss) * w * self.loss_scale)
+            for i, mask in enumerate((val, ~val)):
+                out[2 * i:2 * i + 2] = int(loss[mask].sum()), int(np.rint(w[mask] * 2**20).sum())
+        if kept.part is None:
+            use = np.flatnonzero(~val & in_sample(key, p.rows, len(self.trees), p.seed))
+            g, h = gradients(kept.margins[:, use], y[use], w[use], p.loss)
+            kept.part, kept.g, kept.h = binned[:, use], np.rint(g * self.scale), np.rint(h * self.scale)
+            kept.at = [np.zeros(len(use), np.int64) for _ in range(p.classes)]
+        cells, first = out[4:].reshape(2, -1, self.n_features, width), 0
         for k, open_nodes in enumerate(self.nodes):
             if open_nodes:
+                n = len(open_nodes)
                 number = np.full(2 ** (p.depth + 1) - 1, -1)
-                number[open_nodes] = np.arange(len(open_nodes))
-                node = number[self.growing[k].leaf_of(part, p.bins)]
-                live = node >= 0
-                base = node[live] * width
-                gk, hk = np.rint(g[k][live] * self.scale), np.rint(h[k][live] * self.scale)
+                number[open_nodes] = np.arange(n)
+                kept.at[k] = self.growing[k].leaf_of(kept.part, p.bins, kept.at[k])
+                node = number[kept.at[k]]
+                live = np.flatnonzero(node >= 0)
+                base, gk, hk = node[live] * width, kept.g[k][live], kept.h[k][live]
                 for f in range(self.n_features):
-                    cell = base + part[f][live]
-                    n = len(open_nodes) * width
-                    sum_h = np.bincount(cell, hk, n)
-                    full = np.flatnonzero(np.bincount(cell, minlength=n))
-                    slots.append(at + (full // width * self.n_features + f) * width + full % width)
-                    gs.append(np.bincount(cell, gk, n)[full])
-                    hs.append(sum_h[full])
-            at += len(open_nodes) * self.n_features * width
-        return tuple(np.concatenate(x).astype(np.int64) for x in (slots, gs, hs))
-
-
-_Sums = tuple[np.ndarray, np.ndarray, np.ndarray]
+                    if f and not self.columns[k, f]:  # the first feature also gives the nodes' totals
+                        continue
+                    cell = base + kept.part[f].take(live)
+                    for total, x in zip(cells, (gk, hk)):
+                        total[first:first + n, f] = np.bincount(cell, x, n * width).reshape(n, width)
+                first += n
+        return out
 
 
 def _blobs(batch: pa.RecordBatch) -> Iterator[tuple[int, list]]:
@@ -374,16 +395,19 @@ def _blobs(batch: pa.RecordBatch) -> Iterator[tuple[int, list]]:
         yield block.as_py(), [b.as_buffer() for b in blobs]
 
 
-def _added(blocks: DataFrame) -> Callable[[_Level], _Sums]:
-    """Sums of a level over all blocks, as one Spark aggregate."""
-    def sums(level: _Level) -> _Sums:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for block, blobs in _blobs(batch):
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in level.sums(block, blobs)], ["slot", "g", "h"])
-        got = (blocks.mapInArrow(run, "slot long, g long, h long")
-               .groupBy("slot").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow())
-        return tuple(got.column(c).to_numpy() for c in ("slot", "g", "h"))
+def _added(blocks: RDD) -> Callable[[_Level], np.ndarray]:
+    """Sums of a level over all blocks, one array per task."""
+    def sums(level: _Level) -> np.ndarray:
+        def run(rows: Iterator[tuple]) -> Iterator[np.ndarray]:
+            total = None
+            for block, *blobs in rows:
+                found = level.sums(block, blobs)
+                total = found if total is None else total + found
+            if total is not None:
+                yield total
+
+        found = blocks.mapPartitions(run)
+        return found.treeReduce(operator.add) if blocks.getNumPartitions() > GATHER else sum(found.collect())
     return sums
 
 
@@ -391,16 +415,7 @@ def _in_one_task(blocks: DataFrame, start: _Start) -> Boosted:
     """The whole loop in the task of the only partition."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [x for batch in batches for x in _blobs(batch)]
-
-        def sums(level: _Level) -> _Sums:
-            found = [np.concatenate(x) for x in zip(*(level.sums(*x) for x in held))]
-            slot, at = np.unique(found[0], return_inverse=True)
-            out = np.zeros((2, len(slot)), np.int64)
-            for total, x in zip(out, found[1:]):
-                np.add.at(total, at, x)
-            return slot, *out
-
-        model = _boost(start, sums if len(held) > 1 else lambda level: level.sums(*held[0]))
+        model = _boost(start, lambda level: sum(level.sums(*x) for x in held))
         yield pa.RecordBatch.from_arrays([pa.array([json.dumps(model.to_dict())])], ["model"])
     return Boosted.from_dict(json.loads(blocks.mapInArrow(run, "model string").first()["model"]))
 
@@ -459,16 +474,17 @@ def fit(df: DataFrame, keys: Sequence[str], features: Sequence[str], params: Par
     power = lambda bound: 2.0 ** np.floor(EXACT - np.log2(rows * facts["top"] * bound))
     scale, loss_scale = power(4 * span if p.loss == "squared" else 2.0), power((4 * span) ** 2 if p.loss == "squared" else 40.0)
     start = _Start(p, list(features), cuts, base, n_val > 0, float(scale), float(loss_scale))
-    parts = max(1, -(-rows // BLOCK_ROWS))
+    alone = rows <= TASK_BLOCKS * BLOCK_ROWS
+    parts = 1 if alone else min(-(-rows // BLOCK_ROWS), spark.sparkContext.defaultParallelism)
     laid = df.coalesce(parts) if parts < df.rdd.getNumPartitions() else df
     blocks = _blocks(laid, keys, features, cuts, p.bins)
-    if parts == 1:
+    if alone:
         return _in_one_task(blocks, start)
-    blocks = blocks.persist()
+    packed = blocks.rdd.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _boost(start, _added(blocks))
+        return _boost(start, _added(packed))
     finally:
-        blocks.unpersist()
+        packed.unpersist()
 
 
 @dataclass
@@ -483,7 +499,7 @@ class _Start:
     loss_scale: float
 
 
-def _boost(start: _Start, sums: Callable[[_Level], _Sums]) -> Boosted:
+def _boost(start: _Start, sums: Callable[[_Level], np.ndarray]) -> Boosted:
     """Rounds of trees from the ``sums`` of their levels."""
     p, scale, loss_scale = start.params, start.scale, start.loss_scale
     model = Boosted(p, start.features, start.cuts, start.base, [])
@@ -498,10 +514,9 @@ def _boost(start: _Start, sums: Callable[[_Level], _Sums]) -> Boosted:
         for k in range(p.classes):
             columns[k, np.sort(draw.permutation(n_features)[:take])] = True
         for depth in range(p.depth):
-            slot, g, h = sums(_Level(name, p, start.base, model.trees, growing, nodes, scale, loss_scale, n_features))
+            found = sums(_Level(name, p, start.base, model.trees, growing, nodes, columns, scale, loss_scale, n_features))
             if depth == 0 and rnd:
-                by = {int(s): (a / loss_scale, b / 2**20) for s, a, b in zip(slot[slot < 0], g[slot < 0], h[slot < 0])}
-                train_loss, val_loss = (float(by[s][0] / (by[s][1] or 1.0)) for s in (-2, -1))
+                val_loss, train_loss = (float(a / loss_scale / (b / 2**20 or 1.0)) for a, b in found[:4].reshape(2, 2))
                 model.train_losses.append(train_loss)
                 if start.validate:
                     model.losses.append(val_loss)
@@ -512,9 +527,7 @@ def _boost(start: _Start, sums: Callable[[_Level], _Sums]) -> Boosted:
                         return model
             if rnd == wanted:
                 return model
-            cells = np.zeros((2, sum(map(len, nodes)), n_features, width))
-            live = slot >= 0
-            cells.reshape(2, -1)[:, slot[live]] = g[live] / scale, h[live] / scale
+            cells = found[4:].reshape(2, -1, n_features, width) / scale
             at = 0
             for k in range(p.classes):
                 if nodes[k]:

@@ -160,3 +160,41 @@ def test_transform_round_trip_and_edges(spark):
     assert all(r[3] is None for r in flat.table())
     with pytest.raises(ValueError):
         model.transform(df.withColumn("prediction", F.lit(1)))
+
+
+def test_a_few_blocks_are_fitted_in_one_task(spark, monkeypatch):
+    rows = table(8, 300)
+    df = spark.createDataFrame(rows, COLUMNS).repartition(4)
+    p = B.Params(rounds=6, depth=3, rows=0.8, columns=0.7, patience=3)
+    whole = B.fit(df, ["user_id"], ["a", "b", "c"], p)
+    monkeypatch.setattr(B, "BLOCK_ROWS", 90)
+    with monkeypatch.context() as m:
+        m.setattr(B, "_added", None)
+        assert B.fit(df, ["user_id"], ["a", "b", "c"], p).to_dict() == whole.to_dict()
+    monkeypatch.setattr(B, "TASK_BLOCKS", 1)
+    monkeypatch.setattr(B, "_in_one_task", None)
+    monkeypatch.setattr(B, "GATHER", 2)  # the sums of the tasks meet on the executors
+    assert B.fit(df, ["user_id"], ["a", "b", "c"], p).to_dict() == whole.to_dict()
+
+
+def test_a_level_is_one_job_of_one_stage(spark, monkeypatch):
+    monkeypatch.setattr(B, "BLOCK_ROWS", 50)
+    df = spark.createDataFrame(table(4, 260), COLUMNS)
+    sc, counts = spark.sparkContext, []
+    for rounds in (2, 5):
+        sc.setJobGroup(f"rounds-{rounds}", "levels")
+        model = B.fit(df, ["user_id"], ["a", "b", "c"], B.Params(rounds=rounds, depth=3, min_gain=-1.0, min_hessian=0.0))
+        assert model.getNumTrees == rounds
+        jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup(f"rounds-{rounds}")]
+        counts.append((len(jobs), sum(len(j.stageIds) for j in jobs)))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert (counts[1][0] - counts[0][0], counts[1][1] - counts[0][1]) == (9, 9)  # three more rounds of three levels
+
+
+def test_rows_beyond_the_range_of_feature_numbers():
+    tree = B.Tree.empty(1)
+    tree.feature[0], tree.cut[0] = 1, 3
+    binned = np.zeros((2, 40_000), np.uint8)
+    binned[1, ::2] = 9
+    assert tree.leaf_of(binned, 64).tolist() == [2, 1] * 20_000
+    assert tree.leaf_of(binned, 64, np.zeros(40_000, np.int64)).tolist() == [2, 1] * 20_000
