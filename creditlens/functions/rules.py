@@ -52,18 +52,17 @@ def signed_amount(tx_type, amt, us=None) -> Column:
 #   normal                 : A I Q
 DELINQ_LETTERS = "BCDEFGHJKLMNOP"
 DELINQ_DIGITS = "12345671234567"
-DELINQ_CLASS = "[B-HJ-P1-7]"
-CREDIT_CLASS = "[%#+\\-]"
-NORMAL_CLASS = "[AIQ]"
+CREDIT_CODES = "%#+-"
+NORMAL_CODES = "AIQ"
 
 
-def _count_class(s: Column, cls: str) -> Column:
-    return F.length(s) - F.length(F.regexp_replace(s, cls, ""))
+def _count_class(s: Column, codes: str) -> Column:
+    return F.length(s) - F.length(F.translate(s, codes, ""))
 
 
 def clean_code_string(s) -> Column:
     """strip + upper (Python ``str.strip`` removes all surrounding whitespace)."""
-    return F.upper(F.regexp_replace(col(s), r"^\s+|\s+$", ""))
+    return F.upper(F.btrim(col(s), F.lit(" \t\n\x0b\f\r")))
 
 
 def payment_history(s) -> Column:
@@ -74,16 +73,16 @@ def payment_history(s) -> Column:
     Missing history gives zeros everywhere; U-X and 0, 8, 9 count as nothing.
     """
     h = F.coalesce(clean_code_string(s), F.lit(""))
-    mapped = F.regexp_replace(F.translate(h, DELINQ_LETTERS, DELINQ_DIGITS), "[^1-7]", "")
+    mapped = F.translate(h, DELINQ_LETTERS, DELINQ_DIGITS)
     max_d = F.lit(0)
     for d in range(1, 8):  # highest digit present
         max_d = F.when(F.instr(mapped, str(d)) > 0, F.lit(d)).otherwise(max_d)
     return F.struct(
-        F.length(mapped).cast("int").alias("delinquency_count"),
+        _count_class(mapped, "1234567").cast("int").alias("delinquency_count"),
         max_d.cast("int").alias("max_delinquency"),
         _count_class(h, "Z").cast("int").alias("zero_balance_months"),
-        _count_class(h, CREDIT_CLASS).cast("int").alias("credit_balance_months"),
-        _count_class(h, NORMAL_CLASS).cast("int").alias("normal_months"),
+        _count_class(h, CREDIT_CODES).cast("int").alias("credit_balance_months"),
+        _count_class(h, NORMAL_CODES).cast("int").alias("normal_months"),
     )
 
 

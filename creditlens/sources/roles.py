@@ -268,12 +268,15 @@ def credit_snapshot(t: Tables) -> DataFrame:
 _CODES = "".join(sorted(set(HIST_CODES)))
 #: Months whose sets of codes share one BIGINT, a bit per code.
 _MONTHS_A_LONG = 63 // len(_CODES)
+#: BIGINTs of a period: twelve months, and lines without one.
+_LONGS = -(-13 // _MONTHS_A_LONG)
 
 
 def _history_slot() -> Column:
-    """0-11: months of the newer period; 12-24: of the older one (12: no month)."""
+    """Months of the newer period from 0; of the older one, in BIGINTs of its own, after a slot for no month."""
     newer = F.col("l_shipdate") >= F.lit(HIST_SPLIT).cast("timestamp_ntz")
-    return F.when(newer, F.month("l_shipdate") - 1).otherwise(12 + F.coalesce(F.month("l_shipdate"), F.lit(0)))
+    return (F.when(newer, F.month("l_shipdate") - 1)
+            .otherwise(_LONGS * _MONTHS_A_LONG + F.coalesce(F.month("l_shipdate"), F.lit(0))))
 
 
 def line_facts(t: Tables, span: tuple, signed, measures: list[Column]) -> DataFrame:
@@ -282,8 +285,12 @@ def line_facts(t: Tables, span: tuple, signed, measures: list[Column]) -> DataFr
     ``signed`` adds the signed amount to transactions.
 
     The codes of a month are a set of bits, and a few BIGINTs hold all months
-    of an account, so the histories need no rows of their own."""
-    li = t.lineitem
+    of an account, so the histories need no rows of their own.  A line is far
+    narrower than an account's sums, and a task's share of a file holds any
+    number of accounts, so lines are dealt by account before they are added."""
+    li = (t.lineitem.select("l_orderkey", "l_partkey", "l_shipdate", "l_returnflag", "l_linestatus", "l_linenumber",
+                            "l_extendedprice", "l_discount", "l_tax")
+          .where("l_orderkey is not null").repartition("l_orderkey"))
     code = F.instr(F.lit(_CODES), F.expr(f"substring('{HIST_CODES}', cast(l_partkey % 30 + 1 as int), 1)")) - 1
     open_line = F.col("l_linestatus") == "O"
     slot = _history_slot()
@@ -296,31 +303,32 @@ def line_facts(t: Tables, span: tuple, signed, measures: list[Column]) -> DataFr
     facts = rows.groupBy("current_account_nbr").agg(
         F.min("l_shipdate").cast("date").alias("first_ship"), F.max("l_shipdate").cast("date").alias("last_ship"),
         F.sum("open_amt").alias("bal"), F.count_if(inside).alias("_inside"), *measures,
-        *[F.bit_or(F.when(F.col("_long") == k, F.col("_bit"))).alias(f"_h{k}") for k in range(-(-25 // _MONTHS_A_LONG))])
+        *[F.bit_or(F.when(F.col("_long") == k, F.col("_bit"))).alias(f"_h{k}") for k in range(2 * _LONGS)])
 
-    def month(k: int) -> Column:
-        """The smallest code of a month; NULL without one."""
-        codes = F.shiftright(f"_h{k // _MONTHS_A_LONG}", k % _MONTHS_A_LONG * len(_CODES)).bitwiseAND(F.lit(2 ** len(_CODES) - 1))
-        lowest = codes.bitwiseAND(-codes)
-        return F.when(codes != 0, F.substring(F.lit(_CODES), F.bit_count(lowest - 1) + 1, F.lit(1)))
+    def months(bits: Column) -> Column:
+        """The smallest code of each month of a BIGINT; nothing for a month without one."""
+        sets = [F.shiftright(bits, k * len(_CODES)).bitwiseAND(F.lit(2 ** len(_CODES) - 1)) for k in range(_MONTHS_A_LONG)]
+        return F.concat_ws("", *[F.substring(F.lit(_CODES), F.bit_count(x.bitwiseAND(-x) - 1) + 1, F.lit(1)) for x in sets])
 
-    def history(slots: range) -> Column:
-        text = F.concat_ws("", *[month(k) for k in slots])
+    def history(first: int) -> Column:
+        # one lambda for all: written out per month, the generated method is too long for the JVM to compile
+        text = F.array_join(F.transform(F.array(*[f"_h{first + k}" for k in range(_LONGS)]), months), "")
         return F.when(text != "", text)
 
     names = [c for c in facts.columns if not c.startswith("_") and c not in ("current_account_nbr", "first_ship", "last_ship", "bal")]
     return facts.select("current_account_nbr", "first_ship", "last_ship", "bal",
-                        history(range(12)).alias("payment_hist_1_12_mths"), history(range(12, 25)).alias("payment_hist_13_24_mths"),
+                        history(0).alias("payment_hist_1_12_mths"), history(_LONGS).alias("payment_hist_13_24_mths"),
                         *[F.when(F.col("_inside") > 0, F.col(c)).alias(c) for c in names])
 
 
 def event_facts(t: Tables) -> DataFrame:
-    """Per account with an event: statement checks, the fraud flag and the fraud measures."""
+    """Per account with an event: statement checks, the fraud flag and the
+    fraud measures; events are dealt by account first, as in :func:`line_facts`."""
     error = F.col("event_type") == "error"
     e = t.events.select(_event_account().alias("current_account_nbr"), (F.col("event_id") % 4).alias("checks"),
                         F.when(error, F.col("user_id")).alias("case_id"), F.when(error, F.lit(1)).alias("has_fraud"),
                         F.when(error, F.col("value").cast(MONEY)).alias("amt"))
-    return e.groupBy("current_account_nbr").agg(
+    return e.where("current_account_nbr is not null").repartition("current_account_nbr").groupBy("current_account_nbr").agg(
         F.sum("checks").alias("return_check_cnt_total"), F.max("has_fraud").alias("has_fraud"),
         F.count("amt").alias("fraud_transaction_count"), F.sum("amt").alias("fraud_transaction_sum"),
         (F.sum("amt").cast("double") / F.count("amt")).alias("fraud_transaction_avg"),
