@@ -3,13 +3,14 @@
 Plan shape, chosen for scale:
 
 * every fact is aggregated to one row per account *before* it meets the
-  account spine (partial + final hash aggregate, map-side combine absorbs hot
-  accounts), then left-joined on ``current_account_nbr`` — all those joins
+  account spine (over the driver tables dealt by account first, as an
+  account's sums are wider than its rows), then left-joined on ``current_account_nbr`` — all those joins
   share one hash partitioning of the spine, so the chain adds no shuffles of
   the spine itself;
 * the transaction period pivot is one conditional aggregate (12 measures in a
   single ``HashAggregate``) with the reporting span pushed into the scan;
-* the user rollup is one ``groupBy(user_id).agg(...)``.
+* the user rollup is one ``groupBy(user_id).agg(...)`` over accounts dealt by
+  user.
 """
 
 from __future__ import annotations
