@@ -16,10 +16,12 @@ from collections.abc import Iterable
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Entries in each of the two generations of a worker's cache.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 _CALL_WORDS = 128
 #: Closing punctuation that the tokenizer never joins to a letter before it.
 _CLOSING = b".,;:!?*$&%#"
@@ -39,7 +41,7 @@ class Recent:
         if age and len(self.young) > self.limit:
             self.old, self.young = self.young, {}
         out = []
-        for w in set(words).difference(self.young):
+        for w in (words if isinstance(words, set) else set(words)).difference(self.young):
             ids = self.old.get(w)
             if ids is None:
                 out.append(w)
@@ -138,6 +140,28 @@ class WordIds:
         get = self.words.young.__getitem__
         return [np.frombuffer(b"".join(map(get, words)), np.uint32) for words in texts]
 
+    def of_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all ``texts`` one after another and where each text's ids
+        begin and end.  Only the distinct words become Python objects."""
+        flat, edges = split_words(texts)
+        coded = flat.dictionary_encode()
+        joined, at = coded.dictionary.cast(pa.string()), coded.indices.to_numpy()
+        cuts = np.append(0, np.cumsum(pc.binary_length(joined).to_numpy())).tolist()
+        text = b"".join(pc.binary_join(pa.ListArray.from_arrays([0, len(joined)], joined), "").cast(pa.binary()).to_pylist())
+        distinct = [text[a:b] for a, b in zip(cuts, cuts[1:])]
+        packed = list(map(self.words.young.get, distinct))
+        unseen = [i for i, x in enumerate(packed) if x is None]
+        if unseen:
+            self.learn({distinct[i] for i in unseen})
+            for i in unseen:
+                packed[i] = self.words.young[distinct[i]]
+        size = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        lens = size[at]
+        ends = np.append(0, np.cumsum(lens))
+        first = (np.cumsum(size) - size)[at]
+        ids = np.frombuffer(b"".join(packed), np.uint32)
+        return ids[np.repeat(first - ends[:-1], lens) + np.arange(ends[-1])], ends[edges]
+
 
 def lowered_words(text: bytes | None) -> list[bytes]:
     """Words with A-Z lowered, which the lower-casing tokenizer does anyway
@@ -146,6 +170,17 @@ def lowered_words(text: bytes | None) -> list[bytes]:
     return (text if b"<|" in text else text.lower()).split()
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """:func:`lowered_words` of a string column, without nulls and empty words: all
+    words one after another and where each text's words begin and end."""
+    texts = pc.fill_null(texts, "")
+    lists = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
+    flat, edges = lists.flatten(), lists.offsets.to_numpy()
+    full = pc.not_equal(pc.binary_length(flat), 0)
+    edges = np.append(0, np.cumsum(full.to_numpy(zero_copy_only=False)))[edges - edges[0]]
+    return flat.filter(full), edges
+
+
 _LOADED: dict[str, WordIds] = {}
 
 

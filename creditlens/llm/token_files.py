@@ -22,13 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlens.llm.common import map_batches, raw_bytes, shared_path, ship, store
-from creditlens.llm.subwords import lowered_words, word_ids
+from creditlens.llm.common import map_batches, shared_path, ship, store
+from creditlens.llm.subwords import word_ids
 
 END_ID = 2
 #: Ids in a block (a longer document is a block of its own).
 BLOCK_IDS = 1 << 20
-_TEXTS = 256
+_TEXTS = 1024
 _LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], np.uint8)
 
 
@@ -70,7 +70,9 @@ def token_ids(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_i
         for batch in batches:
             for at in range(0, batch.num_rows, _TEXTS):
                 part = batch.slice(at, _TEXTS)
-                ids = [np.concatenate((x, tail)) for x in words.of_texts([lowered_words(t) for t in raw_bytes(part, "text")])]
+                flat, edges = words.of_column(part.column(1))
+                edges = edges.tolist()
+                ids = [np.concatenate((flat[a:b], tail)) for a, b in zip(edges, edges[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(x) for x in ids], pa.int64()),
                      pa.array([_pack(x, squeeze) for x in ids], pa.binary())], ["doc_id", "n", "ids"])

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -572,6 +573,21 @@ def test_mix(messy, messy_rows, nothing):
     assert mixing.mix(nothing).count() == 0 and mixing.repeat_documents(nothing).count() == 0
 
 
+def test_word_ids_of_a_column_look_up_distinct_words_once(monkeypatch):
+    texts = [None, "", "  ", "the the Cat.  the " * 50, "".join(map(chr, range(1, 128))) * 2, "a<|X|>B Cat", "ALİ. É x\x1cy\u3000z", "the"]
+    words = WordIds("word_bpe_49k.json")
+    asked = []
+    encode = words._encode
+    monkeypatch.setattr(words, "_encode", lambda stems: (asked.extend(stems), encode(stems)))
+    for sliced in (pa.array(texts), pa.array(["x", *texts])[1:], pa.array(texts, pa.large_string())):
+        flat, edges = words.of_column(sliced)
+        for text, a, b in zip(texts, edges, edges[1:], strict=False):
+            assert flat[a:b].tolist() == words.tokenizer.encode(text or "", add_special_tokens=False).ids, text
+    assert len(asked) == len(set(asked)) and len(edges) == len(texts) + 1
+    flat, edges = words.of_column(pa.array([None, " "], pa.string()))
+    assert len(flat) == 0 and edges.tolist() == [0, 0, 0]
+
+
 def test_mix_overlapping_sources(spark):
     rows = [(i, "w " * 10, ["a", "b"] if i % 3 else ["b"]) for i in range(90)]
     got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source array<string>")).collect()
