@@ -1,10 +1,13 @@
 """Language-model scores: a word unigram base and a causal self-attention model.
 
 The attention model works on subword ids of a public byte-level BPE.  An id's
-probability is that of its class given the text before it, times the id's
-share of its class given the id before it; frequent ids are classes of their
-own, the shares come from the counts of all neighbours in the training texts,
-across blanks and ends too.  The class model is one causal self-attention layer
+probability is that of its class given the text before it, times that of the
+id among the ids of its class given the same; frequent ids are classes of their
+own.  Both are learned: the ids of a class are the leaves of a tree whose
+choices depend on what attention gives and on the id before, and start from the
+counts of all neighbours in the training texts, across blanks and ends too.
+Every id of every training text takes part in a gradient step of this output.
+The class model is one causal self-attention layer
 over the classes of up to CONTEXT ids before (with a learned weight per
 distance) beside a class bigram table.  The bigram table
 starts from the counts of all training texts, ends included, and every block
@@ -18,6 +21,8 @@ overlap and every id is scored once, many blocks at a time in one masked batch.
 from __future__ import annotations
 
 import base64
+import copy
+import heapq
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -43,6 +48,8 @@ STRIDE, CONTEXT = 16, 32
 STEPS, BATCH, PART = 500, 128, 64
 #: Training texts of up to SHARD blocks are fitted on the driver, more in ROUNDS rounds of shards of about as many.
 SHARD, ROUNDS = 1 << 16, 8
+#: Blocks of a shard that the output over ids learns from, of one of its steps, its rate, and values in a row of its tables.
+OUTPUT_SHARD, PART_BLOCKS, OUTPUT_RATE, OUTPUT_SLICE = 1 << 18, 256, 0.1, 1 << 16
 #: Most frequent words whose counts every worker holds; the others are looked up by a join.
 HOT_WORDS = 100_000
 _FLUSH_WORDS = 300_000
@@ -200,6 +207,193 @@ class Shares:
         return out
 
 
+def _tree(kind: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A Huffman tree over the ids of every class: the node above each id and
+    each node, and which side of it they are on (1, -1), ids first and then
+    nodes, which come after what is below them; -1 above a root.  The last
+    result is the mass below each."""
+    above, side, mass = [-1] * VOCABULARY, [0] * VOCABULARY, mass.tolist()
+    for c in range(CLASSES):
+        heap = [(mass[i], i) for i in np.flatnonzero(kind == c).tolist()]
+        heapq.heapify(heap)
+        while len(heap) > 1:
+            (x, i), (y, j) = heapq.heappop(heap), heapq.heappop(heap)
+            above[i] = above[j] = len(above) - VOCABULARY
+            side[i], side[j] = 1, -1
+            heapq.heappush(heap, (x + y, len(above)))
+            above.append(-1)
+            side.append(0)
+            mass.append(x + y)
+    return np.array(above), np.array(side), np.array(mass)
+
+
+class Output:
+    """Learned output over the ids of a class: an id's probability is the
+    product of the two-way choices on its way down the class's tree.  A choice
+    depends on what attention gives there (``node`` and ``bias`` per choice) and
+    on the id before (``after``).  Untrained it gives :class:`Shares`: a choice
+    starts from the log odds of the counts below its two sides, after the id before."""
+
+    NAMES = ("node", "bias", "after")
+
+    def __init__(self, kind: np.ndarray, plain: np.ndarray, slot: np.ndarray, pairs: np.ndarray):
+        self.kind, self.slot = kind, np.where(slot < 0, PAIR_IDS, slot).astype(np.int32)
+        above, side, mass = _tree(kind, 10.0 ** plain)
+        # the way from each id up to its root
+        found, at, ids = [], np.arange(VOCABULARY), np.arange(VOCABULARY)
+        while len(ids := ids[(up := above[at]) >= 0]):
+            at, up = at[up >= 0], up[up >= 0]
+            found.append((ids, up, side[at]))
+            at = up + VOCABULARY
+        ids, nodes, sides = (np.concatenate([f[k] for f in found] or [np.zeros(0, np.int64)]) for k in range(3))
+        order = np.argsort(ids, kind="stable")
+        self.nodes, self.sides = nodes[order].astype(np.int32), sides[order].astype(np.float32)
+        self.size = np.bincount(ids, minlength=VOCABULARY)
+        self.first = np.cumsum(self.size) - self.size
+        # the log odds of the counts, and what the id before changes of them
+        count = len(above) - VOCABULARY
+        halves, sums, columns = np.zeros((2, count)), {}, []
+        for i, k in enumerate(slot.tolist()):
+            if k >= 0 and pairs[:, k].any():
+                sums[i] = pairs[:, k].astype(np.float64)
+        self.near = np.full(count, -1, np.int32)
+        below: list[list[int]] = [[0, 0] for _ in range(count)]
+        for i, (up, s) in enumerate(zip(above.tolist(), side.tolist())):
+            if up >= 0:
+                halves[(1 - s) // 2, up] = mass[i]
+                below[up][(1 - s) // 2] = i
+        self.plain = np.log(halves[0] / halves[1]).astype(np.float32)
+        for x, (i, j) in enumerate(below):
+            left, right = sums.pop(i, None), sums.pop(j, None)
+            if left is not None or right is not None:
+                left, right = (np.zeros(PAIR_IDS) if v is None else v for v in (left, right))
+                odds = np.log((left + PAIR_WEIGHT * halves[0, x]) / (right + PAIR_WEIGHT * halves[1, x]))
+                self.near[x] = len(columns)
+                columns.append(np.append(odds - self.plain[x], 0).astype(np.float32))
+                sums[x + VOCABULARY] = left + right
+        self.changes = np.stack(columns, 1) if columns else np.zeros((PAIR_IDS + 1, 0), np.float32)
+        self.t = {"node": np.zeros((count, WIDTH), np.float32), "bias": np.zeros(count, np.float32),
+                  "after": np.zeros((VOCABULARY, WIDTH), np.float32)}
+
+    def choices(self, before: np.ndarray, ids: np.ndarray, h: np.ndarray):
+        """For every choice on the way to ``ids``: the position it is for, its
+        node, the side taken and the log odds; and what the odds come from."""
+        n = self.size.take(ids)
+        where = np.repeat(np.arange(len(ids)), n)
+        ends = np.cumsum(n)
+        at = np.arange(len(where)) + np.repeat(self.first.take(ids) - ends + n, n)
+        node, side = self.nodes.take(at), self.sides.take(at)
+        given = h + self.t["after"].take(before, 0)
+        odds = np.einsum("ij,ij->i", given.take(where, 0), self.t["node"].take(node, 0))
+        odds += self.t["bias"].take(node) + self.plain.take(node)
+        near = self.near.take(node)
+        changed = np.flatnonzero(near >= 0)
+        odds[changed] += self.changes[self.slot.take(before)[where[changed]], near[changed]]
+        return where, node, side, odds, given
+
+    def log10(self, before: np.ndarray, ids: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """log10 probability of each id in its class, after the id before and what attention gives."""
+        where, _, side, odds, _ = self.choices(before, ids, h)
+        return np.bincount(where, -np.logaddexp(0, -side * odds), len(ids)) / np.log(10)
+
+    def gradients(self, before: np.ndarray, ids: np.ndarray, h: np.ndarray) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+        """Gradients of the summed log probability: per table the rows and their gradients."""
+        where, node, side, odds, given = self.choices(before, ids, h)
+        g = (side / (1 + np.exp(np.clip(side * odds, -40, 40)))).astype(np.float32)[:, None]
+        back = _add_rows(where, g * self.t["node"].take(node, 0))
+        rows, nodes = _add_rows(node, np.append(g * given.take(where, 0), g, 1))
+        return {"node": (rows, nodes[:, :WIDTH]), "bias": (rows, nodes[:, WIDTH]),
+                "after": _add_rows(before.take(back[0]), back[1])}
+
+
+def _add_rows(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of the rows of each key."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys.take(order)
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys.take(first), np.add.reduceat(rows.take(order, 0), first, 0) if len(keys) else rows
+
+
+class Adagrad:
+    """Gradient steps that change the tables of an output."""
+
+    def __init__(self, output: Output):
+        self.output = output
+        self.square = {k: np.ones_like(v) for k, v in output.t.items()}
+
+    def learn(self, before: np.ndarray, ids: np.ndarray, h: np.ndarray) -> None:
+        for k, (rows, g) in self.output.gradients(before, ids, h).items():
+            self.square[k][rows] += g * g
+            self.output.t[k][rows] += OUTPUT_RATE * g / np.sqrt(self.square[k][rows])
+
+
+def fit_output(tokens: DataFrame, model: Model, output: Output, blocks: int) -> None:
+    """Learn ``output`` from every id of every text in ``tokens`` (``h``,
+    ``ids``): shards of about OUTPUT_SHARD blocks go over their texts once from
+    the same tables, and the changes are averaged by blocks, a slice of the tables a row."""
+    spark = tokens.sparkSession
+    now = spark.sparkContext.broadcast((model.t, output))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, start = now.value
+        fitted, learner = Model(tables), copy.copy(start)  # workers are used again
+        learner.t = {k: v.copy() for k, v in start.t.items()}
+        steps, done = Adagrad(learner), 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                texts = [_stored_ids(b) for b in batch.column(0).slice(at, 64).to_pylist()]
+                for into, goal, before, ids, _ in _parts(learner.kind, texts):
+                    steps.learn(before, ids, fitted.hidden(into).reshape(-1, WIDTH)[goal.reshape(-1) >= 0])
+                    done += len(into)
+        if done:
+            change = np.concatenate([(learner.t[k] - start.t[k]).reshape(-1) for k in Output.NAMES]).astype(np.float16)
+            cut = range(0, len(change), OUTPUT_SLICE)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(cut), pa.int64()), pa.array([TaskContext.get().partitionId()] * len(cut), pa.int64()),
+                 pa.array([change[i:i + OUTPUT_SLICE].tobytes() for i in cut], pa.binary()), pa.array([done] * len(cut), pa.int64())],
+                ["at", "shard", "change", "n"])
+
+    def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}  # one slice at a time, as the rows are sorted
+        for batch in batches:
+            for at, change, n in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3))):
+                if at not in held:
+                    yield from map(_slice, held.items())
+                    held = {at: [0, 0.0]}
+                held[at] = [held[at][0] + n, held[at][1] + n * np.frombuffer(change, np.float16).astype(np.float64)]
+        yield from map(_slice, held.items())
+
+    found = (tokens.select("h", "ids").repartition(max(1, -(-blocks // OUTPUT_SHARD)), "h").sortWithinPartitions("h", "ids")
+             .select("ids").mapInArrow(run, "at long, shard long, change binary, n long")
+             .repartition("at").sortWithinPartitions("at", "shard").mapInArrow(mean, "at long, change binary").toArrow())
+    if found.num_rows:
+        flat = np.concatenate([np.frombuffer(b, np.float32) for _, b in sorted(zip(*(c.to_pylist() for c in found.columns)))])
+        for k, part in zip(Output.NAMES, np.split(flat, np.cumsum([output.t[k].size for k in Output.NAMES])[:-1])):
+            output.t[k] = output.t[k] + part.reshape(output.t[k].shape)
+
+
+def _slice(item: tuple[int, list]) -> pa.RecordBatch:
+    at, (n, total) = item
+    return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())],
+                                      ["at", "change"])
+
+
+def _parts(kind: np.ndarray, texts: list[np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The blocks of texts (ids with their end), PART_BLOCKS at a time: inputs,
+    goals, the id before each id, the ids, and the text each id is of."""
+    lens = np.fromiter(map(len, texts), np.int64, len(texts))
+    flat = np.concatenate(([END], *texts))
+    classes, ends = kind.take(flat[1:]), np.cumsum(lens)
+    blocks = [_blocks(classes[a:b]) for a, b in zip((ends - lens).tolist(), ends.tolist())]
+    into, goal = (np.concatenate([b[k] for b in blocks]) for k in (0, 1))
+    owner, done = np.repeat(np.arange(len(texts)), lens), 0
+    for at in range(0, len(into), PART_BLOCKS):
+        part = goal[at:at + PART_BLOCKS]
+        n = int((part >= 0).sum())
+        yield into[at:at + PART_BLOCKS], part, flat[done:done + n], flat[done + 1:done + n + 1], owner[done:done + n]
+        done += n
+
+
 def _blocks(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Classes of a text (with its end) -> inputs ``(B, CONTEXT)`` and targets
     ``(B, STRIDE)``; -1 where there is nothing."""
@@ -252,10 +446,10 @@ class Model:
         scores += t["pair"][asked.reshape(-1)]
         return asked, safe, q, k, v, s, h, scores
 
-    def log10(self, into: np.ndarray, goal: np.ndarray) -> np.ndarray:
-        """log10 probability of each goal class, 0 where there is none.  The
-        same as :meth:`forward`; without gradients a weight is a product of
-        one factor per pair of classes and one per distance, from tables."""
+    def hidden(self, into: np.ndarray) -> np.ndarray:
+        """What attention gives at each position, as in :meth:`forward`: without
+        gradients a weight is a product of one factor per pair of classes and
+        one per distance, from tables."""
         t, safe = self.t, np.maximum(into, 0)
         asked = safe[:, CONTEXT - STRIDE:]
         near = np.exp(np.clip(t["query"] @ t["key"].T, -40, 40)).reshape(-1)
@@ -263,8 +457,13 @@ class Model:
         s *= np.exp(t["far"][np.maximum(_DISTANCE, 0)] + _CAUSAL)
         s[into[:, 0] < 0, :, :CONTEXT - STRIDE] = 0
         h = s @ np.append(t["value"], np.ones((CLASSES, 1), np.float32), 1)[safe]  # the last column adds up the weights
-        scores = (h[..., :WIDTH] / h[..., WIDTH:]).reshape(-1, WIDTH) @ t["out"]
-        scores += (t["own"] @ t["out"] + t["pair"])[asked.reshape(-1)]
+        return h[..., :WIDTH] / h[..., WIDTH:] + t["own"][asked]
+
+    def log10(self, into: np.ndarray, goal: np.ndarray, h: np.ndarray | None = None) -> np.ndarray:
+        """log10 probability of each goal class, 0 where there is none."""
+        h = self.hidden(into) if h is None else h
+        scores = h.reshape(-1, WIDTH) @ self.t["out"]
+        scores += self.t["pair"][np.maximum(into[:, CONTEXT - STRIDE:], 0).reshape(-1)]
         goal = goal.reshape(-1)
         rows = np.arange(len(goal))
         picked = scores[rows, np.maximum(goal, 0)]
@@ -453,25 +652,14 @@ def fit_all(tokens: DataFrame, kind: np.ndarray, pairs: np.ndarray, blocks: int,
     return model
 
 
-def score_texts(model: Model, shares: Shares, ids: list[np.ndarray]) -> list[float]:
+def score_texts(model: Model, output: Output, texts: list[np.ndarray]) -> list[float]:
     """log10 probability of each text (its ids, the last one the end)."""
-    lens = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.concatenate(([END], *ids))
-    ends = np.cumsum(lens)
-    out = np.add.reduceat(shares.along(flat), ends - lens, dtype=np.float64)
-    classes = shares.kind.take(flat[1:])
-    into, goal, owner = [], [], []
-    for i, (begin, end) in enumerate(zip((ends - lens).tolist(), ends.tolist())):
-        a, b = _blocks(classes[begin:end])
-        into.append(a)
-        goal.append(b)
-        owner.append(np.full(len(a), i))
-    into, goal, owner = np.concatenate(into), np.concatenate(goal), np.concatenate(owner)
-    total = np.zeros(len(ids))
-    for at in range(0, len(into), 256):
-        part = model.log10(into[at:at + 256], goal[at:at + 256]).reshape(-1, STRIDE).sum(1, dtype=np.float64)
-        np.add.at(total, owner[at:at + 256], part)
-    return (out + total).tolist()
+    total = np.zeros(len(texts))
+    for into, goal, before, ids, owner in _parts(output.kind, texts):
+        h, used = model.hidden(into), goal.reshape(-1) >= 0
+        each = model.log10(into, goal, h)[used] + output.log10(before, ids, h.reshape(-1, WIDTH)[used])
+        total += np.bincount(owner, each, len(texts))
+    return total.tolist()
 
 
 # ---- the operator -------------------------------------------------------------------------------------------------
@@ -540,15 +728,17 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     learned = tokens.where(~F.col("held_out"))
     pairs, blocks, follow = text_counts(learned, kind, slot)
     model = fit_all(learned, kind, pairs, blocks)
-    shared = spark.sparkContext.broadcast((Shares(kind, share, slot, follow), model.t))
+    output = Output(kind, share, slot, follow)
+    fit_output(learned, model, output, blocks)
+    shared = spark.sparkContext.broadcast((output, model.t))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shares, tables = shared.value
+        output, tables = shared.value
         model = Model(tables)
         for whole_batch in batches:
             for at in range(0, whole_batch.num_rows, 64):
                 batch = whole_batch.slice(at, 64)
-                scores = score_texts(model, shares, [_stored_ids(b) for b in batch.column(7).to_pylist()])
+                scores = score_texts(model, output, [_stored_ids(b) for b in batch.column(7).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*batch.columns[:7], pa.array(scores, pa.float64())],
                                                  [*batch.schema.names[:7], "score"])
 

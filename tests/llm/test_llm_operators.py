@@ -714,6 +714,76 @@ def stored(spark, texts):
     return spark.createDataFrame(rows, "h long, ids binary")
 
 
+def small_output(texts, seed=8):
+    """The output of a few texts (ids with their end), untrained, and their shares."""
+    plain = np.bincount(np.concatenate(texts), minlength=lm.VOCABULARY)
+    kind, share = lm.classes_of(plain)
+    slot, table = lm.slots_of(plain), np.zeros((lm.PAIR_IDS, lm.PAIR_IDS), int)
+    for t in texts:
+        for a, b in zip([lm.END, *t], t):
+            if slot[a] >= 0 and slot[b] >= 0:
+                table[slot[a], slot[b]] += 1
+    return lm.Output(kind, share, slot, table), lm.Shares(kind, share, slot, table)
+
+
+def test_lm_output_starts_from_shares_and_is_a_distribution():
+    rng = np.random.default_rng(8)
+    texts = [np.append(rng.integers(0, 300, 200), lm.END) for _ in range(5)]
+    output, shares = small_output(texts)
+    every = np.arange(lm.VOCABULARY)
+    for trained in (False, True):
+        if trained:
+            output.t = {k: rng.normal(0, 0.3, v.shape).astype(np.float32) for k, v in output.t.items()}
+        for before in (lm.END, 7, 299, 40_000):
+            got = output.log10(np.full(lm.VOCABULARY, before), every, np.tile(rng.normal(0, 1, lm.WIDTH).astype(np.float32), (lm.VOCABULARY, 1)))
+            assert np.allclose(np.bincount(output.kind, 10.0 ** got, lm.CLASSES)[np.unique(output.kind)], 1, atol=1e-3)
+            if not trained:
+                want = shares.along(np.stack((np.full(lm.VOCABULARY, before), every), 1).reshape(-1))[::2]
+                assert np.abs(got - want).max() < 1e-3
+
+
+def test_lm_output_gradients():
+    rng = np.random.default_rng(9)
+    ids = rng.integers(0, 300, 60)
+    output, _ = small_output([np.append(ids, lm.END)])
+    output.t = {k: rng.normal(0, 0.3, v.shape).astype(np.float32) for k, v in output.t.items()}
+    before, h = np.append(lm.END, ids[:-1]), rng.normal(0, 1, (60, lm.WIDTH)).astype(np.float32)
+    for name, (rows, grads) in output.gradients(before, ids, h).items():
+        at = np.unravel_index(np.abs(grads).argmax(), grads.shape)
+        where, value, sides = (int(rows[at[0]]), *at[1:]), None, []
+        value = output.t[name][where]
+        for step in (1e-2, -1e-2):
+            output.t[name][where] = value + step
+            sides.append(output.log10(before, ids, h).sum() * math.log(10))
+        output.t[name][where] = value
+        assert abs((sides[0] - sides[1]) / 2e-2 - grads[at]) < 0.03 * abs(grads[at]) + 1e-2, name
+
+
+@pytest.mark.parametrize("shard", [1 << 18, 1 << 7])
+def test_lm_output_learns_ids_from_the_text_before(spark, monkeypatch, shard):
+    monkeypatch.setattr(lm, "OUTPUT_SHARD", shard)  # the small one gives several shards
+    rng = np.random.default_rng(10)
+    kind = np.full(lm.VOCABULARY, 60)
+    kind[lm.END], kind[1], kind[2] = 0, 1, 2
+
+    def text():  # the id after 2000 tells of the id before it, which counts of neighbours do not
+        out = []
+        for x in rng.integers(1, 3, 60).tolist():
+            out += [x, 2000, 3000 + x]
+        return out
+    texts = [text() for _ in range(120)]
+    share = np.bincount(np.concatenate([*texts, [lm.END]]), minlength=lm.VOCABULARY) + 0.5
+    plain = np.log10(share / np.bincount(kind, share, lm.CLASSES)[kind])
+    output = lm.Output(kind, plain, np.full(lm.VOCABULARY, -1), np.zeros((lm.PAIR_IDS, lm.PAIR_IDS), int))
+    model = lm.Model.start()
+    fresh = lm._stored_ids(np.array(text(), np.uint16).tobytes())
+    start = lm.score_texts(model, output, [fresh, fresh[-1:]])
+    tokens = stored(spark, texts)
+    lm.fit_output(tokens, model, output, sum(-(-(len(t) + 1) // lm.STRIDE) for t in texts))
+    end = lm.score_texts(model, output, [fresh, fresh[-1:]])
+    assert end[0] > start[0] + 10 and len(end) == 2 and end[1] < 0
+
+
 def test_lm_counts_whole_texts(spark):
     kind = np.arange(lm.VOCABULARY) % (lm.CLASSES - 1) + 1
     kind[lm.END] = 0
