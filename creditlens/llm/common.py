@@ -8,7 +8,9 @@ import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,16 @@ def raw_bytes(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()
 
 
+def column_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of a string column without nulls, one after another, and
+    where each text's words begin and end."""
+    lists = pc.ascii_split_whitespace(texts)
+    flat, edges = lists.flatten(), lists.offsets.to_numpy()
+    full = pc.not_equal(pc.binary_length(flat), 0)
+    edges = np.append(0, np.cumsum(full.to_numpy(zero_copy_only=False)))[edges - edges[0]]
+    return flat.filter(full), edges
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -30,13 +30,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditlens.llm.common import raw_bytes, remainder_is, shared_path, ship, store
+from creditlens.llm.common import column_words, raw_bytes, remainder_is, shared_path, ship, store
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 VOCABULARY, END = 50257, 50256
@@ -53,6 +54,7 @@ OUTPUT_SHARD, PART_BLOCKS, OUTPUT_RATE, OUTPUT_SLICE = 1 << 18, 256, 0.1, 1 << 1
 #: Most frequent words whose counts every worker holds; the others are looked up by a join.
 HOT_WORDS = 100_000
 _FLUSH_WORDS = 300_000
+_COUNT_TEXTS = 1024
 _LONG_WORD = 256
 
 
@@ -89,25 +91,30 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """``(w, c)``: occurrences of every lower-cased word, and of the end of a
     text as the empty word.  Tasks add up before the shuffle, in bounded memory."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def part() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())],
-                                              ["w", "c"])
+        held: list[pa.Table] = []
+        ends = 0
         for batch in batches:
-            for text in raw_bytes(batch, "text"):
-                held.update(words_of(text))
-                held[b""] += 1
-                if len(held) > _FLUSH_WORDS:
-                    yield part()
-                    held = Counter()
-        if held:
-            yield part()
+            ends += batch.num_rows
+            for at in range(0, batch.num_rows, _COUNT_TEXTS):
+                flat, _ = column_words(pc.ascii_lower(pc.fill_null(batch.column(0).slice(at, _COUNT_TEXTS), "")))
+                found = flat.value_counts()
+                held.append(pa.table({"w": found.field("values").cast(pa.binary()), "c": found.field("counts")}))
+                if sum(t.num_rows for t in held) > 2 * _FLUSH_WORDS:
+                    held = [_added(held)]
+                    if held[0].num_rows > _FLUSH_WORDS:
+                        yield from held.pop().to_batches()
+        if ends:
+            held.append(pa.table({"w": pa.array([b""], pa.binary()), "c": pa.array([ends], pa.int64())}))
+            yield from _added(held).to_batches()
 
     ship(texts.sparkSession)
     return texts.select("text").mapInArrow(run, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
 
+def _added(counts: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(counts).group_by("w", use_threads=False).aggregate([("c", "sum")]).rename_columns(["w", "c"])
+
+
 def _hot(counts: DataFrame) -> DataFrame:
     """The words above the lowest count that at most HOT_WORDS words reach,
     found from the number of words per band of counts."""

@@ -20,6 +20,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from creditlens.llm.common import column_words
+
 #: Entries in each of the two generations of a worker's cache.
 CACHE_WORDS = 400_000
 _CALL_WORDS = 128
@@ -174,11 +176,7 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """:func:`lowered_words` of a string column, without nulls and empty words: all
     words one after another and where each text's words begin and end."""
     texts = pc.fill_null(texts, "")
-    lists = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
-    flat, edges = lists.flatten(), lists.offsets.to_numpy()
-    full = pc.not_equal(pc.binary_length(flat), 0)
-    edges = np.append(0, np.cumsum(full.to_numpy(zero_copy_only=False)))[edges - edges[0]]
-    return flat.filter(full), edges
+    return column_words(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
 
 
 _LOADED: dict[str, WordIds] = {}

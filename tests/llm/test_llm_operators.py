@@ -784,6 +784,18 @@ def test_lm_output_learns_ids_from_the_text_before(spark, monkeypatch, shard):
     assert end[0] > start[0] + 10 and len(end) == 2 and end[1] < 0
 
 
+def test_lm_word_counts_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(lm, "_COUNT_TEXTS", 3)
+    monkeypatch.setattr(lm, "_FLUSH_WORDS", 10)  # partial counts are added up and passed on many times
+    rng = np.random.default_rng(11)
+    texts = [None, "", "\t", "A\x0ba\x1cb\x0c\xa0 É", *(" ".join(f"W{x}" for x in rng.integers(0, 40, 30)) for _ in range(50))]
+    want = Counter()
+    for t in texts:
+        want.update([*(t or "").encode().lower().split(), b""])
+    got = lm.word_counts(spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)).collect()
+    assert {bytes(r.w): r.c for r in got} == want and len(got) == len(want)
+
+
 def test_lm_counts_whole_texts(spark):
     kind = np.arange(lm.VOCABULARY) % (lm.CLASSES - 1) + 1
     kind[lm.END] = 0
