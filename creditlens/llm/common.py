@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -75,6 +75,25 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
+_KEPT: dict[Hashable, object] = {}
+
+
+def keep(key: Hashable, build: Callable[[], object]):
+    """What the tasks of an operator keep in a worker from one to the next.
+    Workers go on to other operators, so what another has kept goes first."""
+    if key not in _KEPT:
+        release()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
+def release() -> None:
+    """Let go of what earlier tasks have kept in this worker."""
+    if _KEPT:
+        _KEPT.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that ``spark.checkpoint.dir`` names."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"

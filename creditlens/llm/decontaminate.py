@@ -18,7 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditlens.llm.common import map_batches, raw_bytes, store
+from creditlens.llm.common import keep, map_batches, raw_bytes, store
 
 #: Item bytes that one automaton may hold (about 310 MB of a worker); more items
 #: are scanned for in further passes of the same kind, one automaton at a time.
@@ -26,7 +26,6 @@ MAX_ITEM_BYTES = 1_000_000
 #: Lower-cases A-Z and turns every ASCII character outside [0-9a-z] into a blank; byte length is unchanged.
 _FOLD = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20
               for b in range(256))
-_BUILT: dict[str, ahocorasick.Automaton] = {}
 
 
 def normalise(text: bytes | None) -> list[bytes]:
@@ -52,14 +51,13 @@ def patterns(items: list[tuple[str, bytes | None]], window: int) -> dict[str, tu
 
 def automaton(table: dict[str, tuple[str, ...]], name: str) -> ahocorasick.Automaton:
     """Built once per worker process."""
-    if name not in _BUILT:
-        _BUILT.clear()
+    def build() -> ahocorasick.Automaton:
         a = ahocorasick.Automaton()
         for k, ids in table.items():
             a.add_word(k, (k.count(" ") - 1, ids))
         a.make_automaton()
-        _BUILT[name] = a
-    return _BUILT[name]
+        return a
+    return keep(("windows", name), build)
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-from creditlens.llm.common import column_words
+from creditlens.llm.common import column_words, keep
 
 #: Entries in each of the two generations of a worker's cache.
 CACHE_WORDS = 400_000
@@ -179,11 +179,6 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return column_words(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
 
 
-_LOADED: dict[str, WordIds] = {}
-
-
 def word_ids(name: str) -> WordIds:
     """The worker's cache for a tokenizer file."""
-    if name not in _LOADED:
-        _LOADED[name] = WordIds(name)
-    return _LOADED[name]
+    return keep(("words", name), lambda: WordIds(name))

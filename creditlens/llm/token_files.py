@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlens.llm.common import map_batches, shared_path, ship, store
+from creditlens.llm.common import map_batches, release, shared_path, ship, store
 from creditlens.llm.subwords import word_ids
 
 END_ID = 2
@@ -85,6 +85,7 @@ def ranking(packed: DataFrame) -> np.ndarray:
     """Ids by falling frequency over the corpus (ties: smaller id first).
     Bounded by the tokenizer's vocabulary."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()  # the words of the tasks before
         expand, total = zstandard.ZstdDecompressor(), np.zeros(0, np.int64)
         for batch in batches:
             for n, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -121,6 +122,7 @@ def write(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json", id_c
     kind = packed.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         expand, part = zstandard.ZstdDecompressor(), TaskContext.get().partitionId()
         seq = before = held = 0
         docs_, counts, ids = [], [], []
@@ -165,6 +167,7 @@ def read(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
     shared = spark.sparkContext.broadcast((base, ranks))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        release()
         base, ranks = shared.value
         out: list[list] = [[], [], [], []]
         for i in range(batch.num_rows):

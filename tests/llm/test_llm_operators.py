@@ -1,8 +1,10 @@
 """Each operator against a brute-force version on rows with nulls, empty and
 long texts, ties, repeated rows and clashing column names, and on no rows."""
+import gc
 import hashlib
 import math
 import re
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,8 +16,8 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from creditlens.llm import (chat, decontaminate, html_text, language, lm, mixing, quality, simhash, substring_dedup,
-                            token_files)
+from creditlens.llm import (chat, common, decontaminate, html_text, language, lm, mixing, quality, simhash, substring_dedup,
+                            subwords, token_files)
 from creditlens.llm.graph import connected_components
 from llm_fixtures import messy, messy_rows, nothing  # noqa: F401
 from creditlens.llm.subwords import WordIds, lowered_words
@@ -588,6 +590,23 @@ def test_word_ids_of_a_column_look_up_distinct_words_once(monkeypatch):
     assert len(flat) == 0 and edges.tolist() == [0, 0, 0]
 
 
+def test_workers_let_go_of_what_another_operator_kept():
+    words = subwords.word_ids("word_bpe_49k.json")
+    assert subwords.word_ids("word_bpe_49k.json") is words
+    held = weakref.ref(words)
+    del words
+    found = decontaminate.automaton({" a ": ("i",)}, "one")
+    assert decontaminate.automaton({}, "one") is found
+    gc.collect()
+    assert held() is None  # its words are let go for the automaton
+    held = weakref.ref(subwords.word_ids("word_bpe_49k.json"))
+    assert len(decontaminate.automaton({}, "one")) == 0
+    common.release()
+    gc.collect()
+    assert held() is None and len(decontaminate.automaton({" a ": ("i",)}, "one")) == 1
+    common.release()
+
+
 def test_mix_overlapping_sources(spark):
     rows = [(i, "w " * 10, ["a", "b"] if i % 3 else ["b"]) for i in range(90)]
     got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source array<string>")).collect()
