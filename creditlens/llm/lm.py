@@ -23,10 +23,8 @@ from __future__ import annotations
 import base64
 import copy
 import heapq
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditlens.llm.common import column_words, raw_bytes, remainder_is, shared_path, ship, store
+from creditlens.llm.common import column_words, remainder_is, shared_path, ship, store
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 VOCABULARY, END = 50257, 50256
@@ -46,16 +44,18 @@ CLASSES, OWN, WIDTH = 64, 48, 16
 PAIR_IDS, PAIR_WEIGHT = 1024, 5.0
 STRIDE, CONTEXT = 16, 32
 #: Least number of gradient steps and blocks of a step, which goes over them PART at a time.
-STEPS, BATCH, PART = 500, 128, 64
+STEPS, BATCH, PART = 500, 128, 128
 #: Training texts of up to SHARD blocks are fitted on the driver, more in ROUNDS rounds of shards of about as many.
 SHARD, ROUNDS = 1 << 16, 8
 #: Blocks of a shard that the output over ids learns from, of one of its steps, its rate, and values in a row of its tables.
 OUTPUT_SHARD, PART_BLOCKS, OUTPUT_RATE, OUTPUT_SLICE = 1 << 18, 256, 0.1, 1 << 16
 #: Most frequent words whose counts every worker holds; the others are looked up by a join.
-HOT_WORDS = 100_000
+HOT_WORDS = 400_000
 _FLUSH_WORDS = 300_000
-_COUNT_TEXTS = 1024
+_COUNT_TEXTS, _SLICE_BYTES = 1024, 4 << 20
 _LONG_WORD = 256
+#: A word with other white space may be joined to the word beside it.
+_OTHER_SPACE = "[\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 
 
 @lru_cache(2)
@@ -85,6 +85,45 @@ def subword_ids(words: list[bytes]) -> list[int]:
     return out
 
 
+@lru_cache(1)
+def _id_lengths() -> np.ndarray:
+    """Bytes of every id but the end."""
+    return np.array([len(encoding().decode_single_token_bytes(i)) for i in range(VOCABULARY - 1)])
+
+
+def not_on_their_own(words: pa.Array) -> np.ndarray:
+    """Which words are to be encoded within their whole text: very long ones and those with other white space."""
+    words = words.cast(pa.string())
+    return pc.or_(pc.greater(pc.binary_length(words), _LONG_WORD), pc.match_substring_regex(words, _OTHER_SPACE)).to_numpy(zero_copy_only=False)
+
+
+def word_ids(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words, each with a blank before it, one word after another, and
+    the number of each (the empty word: none).  The encoder splits before every
+    blank, so most words go through it as one text; the bytes of the ids tell them apart."""
+    alone, length = not_on_their_own(words), pc.binary_length(words).to_numpy()
+    size, found = np.zeros(len(words), np.int64), []
+    plain = np.flatnonzero(~alone & (length > 0))
+    if len(plain):
+        one = pa.ListArray.from_arrays([0, len(plain)], words.take(pa.array(plain)).cast(pa.string()))
+        ids = np.array(encoding().encode_ordinary(" " + pc.binary_join(one, " ")[0].as_py()), np.int64)
+        ends = np.searchsorted(np.cumsum(_id_lengths()[ids]), np.cumsum(length[plain] + 1)) + 1
+        size[plain] = np.diff(ends, prepend=0)
+        found.append(ids)
+    for i in np.flatnonzero(alone).tolist():
+        found.append(np.array(subword_ids([words[i].cast(pa.binary()).as_py()]), np.int64))
+        size[i] = len(found[-1])
+    first, at = np.zeros(len(words), np.int64), np.append(plain, np.flatnonzero(alone))
+    first[at] = np.cumsum(size[at]) - size[at]
+    return spread(np.concatenate([np.zeros(0, np.int64), *found]), first, size), size
+
+
+def spread(ids: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The ``size`` ids from each ``first`` on, one after another."""
+    ends = np.cumsum(size)
+    return ids[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 # ---- counts -------------------------------------------------------------------------------------------------------
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -138,12 +177,15 @@ def subword_counts(counts: DataFrame, slot: np.ndarray | None = None) -> np.ndar
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            ids = [subword_ids([w]) if w else [END] for w in batch.column(0).to_pylist()]
-            lens = np.fromiter(map(len, ids), np.int64, len(ids))
-            at, times = np.fromiter(chain.from_iterable(ids), np.int64), np.repeat(batch.column(1).to_numpy(), lens)
+            words, times = batch.column(0), batch.column(1).to_numpy()
+            at, lens = word_ids(words)
+            ends = pc.equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+            total[END if slot is None else 0] += times[ends].sum() if slot is None else 0
+            times = np.repeat(times, lens)
+            lens = lens[lens > 0]
             if slot is not None:
                 inside = np.ones(len(at), bool)
-                inside[np.cumsum(lens) - lens] = False
+                inside[np.cumsum(lens) - lens] = False  # the first id of a word has no neighbour there
                 cur, prev = slot[at], slot[np.roll(at, 1)]
                 inside &= (cur >= 0) & (prev >= 0)
                 at, times = (prev * PAIR_IDS + cur)[inside], times[inside]
@@ -283,42 +325,74 @@ class Output:
                   "after": np.zeros((VOCABULARY, WIDTH), np.float32)}
 
     def choices(self, before: np.ndarray, ids: np.ndarray, h: np.ndarray):
-        """For every choice on the way to ``ids``: the position it is for, its
-        node, the side taken and the log odds; and what the odds come from."""
+        """For the positions whose id is reached by choices, those with most
+        choices first: their numbers, and the choices in levels from the id up:
+        where the level of each choice begins and how many positions it has,
+        then for every choice the position, its node, the side taken and the
+        log odds; and what the odds come from."""
         n = self.size.take(ids)
-        where = np.repeat(np.arange(len(ids)), n)
-        ends = np.cumsum(n)
-        at = np.arange(len(where)) + np.repeat(self.first.take(ids) - ends + n, n)
+        way = np.argsort((255 - n).astype(np.uint8), kind="stable")[:np.count_nonzero(n)]
+        ids, before, n = ids.take(way), before.take(way), n.take(way)
+        many = len(way) - np.cumsum(np.bincount(n, minlength=1))[:-1]
+        starts = np.cumsum(many) - many
+        where = np.arange(many.sum()) - np.repeat(starts, many)
+        at = self.first.take(ids).take(where) + np.repeat(np.arange(len(many)), many)
         node, side = self.nodes.take(at), self.sides.take(at)
-        given = h + self.t["after"].take(before, 0)
-        odds = np.einsum("ij,ij->i", given.take(where, 0), self.t["node"].take(node, 0))
-        odds += self.t["bias"].take(node) + self.plain.take(node)
+        given = h.take(way, 0) + self.t["after"].take(before, 0)
+        rows = self.t["node"].take(node, 0)
+        odds = np.einsum("ij,ij->i", given.take(where, 0), rows)
+        odds += (self.t["bias"] + self.plain).take(node)
         near = self.near.take(node)
         changed = np.flatnonzero(near >= 0)
-        odds[changed] += self.changes[self.slot.take(before)[where[changed]], near[changed]]
-        return where, node, side, odds, given
+        if len(changed):
+            slots = self.slot.take(before).astype(np.int64) * self.changes.shape[1]
+            odds[changed] += self.changes.reshape(-1).take(slots.take(where.take(changed)) + near.take(changed))
+        return way, list(zip(starts.tolist(), many.tolist())), where, node, side, odds, given, rows
 
     def log10(self, before: np.ndarray, ids: np.ndarray, h: np.ndarray) -> np.ndarray:
         """log10 probability of each id in its class, after the id before and what attention gives."""
-        where, _, side, odds, _ = self.choices(before, ids, h)
-        return np.bincount(where, -np.logaddexp(0, -side * odds), len(ids)) / np.log(10)
+        way, levels, _, _, side, odds, _, _ = self.choices(before, ids, h)
+        odds *= side
+        each = np.minimum(odds, 0) - np.log1p(np.exp(-np.abs(odds)))
+        out, total = np.zeros(len(ids)), np.zeros(len(way))
+        for a, n in levels:
+            total[:n] += each[a:a + n]
+        out[way] = total / np.log(10)
+        return out
 
     def gradients(self, before: np.ndarray, ids: np.ndarray, h: np.ndarray) -> dict[str, tuple[np.ndarray, np.ndarray]]:
         """Gradients of the summed log probability: per table the rows and their gradients."""
-        where, node, side, odds, given = self.choices(before, ids, h)
-        g = (side / (1 + np.exp(np.clip(side * odds, -40, 40)))).astype(np.float32)[:, None]
-        back = _add_rows(where, g * self.t["node"].take(node, 0))
-        rows, nodes = _add_rows(node, np.append(g * given.take(where, 0), g, 1))
-        return {"node": (rows, nodes[:, :WIDTH]), "bias": (rows, nodes[:, WIDTH]),
-                "after": _add_rows(before.take(back[0]), back[1])}
+        way, levels, where, node, side, odds, given, rows = self.choices(before, ids, h)
+        g = side / (1 + np.exp(np.clip(side * odds, -40, 40)))
+        rows *= g[:, None]
+        back = np.zeros_like(given)
+        for a, n in levels:
+            back[:n] += rows[a:a + n]
+        order, first, after = _groups(before.take(way))
+        back = _added_rows(back.take(order, 0), first)
+        order, first, node = _groups(node)
+        g = g.take(order)
+        rows = given.take(where.take(order), 0)
+        rows *= g[:, None]
+        return {"node": (node, _added_rows(rows, first)), "bias": (node, _added_rows(g, first)), "after": (after, back)}
+
+
+def _added_rows(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sum of the rows of each group, which begins at ``first``."""
+    size = np.diff(np.append(first, len(rows)))
+    out, more = rows.take(first, 0), size > 1
+    size_of = size[more]
+    if len(size_of):
+        out[more] = np.add.reduceat(rows[np.repeat(more, size)], np.cumsum(size_of) - size_of, 0)
+    return out
 
 
-def _add_rows(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The sum of the rows of each key."""
-    order = np.argsort(keys, kind="stable")
+def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys (ids or nodes) in order: their order, where each begins, and the different ones."""
+    order = np.argsort(keys.astype(np.uint16), kind="stable")  # both are below 2 ** 16
     keys = keys.take(order)
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    return keys.take(first), np.add.reduceat(rows.take(order, 0), first, 0) if len(keys) else rows
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+    return order, first, keys.take(first)
 
 
 class Adagrad:
@@ -330,8 +404,13 @@ class Adagrad:
 
     def learn(self, before: np.ndarray, ids: np.ndarray, h: np.ndarray) -> None:
         for k, (rows, g) in self.output.gradients(before, ids, h).items():
-            self.square[k][rows] += g * g
-            self.output.t[k][rows] += OUTPUT_RATE * g / np.sqrt(self.square[k][rows])
+            square = self.square[k].take(rows, 0)
+            square += g * g
+            self.square[k][rows] = square
+            g *= np.float32(OUTPUT_RATE)
+            g /= np.sqrt(square, out=square)
+            g += self.output.t[k].take(rows, 0)
+            self.output.t[k][rows] = g
 
 
 def fit_output(tokens: DataFrame, model: Model, output: Output, blocks: int) -> None:
@@ -418,6 +497,14 @@ def _blocks(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _QUERY = np.arange(CONTEXT - STRIDE, CONTEXT)
 _DISTANCE = _QUERY[:, None] - np.arange(CONTEXT)[None, :]
 _CAUSAL = np.where(_DISTANCE >= 0, 0, -1e9).astype(np.float32)
+_FAR = np.maximum(_DISTANCE, 0)
+_ONES = np.ones(CLASSES, np.float32)
+
+
+def _keep_finite(scores: np.ndarray) -> None:
+    """Move rows of scores where exp() might leave the range of the type; shares of a row stay the same."""
+    if len(scores) and (scores.max() > 60 or scores.min() < -60):
+        scores -= scores.max(1, keepdims=True)
 
 
 class Model:
@@ -428,6 +515,7 @@ class Model:
 
     def __init__(self, tables: dict[str, np.ndarray]):
         self.t = {k: np.ascontiguousarray(v, np.float32) for k, v in tables.items()}
+        self.room = np.empty((2, 0, 0), np.float32)
 
     @classmethod
     def start(cls, seed: int = 5) -> Model:
@@ -436,32 +524,34 @@ class Model:
         return cls(tables | {"out": rng.normal(0, 0.1, (WIDTH, CLASSES)), "pair": np.zeros((CLASSES, CLASSES)),
                              "far": np.zeros(CONTEXT)})
 
-    def forward(self, into: np.ndarray):
-        t, safe = self.t, np.maximum(into, 0)
-        asked = safe[:, CONTEXT - STRIDE:]
-        q, k, v = t["query"][asked], t["key"][safe], t["value"][safe]
-        place = (t["far"][np.maximum(_DISTANCE, 0)] + _CAUSAL)[None]
-        s = q @ k.transpose(0, 2, 1)
-        np.clip(s, -40, 40, out=s)
-        s += place
-        first = into[:, 0] < 0  # no block before
-        s[first, :, :CONTEXT - STRIDE] = -1e9
-        np.exp(s, out=s)
-        s /= s.sum(2, keepdims=True)
-        h = s @ v + t["own"][asked]
-        scores = h.reshape(-1, WIDTH) @ t["out"]
-        scores += t["pair"][asked.reshape(-1)]
-        return asked, safe, q, k, v, s, h, scores
+    def attend(self, into: np.ndarray):
+        """What attention gives at each position.  A score depends on two classes
+        and a distance, so the weights of the positions before are summed by
+        their class: ``summed`` (by distance) times ``near`` (by class), undivided.
+        ``seen`` says which class is where."""
+        t, flat = self.t, into.reshape(-1)
+        asked = np.maximum(into[:, CONTEXT - STRIDE:], 0).reshape(-1)
+        there = np.flatnonzero(flat >= 0)  # none in a block before the first, nor after the end
+        seen = np.zeros((len(into), CONTEXT, CLASSES), np.float32)
+        seen.reshape(-1)[there * CLASSES + flat.take(there)] = 1
+        place = np.exp(t["far"][_FAR] + _CAUSAL)
+        near = np.exp(np.clip(t["query"] @ t["key"].T, -40, 40)).take(asked, 0)
+        summed = (place @ seen).reshape(-1, CLASSES)
+        value = np.append(t["value"], np.ones((CLASSES, 1), np.float32), 1)  # the last column adds up the weights
+        weight = summed * near
+        given = weight @ value
+        total = given[:, WIDTH:]
+        given = given[:, :WIDTH] / total
+        return asked, seen, place, near, summed, weight, value, total, given
 
     def hidden(self, into: np.ndarray) -> np.ndarray:
-        """What attention gives at each position, as in :meth:`forward`: without
-        gradients a weight is a product of one factor per pair of classes and
-        one per distance, from tables."""
+        """What attention gives at each position, as in :meth:`attend`: a weight
+        is a product of one factor per pair of classes and one per distance, from tables."""
         t, safe = self.t, np.maximum(into, 0)
         asked = safe[:, CONTEXT - STRIDE:]
         near = np.exp(np.clip(t["query"] @ t["key"].T, -40, 40)).reshape(-1)
         s = near.take(asked[:, :, None] * CLASSES + safe[:, None, :])
-        s *= np.exp(t["far"][np.maximum(_DISTANCE, 0)] + _CAUSAL)
+        s *= np.exp(t["far"][_FAR] + _CAUSAL)
         s[into[:, 0] < 0, :, :CONTEXT - STRIDE] = 0
         h = s @ np.append(t["value"], np.ones((CLASSES, 1), np.float32), 1)[safe]  # the last column adds up the weights
         return h[..., :WIDTH] / h[..., WIDTH:] + t["own"][asked]
@@ -471,38 +561,48 @@ class Model:
         h = self.hidden(into) if h is None else h
         scores = h.reshape(-1, WIDTH) @ self.t["out"]
         scores += self.t["pair"][np.maximum(into[:, CONTEXT - STRIDE:], 0).reshape(-1)]
+        _keep_finite(scores)
         goal = goal.reshape(-1)
-        rows = np.arange(len(goal))
-        picked = scores[rows, np.maximum(goal, 0)]
-        top = scores.max(1)
-        scores -= top[:, None]
+        picked = scores.reshape(-1).take(np.arange(len(goal)) * CLASSES + np.maximum(goal, 0))
         np.exp(scores, out=scores)
-        out = (picked - top - np.log(scores.sum(1))) / np.float32(np.log(10))
+        out = (picked - np.log(scores @ _ONES)) / np.float32(np.log(10))
         return np.where(goal >= 0, out, 0)
 
     def gradients(self, into: np.ndarray, goal: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         t = self.t
-        asked, safe, q, k, v, a, h, scores = self.forward(into)
+        asked, seen, place, near, summed, weight, value, total, given = self.attend(into)
+        h = given + t["own"].take(asked, 0)
+        p = h @ t["out"]
+        p += t["pair"].take(asked, 0)
+        _keep_finite(p)
+        np.exp(p, out=p)
+        norm = p @ _ONES
         goal = goal.reshape(-1)
-        used = goal >= 0
-        scores -= scores.max(1, keepdims=True)
-        p = np.exp(scores)
-        p /= p.sum(1, keepdims=True)
-        rows = np.flatnonzero(used)
-        loss = -float(np.log(p[rows, goal[rows]] + 1e-30).mean())
-        p[rows, goal[rows]] -= 1
-        p *= used[:, None] / max(1, len(rows))
-        one = np.eye(CLASSES, dtype=np.float32)
-        one_q, one_k = one[asked.reshape(-1)], one[safe.reshape(-1)]
-        flat = h.reshape(-1, WIDTH)
-        dh = (p @ t["out"].T).reshape(h.shape)
-        da = dh @ v.transpose(0, 2, 1)
-        dv = a.transpose(0, 2, 1) @ dh
-        ds = a * (da - (da * a).sum(2, keepdims=True))
-        far = np.bincount(np.maximum(_DISTANCE, 0).reshape(-1), ds.sum(0).reshape(-1), CONTEXT)
-        by = lambda hot, x: hot.T @ x.reshape(-1, WIDTH)
-        return loss, {"out": flat.T @ p, "pair": one_q.T @ p, "own": by(one_q, dh), "value": by(one_k, dv),
-                      "query": by(one_q, ds @ k), "key": by(one_k, ds.transpose(0, 2, 1) @ q), "far": far}
+        rows = np.flatnonzero(goal >= 0)
+        wanted, n = rows * CLASSES + goal.take(rows), max(1, len(rows))
+        loss = -float(np.log(p.reshape(-1).take(wanted) / norm.take(rows) + 1e-30).mean())
+        p *= ((goal >= 0) / (n * norm)).astype(np.float32)[:, None]
+        p.reshape(-1)[wanted] -= np.float32(1 / n)
+        dh = p @ t["out"].T
+        per = dh / total
+        # of the score of each class: all its positions' gradients are this by their distance
+        score = np.append(per, -np.einsum("ij,ij->i", per, given)[:, None], 1) @ value.T
+        score *= near
+        far = (score.reshape(-1, STRIDE, CLASSES) @ seen.transpose(0, 2, 1)).sum(0) * place
+        order = np.argsort(asked.astype(np.uint8), kind="stable")
+        asked = asked.take(order)
+        first = np.flatnonzero(np.append(True, asked[1:] != asked[:-1]))
+        score *= summed
+        if self.room.shape[1] != len(p):  # used again by the next step
+            self.room = np.empty((2, len(p), 2 * CLASSES + WIDTH), np.float32)
+        by, each = np.zeros((CLASSES, 2 * CLASSES + WIDTH), np.float32), self.room[1]
+        np.take(np.concatenate((p, score, dh), 1, out=self.room[0]), order, 0, out=each, mode="clip")
+        for c, a, b in zip(asked.take(first).tolist(), first.tolist(), [*first[1:].tolist(), len(asked)]):
+            np.add.reduce(each[a:b], 0, out=by[c])
+        pair, score, own = by[:, :CLASSES], by[:, CLASSES:2 * CLASSES], by[:, 2 * CLASSES:]
+        return loss, {"out": h.T @ p, "pair": pair, "own": own, "value": weight.T @ per,
+                      "query": score @ t["key"], "key": score.T @ t["query"],
+                      "far": np.bincount(_FAR.reshape(-1), far.reshape(-1), CONTEXT)}
 
 
 def bigram_scores(pairs: np.ndarray) -> np.ndarray:
@@ -521,23 +621,21 @@ class Adam:
 
     def __init__(self, model: Model):
         self.model, self.step = model, 0
-        self.mean = {k: np.zeros_like(v) for k, v in model.t.items()}
-        self.square = {k: np.zeros_like(v) for k, v in model.t.items()}
+        self.cuts = np.cumsum([0, *(model.t[k].size for k in Model.NAMES)]).tolist()
+        self.mean, self.square = np.zeros((2, self.cuts[-1]))  # float64: tiny float32 numbers are slow
 
     def learn(self, into: np.ndarray, goal: np.ndarray, rate: float) -> None:
-        grads, total = {}, max(1, int((goal >= 0).sum()))
+        g, total = np.zeros_like(self.mean), max(1, int((goal >= 0).sum()))
         for at in range(0, len(into), PART):
             part = goal[at:at + PART]
-            weight = np.float32((part >= 0).sum() / total)
-            for k, g in self.model.gradients(into[at:at + PART], part)[1].items():
-                grads[k] = grads.get(k, 0) + weight * g
+            grads = self.model.gradients(into[at:at + PART], part)[1]
+            g += (part >= 0).sum() / total * np.concatenate([grads[k].reshape(-1) for k in Model.NAMES], dtype=np.float64)
         self.step += 1
-        for k, g in grads.items():
-            mean, square = self.mean[k], self.square[k]
-            mean += 0.1 * (g - mean)
-            square += 0.01 * (g * g - square)
-            self.model.t[k] -= (rate * (mean / (1 - 0.9 ** self.step))
-                                / (np.sqrt(square / (1 - 0.99 ** self.step)) + 1e-8)).astype(np.float32)
+        self.mean += 0.1 * (g - self.mean)
+        self.square += 0.01 * (g * g - self.square)
+        change = (rate / (1 - 0.9 ** self.step) * self.mean / (np.sqrt(self.square / (1 - 0.99 ** self.step)) + 1e-8)).astype(np.float32)
+        for k, a, b in zip(Model.NAMES, self.cuts, self.cuts[1:]):
+            self.model.t[k] -= change[a:b].reshape(self.model.t[k].shape)
 
 
 def fit(texts: list[np.ndarray], steps: int | None = None, seed: int = 5) -> Model:
@@ -570,14 +668,16 @@ def text_counts(tokens: DataFrame, kind: np.ndarray, slot: np.ndarray | None = N
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(first + size ** 2, np.int64)
         for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                ids = _stored_ids(blob)
-                total[:first - 1] += class_pairs(kind[ids])
-                total[first - 1] += -(-len(ids) // STRIDE)
+            for at in range(0, batch.num_rows, 64):
+                texts = [_stored_ids(blob) for blob in batch.column(0).slice(at, 64).to_pylist()]
+                total[first - 1] += sum(-(-len(ids) // STRIDE) for ids in texts)
+                ids = np.concatenate(([END], *texts))  # a text begins after an end
+                classes = kind.take(ids)
+                total[:first - 1] += np.bincount(classes[:-1] * CLASSES + classes[1:], minlength=CLASSES ** 2)
                 if size:
-                    cur, prev = slot[ids], slot[np.append(END, ids[:-1])]
-                    both = (cur >= 0) & (prev >= 0)
-                    np.add.at(total, first + prev[both] * PAIR_IDS + cur[both], 1)
+                    slots = slot.take(ids)
+                    both = (slots[:-1] >= 0) & (slots[1:] >= 0)
+                    np.add.at(total, first + slots[:-1][both] * PAIR_IDS + slots[1:][both], 1)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["at", "c"])
 
@@ -669,6 +769,58 @@ def score_texts(model: Model, output: Output, texts: list[np.ndarray]) -> list[f
     return total.tolist()
 
 
+class Hot:
+    """The most frequent words, their log10 probabilities and their ids, in Arrow
+    and numpy: as Python objects they would take ten times the memory."""
+
+    def __init__(self, words: pa.Array, value: np.ndarray):
+        self.words, self.value = words.cast(pa.binary()), value
+        ids, self.size = word_ids(self.words)
+        self.ids, self.first = ids.astype(np.uint16), np.cumsum(self.size) - self.size
+
+    def facts(self, texts: pa.Array):
+        """Of every text: tokens, those that are hot, the sum of their log10
+        probabilities, its ids as bytes, and its other words and how often they occur."""
+        flat, edges = column_words(pc.ascii_lower(pc.fill_null(texts, "")))
+        coded, count = flat.dictionary_encode(), len(texts)
+        # the end of a text is the empty word
+        distinct = pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([b""], pa.binary())])
+        lens = np.diff(edges)
+        owner = np.repeat(np.arange(count), lens + 1)
+        at = np.insert(coded.indices.to_numpy().astype(np.int64), edges[1:], len(distinct) - 1)
+        found = pc.fill_null(pc.index_in(distinct, value_set=self.words), -1).to_numpy().astype(np.int64)
+        hot = found >= 0
+        value = np.append(self.value, 0.0)[found]
+        inside = hot[at]
+        known = np.bincount(owner[inside], minlength=count)
+        base = np.bincount(owner, value[at], count)
+        keys, times = np.unique(owner[~inside] * len(distinct) + at[~inside], return_counts=True)
+        cuts = pa.array(np.searchsorted(keys, np.arange(count + 1) * len(distinct)), pa.int32())
+        rare = pa.ListArray.from_arrays(cuts, distinct.take(pa.array(keys % len(distinct))))
+        times = pa.ListArray.from_arrays(cuts, pa.array(times, pa.int64()))
+        # ids: of hot words, then of the others
+        cold = np.flatnonzero(~hot)
+        other, cold_size = word_ids(distinct.take(pa.array(cold)))
+        size, first = np.append(self.size, 0)[found], np.append(self.first, 0)[found]
+        size[cold], first[cold] = cold_size, np.cumsum(cold_size) - cold_size + len(self.ids)
+        ids = spread(np.concatenate((self.ids, other.astype(np.uint16))), first[at], size[at])
+        ends = np.append(0, np.cumsum(np.bincount(owner, size[at], count).astype(np.int64))).tolist()
+        blobs = [ids[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+        for i in np.unique(owner[not_on_their_own(distinct)[at]]).tolist():
+            blobs[i] = np.array(subword_ids(words_of((texts[i].as_py() or "").encode())), np.uint16).tobytes()
+        return lens + 1, known, base, blobs, rare, times
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Up to _COUNT_TEXTS rows at a time, fewer where the texts (second column) are long."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64))
+    at = done = 0
+    while at < batch.num_rows:
+        end = min(max(at + 1, int(np.searchsorted(ends, done + _SLICE_BYTES, "right"))), at + _COUNT_TEXTS)
+        yield batch.slice(at, end - at)
+        at, done = end, int(ends[end - 1])
+
+
 # ---- the operator -------------------------------------------------------------------------------------------------
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None) -> DataFrame:
@@ -688,8 +840,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     counts = store(word_counts(train), "lm-words")
     seen, vocabulary = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     whole = seen + 0.5 * (vocabulary + 1)
-    top = _hot(counts).toArrow()
-    hot = {w: float(np.log10((c + 0.5) / whole)) for w, c in zip(top["w"].to_pylist(), top["c"].to_pylist())}
+    top = _hot(counts).toArrow().combine_chunks()
+    hot = Hot(top["w"].combine_chunks() if top.num_rows else pa.array([], pa.binary()), np.log10((top["c"].to_numpy() + 0.5) / whole))
     plain = subword_counts(counts)
     kind, share = classes_of(plain)
     slot = slots_of(plain)
@@ -697,34 +849,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     often = spark.sparkContext.broadcast(hot)
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = often.value.get
-        row = TaskContext.get().partitionId() << 33
+        hot, row = often.value, TaskContext.get().partitionId() << 33
         for whole_batch in batches:
-            for at in range(0, whole_batch.num_rows, 64):
-                batch = whole_batch.slice(at, 64)
-                n, known, base, rare, times, ids = [], [], [], [], [], []
-                for text in raw_bytes(batch, "text"):
-                    words = words_of(text)
-                    total, sure, left, counted = 0.0, 0, [], []
-                    for w, k in (*Counter(words).items(), (b"", 1)):
-                        found = get(w)
-                        if found is None:
-                            left.append(w)
-                            counted.append(k)
-                        else:
-                            sure += k
-                            total += k * found
-                    n.append(len(words) + 1)
-                    known.append(sure)
-                    base.append(total)
-                    rare.append(left)
-                    times.append(counted)
-                    ids.append(np.array(subword_ids(words), np.uint16).tobytes())
+            for batch in _slices(whole_batch):
                 count = batch.num_rows
+                n, known, base, ids, rare, times = hot.facts(batch.column(1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + count)), batch.column(0), batch.column(2), batch.column(3), pa.array(n, pa.int64()),
-                     pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(ids, pa.binary()),
-                     pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))],
+                    [pa.array(np.arange(row, row + count)), batch.column(0), batch.column(2), batch.column(3), pa.array(n),
+                     pa.array(known), pa.array(base), pa.array(ids, pa.binary()), rare, times],
                     ["row", "doc_id", "held_out", "h", "n_tokens", "known", "base", "ids", "rare", "times"])
                 row += count
 

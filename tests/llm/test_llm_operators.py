@@ -815,6 +815,41 @@ def test_lm_word_counts_in_slices(spark, monkeypatch):
     assert {bytes(r.w): r.c for r in got} == want and len(got) == len(want)
 
 
+def test_lm_facts_of_a_column_of_texts(monkeypatch):
+    texts = [None, "", " ", "The the cat's A\x85 b it's x\x1cy", "a\u3000 \u3000y b", "w" * 300 + " e " + "v" * 256, "É é ǅ 'twas",
+             "x" * 256, *(f"t{i} the b" for i in range(40))]
+    low = [lm.words_of((t or "").encode()) for t in texts]
+    top = [b"", b"the", b"b", b"v" * 256, b"w" * 300, "a\u3000".encode()]
+    for words in (top, []):
+        hot = lm.Hot(pa.array(words, pa.binary()), np.arange(len(words)) - 9.5)
+        value = dict(zip(words, hot.value))
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts) + 1)), pa.array(["left out", *texts])], ["h", "text"])[1:]
+        monkeypatch.setattr(lm, "_SLICE_BYTES", 300)
+        parts = list(lm._slices(batch))
+        assert len(parts) > 2 and pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+        got = [hot.facts(part.column(1)) for part in parts]
+        rows = [row for f in got for row in zip(*(x.to_pylist() if isinstance(x, pa.Array) else x for x in f))]
+        for w, (n, known, base, ids, rare, times) in zip(low, rows, strict=True):
+            count = Counter([*w, b""])
+            assert (n, known) == (len(w) + 1, sum(c for x, c in count.items() if x in value))
+            assert abs(base - sum(c * value[x] for x, c in count.items() if x in value)) < 1e-9
+            assert np.frombuffer(ids, np.uint16).tolist() == lm.subword_ids(w)
+            assert dict(zip(rare, times, strict=True)) == {x: c for x, c in count.items() if x not in value}
+    ids, size = lm.word_ids(pa.array([b"", b"cats", b"w" * 300, b"\xc3\xa9"], pa.binary()))
+    want = [lm.subword_ids([w] if w else []) for w in (b"", b"cats", b"w" * 300, b"\xc3\xa9")]
+    assert ids.tolist() == [i for x in want for i in x] and size.tolist() == list(map(len, want))
+
+
+def test_lm_scores_stay_finite():
+    model = lm.Model.start()
+    into, goal = lm._blocks(np.random.default_rng(4).integers(0, lm.CLASSES, 40))
+    want = model.log10(into, goal)
+    for shift in (500, -500):  # of all scores after a class: shares stay the same
+        model.t["pair"] = np.full((lm.CLASSES, lm.CLASSES), shift, np.float32)
+        assert np.allclose(model.log10(into, goal), want, atol=1e-3)
+        assert all(np.isfinite(g).all() for g in model.gradients(into, goal)[1].values())
+
+
 def test_lm_counts_whole_texts(spark):
     kind = np.arange(lm.VOCABULARY) % (lm.CLASSES - 1) + 1
     kind[lm.END] = 0
