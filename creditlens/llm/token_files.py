@@ -53,8 +53,10 @@ def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out.view("<u4").reshape(-1)
 
 
-def _pack(ids: np.ndarray, squeeze: zstandard.ZstdCompressor) -> bytes:
-    return squeeze.compress(ids.astype("<u2" if not len(ids) or ids.max() < 65536 else "<u4").tobytes())
+def _pack(flat: np.ndarray, edges: np.ndarray, squeeze: zstandard.ZstdCompressor) -> list[bytes]:
+    """The ids between two edges each, in two bytes where all of them allow it."""
+    flat, edges = flat.astype("<u2" if flat.max(initial=0) < 65536 else "<u4"), edges.tolist()
+    return [squeeze.compress(flat[a:b].tobytes()) for a, b in zip(edges, edges[1:])]
 
 
 def _unpack(blob: bytes, n: int, expand: zstandard.ZstdDecompressor) -> np.ndarray:
@@ -66,16 +68,15 @@ def token_ids(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_i
     """``(doc_id, n, ids)``: packed ids of each text, with the end id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, squeeze = word_ids(tokenizer), zstandard.ZstdCompressor(1)
-        tail = np.array([] if end_id is None else [end_id], np.uint32)
         for batch in batches:
             for at in range(0, batch.num_rows, _TEXTS):
                 part = batch.slice(at, _TEXTS)
                 flat, edges = words.of_column(part.column(1))
-                edges = edges.tolist()
-                ids = [np.concatenate((flat[a:b], tail)) for a, b in zip(edges, edges[1:])]
+                if end_id is not None:
+                    flat, edges = np.insert(flat, edges[1:], end_id), edges + np.arange(len(edges))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) for x in ids], pa.int64()),
-                     pa.array([_pack(x, squeeze) for x in ids], pa.binary())], ["doc_id", "n", "ids"])
+                    [part.column(0), pa.array(np.diff(edges), pa.int64()), pa.array(_pack(flat, edges, squeeze), pa.binary())],
+                    ["doc_id", "n", "ids"])
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     ship(docs.sparkSession)
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n long, ids binary")
