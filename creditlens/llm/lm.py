@@ -286,7 +286,7 @@ class Output:
     NAMES = ("node", "bias", "after")
 
     def __init__(self, kind: np.ndarray, plain: np.ndarray, slot: np.ndarray, pairs: np.ndarray):
-        self.kind, self.slot = kind, np.where(slot < 0, PAIR_IDS, slot).astype(np.int32)
+        self.kind, self.slot = kind, np.where(slot < 0, PAIR_IDS, slot)
         above, side, mass = _tree(kind, 10.0 ** plain)
         # the way from each id up to its root
         found, at, ids = [], np.arange(VOCABULARY), np.arange(VOCABULARY)
@@ -301,11 +301,11 @@ class Output:
         self.first = np.cumsum(self.size) - self.size
         # the log odds of the counts, and what the id before changes of them
         count = len(above) - VOCABULARY
-        halves, sums, columns = np.zeros((2, count)), {}, []
+        halves, sums, columns = np.zeros((2, count)), {}, [np.zeros(PAIR_IDS + 1, np.float32)]  # of nodes without
         for i, k in enumerate(slot.tolist()):
             if k >= 0 and pairs[:, k].any():
                 sums[i] = pairs[:, k].astype(np.float64)
-        self.near = np.full(count, -1, np.int32)
+        self.near = np.zeros(count, np.int64)
         below: list[list[int]] = [[0, 0] for _ in range(count)]
         for i, (up, s) in enumerate(zip(above.tolist(), side.tolist())):
             if up >= 0:
@@ -320,7 +320,7 @@ class Output:
                 self.near[x] = len(columns)
                 columns.append(np.append(odds - self.plain[x], 0).astype(np.float32))
                 sums[x + VOCABULARY] = left + right
-        self.changes = np.stack(columns, 1) if columns else np.zeros((PAIR_IDS + 1, 0), np.float32)
+        self.changes = np.stack(columns, 1)
         self.t = {"node": np.zeros((count, WIDTH), np.float32), "bias": np.zeros(count, np.float32),
                   "after": np.zeros((VOCABULARY, WIDTH), np.float32)}
 
@@ -340,20 +340,22 @@ class Output:
         node, side = self.nodes.take(at), self.sides.take(at)
         given = h.take(way, 0) + self.t["after"].take(before, 0)
         rows = self.t["node"].take(node, 0)
-        odds = np.einsum("ij,ij->i", given.take(where, 0), rows)
-        odds += (self.t["bias"] + self.plain).take(node)
+        levels, each = list(zip(starts.tolist(), many.tolist())), np.empty_like(rows)
+        for a, k in levels:
+            np.multiply(given[:k], rows[a:a + k], out=each[a:a + k])
+        odds = each @ _ONES[:WIDTH]
+        odds += self.t["bias"].take(node)
+        odds += self.plain.take(node)
         near = self.near.take(node)
-        changed = np.flatnonzero(near >= 0)
-        if len(changed):
-            slots = self.slot.take(before).astype(np.int64) * self.changes.shape[1]
-            odds[changed] += self.changes.reshape(-1).take(slots.take(where.take(changed)) + near.take(changed))
-        return way, list(zip(starts.tolist(), many.tolist())), where, node, side, odds, given, rows
+        near += (self.slot.take(before) * self.changes.shape[1]).take(where)
+        odds += self.changes.reshape(-1).take(near)
+        return way, levels, where, node, side, odds, given, rows
 
     def log10(self, before: np.ndarray, ids: np.ndarray, h: np.ndarray) -> np.ndarray:
         """log10 probability of each id in its class, after the id before and what attention gives."""
         way, levels, _, _, side, odds, _, _ = self.choices(before, ids, h)
         odds *= side
-        each = np.minimum(odds, 0) - np.log1p(np.exp(-np.abs(odds)))
+        each = np.minimum(odds, 0) - np.log(1 + np.exp(-np.abs(odds)))
         out, total = np.zeros(len(ids)), np.zeros(len(way))
         for a, n in levels:
             total[:n] += each[a:a + n]
@@ -369,22 +371,12 @@ class Output:
         for a, n in levels:
             back[:n] += rows[a:a + n]
         order, first, after = _groups(before.take(way))
-        back = _added_rows(back.take(order, 0), first)
+        back = np.add.reduceat(back.take(order, 0), first, 0)
         order, first, node = _groups(node)
         g = g.take(order)
         rows = given.take(where.take(order), 0)
         rows *= g[:, None]
-        return {"node": (node, _added_rows(rows, first)), "bias": (node, _added_rows(g, first)), "after": (after, back)}
-
-
-def _added_rows(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """The sum of the rows of each group, which begins at ``first``."""
-    size = np.diff(np.append(first, len(rows)))
-    out, more = rows.take(first, 0), size > 1
-    size_of = size[more]
-    if len(size_of):
-        out[more] = np.add.reduceat(rows[np.repeat(more, size)], np.cumsum(size_of) - size_of, 0)
-    return out
+        return {"node": (node, np.add.reduceat(rows, first, 0)), "bias": (node, np.add.reduceat(g, first, 0)), "after": (after, back)}
 
 
 def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -515,7 +507,6 @@ class Model:
 
     def __init__(self, tables: dict[str, np.ndarray]):
         self.t = {k: np.ascontiguousarray(v, np.float32) for k, v in tables.items()}
-        self.room = np.empty((2, 0, 0), np.float32)
 
     @classmethod
     def start(cls, seed: int = 5) -> Model:
@@ -525,84 +516,83 @@ class Model:
                              "far": np.zeros(CONTEXT)})
 
     def attend(self, into: np.ndarray):
-        """What attention gives at each position.  A score depends on two classes
-        and a distance, so the weights of the positions before are summed by
-        their class: ``summed`` (by distance) times ``near`` (by class), undivided.
-        ``seen`` says which class is where."""
-        t, flat = self.t, into.reshape(-1)
-        asked = np.maximum(into[:, CONTEXT - STRIDE:], 0).reshape(-1)
-        there = np.flatnonzero(flat >= 0)  # none in a block before the first, nor after the end
-        seen = np.zeros((len(into), CONTEXT, CLASSES), np.float32)
-        seen.reshape(-1)[there * CLASSES + flat.take(there)] = 1
-        place = np.exp(t["far"][_FAR] + _CAUSAL)
-        near = np.exp(np.clip(t["query"] @ t["key"].T, -40, 40)).take(asked, 0)
-        summed = (place @ seen).reshape(-1, CLASSES)
-        value = np.append(t["value"], np.ones((CLASSES, 1), np.float32), 1)  # the last column adds up the weights
-        weight = summed * near
+        """What attention gives at each position (``given``), and what it comes
+        from: a weight is a product of one factor per pair of classes (``pair``
+        says which) and one per distance, from tables; the last column of
+        ``value`` adds up the weights."""
+        t, safe = self.t, np.maximum(into, 0)
+        asked = safe[:, CONTEXT - STRIDE:]
+        pair = (asked * CLASSES)[:, :, None] + safe[:, None, :]
+        weight = np.take(np.exp(np.minimum(np.maximum(t["query"] @ t["key"].T, -40), 40)), pair, mode="clip")
+        weight *= np.exp(t["far"].take(_FAR) + _CAUSAL)
+        weight[into[:, 0] < 0, :, :CONTEXT - STRIDE] = 0  # nothing is before a text's first block
+        value = np.concatenate((t["value"], _ONES[:, None]), 1).take(safe, 0)
         given = weight @ value
-        total = given[:, WIDTH:]
-        given = given[:, :WIDTH] / total
-        return asked, seen, place, near, summed, weight, value, total, given
+        total = given[..., WIDTH:]
+        return asked.reshape(-1), safe, pair, weight, value, total, given[..., :WIDTH] / total
+
+    def small(self, h: np.ndarray) -> bool:
+        """Whether no score of a class can be far from 0, by the largest numbers in ``h`` and the tables."""
+        most = max(h.max(initial=0), -h.min(initial=0))
+        return most * np.abs(self.t["out"]).sum(0).max() + np.abs(self.t["pair"]).max() < 60
 
     def hidden(self, into: np.ndarray) -> np.ndarray:
-        """What attention gives at each position, as in :meth:`attend`: a weight
-        is a product of one factor per pair of classes and one per distance, from tables."""
-        t, safe = self.t, np.maximum(into, 0)
-        asked = safe[:, CONTEXT - STRIDE:]
-        near = np.exp(np.clip(t["query"] @ t["key"].T, -40, 40)).reshape(-1)
-        s = near.take(asked[:, :, None] * CLASSES + safe[:, None, :])
-        s *= np.exp(t["far"][_FAR] + _CAUSAL)
-        s[into[:, 0] < 0, :, :CONTEXT - STRIDE] = 0
-        h = s @ np.append(t["value"], np.ones((CLASSES, 1), np.float32), 1)[safe]  # the last column adds up the weights
-        return h[..., :WIDTH] / h[..., WIDTH:] + t["own"][asked]
+        """What attention gives at each position, with what the class there adds."""
+        asked, *_, given = self.attend(into)
+        given += self.t["own"].take(asked, 0).reshape(given.shape)
+        return given
 
     def log10(self, into: np.ndarray, goal: np.ndarray, h: np.ndarray | None = None) -> np.ndarray:
         """log10 probability of each goal class, 0 where there is none."""
         h = self.hidden(into) if h is None else h
         scores = h.reshape(-1, WIDTH) @ self.t["out"]
-        scores += self.t["pair"][np.maximum(into[:, CONTEXT - STRIDE:], 0).reshape(-1)]
-        _keep_finite(scores)
+        scores += self.t["pair"].take(np.maximum(into[:, CONTEXT - STRIDE:], 0).reshape(-1), 0)
+        if not self.small(h):
+            _keep_finite(scores)
         goal = goal.reshape(-1)
         picked = scores.reshape(-1).take(np.arange(len(goal)) * CLASSES + np.maximum(goal, 0))
         np.exp(scores, out=scores)
         out = (picked - np.log(scores @ _ONES)) / np.float32(np.log(10))
         return np.where(goal >= 0, out, 0)
 
-    def gradients(self, into: np.ndarray, goal: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    def gradients(self, into: np.ndarray, goal: np.ndarray, with_loss: bool = True) -> tuple[float, dict[str, np.ndarray]]:
         t = self.t
-        asked, seen, place, near, summed, weight, value, total, given = self.attend(into)
+        asked, safe, pair, weight, value, total, given = self.attend(into)
+        order, first, classes = _groups(asked)  # positions in the order of their classes
+        asked = asked.take(order)
+        given = given.reshape(-1, WIDTH).take(order, 0)
         h = given + t["own"].take(asked, 0)
         p = h @ t["out"]
         p += t["pair"].take(asked, 0)
-        _keep_finite(p)
+        if not self.small(h):
+            _keep_finite(p)
         np.exp(p, out=p)
         norm = p @ _ONES
-        goal = goal.reshape(-1)
+        goal = goal.reshape(-1).take(order)
         rows = np.flatnonzero(goal >= 0)
         wanted, n = rows * CLASSES + goal.take(rows), max(1, len(rows))
-        loss = -float(np.log(p.reshape(-1).take(wanted) / norm.take(rows) + 1e-30).mean())
+        loss = -float(np.log(p.reshape(-1).take(wanted) / norm.take(rows) + 1e-30).mean()) if with_loss else 0.0
         p *= ((goal >= 0) / (n * norm)).astype(np.float32)[:, None]
         p.reshape(-1)[wanted] -= np.float32(1 / n)
-        dh = p @ t["out"].T
-        per = dh / total
-        # of the score of each class: all its positions' gradients are this by their distance
-        score = np.append(per, -np.einsum("ij,ij->i", per, given)[:, None], 1) @ value.T
-        score *= near
-        far = (score.reshape(-1, STRIDE, CLASSES) @ seen.transpose(0, 2, 1)).sum(0) * place
-        order = np.argsort(asked.astype(np.uint8), kind="stable")
-        asked = asked.take(order)
-        first = np.flatnonzero(np.append(True, asked[1:] != asked[:-1]))
-        score *= summed
-        if self.room.shape[1] != len(p):  # used again by the next step
-            self.room = np.empty((2, len(p), 2 * CLASSES + WIDTH), np.float32)
-        by, each = np.zeros((CLASSES, 2 * CLASSES + WIDTH), np.float32), self.room[1]
-        np.take(np.concatenate((p, score, dh), 1, out=self.room[0]), order, 0, out=each, mode="clip")
-        for c, a, b in zip(asked.take(first).tolist(), first.tolist(), [*first[1:].tolist(), len(asked)]):
-            np.add.reduce(each[a:b], 0, out=by[c])
-        pair, score, own = by[:, :CLASSES], by[:, CLASSES:2 * CLASSES], by[:, 2 * CLASSES:]
-        return loss, {"out": h.T @ p, "pair": pair, "own": own, "value": weight.T @ per,
-                      "query": score @ t["key"], "key": score.T @ t["query"],
-                      "far": np.bincount(_FAR.reshape(-1), far.reshape(-1), CONTEXT)}
+        back = p @ t["out"].T
+        by = np.zeros((CLASSES, CLASSES), np.float32)
+        by[classes] = np.add.reduceat(p, first, 0)
+        # of a weight: by what it is multiplied with, and by the sum it is divided by
+        back /= total.reshape(-1, 1).take(order, 0)
+        each = np.concatenate((back, -np.einsum("ij,ij->i", back, given)[:, None]), 1)
+        at = np.empty_like(order)
+        at[order] = np.arange(len(order))
+        each = each.take(at, 0).reshape(*weight.shape[:2], WIDTH + 1)
+        score = each @ value.transpose(0, 2, 1)
+        score *= weight
+        far = np.bincount(_FAR.reshape(-1), score.sum(0).reshape(-1), CONTEXT)
+        score = np.bincount(pair.reshape(-1), score.reshape(-1), CLASSES ** 2).astype(np.float32).reshape(CLASSES, CLASSES)
+        seen, first, classes = _groups(safe.reshape(-1))
+        weight = (weight.transpose(0, 2, 1) @ each[..., :WIDTH]).reshape(-1, WIDTH).take(seen, 0)
+        value = np.zeros((CLASSES, WIDTH), np.float32)
+        value[classes] = np.add.reduceat(weight, first, 0)
+        return loss, {"out": (p.T @ h).T, "pair": by, "own": by @ t["out"].T, "value": value,
+                      "query": score @ t["key"], "key": score.T @ t["query"], "far": far}
 
 
 def bigram_scores(pairs: np.ndarray) -> np.ndarray:
@@ -628,7 +618,7 @@ class Adam:
         g, total = np.zeros_like(self.mean), max(1, int((goal >= 0).sum()))
         for at in range(0, len(into), PART):
             part = goal[at:at + PART]
-            grads = self.model.gradients(into[at:at + PART], part)[1]
+            grads = self.model.gradients(into[at:at + PART], part, False)[1]
             g += (part >= 0).sum() / total * np.concatenate([grads[k].reshape(-1) for k in Model.NAMES], dtype=np.float64)
         self.step += 1
         self.mean += 0.1 * (g - self.mean)

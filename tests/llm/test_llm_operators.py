@@ -4,6 +4,7 @@ import gc
 import hashlib
 import math
 import re
+import tracemalloc
 import weakref
 import zlib
 from collections import Counter, defaultdict
@@ -680,6 +681,36 @@ def test_lm_gradients():
         assert abs((sides[0] - sides[1]) / 2e-2 - grads[name][at]) < 0.03 * abs(grads[name][at]) + 1e-3, name
 
 
+def test_lm_gradients_of_texts_of_many_lengths():
+    rng = np.random.default_rng(12)
+    parts = [lm._blocks(x) for x in (*(rng.integers(0, lm.CLASSES, n) for n in (1, 15, 16, 17, 200)), np.full(90, 5))]
+    into, goal = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    model = lm.Model.start()
+    model.t["far"] = rng.normal(0, 1, lm.CONTEXT).astype(np.float32)
+    model.t["pair"] = rng.normal(0, 1, (lm.CLASSES, lm.CLASSES)).astype(np.float32)
+    grads = model.gradients(into, goal)[1]
+    for name in lm.Model.NAMES:  # along the gradient: every entry counts
+        value, way = model.t[name], grads[name] / np.linalg.norm(grads[name])
+        sides = []
+        for step in (3e-2, -3e-2):
+            model.t[name] = (value + step * way).astype(np.float32)
+            sides.append(-model.log10(into, goal).sum() * math.log(10) / (goal >= 0).sum())
+        model.t[name] = value
+        want = np.linalg.norm(grads[name])
+        assert abs((sides[0] - sides[1]) / 6e-2 - want) < 0.03 * want + 1e-5, name
+
+
+def test_lm_step_holds_no_class_per_place_before():
+    into, goal = lm._blocks(np.random.default_rng(13).integers(0, lm.CLASSES, lm.BATCH * lm.STRIDE))
+    adam = lm.Adam(lm.Model.start())
+    gc.collect()
+    tracemalloc.start()
+    adam.learn(into, goal, 0.01)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 1200 * into.size, most  # twice that before: 64 numbers for each of the 32 places of a block
+
+
 def test_lm_attention_learns_more_than_bigrams():
     rng = np.random.default_rng(3)
     def text():  # each class repeats the one three before
