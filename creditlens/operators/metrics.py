@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 def regression_metrics(df: DataFrame, y: str, p: str) -> DataFrame:
     """ML-12 on the pairwise-complete rows (FLT-10): n, MSE, RMSE, R^2
     (1 - SSE/SST, not squared correlation), MAPE with max(actual, 1), RMSE as
-    % of the mean."""
+    % of the mean.  R^2 is NULL where the actual values are all equal, the share
+    of the mean where that is 0."""
     d = df.select(F.col(y).cast("double").alias("y"), F.col(p).cast("double").alias("p")).dropna()
     err = F.col("y") - F.col("p")
     a = d.agg(F.count("*").alias("n"), F.avg(err * err).alias("mse"), F.var_pop("y").alias("vy"),
               F.avg(F.abs(err / F.greatest(F.col("y"), F.lit(1.0)))).alias("ape"), F.avg("y").alias("my"))
-    return a.select("n", "mse", F.sqrt("mse").alias("rmse"), (F.lit(1.0) - F.col("mse") / F.col("vy")).alias("r2"),
-                    (F.col("ape") * 100).alias("mape"), (F.sqrt("mse") / F.col("my") * 100).alias("rmse_pct_of_mean"))
+    return a.select("n", "mse", F.sqrt("mse").alias("rmse"), (F.lit(1.0) - F.try_divide("mse", "vy")).alias("r2"),
+                    (F.col("ape") * 100).alias("mape"), (F.try_divide(F.sqrt("mse"), F.col("my")) * 100).alias("rmse_pct_of_mean"))
 
 
 def pair_counts(df: DataFrame, y: str, p: str) -> DataFrame:

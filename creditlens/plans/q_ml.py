@@ -92,13 +92,22 @@ class Ledger:
                               [tuple(m) for m in at["facts"]["metrics"]])
 
 
-def run_flow(spark, sf_dir, save_to: str | None = None, ledger: str | None = None):
+class FlowError(RuntimeError):
+    """A flow in which stages failed; ``table`` and ``metrics`` are what the others gave."""
+
+    def __init__(self, errors, table, metrics):
+        super().__init__("stages failed: " + "; ".join(f"{name} ({type(exc).__name__}: {exc})" for name, exc in errors))
+        self.table, self.metrics = table, metrics
+
+
+def run_flow(spark, sf_dir, save_to: str | None = None, ledger: str | None = None, whole: bool = False):
     """ML-19: initialise, then the model stages.  The Q4 forecast, the Q3
     back-test, the segment and the risk models read only the initialised
     table, so they are fitted concurrently; the increase-amount model
     consumes the forecast and the risk probability.  Each stage is isolated: a failure leaves its columns
-    NULL and records an error row in the metrics table.  ``save_to`` names a
-    folder that gets the fitted models.  ``ledger`` names a folder in which
+    NULL, whatever the users had there, and records an error row in the metrics table.  With ``whole`` a
+    flow with failures raises :class:`FlowError` once every stage has ended; none is kept for the next call.
+    ``save_to`` names a folder that gets the fitted models.  ``ledger`` names a folder in which
     finished stages are recorded: a rerun reads them and runs only the others."""
     from concurrent.futures import ThreadPoolExecutor
     key = session_key(spark, sf_dir)
@@ -118,12 +127,12 @@ def run_flow(spark, sf_dir, save_to: str | None = None, ledger: str | None = Non
             return book.result(name, lambda: fn(table), reads) if book else fn(table)
         except Exception as exc:  # noqa: BLE001 - stage isolation is the feature
             traceback.print_exc()
-            errors.append((name, "error", type(exc).__name__, None))
+            errors.append((name, exc))
             return None
 
     def attach(table, res, cols):
         if res is None:
-            return table.withColumns({c: F.lit(None).cast("double") for c in cols if c not in table.columns})
+            return table.withColumns({c: F.lit(None).cast("double") for c in cols})
         results.append(res)
         keep = res.scored.select("user_id", *cols)
         return table.drop(*[c for c in cols if c in table.columns]).join(keep, "user_id", "left")
@@ -150,15 +159,20 @@ def run_flow(spark, sf_dir, save_to: str | None = None, ledger: str | None = Non
         ml.save_models(results, save_to)
     metrics = ml.metrics_table(spark, results)
     if errors:
-        metrics = metrics.unionByName(spark.createDataFrame(errors, metrics.schema))
+        rows = [(name, "error", type(exc).__name__, None) for name, exc in errors]
+        metrics = metrics.unionByName(spark.createDataFrame(rows, metrics.schema))
+        if whole:
+            raise FlowError(errors, table, metrics) from errors[0][1]
+        return table, metrics
     _FLOW_CACHE[key] = (table, metrics)
     return table, metrics
 
 
 @query("full_flow")
 def full_flow(spark, sf_dir):
-    """ML-19 + SRC-08: the scored user table with every stage's output."""
-    return run_flow(spark, sf_dir)[0]
+    """ML-19 + SRC-08: the scored user table with every stage's output; without
+    one of them it raises."""
+    return run_flow(spark, sf_dir, whole=True)[0]
 
 
 @query("model_metrics")

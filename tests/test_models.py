@@ -130,6 +130,54 @@ def test_a_rerun_starts_at_the_failed_stage(spark, monkeypatch, tmp_path):
     assert ran == []
 
 
+def test_a_flow_with_a_failed_stage_is_no_result(spark, monkeypatch):
+    from creditlens.plans import q_ml
+    broken, broke = {"risk_model"}, ValueError("lost")
+
+    def flat(name, cols):
+        def stage(table):
+            if name in broken:
+                raise broke
+            return ml.ModelResult(name, table.select("user_id", *[F.lit(0.25).alias(c) for c in cols]), None, [(name, "trees", "", 1.0)])
+        return stage
+
+    for name, cols in (("q4_forecast", ["predicted_q4_spend"]), ("q3_backtest", ["predicted_q3_spend"]),
+                       ("segment_model", [f"segment_{c}_prob" for c in range(4)]), ("risk_model", ["risk_probability"]),
+                       ("cli_model", ["recommended_cli_amount"])):
+        monkeypatch.setattr(ml, name, flat(name, cols))
+    monkeypatch.setattr(q_ml, "_FLOW_CACHE", {})
+    rows = [(1, 0, 0.9), (2, 1, 0.1), (3, 2, 0.2), (4, 3, 0.3)]  # with the rules' risk_probability
+    users = (spark.createDataFrame(rows, "user_id long, segment_label int, risk_probability double")
+             .withColumns({c: F.col("user_id") * 10.0 for c in ("credit_line", "credit_score", "utilization_pct", "current_balance",
+                                                              "total_spend_2024", "spend_2024_q1", "spend_2024_q2",
+                                                              "spend_2024_q3", "spend_2024_q4")})
+             .withColumns({"is_high_income": F.lit(1), "risk_flag": (F.col("user_id") == 1).cast("int")}))
+    monkeypatch.setattr(q_ml, "user_view", lambda spark, sf_dir: users)
+    with pytest.raises(q_ml.FlowError, match="risk_model") as failed:
+        q_ml.full_flow(spark, "four users")
+    assert failed.value.__cause__ is broke
+    # what the other stages gave is there, the rules' values do not stand in for the model's
+    table, metrics = failed.value.table, failed.value.metrics
+    assert table.where("risk_probability is null and predicted_q4_spend = 0.25 and recommended_cli_amount = 0.25").count() == 4
+    assert metrics.where("section = 'risk_model' and name = 'error' and key = 'ValueError'").count() == 1
+    told = {(m["section"], m["name"]): m["value"] for m in q_ml.model_metrics(spark, "four users").collect()}
+    assert ("risk_model", "error") in told and told["sample_reevaluation", "risk_roc_auc"] is None
+    # and it is not kept for the next call
+    broken.clear()
+    assert q_ml.full_flow(spark, "four users").where("risk_probability = 0.25").count() == 4
+    assert q_ml.model_metrics(spark, "four users").where("name = 'error'").count() == 0
+
+
+def test_stages_without_any_spend_are_scored(spark):
+    """R^2 and the share of the mean are undefined there, the predictions are not."""
+    users = spark.range(1, 41).select(F.col("id").alias("user_id"), *[F.lit(0.0).alias(c) for c in ml.Q3_FEATURES],
+                                      F.lit(0.0).alias("spend_2024_q3"))
+    res = ml.q3_backtest(users)
+    assert res.scored.where("predicted_q3_spend = 0").count() == 40
+    m = {x[1]: x[3] for x in res.metrics if not x[2]}
+    assert m["full_n"] == 40 and m["full_mse"] == 0 and m["full_r2"] is None and m["full_rmse_pct_of_mean"] is None
+
+
 def test_cli_amount_rules(spark):
     s = scored_view(spark, SF_MID)
     res = ml.cli_model(s)
