@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -64,20 +65,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 _SHIPPED: set[str] = set()
+_SHIPPING = threading.Lock()
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable on the executors (once per application)."""
+    """Make this package importable on the executors (once per application,
+    also when the stages of a flow begin at the same time: Spark refuses a
+    second file of that name)."""
     app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    package = os.path.dirname(os.path.abspath(__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="ship-"), "creditlens_package.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(package):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
-    spark.sparkContext.addPyFile(path)
-    _SHIPPED.add(app)
+    with _SHIPPING:
+        if app in _SHIPPED:
+            return
+        package = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(prefix="ship-"), "creditlens_package.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.relpath(full, os.path.dirname(package)))
+        spark.sparkContext.addPyFile(path)
+        _SHIPPED.add(app)

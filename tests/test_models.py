@@ -168,6 +168,25 @@ def test_a_flow_with_a_failed_stage_is_no_result(spark, monkeypatch):
     assert q_ml.model_metrics(spark, "four users").where("name = 'error'").count() == 0
 
 
+def test_stages_that_begin_together_ship_the_package_once():
+    import time
+    from concurrent.futures import ThreadPoolExecutor
+    from types import SimpleNamespace
+    from creditlens.session import ship
+    sent = []
+
+    def add(path):
+        time.sleep(0.2)
+        if sent:
+            raise ValueError("a file of that name is there already")
+        sent.append(path)
+
+    session = SimpleNamespace(sparkContext=SimpleNamespace(applicationId=f"app-{time.time_ns()}", addPyFile=add))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(ship, [session] * 4))
+    assert len(sent) == 1
+
+
 def test_stages_without_any_spend_are_scored(spark):
     """R^2 and the share of the mean are undefined there, the predictions are not."""
     users = spark.range(1, 41).select(F.col("id").alias("user_id"), *[F.lit(0.0).alias(c) for c in ml.Q3_FEATURES],
